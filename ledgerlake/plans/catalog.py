@@ -1,0 +1,334 @@
+"""Registered queries: name -> callable(spark, sf_dir) -> DataFrame.
+
+Every query reads the driver's tables (mostly through the ``events`` ->
+transactions mapping) and returns a lazy DataFrame; the caller runs the action.
+Wall-clock lineage columns are dropped so results are deterministic.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ledgerlake.operators import bronze as B
+from ledgerlake.operators import features as FE
+from ledgerlake.operators import marts as M
+from ledgerlake.operators import rules as R
+from ledgerlake.operators import silver as S
+from ledgerlake.sources.fixture import raw_transactions
+
+Query = Callable[[SparkSession, str], DataFrame]
+REGISTRY: dict[str, Query] = {}
+
+
+def register(name: str):
+    def deco(fn: Query) -> Query:
+        if name in REGISTRY:
+            raise ValueError(f"duplicate query {name}")
+        REGISTRY[name] = fn
+        return fn
+
+    return deco
+
+
+# ------------------------------------------------------------------ layers
+
+def raw(spark: SparkSession, sf: str) -> DataFrame:
+    return raw_transactions(spark, sf)
+
+
+def bronze(spark: SparkSession, sf: str) -> DataFrame:
+    return B.bronze_transactions(raw(spark, sf))
+
+
+def silver(spark: SparkSession, sf: str) -> DataFrame:
+    return S.silver_transactions(bronze(spark, sf))
+
+
+def validated(spark: SparkSession, sf: str) -> DataFrame:
+    return R.validated_transactions(raw(spark, sf))
+
+
+def silver_ruled(spark: SparkSession, sf: str) -> DataFrame:
+    return R.split_valid(validated(spark, sf))
+
+
+def quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    return R.split_quarantine(validated(spark, sf))
+
+
+def _no_ts(df: DataFrame) -> DataFrame:
+    return S.without_timestamps(df)
+
+
+# ------------------------------------------------------------------ ingest
+
+@register("raw_transactions")
+def q_raw(spark, sf):
+    return raw(spark, sf)
+
+
+@register("bronze_rename")
+def q_bronze_rename(spark, sf):
+    return B.rename_columns(raw(spark, sf))
+
+
+@register("bronze_transactions")
+def q_bronze(spark, sf):
+    return _no_ts(bronze(spark, sf))
+
+
+@register("record_hash")
+def q_record_hash(spark, sf):
+    return B.bronze_ruled(raw(spark, sf)).select("step", "type", "amount", "nameOrig", "_record_hash")
+
+
+# ------------------------------------------------------------------ strict silver
+
+@register("select_valid")
+def q_select_valid(spark, sf):
+    return _no_ts(S.select_valid(bronze(spark, sf)))
+
+
+@register("time_features")
+def q_time_features(spark, sf):
+    return S.time_features(bronze(spark, sf)).select("step", "transaction_day", "transaction_hour")
+
+
+@register("balance_features")
+def q_balance_features(spark, sf):
+    return S.balance_features(bronze(spark, sf)).select(
+        "origin_account", "amount", "origin_balance_change", "destination_balance_change",
+        "origin_balance_error", "destination_balance_error",
+    )
+
+
+@register("transaction_indicators")
+def q_indicators(spark, sf):
+    return S.transaction_indicators(bronze(spark, sf)).select(
+        "amount", "origin_account", "destination_account", "is_high_value_transaction",
+        "is_zero_amount_transaction", "is_origin_merchant", "is_destination_merchant",
+    )
+
+
+@register("silver_transactions")
+def q_silver(spark, sf):
+    return _no_ts(silver(spark, sf))
+
+
+# ------------------------------------------------------------------ strict gold
+
+@register("daily_transaction_summary")
+def q_daily(spark, sf):
+    return M.daily_transaction_summary(silver(spark, sf))
+
+
+@register("daily_transaction_summary_core")
+def q_daily_core(spark, sf):
+    return M.daily_transaction_summary(silver(spark, sf)).drop(
+        "estimated_unique_origin_accounts", "estimated_unique_destination_accounts"
+    )
+
+
+@register("daily_summary_join")
+def q_daily_join(spark, sf):
+    return M.daily_transaction_summary_join(silver(spark, sf))
+
+
+@register("daily_type_summary")
+def q_daily_type(spark, sf):
+    return M.daily_type_summary(silver(spark, sf))
+
+
+@register("hourly_fraud_summary")
+def q_hourly(spark, sf):
+    return M.hourly_fraud_summary(silver(spark, sf))
+
+
+@register("transaction_type_summary")
+def q_type(spark, sf):
+    return M.transaction_type_summary(silver(spark, sf))
+
+
+@register("origin_account_summary")
+def q_origin(spark, sf):
+    return M.origin_account_summary(silver(spark, sf))
+
+
+@register("destination_account_summary")
+def q_destination(spark, sf):
+    return M.destination_account_summary(silver(spark, sf))
+
+
+@register("high_value_summary")
+def q_high_value(spark, sf):
+    return M.high_value_summary(silver(spark, sf))
+
+
+@register("fraud_monitoring")
+def q_fraud_monitoring(spark, sf):
+    return M.fraud_monitoring(silver(spark, sf))
+
+
+@register("fraud_feature")
+def q_fraud_feature(spark, sf):
+    return FE.fraud_feature(silver(spark, sf))
+
+
+@register("approx_accounts_by_day")
+def q_approx_accounts(spark, sf):
+    return silver(spark, sf).groupBy("transaction_day").agg(
+        F.approx_count_distinct("origin_account", 0.05).alias("estimated_unique_origin_accounts"),
+        F.approx_count_distinct("destination_account", 0.05).alias("estimated_unique_destination_accounts"),
+    )
+
+
+@register("exact_accounts_by_day")
+def q_exact_accounts(spark, sf):
+    return silver(spark, sf).groupBy("transaction_day").agg(
+        F.count_distinct("origin_account").alias("unique_origin_accounts"),
+        F.count_distinct("destination_account").alias("unique_destination_accounts"),
+    )
+
+
+# ------------------------------------------------------------------ ruled silver
+
+@register("normalize_strings")
+def q_normalize(spark, sf):
+    renamed = B.rename_columns(raw(spark, sf), R.RULED_RENAMES)
+    return R.normalize_strings(renamed).select("transaction_type", "origin_account", "destination_account")
+
+
+@register("destination_category")
+def q_dest_category(spark, sf):
+    renamed = R.normalize_strings(B.rename_columns(raw(spark, sf), R.RULED_RENAMES))
+    return R.enrich(renamed).select(
+        "origin_account", "destination_account", "destination_category", "is_customer_destination",
+        "is_merchant_destination", "is_self_transfer", "destination_balance_available",
+    )
+
+
+@register("amount_category")
+def q_amount_category(spark, sf):
+    renamed = R.normalize_strings(B.rename_columns(raw(spark, sf), R.RULED_RENAMES))
+    return R.enrich(renamed).select("amount", "amount_category", "is_high_value_transaction", "is_zero_amount")
+
+
+@register("hard_rules")
+def q_hard_rules(spark, sf):
+    v = validated(spark, sf)
+    return v.select("_record_hash", *[r.column for r in R.hard_rules()], "hard_failure_count")
+
+
+@register("warning_rules")
+def q_warning_rules(spark, sf):
+    v = validated(spark, sf)
+    return v.select("_record_hash", *[r.column for r in R.warning_rules()], "warning_count")
+
+
+@register("failure_reasons")
+def q_failure_reasons(spark, sf):
+    v = validated(spark, sf)
+    return v.select(
+        "_record_hash", "hard_failure_reason_text", "warning_reason_text",
+        F.size("hard_failure_reasons").alias("hard_failure_reason_count"),
+        F.size("warning_reasons").alias("warning_reason_count"),
+    )
+
+
+@register("validation_status")
+def q_validation_status(spark, sf):
+    return validated(spark, sf).select("_record_hash", "hard_failure_count", "warning_count", "validation_status")
+
+
+@register("silver_ruled")
+def q_silver_ruled(spark, sf):
+    return _no_ts(silver_ruled(spark, sf))
+
+
+@register("quarantine")
+def q_quarantine(spark, sf):
+    return _no_ts(quarantine(spark, sf))
+
+
+@register("hard_rule_counts")
+def q_hard_rule_counts(spark, sf):
+    return R.rule_counts(validated(spark, sf), R.hard_rules(), "HARD")
+
+
+@register("warning_rule_counts")
+def q_warning_rule_counts(spark, sf):
+    v = validated(spark, sf).filter(F.col("hard_failure_count") == 0)
+    return R.rule_counts(v, R.warning_rules(), "WARNING")
+
+
+@register("validation_status_summary")
+def q_status_summary(spark, sf):
+    return R.status_summary(validated(spark, sf))
+
+
+@register("warning_records")
+def q_warning_records(spark, sf):
+    return silver_ruled(spark, sf).filter(F.col("validation_status") == "VALID_WITH_WARNING").select(
+        "_record_hash", "step", "transaction_type", "amount", "origin_account", "destination_account",
+        "warning_count", "warning_reason_text",
+    )
+
+
+# ------------------------------------------------------------------ ruled gold
+
+@register("daily_transaction_summary_exact")
+def q_daily_exact(spark, sf):
+    return M.daily_transaction_summary_exact(silver_ruled(spark, sf))
+
+
+@register("hourly_fraud_profile")
+def q_hourly_profile(spark, sf):
+    return M.hourly_fraud_profile(silver_ruled(spark, sf))
+
+
+@register("transaction_type_profile")
+def q_type_profile(spark, sf):
+    return M.transaction_type_profile(silver_ruled(spark, sf))
+
+
+@register("origin_account_profile")
+def q_origin_profile(spark, sf):
+    return M.origin_account_profile(silver_ruled(spark, sf))
+
+
+@register("destination_account_profile")
+def q_destination_profile(spark, sf):
+    return M.destination_account_profile(silver_ruled(spark, sf))
+
+
+@register("top_risky_destinations")
+def q_top_risky(spark, sf):
+    return M.top_risky_destinations(silver_ruled(spark, sf))
+
+
+@register("high_value_profile")
+def q_high_value_profile(spark, sf):
+    return M.high_value_profile(silver_ruled(spark, sf))
+
+
+@register("fraud_monitoring_profile")
+def q_fraud_monitoring_profile(spark, sf):
+    return _no_ts(M.fraud_monitoring_profile(silver_ruled(spark, sf)))
+
+
+@register("daily_type_profile")
+def q_daily_type_profile(spark, sf):
+    return M.daily_type_profile(silver_ruled(spark, sf))
+
+
+@register("fraud_feature_profile")
+def q_fraud_feature_profile(spark, sf):
+    return _no_ts(FE.fraud_feature_profile(silver_ruled(spark, sf)))
+
+
+@register("raw_type_summary")
+def q_raw_type_summary(spark, sf):
+    return M.raw_type_summary(raw(spark, sf))
