@@ -17,7 +17,9 @@ It is exact but a key holding a third of all rows becomes one task.
    ``mapInPandas`` pass emits the per-row prior count / sum / max / fraud and
    the previous row's step and amount.
 
-One range shuffle of the rows; every task handles at most one partition.
+One range shuffle of the rows, materialised once by a reliable ``checkpoint``
+(so both passes read identical partitions and lineage is cut); every task
+handles at most one partition.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerlake.session import checkpoint_root
+
 # The per-partition functions below run in Python workers; ship this module by
 # value so executors need no installed copy of the package.
 try:  # pragma: no cover - depends on the pyspark build
@@ -150,10 +154,15 @@ def prior_history_scan(df: DataFrame, key: str, order: list[str], amount: str =
     spark = df.sparkSession
     n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     sort_cols = [key, *order, "_tb"]
+    checkpoint_root(spark)
+    # Materialise the sorted ranges once (reliable checkpoint in the shared
+    # checkpoint folder): the summary pass and the apply pass must see exactly
+    # the same partitions, and range bounds are sampled per exchange.
     ranged = (
         df.withColumn("_tb", F.monotonically_increasing_id())
         .repartitionByRange(n_parts, *sort_cols)
         .sortWithinPartitions(*sort_cols)
+        .checkpoint(eager=True)
     )
 
     def summarize(batches):
@@ -179,10 +188,7 @@ def prior_history_scan(df: DataFrame, key: str, order: list[str], amount: str =
             }
         )
 
-    # The summary consumes ``ranged`` unchanged, so both branches share one
-    # range exchange (ReusedExchange): the same partition boundaries on both
-    # sides. Range-bound sampling is seeded per exchange, so two separate
-    # exchanges could cut the rows differently; ``apply`` checks the carry key.
+    # ``apply`` still checks that each carry belongs to its partition's first key.
     summary = ranged.mapInPandas(summarize, _SUMMARY_SCHEMA)
     by_last = Window.partitionBy("last_key").orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0)
     cum = summary.select(

@@ -300,3 +300,406 @@ SELECT *, {safe_pct('fraud_count', 'transaction_count')} AS fraud_rate_pct FROM
     {MIN} AS minimum_amount, {MAX} AS maximum_amount, {bigint_sum('isFraud')} AS fraud_count,
     {bigint_sum('isFlaggedFraud')} AS flagged_fraud_count
   FROM raw GROUP BY type) g""", "raw")
+
+
+# ------------------------------------------------------------------ quality
+_RAWC = ["step", "type", "amount", "nameOrig", "oldbalanceOrg", "newbalanceOrig", "nameDest", "oldbalanceDest",
+         "newbalanceDest", "isFraud", "isFlaggedFraud"]
+_RAWT = {"step": "int", "type": "string", "amount": "double", "nameOrig": "string", "oldbalanceOrg": "double",
+         "newbalanceOrig": "double", "nameDest": "string", "oldbalanceDest": "double", "newbalanceDest": "double",
+         "isFraud": "int", "isFlaggedFraud": "int"}
+_NUM = ["amount", "oldbalanceOrg", "newbalanceOrig", "oldbalanceDest", "newbalanceDest"]
+_BAL = _NUM[1:]
+_TYPES = "('CASH_IN','CASH_OUT','DEBIT','PAYMENT','TRANSFER')"
+
+
+def _cnt(pred: str) -> str:
+    return f"CAST(count_if({pred}) AS BIGINT)"
+
+
+oracle("null_profile", "SELECT " + ", ".join(f"{_cnt(f'{c} IS NULL')} AS {c}" for c in _RAWC) + " FROM raw", "raw")
+oracle("null_profile_long", "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, {_cnt(f'{c} IS NULL')} AS null_count, "
+    f"CASE WHEN COUNT(*) > 0 THEN {sround(f'count_if({c} IS NULL) / COUNT(*) * 100.0', 6)} ELSE 0.0 END AS null_pct FROM raw"
+    for c in _RAWC), "raw")
+
+
+def _dups(keys: str, source: str, groups_name: str, rows_name: str, with_groups: bool = True) -> str:
+    sel = (f"CAST(COUNT(*) AS BIGINT) AS {groups_name}, " if with_groups else "") + \
+        f"CAST(coalesce(SUM(n - 1), 0) AS BIGINT) AS {rows_name}"
+    return f"SELECT {sel} FROM (SELECT COUNT(*) AS n FROM {source} GROUP BY {keys} HAVING COUNT(*) > 1) g"
+
+
+oracle("duplicate_keys", _dups("step, type, amount, nameOrig, nameDest", "raw", "duplicate_groups", "duplicate_rows"), "raw")
+oracle("duplicate_hashes", _dups("_record_hash", "bronze_n", "duplicate_hash_groups", "duplicate_records"), "bronze_n")
+oracle("duplicate_rows", _dups(", ".join(_RAWC), "raw", "", "exact_duplicate_rows", with_groups=False), "raw")
+oracle("nonbinary_values", """
+SELECT DISTINCT 'isFraud' AS column_name, CAST(isFraud AS BIGINT) AS value FROM raw
+WHERE isFraud IS NOT NULL AND isFraud NOT IN (0, 1)
+UNION ALL
+SELECT DISTINCT 'isFlaggedFraud' AS column_name, CAST(isFlaggedFraud AS BIGINT) AS value FROM raw
+WHERE isFlaggedFraud IS NOT NULL AND isFlaggedFraud NOT IN (0, 1)""", "raw")
+oracle("invalid_types", f"SELECT step, type, amount, nameOrig FROM raw WHERE type NOT IN {_TYPES} OR type IS NULL", "raw")
+oracle("bronze_validation_metrics", f"""
+SELECT {_cnt(f'type NOT IN {_TYPES} OR type IS NULL')} AS invalid_transaction_type_count,
+  {_cnt('NOT (step BETWEEN 1 AND 744) OR step IS NULL')} AS invalid_step_count,
+  {_cnt('amount < 0 OR amount IS NULL')} AS invalid_amount_count,
+  {_cnt('isFraud NOT IN (0, 1) OR isFraud IS NULL')} AS invalid_fraud_flag_count,
+  {_cnt('isFlaggedFraud NOT IN (0, 1) OR isFlaggedFraud IS NULL')} AS invalid_flagged_fraud_count
+FROM raw""", "raw")
+oracle("numeric_validation", f"""
+SELECT {_cnt('amount < 0')} AS negative_amount_count, {_cnt('amount = 0')} AS zero_amount_count,
+  {_cnt('isFraud NOT IN (0, 1)')} AS invalid_fraud_flag_count,
+  {_cnt('isFlaggedFraud NOT IN (0, 1)')} AS invalid_flagged_fraud_count
+FROM raw""", "raw")
+oracle("silver_binary_metrics", f"""
+SELECT {_cnt('is_fraud NOT IN (0, 1)')} AS invalid_is_fraud_count,
+  {_cnt('is_flagged_fraud NOT IN (0, 1)')} AS invalid_is_flagged_fraud_count,
+  {_cnt('is_high_value_transaction NOT IN (0, 1)')} AS invalid_high_value_count
+FROM silver_m""", "silver_m")
+oracle("flag_detection_rate", f"""
+SELECT fraud_count, flagged_fraud_count,
+  CASE WHEN fraud_count > 0 THEN flagged_fraud_count / fraud_count * 100.0 ELSE 0.0 END AS flag_detection_rate_pct
+FROM (SELECT {_cnt('isFraud = 1')} AS fraud_count, {_cnt('isFraud = 1 AND isFlaggedFraud = 1')} AS flagged_fraud_count
+      FROM raw) g""", "raw")
+oracle("cardinality_profile", "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, '{_RAWT[c]}' AS data_type, "
+    f"CAST(COUNT(DISTINCT {c}) + MAX(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS unique_count, "
+    f"(COUNT(DISTINCT {c}) + MAX(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END)) / COUNT(*) * 100.0 AS cardinality_pct FROM raw"
+    for c in _RAWC), "raw")
+oracle("column_cardinality", "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, CAST(COUNT(DISTINCT {c}) AS BIGINT) AS unique_count FROM raw" for c in _RAWC), "raw")
+oracle("origin_prefix_counts", f"""
+SELECT substring(nameOrig, 1, 1) AS origin_prefix, COUNT(*) AS transaction_count,
+  {_cnt('amount > 200000')} AS high_amount_count
+FROM raw GROUP BY substring(nameOrig, 1, 1)""", "raw")
+
+_DESCRIBE = {0.01: "p01", 0.05: "p05", 0.25: "p25", 0.5: "p50", 0.75: "p75", 0.95: "p95", 0.99: "p99"}
+_QUART = {0.25: "p25", 0.5: "p50", 0.75: "p75"}
+
+
+def _describe(source: str, cols, probs) -> str:
+    parts = []
+    for c in cols:
+        v = f"CAST({c} AS DOUBLE)"
+        qs = ", ".join(f"{sround(f'quantile_cont({v}, {p})', 6)} AS {n}" for p, n in probs.items())
+        parts.append(
+            f"SELECT '{c}' AS column_name, CAST(COUNT({v}) AS BIGINT) AS count, {sround(f'AVG({v})', 6)} AS mean, "
+            f"{sround(f'stddev_samp({v})', 6)} AS std, {sround(f'MIN({v})', 6)} AS min, {qs}, "
+            f"{sround(f'MAX({v})', 6)} AS max FROM {source}")
+    return "\nUNION ALL\n".join(parts)
+
+
+oracle("numeric_profile", _describe("raw", ["step", *_NUM], _DESCRIBE), "raw")
+oracle("type_quality_profile", """
+SELECT type, COUNT(*) AS transaction_count, SUM(amount) AS total_amount, AVG(amount) AS average_amount,
+  quantile_cont(amount, 0.5) AS median_amount, MAX(amount) AS maximum_amount,
+  CAST(SUM(isFraud) AS BIGINT) AS fraud_count, CAST(SUM(isFlaggedFraud) AS BIGINT) AS flagged_fraud_count,
+  COUNT(*) / (SELECT COUNT(*) FROM raw) * 100.0 AS transaction_pct,
+  CAST(SUM(isFraud) AS BIGINT) / COUNT(*) * 100.0 AS fraud_rate_pct
+FROM raw WHERE type IS NOT NULL GROUP BY type""", "raw")
+oracle("flag_profile", """
+SELECT type, isFlaggedFraud, COUNT(*) AS transaction_count, MIN(amount) AS minimum_amount,
+  MAX(amount) AS maximum_amount, AVG(amount) AS average_amount
+FROM raw WHERE type IS NOT NULL AND isFlaggedFraud IS NOT NULL GROUP BY type, isFlaggedFraud""", "raw")
+oracle("fraud_by_type", """
+SELECT type, COUNT(*) AS transaction_count, CAST(SUM(isFraud) AS BIGINT) AS fraud_count, SUM(amount) AS total_amount,
+  CAST(SUM(isFraud) AS BIGINT) / COUNT(*) * 100.0 AS fraud_rate_pct
+FROM raw WHERE type IS NOT NULL GROUP BY type""", "raw")
+_HOURLY = """
+SELECT step, COUNT(*) AS transaction_count, SUM(amount) AS total_amount, AVG(amount) AS average_amount,
+  CAST(SUM(isFraud) AS BIGINT) AS fraud_count, CAST(SUM(isFlaggedFraud) AS BIGINT) AS flagged_fraud_count,
+  CAST(SUM(isFraud) AS BIGINT) / COUNT(*) * 100.0 AS fraud_rate_pct
+FROM raw WHERE step IS NOT NULL GROUP BY step"""
+oracle("hourly_profile", _HOURLY, "raw")
+oracle("hourly_profile_stats",
+       _describe(f"({_HOURLY}) hp", ["transaction_count", "total_amount", "fraud_count", "fraud_rate_pct"], _QUART), "raw")
+oracle("merchant_balance_profile",
+       _describe("(SELECT * FROM raw WHERE starts_with(nameDest, 'M')) mb", ["oldbalanceDest", "newbalanceDest"], _QUART),
+       "raw")
+oracle("type_distribution", f"""
+SELECT type, transaction_count, {sround('transaction_count / SUM(transaction_count) OVER () * 100.0', 4)} AS transaction_pct
+FROM (SELECT type, COUNT(*) AS transaction_count FROM raw GROUP BY type) g""", "raw")
+oracle("fraud_distribution", f"""
+SELECT isFraud, transaction_count, {sround('transaction_count / SUM(transaction_count) OVER () * 100.0', 6)} AS transaction_pct
+FROM (SELECT isFraud, COUNT(*) AS transaction_count FROM raw GROUP BY isFraud) g""", "raw")
+oracle("fraud_flag_crosstab", """
+SELECT CASE WHEN GROUPING(isFraud) = 1 THEN 'All' ELSE CAST(isFraud AS VARCHAR) END AS is_fraud,
+  CASE WHEN GROUPING(isFlaggedFraud) = 1 THEN 'All' ELSE CAST(isFlaggedFraud AS VARCHAR) END AS is_flagged_fraud,
+  COUNT(*) AS transaction_count
+FROM raw WHERE isFraud IS NOT NULL AND isFlaggedFraud IS NOT NULL
+GROUP BY CUBE (isFraud, isFlaggedFraud)""", "raw")
+oracle("missing_steps", """
+SELECT CAST(range AS INTEGER) AS step FROM range(1, 745)
+WHERE range NOT IN (SELECT DISTINCT step FROM raw WHERE step IS NOT NULL)""", "raw")
+
+# The check report: names/categories/severities/descriptions are fixed text shared
+# with the library (plain metadata); the failure and denominator predicates are written here.
+from ledgerlake.operators.quality import DUPLICATE_CHECK, SCHEMA_CHECKS, STEPS_CHECK, row_check_meta  # noqa: E402
+
+_CHECK_SQL = {}
+for _c in _RAWC:
+    _CHECK_SQL[f"{_c}_not_null"] = (f"{_c} IS NULL", None)
+_CHECK_SQL["valid_transaction_type"] = (f"NOT coalesce(type IN {_TYPES}, false)", None)
+_CHECK_SQL["valid_step_range"] = ("NOT coalesce(step BETWEEN 1 AND 744, false)", None)
+_CHECK_SQL["non_negative_amount"] = ("amount < 0", None)
+_CHECK_SQL["non_zero_amount"] = ("amount = 0", None)
+for _c in _NUM:
+    _CHECK_SQL[f"{_c}_finite"] = (f"isinf({_c})", None)
+for _c in _BAL:
+    _CHECK_SQL[f"{_c}_non_negative"] = (f"{_c} < 0", None)
+for _c in ["isFraud", "isFlaggedFraud"]:
+    _CHECK_SQL[f"{_c}_binary"] = (f"NOT coalesce({_c} IN (0, 1), false)", None)
+_CHECK_SQL["valid_origin_account_format"] = ("NOT coalesce(regexp_matches(nameOrig, '^C[0-9]+$'), false)", None)
+_CHECK_SQL["valid_destination_account_format"] = ("NOT coalesce(regexp_matches(nameDest, '^[CM][0-9]+$'), false)", None)
+_CHECK_SQL["no_self_transfer"] = ("nameOrig = nameDest", None)
+_MER = "coalesce(starts_with(nameDest, 'M'), false)"
+_CHECK_SQL["merchant_destination_balance_unavailable"] = (
+    f"{_MER} AND (coalesce(oldbalanceDest <> 0, true) OR coalesce(newbalanceDest <> 0, true))", _MER)
+_OUT = "coalesce(type IN ('PAYMENT','TRANSFER','CASH_OUT','DEBIT'), false)"
+_CHECK_SQL["outgoing_origin_balance_reconciliation"] = (
+    f"{_OUT} AND abs(oldbalanceOrg - amount - newbalanceOrig) > 0.01", _OUT)
+_CIN = "coalesce(type = 'CASH_IN', false)"
+_CHECK_SQL["cash_in_origin_balance_reconciliation"] = (
+    f"{_CIN} AND abs(oldbalanceOrg + amount - newbalanceOrig) > 0.01", _CIN)
+_FR = "coalesce(isFraud = 1, false)"
+_CHECK_SQL["fraud_transaction_type_consistency"] = (
+    f"{_FR} AND NOT coalesce(type IN ('TRANSFER','CASH_OUT'), false)", _FR)
+_FL = "coalesce(isFlaggedFraud = 1, false)"
+_CHECK_SQL["flagged_fraud_threshold_rule"] = (
+    f"{_FL} AND (coalesce(type <> 'TRANSFER', true) OR coalesce(amount <= 200000.0, false))", _FL)
+_BT = "coalesce(type = 'TRANSFER' AND amount > 200000.0, false)"
+_CHECK_SQL["high_value_transfer_flag_coverage"] = (f"{_BT} AND coalesce(isFlaggedFraud = 0, false)", _BT)
+
+
+def _q(s: str) -> str:
+    return s.replace("'", "''")
+
+
+def _report_row(name, category, severity, description, tested_sql, failed_sql, source="raw"):
+    return (f"SELECT '{name}' AS check_name, '{category}' AS check_category, '{_q(description)}' AS description, "
+            f"'{severity}' AS severity, CAST({tested_sql} AS BIGINT) AS records_tested, "
+            f"CAST({failed_sql} AS BIGINT) AS failed_records FROM {source}")
+
+
+def _quality_report_sql() -> str:
+    parts = [
+        _report_row(*SCHEMA_CHECKS[0], "11", "0", source="(SELECT 1) s"),
+        _report_row(*SCHEMA_CHECKS[1], "11", "0", source="(SELECT 1) s"),
+        _report_row(*SCHEMA_CHECKS[2], "1", "0", source="(SELECT 1) s"),
+    ]
+    for meta in row_check_meta(_RAWC):
+        failed, tested = _CHECK_SQL[meta[0]]
+        parts.append(_report_row(*meta, f"count_if({tested})" if tested else "COUNT(*)", f"count_if({failed})"))
+    parts.append(_report_row(*DUPLICATE_CHECK, "SUM(n)", "coalesce(SUM(CASE WHEN n > 1 THEN n - 1 END), 0)",
+                             source="(SELECT COUNT(*) AS n FROM raw GROUP BY " + ", ".join(_RAWC) + ") d"))
+    parts.append(_report_row(*STEPS_CHECK, "744", "COUNT(*)",
+                             source="range(1, 745) WHERE range NOT IN (SELECT DISTINCT step FROM raw WHERE step IS NOT NULL)"))
+    body = "\nUNION ALL\n".join(parts)
+    return f"""
+SELECT check_name, check_category, description, severity, records_tested, failed_records,
+  CASE WHEN records_tested > 0 THEN failed_records / records_tested * 100.0 ELSE 0.0 END AS failure_rate_pct,
+  CASE WHEN failed_records = 0 THEN 'PASS' ELSE 'FAIL' END AS status
+FROM ({body}) r"""
+
+
+_REPORT = _quality_report_sql()
+oracle("quality_report", _REPORT, "raw")
+oracle("quality_failed_checks", f"SELECT * FROM ({_REPORT}) q WHERE status = 'FAIL'", "raw")
+oracle("quality_status_counts", f"SELECT status, COUNT(*) AS check_count FROM ({_REPORT}) q GROUP BY status", "raw")
+oracle("quality_category_matrix", f"""
+SELECT check_category, {_cnt("status = 'PASS'")} AS "PASS", {_cnt("status = 'FAIL'")} AS "FAIL"
+FROM ({_REPORT}) q GROUP BY check_category""", "raw")
+
+oracle("distinct_types", "SELECT DISTINCT type FROM raw", "raw")
+oracle("time_range", """
+SELECT MIN(transaction_day) AS minimum_day, MAX(transaction_day) AS maximum_day,
+  MIN(hour_of_day) AS minimum_hour, MAX(hour_of_day) AS maximum_hour
+FROM enriched2_n""", "enriched2_n")
+oracle("amount_category_counts",
+       "SELECT amount_category, COUNT(*) AS transaction_count FROM enriched2_n GROUP BY amount_category", "enriched2_n")
+oracle("destination_category_counts",
+       "SELECT destination_category, COUNT(*) AS transaction_count FROM enriched2_n GROUP BY destination_category",
+       "enriched2_n")
+oracle("fraud_only_by_type", f"""
+SELECT type, COUNT(*) AS fraud_count, {sround('SUM(amount)', 2)} AS fraud_amount
+FROM raw WHERE isFraud = 1 GROUP BY type""", "raw")
+oracle("high_value_fraud",
+       "SELECT step, type, amount, nameOrig, nameDest FROM raw WHERE isFraud = 1 AND amount > 200000", "raw")
+oracle("balance_abs_errors", """
+SELECT step, type, amount, abs(oldbalanceOrg - amount - newbalanceOrig) AS origin_outgoing_balance_error,
+  abs(oldbalanceOrg + amount - newbalanceOrig) AS origin_cash_in_balance_error
+FROM raw""", "raw")
+oracle("type_one_hot", """
+SELECT _record_hash, transaction_type,
+  CAST(transaction_type = 'CASH_IN' AS INTEGER) AS is_cash_in, CAST(transaction_type = 'CASH_OUT' AS INTEGER) AS is_cash_out,
+  CAST(transaction_type = 'DEBIT' AS INTEGER) AS is_debit, CAST(transaction_type = 'PAYMENT' AS INTEGER) AS is_payment,
+  CAST(transaction_type = 'TRANSFER' AS INTEGER) AS is_transfer
+FROM silver_n""", "silver_n")
+oracle("exact_quantiles", "SELECT transaction_type, " + ", ".join(
+    f"{sround(f'quantile_cont(amount, {p})', 6)} AS {n}" for p, n in
+    {0.01: "p01", 0.25: "p25", 0.5: "p50", 0.75: "p75", 0.95: "p95", 0.99: "p99"}.items())
+    + " FROM silver_m GROUP BY transaction_type", "silver_m")
+
+# ------------------------------------------------------------------ SQL surface
+_RATE = sround("CAST(SUM(isFraud) AS DOUBLE) * 100.0 / COUNT(*)", 6)
+oracle("sql_type_summary", f"""
+SELECT type AS transaction_type, COUNT(*) AS transaction_count, {TOTAL} AS total_amount, {AVG} AS average_amount,
+  {bigint_sum('isFraud')} AS fraud_count, {_RATE} AS fraud_rate_pct
+FROM raw GROUP BY type""", "raw")
+oracle("top_fraud", """
+SELECT step, type, amount, nameOrig, nameDest, isFlaggedFraud FROM raw WHERE isFraud = 1
+ORDER BY amount DESC NULLS LAST, step ASC NULLS FIRST, nameOrig ASC NULLS FIRST, nameDest ASC NULLS FIRST LIMIT 10""", "raw")
+oracle("sql_hourly_summary", f"""
+SELECT step, COUNT(*) AS transaction_count, {TOTAL} AS total_amount, {bigint_sum('isFraud')} AS fraud_count,
+  {_RATE} AS fraud_rate_pct
+FROM raw GROUP BY step""", "raw")
+oracle("sql_bronze_type_counts",
+       f"SELECT type, COUNT(*) AS transaction_count, {bigint_sum('isFraud')} AS fraud_count FROM bronze_n GROUP BY type",
+       "bronze_n")
+oracle("sql_silver_type_summary", f"""
+SELECT transaction_type, COUNT(*) AS transaction_count, {TOTAL} AS total_amount, {bigint_sum('is_fraud')} AS fraud_count,
+  {sround('CAST(SUM(is_fraud) AS DOUBLE) * 100.0 / COUNT(*)', 6)} AS fraud_rate_pct
+FROM silver_n GROUP BY transaction_type""", "silver_n")
+oracle("sql_status_summary", f"""
+SELECT validation_status, COUNT(*) AS record_count, {bigint_sum('is_fraud')} AS fraud_count
+FROM silver_n GROUP BY validation_status""", "silver_n")
+oracle("sql_gold_type_lookup", f"""
+SELECT transaction_type, COUNT(*) AS transaction_count, {TOTAL} AS total_amount, {bigint_sum('is_fraud')} AS fraud_count,
+  {FRAUD_AMT} AS fraud_amount, {safe_pct('SUM(is_fraud)', 'COUNT(*)')} AS fraud_rate_pct
+FROM silver_n GROUP BY transaction_type""", "silver_n")
+
+# ------------------------------------------------------------------ reconciliation and audit
+oracle("count_reconciliation", """
+SELECT s.n AS source_row_count, t.n AS target_row_count, t.n - s.n AS row_count_difference,
+  CASE WHEN s.n = t.n THEN 'PASS' ELSE 'FAIL' END AS reconciliation_status
+FROM (SELECT COUNT(*) AS n FROM bronze_m) s, (SELECT COUNT(*) AS n FROM silver_m) t""", "silver_m")
+oracle("partition_reconciliation", """
+SELECT COUNT(*) AS bronze_record_count, CAST(count_if(hard_failure_count = 0) AS BIGINT) AS silver_record_count,
+  CAST(count_if(hard_failure_count > 0) AS BIGINT) AS quarantine_record_count,
+  CASE WHEN COUNT(*) = count_if(hard_failure_count = 0) + count_if(hard_failure_count > 0) THEN 'PASS' ELSE 'FAIL' END
+    AS reconciliation_status
+FROM validated_n""", "validated_n")
+
+_MEASURES_M = {
+    "bronze_rows": "SELECT COUNT(*) FROM bronze_m",
+    "silver_rows": "SELECT COUNT(*) FROM silver_m",
+    "silver_fraud": "SELECT coalesce(SUM(is_fraud), 0) FROM silver_m",
+    "silver_high_value": "SELECT coalesce(SUM(is_high_value_transaction), 0) FROM silver_m",
+    "daily_rows": "SELECT COUNT(*) FROM silver_m",
+    "daily_fraud": "SELECT coalesce(SUM(is_fraud), 0) FROM silver_m",
+    "daily_type_rows": "SELECT COUNT(*) FROM silver_m",
+    "hourly_rows": "SELECT COUNT(*) FROM silver_m",
+    "type_rows": "SELECT COUNT(*) FROM silver_m",
+    "high_value_rows": "SELECT COUNT(*) FROM silver_m WHERE is_high_value_transaction = 1",
+    "monitoring_rows": "SELECT COUNT(*) FROM silver_m WHERE is_fraud = 1",
+    "feature_rows": "SELECT COUNT(*) FROM silver_m",
+    "origin_rows": "SELECT COUNT(*) FROM silver_m",
+    "destination_rows": "SELECT COUNT(*) FROM silver_m",
+}
+_CHECKS_M = [
+    ("bronze_to_silver_bound", "bronze_rows", "silver_rows", "le"),
+    ("daily_count", "silver_rows", "daily_rows", "eq"),
+    ("daily_type_count", "silver_rows", "daily_type_rows", "eq"),
+    ("hourly_count", "silver_rows", "hourly_rows", "eq"),
+    ("type_count", "silver_rows", "type_rows", "eq"),
+    ("high_value_count", "silver_high_value", "high_value_rows", "eq"),
+    ("daily_fraud", "silver_fraud", "daily_fraud", "eq"),
+    ("fraud_monitoring_rows", "silver_fraud", "monitoring_rows", "eq"),
+    ("fraud_feature_rows", "silver_rows", "feature_rows", "eq"),
+    ("origin_account_count", "silver_rows", "origin_rows", "eq"),
+    ("destination_account_count", "silver_rows", "destination_rows", "eq"),
+]
+
+
+def _comparison(measures: dict, checks) -> str:
+    rows = []
+    for name, e, a, rel in checks:
+        ev, av = f"CAST(({measures[e]}) AS BIGINT)", f"CAST(({measures[a]}) AS BIGINT)"
+        ok = f"{ev} = {av}" if rel == "eq" else f"{av} >= 0 AND {av} <= {ev}"
+        rows.append(f"SELECT '{name}' AS check_name, '{e}' AS expected_measure, '{a}' AS actual_measure, "
+                    f"{ev} AS expected_value, {av} AS actual_value, CASE WHEN {ok} THEN 'PASS' ELSE 'FAIL' END AS status")
+    return "\nUNION ALL\n".join(rows)
+
+
+_RECON = _comparison(_MEASURES_M, _CHECKS_M)
+oracle("reconciliation_report", _RECON, "silver_m")
+_STATUS = f"""
+SELECT CAST(count_if(status <> 'PASS') AS BIGINT) AS failed_checks, COUNT(*) AS checks,
+  CASE WHEN count_if(status <> 'PASS') = 0 THEN 'SUCCESS' ELSE 'COMPLETED_WITH_VALIDATION_FAILURE' END AS pipeline_status
+FROM ({_RECON}) r"""
+oracle("pipeline_status", _STATUS, "silver_m")
+
+_GOLD_M = {  # table -> (column count, row-count query)
+    "daily_transaction_summary": (14, "SELECT COUNT(DISTINCT transaction_day) FROM silver_m"),
+    "daily_type_summary": (8, "SELECT COUNT(*) FROM (SELECT DISTINCT transaction_day, transaction_type FROM silver_m) x"),
+    "destination_account_summary": (6, "SELECT COUNT(DISTINCT destination_account) FROM silver_m"),
+    "fraud_feature": (13, "SELECT COUNT(*) FROM silver_m"),
+    "fraud_monitoring": (11, "SELECT COUNT(*) FROM silver_m WHERE is_fraud = 1"),
+    "high_value_summary": (6, "SELECT COUNT(*) FROM (SELECT DISTINCT transaction_day, transaction_type FROM silver_m "
+                              "WHERE is_high_value_transaction = 1) x"),
+    "hourly_fraud_summary": (6, "SELECT COUNT(DISTINCT step) FROM silver_m"),
+    "origin_account_summary": (6, "SELECT COUNT(DISTINCT origin_account) FROM silver_m"),
+    "transaction_type_summary": (8, "SELECT COUNT(DISTINCT transaction_type) FROM silver_m"),
+}
+_audit_rows = [
+    "SELECT 'fixture_run' AS pipeline_run_id, 'bronze' AS pipeline_stage, 'bronze_transactions' AS table_name, "
+    "CAST((SELECT COUNT(*) FROM bronze_m) AS BIGINT) AS row_count, 14 AS column_count, 'PASS' AS reconciliation_status",
+    "SELECT 'fixture_run', 'silver', 'silver_transactions', CAST((SELECT COUNT(*) FROM silver_m) AS BIGINT), 24, 'PASS'",
+]
+_audit_rows += [f"SELECT 'fixture_run', 'gold', '{t}', CAST(({q}) AS BIGINT), {n}, 'PASS'" for t, (n, q) in _GOLD_M.items()]
+oracle("audit_records", "\nUNION ALL\n".join(_audit_rows), "silver_m")
+
+_SMALL = ["daily_transaction_summary", "daily_type_summary", "hourly_fraud_summary", "transaction_type_summary",
+          "high_value_summary", "fraud_monitoring"]
+_reg = []
+for _t, (_n, _qq) in _GOLD_M.items():
+    if _t in _SMALL:
+        _reg.append(f"SELECT 'fixture_run' AS pipeline_run_id, '{_t}' AS table_name, {_n} AS column_count, "
+                    f"CAST(({_qq}) AS BIGINT) AS row_count, 'CSV' AS persistence_format, 'CSV_EXPORTED' AS persistence_status")
+    else:
+        _reg.append(f"SELECT 'fixture_run' AS pipeline_run_id, '{_t}' AS table_name, {_n} AS column_count, "
+                    f"CAST(NULL AS BIGINT) AS row_count, CAST(NULL AS VARCHAR) AS persistence_format, "
+                    f"'DEFINED_NOT_PERSISTED' AS persistence_status")
+oracle("gold_registry", "\nUNION ALL\n".join(_reg), "silver_m")
+
+oracle("run_summary", f"""
+SELECT 'fixture_run' AS pipeline_run_id, (SELECT pipeline_status FROM ({_STATUS}) s) AS pipeline_status,
+  b.n AS bronze_row_count, s.n AS silver_row_count, b.n - s.n AS rejected_row_count,
+  s.f AS fraud_transaction_count, 6 AS gold_tables_exported, 3 AS large_gold_tables_skipped,
+  CASE WHEN (SELECT pipeline_status FROM ({_STATUS}) s) = 'SUCCESS' THEN 'PASS' ELSE 'FAIL' END
+    AS overall_reconciliation_status
+FROM (SELECT COUNT(*) AS n FROM bronze_m) b,
+     (SELECT COUNT(*) AS n, CAST(SUM(is_fraud) AS BIGINT) AS f FROM silver_m) s""", "silver_m")
+
+oracle("stage_audit_silver", """
+SELECT 'fixture_run' AS pipeline_run_id, 'bronze_to_silver' AS pipeline_name, COUNT(*) AS bronze_record_count,
+  CAST(count_if(hard_failure_count = 0) AS BIGINT) AS silver_record_count,
+  CAST(count_if(hard_failure_count > 0) AS BIGINT) AS quarantine_record_count,
+  COUNT(*) = count_if(hard_failure_count = 0) + count_if(hard_failure_count > 0) AS count_reconciliation_passed,
+  CASE WHEN COUNT(*) = count_if(hard_failure_count = 0) + count_if(hard_failure_count > 0) THEN 'SUCCESS'
+       ELSE 'FAILED' END AS pipeline_status
+FROM validated_n""", "validated_n")
+oracle("stage_audit_bronze", """
+SELECT 'fixture_run' AS pipeline_run_id, 'raw_to_bronze' AS pipeline_name, r.n AS source_record_count,
+  b.n AS bronze_record_count, r.n = b.n AS count_reconciliation_passed,
+  CASE WHEN r.n = b.n THEN 'SUCCESS' ELSE 'FAILED' END AS pipeline_status, d.dups AS duplicate_record_count
+FROM (SELECT COUNT(*) AS n FROM raw) r, (SELECT COUNT(*) AS n FROM bronze_n) b,
+     (SELECT CAST(coalesce(SUM(CASE WHEN n > 1 THEN n - 1 END), 0) AS BIGINT) AS dups
+      FROM (SELECT COUNT(*) AS n FROM bronze_n GROUP BY _record_hash) g) d""", "bronze_n")
+_MEASURES_G = {
+    "silver_record_count": "SELECT COUNT(*) FROM silver_n",
+    "silver_fraud_count": "SELECT coalesce(SUM(is_fraud), 0) FROM silver_n",
+    "daily_record_total": "SELECT COUNT(*) FROM silver_n",
+    "hourly_record_total": "SELECT COUNT(*) FROM silver_n",
+    "type_record_total": "SELECT COUNT(*) FROM silver_n",
+    "fraud_monitoring_rows": "SELECT COUNT(*) FROM silver_n WHERE is_fraud = 1",
+    "feature_rows": "SELECT COUNT(*) FROM silver_n",
+}
+oracle("stage_audit_gold", _comparison(_MEASURES_G, [
+    ("type_reconciliation", "silver_record_count", "type_record_total", "eq"),
+    ("daily_reconciliation", "silver_record_count", "daily_record_total", "eq"),
+    ("hourly_reconciliation", "silver_record_count", "hourly_record_total", "eq"),
+    ("fraud_monitoring_reconciliation", "silver_fraud_count", "fraud_monitoring_rows", "eq"),
+    ("feature_reconciliation", "silver_record_count", "feature_rows", "eq"),
+]), "silver_n")
