@@ -2,8 +2,9 @@
 
 History is ordered by (step, record hash): rows that tie on both are full
 duplicates, so their outputs are interchangeable and the bag of result rows is
-deterministic. The default path is the skew-safe prefix scan; the window form
-is kept for small inputs and as the brute-force check in tests.
+deterministic. The default path splits by key size: the window form
+is used for ordinary keys; keys above a row threshold go through the scan
+(``prior_history``), and tests check both against each other.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.contracts import BRONZE_REQUIRED_COLUMNS, VALID_TRANSACTION_TYPES, assert_no_balance_leakage
 from ledgerlake.functions import record_hash
-from ledgerlake.operators.history import prior_history_scan, prior_history_window
+from ledgerlake.operators.history import prior_history, prior_history_scan, prior_history_window
 
 STRICT_FEATURE_COLUMNS = [
     "step", "transaction_day", "transaction_hour", "transaction_type", "amount", "origin_account",
@@ -34,6 +35,8 @@ RULED_FEATURE_COLUMNS = [
 
 def _history(df: DataFrame, method: str) -> DataFrame:
     order = ["step", "_record_hash"]
+    if method == "auto":
+        return prior_history(df, "origin_account", order)
     if method == "window":
         return prior_history_window(df, "origin_account", order)
     if method == "scan":
@@ -41,7 +44,7 @@ def _history(df: DataFrame, method: str) -> DataFrame:
     raise ValueError(f"unknown history method: {method}")
 
 
-def fraud_feature(silver: DataFrame, method: str = "scan") -> DataFrame:
+def fraud_feature(silver: DataFrame, method: str = "auto") -> DataFrame:
     """Strict feature table (13 columns); first row of an account has NULL history."""
     needed = [c for c in STRICT_FEATURE_COLUMNS if not c.startswith("prior_")]
     base = silver.select(*needed, record_hash(BRONZE_REQUIRED_COLUMNS).alias("_record_hash"))
@@ -58,7 +61,7 @@ def fraud_feature(silver: DataFrame, method: str = "scan") -> DataFrame:
     return out.select(*STRICT_FEATURE_COLUMNS)
 
 
-def fraud_feature_profile(silver_ruled: DataFrame, method: str = "scan") -> DataFrame:
+def fraud_feature_profile(silver_ruled: DataFrame, method: str = "auto") -> DataFrame:
     """Ruled feature table (31 columns): defaults filled, one-hot type, no balances."""
     base_cols = [c for c in RULED_FEATURE_COLUMNS if c in silver_ruled.columns]
     hist = _history(silver_ruled.select(*base_cols), method)

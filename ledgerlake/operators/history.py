@@ -264,3 +264,32 @@ def prior_history_scan(df: DataFrame, key: str, order: list[str], amount: str =
     with_pid = ranged.withColumn("_pid", F.spark_partition_id())
     joined = with_pid.join(F.broadcast(carry), "_pid", "left").select(*keep, *carry_cols)
     return joined.mapInPandas(apply, out_schema)
+
+
+HOT_KEY_ROWS_CONF = "ledgerlake.history.hotKeyRows"
+DEFAULT_HOT_KEY_ROWS = 2_000_000
+MAX_BROADCAST_HOT_KEYS = 100_000
+
+
+def prior_history(df: DataFrame, key: str, order: list[str], amount: str = "amount", fraud: str = "is_fraud",
+                  step: str = "step", hot_key_rows: int | None = None, num_partitions: int | None = None) -> DataFrame:
+    """Split by key size: ordinary keys use the window, hot keys the prefix scan.
+
+    A key is hot when it holds more than ``hot_key_rows`` rows (session conf
+    ``ledgerlake.history.hotKeyRows``). Window tasks are then bounded by that
+    threshold; hot keys are spread over range partitions by the scan. The hot
+    key list holds at most ``rows / hot_key_rows`` keys; its size is counted
+    before it is broadcast, and a shuffle join is used beyond a fixed bound.
+    """
+    spark = df.sparkSession
+    limit = hot_key_rows or int(spark.conf.get(HOT_KEY_ROWS_CONF, str(DEFAULT_HOT_KEY_ROWS)))
+    hot = df.groupBy(key).agg(F.count("*").alias("_key_rows")).filter(F.col("_key_rows") > limit).select(key)
+    n_hot = hot.count()
+    if n_hot == 0:
+        return prior_history_window(df, key, order, amount, fraud, step)
+    tag = F.broadcast(hot) if n_hot <= MAX_BROADCAST_HOT_KEYS else hot
+    cold_rows = df.join(tag, key, "left_anti")
+    hot_rows = df.join(tag, key, "left_semi")
+    cold = prior_history_window(cold_rows, key, order, amount, fraud, step)
+    warm = prior_history_scan(hot_rows, key, order, amount, fraud, step, num_partitions)
+    return cold.unionByName(warm.select(*cold.columns))

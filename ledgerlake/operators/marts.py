@@ -342,3 +342,87 @@ def build_gold_tables(silver: DataFrame, approximate_distinct_rsd: float = DEFAU
         "fraud_monitoring": fraud_monitoring(silver),
         "fraud_feature": fraud_feature(silver),
     }
+
+
+# ---------------------------------------------------------------- one-pass calendar marts
+
+def calendar_rollup(silver: DataFrame, approximate_distinct_rsd: float = DEFAULT_RSD) -> DataFrame:
+    """One scan of Silver for the five calendar / type marts (GROUPING SETS).
+
+    Sets: (day), (day, type), (type), (step). High-value measures are
+    conditional aggregates on the (day, type) set. The result holds at most
+    days + days x types + types + steps rows, so it is tiny at any data size.
+    """
+    _check_rsd(approximate_distinct_rsd)
+    spark = silver.sparkSession
+    sets = "GROUPING SETS ((transaction_day), (transaction_day, transaction_type), (transaction_type), (step))"
+    agg_sql = ", ".join([
+        "COUNT(*) AS transaction_count", "SUM(amount) AS _sum", "MIN(amount) AS _min", "MAX(amount) AS _max",
+        "SUM(is_fraud) AS fraud_count",
+        "SUM(CASE WHEN is_fraud = 1 THEN amount ELSE 0.0 END) AS _fraud_sum",
+        "SUM(is_flagged_fraud) AS flagged_fraud_count",
+        "SUM(is_high_value_transaction) AS high_value_transaction_count",
+        f"approx_count_distinct(origin_account, {approximate_distinct_rsd}) AS estimated_unique_origin_accounts",
+        f"approx_count_distinct(destination_account, {approximate_distinct_rsd}) AS estimated_unique_destination_accounts",
+        "SUM(CASE WHEN is_high_value_transaction = 1 THEN amount END) AS _hv_sum",
+        "SUM(CASE WHEN is_high_value_transaction = 1 THEN is_fraud END) AS _hv_fraud",
+    ])
+    return spark.sql(
+        f"""
+        SELECT transaction_day, transaction_type, step,
+               GROUPING_ID(transaction_day, transaction_type, step) AS _gid, {agg_sql}
+        FROM {{s}}
+        GROUP BY {sets}
+        """,
+        s=silver.select("transaction_day", "transaction_type", "step", "amount", "is_fraud", "is_flagged_fraud",
+                        "is_high_value_transaction", "origin_account", "destination_account"),
+    )
+
+
+# GROUPING_ID bit order: transaction_day (4), transaction_type (2), step (1); 1 = rolled up.
+_GID = {"day": 0b011, "day_type": 0b001, "type": 0b101, "step": 0b110}
+
+
+def calendar_marts(rollup: DataFrame) -> dict[str, DataFrame]:
+    """Split a calendar rollup into the five strict marts (same values as the one-off aggregates)."""
+    c = F.col
+    base = rollup.withColumns(
+        {
+            "total_transaction_amount": F.round(c("_sum"), 2),
+            "average_transaction_amount": F.round(c("_sum") / c("transaction_count"), 2),
+            "minimum_transaction_amount": F.round(c("_min"), 2),
+            "maximum_transaction_amount": F.round(c("_max"), 2),
+            "fraud_amount": F.round(c("_fraud_sum"), 2),
+        }
+    )
+
+    def grain(name: str) -> DataFrame:
+        return base.filter(c("_gid") == _GID[name])
+
+    daily = _daily_rates(grain("day")).select(*DAILY_COLUMNS)
+    daily_type = grain("day_type").withColumn("fraud_rate_pct", safe_pct("fraud_count", "transaction_count")).select(
+        "transaction_day", "transaction_type", "transaction_count", "total_transaction_amount",
+        "average_transaction_amount", "fraud_count", "fraud_amount", "fraud_rate_pct",
+    )
+    hourly = grain("step").withColumn("fraud_rate_pct", safe_pct("fraud_count", "transaction_count")).select(
+        c("step").alias("hourly_step"), "transaction_count", "fraud_count", "total_transaction_amount",
+        "fraud_amount", "fraud_rate_pct",
+    )
+    by_type = grain("type").withColumn("fraud_rate_pct", safe_pct("fraud_count", "transaction_count")).select(
+        "transaction_type", "transaction_count", "total_transaction_amount", "average_transaction_amount",
+        "fraud_count", "flagged_fraud_count", "high_value_transaction_count", "fraud_rate_pct",
+    )
+    high_value = grain("day_type").filter(c("high_value_transaction_count") > 0).select(
+        "transaction_day", "transaction_type",
+        c("high_value_transaction_count"),
+        F.round(c("_hv_sum"), 2).alias("high_value_total_amount"),
+        F.round(c("_hv_sum") / c("high_value_transaction_count"), 2).alias("high_value_average_amount"),
+        c("_hv_fraud").alias("high_value_fraud_count"),
+    )
+    return {
+        "daily_transaction_summary": daily,
+        "daily_type_summary": daily_type,
+        "hourly_fraud_summary": hourly,
+        "transaction_type_summary": by_type,
+        "high_value_summary": high_value,
+    }

@@ -2,9 +2,10 @@
 
 Spark's exact ``percentile`` keeps every distinct value of a group in one
 aggregation buffer, so a hot group or a global profile over a huge table lands
-in one task's memory. Here values are ranked by the range-partitioned prefix
-scan (the same one the history features use); only the rows whose rank is a
-needed order statistic survive, and those few rows are interpolated.
+in one task's memory. Here values are ranked with ``prior_history`` (a window
+for ordinary groups, the range-partitioned prefix scan for hot ones); only the
+rows whose rank is a needed order statistic survive, and those few rows are
+interpolated.
 
 Interpolation: ``pos = p * (n - 1)``; ``lo + (pos - floor(pos)) * (hi - lo)``.
 """
@@ -16,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.operators.history import prior_history_scan
+from ledgerlake.operators.history import prior_history
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], group_cols: Sequence[str] = (),
@@ -27,8 +28,9 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], group_col
     base = df.filter(F.col(value).isNotNull()).select(
         *groups, key_expr.alias("_qkey"), F.col(value).cast("double").alias("_v"), F.lit(0).alias("_z")
     )
-    ranked = prior_history_scan(base, "_qkey", ["_v"], amount="_v", fraud="_z", step="_v",
-                                num_partitions=num_partitions)
+    # Rows frames give tied values distinct consecutive ranks, which is all a quantile needs.
+    ranked = prior_history(base, "_qkey", ["_v"], amount="_v", fraud="_z", step="_v",
+                           num_partitions=num_partitions)
     counts = base.groupBy("_qkey").agg(F.count("*").alias("_n"))
     targets = counts.select(
         "_qkey", "_n",

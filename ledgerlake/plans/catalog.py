@@ -339,6 +339,7 @@ from ledgerlake.operators import quality as Q  # noqa: E402
 from ledgerlake.operators import reconcile as RC  # noqa: E402
 from ledgerlake.operators import sql_views as SV  # noqa: E402
 from ledgerlake.operators.quantiles import exact_quantiles, pivot_quantiles  # noqa: E402
+from ledgerlake.plans.checks import strict_reconciliation  # noqa: E402
 
 
 @register("null_profile")
@@ -632,42 +633,6 @@ def q_partition_reconciliation(spark, sf):
     return RC.partition_reconciliation(validated(spark, sf))
 
 
-def strict_reconciliation(s: DataFrame, b: DataFrame, gold: dict[str, DataFrame]) -> DataFrame:
-    """The strict run's checks: each mart against its own Silver total."""
-    c = F.col
-    measures = [
-        ("bronze_rows", "n", b.agg(F.count("*").alias("n"))),
-        ("silver_rows", "n", s.agg(F.count("*").alias("n"))),
-        ("silver_fraud", "n", s.agg(F.sum("is_fraud").alias("n"))),
-        ("silver_high_value", "n", s.agg(F.sum("is_high_value_transaction").alias("n"))),
-        ("daily_rows", "n", gold["daily_transaction_summary"].agg(F.sum("transaction_count").alias("n"))),
-        ("daily_fraud", "n", gold["daily_transaction_summary"].agg(F.sum("fraud_count").alias("n"))),
-        ("daily_type_rows", "n", gold["daily_type_summary"].agg(F.sum("transaction_count").alias("n"))),
-        ("hourly_rows", "n", gold["hourly_fraud_summary"].agg(F.sum("transaction_count").alias("n"))),
-        ("type_rows", "n", gold["transaction_type_summary"].agg(F.sum("transaction_count").alias("n"))),
-        ("high_value_rows", "n", gold["high_value_summary"].agg(F.sum("high_value_transaction_count").alias("n"))),
-        ("monitoring_rows", "n", gold["fraud_monitoring"].agg(F.count("*").alias("n"))),
-        ("feature_rows", "n", gold["fraud_feature"].agg(F.count("*").alias("n"))),
-        ("origin_rows", "n", gold["origin_account_summary"].agg(F.sum(c("origin_transaction_count")).alias("n"))),
-        ("destination_rows", "n",
-         gold["destination_account_summary"].agg(F.sum(c("destination_transaction_count")).alias("n"))),
-    ]
-    checks = [
-        ("bronze_to_silver_bound", "bronze_rows", "silver_rows", "le"),
-        ("daily_count", "silver_rows", "daily_rows", "eq"),
-        ("daily_type_count", "silver_rows", "daily_type_rows", "eq"),
-        ("hourly_count", "silver_rows", "hourly_rows", "eq"),
-        ("type_count", "silver_rows", "type_rows", "eq"),
-        ("high_value_count", "silver_high_value", "high_value_rows", "eq"),
-        ("daily_fraud", "silver_fraud", "daily_fraud", "eq"),
-        ("fraud_monitoring_rows", "silver_fraud", "monitoring_rows", "eq"),
-        ("fraud_feature_rows", "silver_rows", "feature_rows", "eq"),
-        ("origin_account_count", "silver_rows", "origin_rows", "eq"),
-        ("destination_account_count", "silver_rows", "destination_rows", "eq"),
-    ]
-    return RC.comparison_report(measures, checks)
-
-
 @register("reconciliation_report")
 def q_reconciliation_report(spark, sf):
     b = bronze(spark, sf)
@@ -788,3 +753,52 @@ def q_stage_audit_gold(spark, sf):
         ("feature_reconciliation", "silver_record_count", "feature_rows", "eq"),
     ]
     return RC.comparison_report(measures, checks)
+
+
+# ------------------------------------------------------------------ sources and sinks (round trips)
+from ledgerlake.session import scratch_path  # noqa: E402
+from ledgerlake.sources import csv as CSV  # noqa: E402
+from ledgerlake.sources import sinks as K  # noqa: E402
+
+
+def _raw_csv(spark, sf) -> str:
+    """Write the raw table as header CSV into the shared scratch folder; return the path."""
+    path = scratch_path(spark, "raw-csv")
+    K.write_csv(raw(spark, sf), path)
+    return path
+
+
+@register("scan_csv_strict")
+def q_scan_csv_strict(spark, sf):
+    return CSV.read_csv_strict(spark, _raw_csv(spark, sf))
+
+
+@register("scan_csv_permissive")
+def q_scan_csv_permissive(spark, sf):
+    return CSV.read_csv_permissive(spark, _raw_csv(spark, sf))
+
+
+@register("csv_export_roundtrip")
+def q_csv_export_roundtrip(spark, sf):
+    mart = M.transaction_type_summary(silver(spark, sf))
+    path = scratch_path(spark, "type-summary-csv")
+    K.export_small_table(mart, path, sort_by=["transaction_type"])
+    return spark.read.option("header", True).schema(mart.schema).csv(path)
+
+
+@register("export_roundtrip")
+def q_export_roundtrip(spark, sf):
+    path = scratch_path(spark, "fraud-monitoring-csv")
+    K.write_csv(M.fraud_monitoring(silver(spark, sf)), path)
+    back = spark.read.option("header", True).csv(path)
+    return back.agg(F.count("*").alias("exported_row_count")).select(
+        F.lit("fraud_monitoring").alias("table_name"), "exported_row_count"
+    )
+
+
+@register("parquet_partitioned_roundtrip")
+def q_parquet_roundtrip(spark, sf):
+    s = _no_ts(silver(spark, sf))
+    path = scratch_path(spark, "silver-parquet")
+    K.write_parquet(s, path, partition_columns=["transaction_day"])
+    return spark.read.schema(s.schema).parquet(path)

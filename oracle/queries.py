@@ -703,3 +703,11 @@ oracle("stage_audit_gold", _comparison(_MEASURES_G, [
     ("fraud_monitoring_reconciliation", "silver_fraud_count", "fraud_monitoring_rows", "eq"),
     ("feature_reconciliation", "silver_record_count", "feature_rows", "eq"),
 ]), "silver_n")
+
+# ------------------------------------------------------------------ sources and sinks (round trips)
+oracle("scan_csv_strict", "SELECT * FROM raw", "raw")
+oracle("scan_csv_permissive", "SELECT *, CAST(NULL AS VARCHAR) AS _corrupt_record FROM raw", "raw")
+ORACLE["csv_export_roundtrip"] = ORACLE["transaction_type_summary"]
+ORACLE["export_roundtrip"] = query(
+    "SELECT 'fraud_monitoring' AS table_name, COUNT(*) AS exported_row_count FROM silver_m WHERE is_fraud = 1", "silver_m")
+ORACLE["parquet_partitioned_roundtrip"] = ORACLE["silver_transactions"]
