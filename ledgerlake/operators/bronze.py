@@ -56,3 +56,12 @@ def bronze_ruled(
             "_record_hash": record_hash(RAW_COLUMNS),
         }
     )
+
+
+def to_raw_names(bronze: DataFrame) -> DataFrame:
+    """Strict Bronze back to the 11 raw column names (a projection, no data movement)."""
+    inverse = {v: k for k, v in STRICT_RENAMES.items()}
+    return bronze.select(*[F.col(c).alias(inverse.get(c, c)) for c in
+                           ["step", "transaction_type", "amount", "origin_account", "origin_old_balance",
+                            "origin_new_balance", "destination_account", "destination_old_balance",
+                            "destination_new_balance", "is_fraud", "is_flagged_fraud"]])
