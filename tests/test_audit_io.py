@@ -119,3 +119,23 @@ def test_ruled_run(spark):
 
 def test_unit_schema_is_nullable():
     assert all(f.nullable for f in NULLABLE_RAW_SCHEMA.fields)
+
+
+def test_output_checks_and_latest_status(spark):
+    sink = os.path.join(_scratch(), "checks")
+    J.run(spark, C.raw(spark, SF_SMALL), sink, J.RunParams(run_id=J.new_run_id()))
+    assert all(J.validate_outputs(spark, sink).values())
+    assert J.latest_run_status(spark, sink)["healthy"]
+    assert not J.validate_outputs(spark, sink, ["nope"])["nope"]
+
+
+def test_quality_report_exports(spark):
+    sink = os.path.join(_scratch(), "quality")
+    paths = J.write_quality_reports(C.raw(spark, SF_SMALL), sink)
+    assert len(paths) == 6
+    report = spark.read.option("header", True).csv(paths[0])
+    assert report.count() == 40
+
+
+def test_descriptive_registry(spark):
+    assert J.describe_gold_tables(spark).count() == 9
