@@ -309,11 +309,11 @@ def row_check_meta(columns: Sequence[str] = RAW_COLUMNS) -> list[tuple[str, str,
         ("merchant_destination_balance_unavailable", "business_rule", "WARNING",
          "Merchant destinations are expected to have unavailable balances, typically represented by zeros."),
         ("outgoing_origin_balance_reconciliation", "consistency", "WARNING",
-         "Outgoing transaction balances should approximately reconcile, but PaySim may contain documented inconsistencies."),
+         "Outgoing transaction balances should approximately reconcile; the simulated source has documented inconsistencies."),
         ("cash_in_origin_balance_reconciliation", "consistency", "WARNING",
          "Cash-in origin balances should approximately reconcile."),
         ("fraud_transaction_type_consistency", "business_rule", "WARNING",
-         "Fraudulent PaySim transactions are expected primarily in TRANSFER and CASH_OUT records."),
+         "Fraudulent transactions are expected primarily in TRANSFER and CASH_OUT records."),
         ("flagged_fraud_threshold_rule", "business_rule", "WARNING",
          "Flagged fraud should represent transfers above the documented 200,000 threshold."),
         ("high_value_transfer_flag_coverage", "business_rule", "WARNING",
