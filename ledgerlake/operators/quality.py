@@ -142,23 +142,29 @@ QUARTILE_PROBS = {0.25: "p25", 0.5: "p50", 0.75: "p75"}
 def describe(df: DataFrame, columns: Sequence[str], probs: dict[float, str] = DESCRIBE_PROBS) -> DataFrame:
     """Per column: count, mean, std (sample), min, exact quantiles, max (rounded to 6).
 
-    Moments come from one aggregation pass; each column's quantiles come from
-    the distributed rank scan, so no column is gathered into one task.
+    Moments of all columns come from one aggregation pass; the quantiles of all
+    columns come from one distributed ranking of the unpivoted (column, value)
+    rows, so no column is gathered into one task and the input is scanned twice
+    in total, whatever the number of columns.
     """
-    out = None
-    for c in columns:
-        v = F.col(c).cast("double")
-        moments = df.agg(
-            F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
-            F.min(v).alias("min"), F.max(v).alias("max"),
-        ).withColumn("_k", F.lit(1))
-        qs = pivot_quantiles(exact_quantiles(df, c, list(probs)), [], probs).withColumn("_k", F.lit(1))
-        row = moments.join(qs, "_k", "left").select(
-            F.lit(c).alias("column_name"), "count",
-            *[F.round(F.col(n), 6).alias(n) for n in ["mean", "std", "min", *probs.values(), "max"]],
-        )
-        out = row if out is None else out.unionByName(row)
-    return out
+    cols = list(columns)
+    stats = ["count", "mean", "std", "min", "max"]
+    moments = df.agg(*[
+        agg(F.col(c).cast("double")).alias(f"{c}\u0001{name}")
+        for c in cols
+        for name, agg in (("count", F.count), ("mean", F.avg), ("std", F.stddev_samp), ("min", F.min), ("max", F.max))
+    ])
+    rows = [F.struct(F.lit(c).alias("column_name"),
+                     *[F.col(f"`{c}\u0001{name}`").alias(name) for name in stats]) for c in cols]
+    moments_long = moments.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    values = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
+        [], cols, "column_name", "_value")
+    qs = pivot_quantiles(exact_quantiles(values, "_value", list(probs), ["column_name"]), ["column_name"], probs)
+    out = moments_long.join(qs, "column_name", "left")
+    return out.select(
+        "column_name", "count",
+        *[F.round(F.col(n), 6).alias(n) for n in ["mean", "std", "min", *probs.values(), "max"]],
+    )
 
 
 # ------------------------------------------------------------------ grouped profiles (pandas-style: NULL keys dropped)

@@ -39,8 +39,10 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], group_col
     targets = targets.withColumns({"_lo": F.floor("_pos"), "_hi": F.ceil("_pos")})
     # Only order statistics that some quantile needs (at most 2 per p and group).
     needed = targets.select("_qkey", F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias("_rank")).distinct()
+    # ``needed`` has at most 2 x len(probs) rows per group; no hint: AQE picks a
+    # broadcast from runtime sizes when the group count is small.
     picked = ranked.select(*groups, "_qkey", F.col("_prior_count").alias("_rank"), "_v").join(
-        F.broadcast(needed), ["_qkey", "_rank"], "left_semi"
+        needed, ["_qkey", "_rank"], "left_semi"
     )
     lo = picked.select("_qkey", F.col("_rank").alias("_lo"), F.col("_v").alias("_vlo"))
     hi = picked.select("_qkey", F.col("_rank").alias("_hi"), F.col("_v").alias("_vhi"))
