@@ -34,7 +34,7 @@ from ledgerlake.operators import reconcile as RC
 from ledgerlake.operators import rules as R
 from ledgerlake.operators import silver as S
 from ledgerlake.plans.checks import strict_reconciliation
-from ledgerlake.sources.sinks import append_records, export_small_table, write_parquet
+from ledgerlake.sources.sinks import append_records, export_small_table, write_many, write_parquet
 
 # Marts whose row count is bounded by the calendar or the type domain.
 SMALL_MARTS = {
@@ -93,8 +93,7 @@ def run(spark: SparkSession, raw: DataFrame, sink: str, params: RunParams) -> di
         silver, counts = silver_stage(spark, bronze, sink, params)
         counts = {"bronze_row_count": bronze_rows, **counts}
         gold = gold_tables(spark, silver, sink, params.approximate_distinct_rsd)
-        for name, df in gold.items():
-            write_parquet(df, f"{sink}/gold/{name}")
+        write_many(gold, f"{sink}/gold")
         written = {name: spark.read.parquet(f"{sink}/gold/{name}") for name in gold}
         if params.export_csv:
             for name, keys in SMALL_MARTS.items():
@@ -176,8 +175,7 @@ def run_ruled(spark: SparkSession, raw: DataFrame, sink: str, params: RunParams)
     sink = sink.rstrip("/")
     validated = write_validated(spark, raw, sink, params)
     silver = silver_ruled_view(validated)
-    for name, build in RULED_MARTS.items():
-        write_parquet(build(silver), f"{sink}/gold_ruled/{name}")
+    write_many({name: build(silver) for name, build in RULED_MARTS.items()}, f"{sink}/gold_ruled")
     recon = RC.partition_reconciliation(
         validated.select(F.when(F.col("validation_status") == "QUARANTINE", 1).otherwise(0).alias("hard_failure_count"))
     ).first()
