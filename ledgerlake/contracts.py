@@ -130,3 +130,8 @@ def assert_no_balance_leakage(dataframe: DataFrame) -> None:
     leaked = set(dataframe.columns) & PROHIBITED_FEATURE_COLUMNS
     if leaked:
         raise ValueError(f"Balance fields must not be in the feature table: {sorted(leaked)}")
+
+
+def schema_profile(dataframe: DataFrame) -> list[tuple[str, str, bool]]:
+    """(column, Spark type, nullable) for every column: metadata only, no job."""
+    return [(f.name, f.dataType.simpleString(), f.nullable) for f in dataframe.schema.fields]

@@ -121,10 +121,12 @@ def spread_small_scan(df: DataFrame) -> DataFrame:
     Only small inputs (a single row group, say) hit this; large inputs are
     already split by the scan and pass through without a shuffle.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): leave the plan as is
+        return df
+    return df.repartition(target) if splits < target else df
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -103,3 +103,10 @@ def test_rule_counts_sum(spark):
     v = C.validated(spark, SF_SMALL)
     counts = R.rule_counts(v, R.hard_rules(), "HARD").agg(F.sum("failed_records")).first()[0]
     assert counts >= v.filter(F.col("hard_failure_count") > 0).count()
+
+
+def test_schema_profile(spark):
+    from ledgerlake.contracts import schema_profile
+
+    df = spark.createDataFrame([(1, "a")], "step int, type string")
+    assert schema_profile(df) == [("step", "int", True), ("type", "string", True)]
