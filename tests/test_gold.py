@@ -128,3 +128,17 @@ def test_feature_tables_exclude_balances(spark):
 def test_features_preserve_rows(spark):
     s = C.silver(spark, SF_SMALL)
     assert FE.fraud_feature(s).count() == s.count()
+
+
+def test_group_of_copies_is_split_by_the_scan(spark):
+    """One row copied 400 times (plus the rest): identical order keys still spread over partitions."""
+    base = _history_input(spark)
+    hot_row = base.orderBy("origin_account", "step", "_record_hash").limit(1)
+    copies = hot_row.withColumn("_n", F.explode(F.sequence(F.lit(1), F.lit(400)))).drop("_n")
+    df = base.unionByName(copies)
+    order = ["step", "_record_hash"]
+    ref = prior_history_window(df, "origin_account", order)
+    got = prior_history_scan(df, "origin_account", order, num_partitions=5).select(*ref.columns)
+    assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0
+    per_part = got.groupBy(F.spark_partition_id().alias("p")).count().agg(F.max("count")).first()[0]
+    assert per_part < df.count()  # no single task holds the copies
