@@ -16,11 +16,14 @@ def strict_reconciliation(s: DataFrame, b: DataFrame | int, gold: dict[str, Data
     c = F.col
     bronze_rows = (b.agg(F.count("*").alias("n")) if isinstance(b, DataFrame)
                    else s.sparkSession.range(1).select(F.lit(int(b)).cast("bigint").alias("n")))
+    # One pass over Silver for its three totals (the three measures share this plan).
+    silver_totals = s.agg(F.count("*").alias("rows"), F.sum("is_fraud").alias("fraud"),
+                          F.sum("is_high_value_transaction").alias("high_value"))
     measures = [
         ("bronze_rows", "n", bronze_rows),
-        ("silver_rows", "n", s.agg(F.count("*").alias("n"))),
-        ("silver_fraud", "n", s.agg(F.sum("is_fraud").alias("n"))),
-        ("silver_high_value", "n", s.agg(F.sum("is_high_value_transaction").alias("n"))),
+        ("silver_rows", "rows", silver_totals),
+        ("silver_fraud", "fraud", silver_totals),
+        ("silver_high_value", "high_value", silver_totals),
         ("daily_rows", "n", gold["daily_transaction_summary"].agg(F.sum("transaction_count").alias("n"))),
         ("daily_fraud", "n", gold["daily_transaction_summary"].agg(F.sum("fraud_count").alias("n"))),
         ("daily_type_rows", "n", gold["daily_type_summary"].agg(F.sum("transaction_count").alias("n"))),
