@@ -27,6 +27,7 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
 
     from ledgerlake.operators import bronze as B
+    from ledgerlake.operators import features as FE
     from ledgerlake.operators import marts as M
     from ledgerlake.operators import quality as Q
     from ledgerlake.operators import reconcile as RC
@@ -34,7 +35,7 @@ def main() -> None:
     from ledgerlake.plans.checks import strict_reconciliation
     from ledgerlake.session import checkpoint_root, local_session
     from ledgerlake.sources.fixture import raw_transactions
-    from ledgerlake.sources.sinks import write_many
+    from ledgerlake.sources.sinks import write_many, write_parquet
 
     t0 = time.perf_counter()
     spark = local_session(cpus=cpus, shuffle_partitions=cpus, app="ledgerlake-bench")
@@ -64,6 +65,9 @@ def main() -> None:
     gold = timed("calendar_rollup", lambda: J.gold_tables(spark, silver, sink))
     per_table = timed("gold_marts", lambda: write_many(gold, f"{sink}/gold"))
     written = {name: spark.read.parquet(f"{sink}/gold/{name}") for name in gold}
+    timed("fraud_feature", lambda: write_parquet(
+        FE.fraud_feature(silver, origin_counts=written["origin_account_summary"]), f"{sink}/gold/fraud_feature"))
+    written["fraud_feature"] = spark.read.parquet(f"{sink}/gold/fraud_feature")
 
     def reconcile():
         report = strict_reconciliation(silver, counts["bronze_row_count"], written)
@@ -73,8 +77,7 @@ def main() -> None:
 
     validated = timed("ruled_validate", lambda: J.write_validated(spark, raw_from_bronze, sink, params))
     silver_ruled = J.silver_ruled_view(validated)
-    ruled_tables = {name: build(silver_ruled) for name, build in J.RULED_MARTS.items()}
-    per_ruled = timed("ruled_marts", lambda: write_many(ruled_tables, f"{sink}/gold_ruled"))
+    per_ruled = timed("ruled_marts", lambda: J.write_ruled_gold(spark, silver_ruled, sink))
     report = timed("quality_report", lambda: Q.quality_report(raw_from_bronze).collect())
     rows["quality_checks"] = len(report)
 

@@ -33,10 +33,10 @@ RULED_FEATURE_COLUMNS = [
 ]
 
 
-def _history(df: DataFrame, method: str) -> DataFrame:
+def _history(df: DataFrame, method: str, key_counts: DataFrame | None = None) -> DataFrame:
     order = ["step", "_record_hash"]
     if method == "auto":
-        return prior_history(df, "origin_account", order)
+        return prior_history(df, "origin_account", order, key_counts=key_counts)
     if method == "window":
         return prior_history_window(df, "origin_account", order)
     if method == "scan":
@@ -44,11 +44,18 @@ def _history(df: DataFrame, method: str) -> DataFrame:
     raise ValueError(f"unknown history method: {method}")
 
 
-def fraud_feature(silver: DataFrame, method: str = "auto") -> DataFrame:
-    """Strict feature table (13 columns); first row of an account has NULL history."""
+def fraud_feature(silver: DataFrame, method: str = "auto", origin_counts: DataFrame | None = None) -> DataFrame:
+    """Strict feature table (13 columns); first row of an account has NULL history.
+
+    ``origin_counts`` may pass an already written origin-account summary, whose
+    row counts decide which accounts are hot without another pass over Silver.
+    """
     needed = [c for c in STRICT_FEATURE_COLUMNS if not c.startswith("prior_")]
     base = silver.select(*needed, record_hash(BRONZE_REQUIRED_COLUMNS).alias("_record_hash"))
-    hist = _history(base, method)
+    key_counts = None
+    if origin_counts is not None:
+        key_counts = origin_counts.select("origin_account", F.col("origin_transaction_count").alias("_key_rows"))
+    hist = _history(base, method, key_counts)
     out = hist.withColumns(
         {
             "prior_origin_transaction_count": F.col("_prior_count"),
@@ -61,10 +68,18 @@ def fraud_feature(silver: DataFrame, method: str = "auto") -> DataFrame:
     return out.select(*STRICT_FEATURE_COLUMNS)
 
 
-def fraud_feature_profile(silver_ruled: DataFrame, method: str = "auto") -> DataFrame:
-    """Ruled feature table (31 columns): defaults filled, one-hot type, no balances."""
+def fraud_feature_profile(silver_ruled: DataFrame, method: str = "auto",
+                          origin_counts: DataFrame | None = None) -> DataFrame:
+    """Ruled feature table (31 columns): defaults filled, one-hot type, no balances.
+
+    ``origin_counts`` may pass a written origin-account profile (its
+    ``transaction_count`` decides which accounts are hot).
+    """
     base_cols = [c for c in RULED_FEATURE_COLUMNS if c in silver_ruled.columns]
-    hist = _history(silver_ruled.select(*base_cols), method)
+    key_counts = None
+    if origin_counts is not None:
+        key_counts = origin_counts.select("origin_account", F.col("transaction_count").alias("_key_rows"))
+    hist = _history(silver_ruled.select(*base_cols), method, key_counts)
     c = F.col
     one_hot = {f"is_{t.lower()}": (c("transaction_type") == t).cast("int") for t in VALID_TRANSACTION_TYPES}
     out = hist.withColumns(

@@ -272,7 +272,8 @@ MAX_BROADCAST_HOT_KEYS = 100_000
 
 
 def prior_history(df: DataFrame, key: str, order: list[str], amount: str = "amount", fraud: str = "is_fraud",
-                  step: str = "step", hot_key_rows: int | None = None, num_partitions: int | None = None) -> DataFrame:
+                  step: str = "step", hot_key_rows: int | None = None, num_partitions: int | None = None,
+                  key_counts: DataFrame | None = None) -> DataFrame:
     """Split by key size: ordinary keys use the window, hot keys the prefix scan.
 
     A key is hot when it holds more than ``hot_key_rows`` rows (session conf
@@ -280,10 +281,13 @@ def prior_history(df: DataFrame, key: str, order: list[str], amount: str = "amou
     threshold; hot keys are spread over range partitions by the scan. The hot
     key list holds at most ``rows / hot_key_rows`` keys; its size is counted
     before it is broadcast, and a shuffle join is used beyond a fixed bound.
+    ``key_counts`` (columns ``key``, ``_key_rows``) reuses rows-per-key that a job
+    already computed (e.g. a written per-account summary) instead of a new pass.
     """
     spark = df.sparkSession
     limit = hot_key_rows or int(spark.conf.get(HOT_KEY_ROWS_CONF, str(DEFAULT_HOT_KEY_ROWS)))
-    hot = df.groupBy(key).agg(F.count("*").alias("_key_rows")).filter(F.col("_key_rows") > limit).select(key)
+    counts = key_counts if key_counts is not None else df.groupBy(key).agg(F.count("*").alias("_key_rows"))
+    hot = counts.filter(F.col("_key_rows") > limit).select(key)
     n_hot = hot.count()
     if n_hot == 0:
         return prior_history_window(df, key, order, amount, fraud, step)

@@ -326,12 +326,13 @@ def raw_type_summary(raw: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- registry
 
-def build_gold_tables(silver: DataFrame, approximate_distinct_rsd: float = DEFAULT_RSD) -> dict[str, DataFrame]:
+def build_gold_tables(silver: DataFrame, approximate_distinct_rsd: float = DEFAULT_RSD,
+                      include_features: bool = True) -> dict[str, DataFrame]:
     """The nine strict marts as lazy DataFrames (contract checked first)."""
     validate_required_columns(silver, SILVER_REQUIRED_COLUMNS, "silver_dataframe")
     from ledgerlake.operators.features import fraud_feature
 
-    return {
+    tables = {
         "daily_transaction_summary": daily_transaction_summary(silver, approximate_distinct_rsd),
         "daily_type_summary": daily_type_summary(silver),
         "hourly_fraud_summary": hourly_fraud_summary(silver),
@@ -340,8 +341,10 @@ def build_gold_tables(silver: DataFrame, approximate_distinct_rsd: float = DEFAU
         "destination_account_summary": destination_account_summary(silver),
         "high_value_summary": high_value_summary(silver),
         "fraud_monitoring": fraud_monitoring(silver),
-        "fraud_feature": fraud_feature(silver),
     }
+    if include_features:
+        tables["fraud_feature"] = fraud_feature(silver)
+    return tables
 
 
 # ---------------------------------------------------------------- one-pass calendar marts
