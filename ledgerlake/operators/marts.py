@@ -429,3 +429,145 @@ def calendar_marts(rollup: DataFrame) -> dict[str, DataFrame]:
         "transaction_type_summary": by_type,
         "high_value_summary": high_value,
     }
+
+
+# ---------------------------------------------------------------- ruled calendar marts in three scans
+
+_RULED_SETS = ("GROUPING SETS ((transaction_day), (step, transaction_day, hour_of_day), "
+               "(transaction_type), (transaction_day, transaction_type))")
+# GROUPING_ID bits follow the grouping columns' first appearance: day 8, step 4, hour 2, type 1.
+_RULED_KEYS = ["transaction_day", "step", "hour_of_day", "transaction_type"]
+
+
+def _ruled_gid(present: set[str]) -> int:
+    gid = 0
+    for i, k in enumerate(_RULED_KEYS):
+        if k not in present:
+            gid |= 1 << (len(_RULED_KEYS) - 1 - i)
+    return gid
+
+
+def ruled_calendar_rollup(silver_ruled: DataFrame) -> DataFrame:
+    """Additive measures of the five ruled calendar marts in one scan."""
+    spark = silver_ruled.sparkSession
+    aggs = ", ".join([
+        "COUNT(*) AS transaction_count", "SUM(amount) AS _sum", "MIN(amount) AS _min", "MAX(amount) AS _max",
+        "SUM(is_fraud) AS fraud_count", "SUM(CASE WHEN is_fraud = 1 THEN amount ELSE 0.0 END) AS _fraud_sum",
+        "SUM(is_flagged_fraud) AS flagged_fraud_count",
+        "SUM(is_high_value_transaction) AS high_value_transaction_count",
+        "SUM(CASE WHEN is_high_value_transaction = 1 THEN amount END) AS _hv_sum",
+        "MAX(CASE WHEN is_high_value_transaction = 1 THEN amount END) AS _hv_max",
+        "SUM(CASE WHEN is_high_value_transaction = 1 THEN is_fraud END) AS _hv_fraud",
+        "SUM(CASE WHEN is_high_value_transaction = 1 THEN is_flagged_fraud END) AS _hv_flagged",
+    ])
+    return spark.sql(
+        f"""
+        SELECT transaction_day, step, hour_of_day, transaction_type,
+               GROUPING_ID(transaction_day, step, hour_of_day, transaction_type) AS _gid, {aggs}
+        FROM {{s}} GROUP BY {_RULED_SETS}
+        """,
+        s=silver_ruled.select("transaction_day", "step", "hour_of_day", "transaction_type", "amount", "is_fraud",
+                              "is_flagged_fraud", "is_high_value_transaction"),
+    )
+
+
+def ruled_distinct_accounts(silver_ruled: DataFrame) -> DataFrame:
+    """Exact distinct origin / destination accounts per day and per hour, in one scan.
+
+    The first aggregate deduplicates (grain, account) pairs (partial aggregation
+    drops repeats map-side); the second counts them per grain (tiny output).
+    """
+    spark = silver_ruled.sparkSession
+    pairs = spark.sql(
+        """
+        SELECT transaction_day, step, hour_of_day, origin_account, destination_account,
+               GROUPING(origin_account) AS _g_origin, GROUPING(step) AS _g_step
+        FROM {s}
+        GROUP BY GROUPING SETS ((transaction_day, origin_account), (transaction_day, destination_account),
+                                (step, transaction_day, hour_of_day, origin_account),
+                                (step, transaction_day, hour_of_day, destination_account))
+        """,
+        s=silver_ruled.select("transaction_day", "step", "hour_of_day", "origin_account", "destination_account"),
+    )
+    is_origin = F.col("_g_origin") == 0
+    grain_is_day = F.col("_g_step") == 1
+    return pairs.groupBy(
+        "transaction_day", "step", "hour_of_day", grain_is_day.alias("_day_grain")
+    ).agg(
+        F.count_if(is_origin).alias("unique_origin_accounts"),
+        F.count_if(~is_origin).alias("unique_destination_accounts"),
+    )
+
+
+def ruled_type_medians(silver_ruled: DataFrame, median_accuracy: int = 1_000_000) -> DataFrame:
+    return silver_ruled.groupBy("transaction_type").agg(
+        F.round(F.percentile_approx("amount", 0.5, median_accuracy), 2).alias("median_amount")
+    )
+
+
+def ruled_calendar_marts(rollup: DataFrame, distinct: DataFrame, medians: DataFrame) -> dict[str, DataFrame]:
+    """Split the ruled rollup into the five ruled calendar marts (same values as the single aggregates)."""
+    c = F.col
+    base = rollup.withColumns(
+        {
+            "_total": F.round(c("_sum"), 2),
+            "_avg": F.round(c("_sum") / c("transaction_count"), 2),
+            "_rmin": F.round(c("_min"), 2),
+            "_rmax": F.round(c("_max"), 2),
+            "_fraud_amount": F.round(c("_fraud_sum"), 2),
+        }
+    )
+
+    def grain(*keys: str) -> DataFrame:
+        return base.filter(c("_gid") == _ruled_gid(set(keys)))
+
+    day_distinct = distinct.filter(c("_day_grain")).select("transaction_day", "unique_origin_accounts",
+                                                           "unique_destination_accounts")
+    hour_distinct = distinct.filter(~c("_day_grain")).select("step", "unique_origin_accounts",
+                                                             "unique_destination_accounts")
+    daily = grain("transaction_day").join(day_distinct, "transaction_day", "left").select(
+        "transaction_day", "transaction_count", c("_total").alias("total_transaction_amount"),
+        c("_avg").alias("average_transaction_amount"), c("_rmin").alias("minimum_transaction_amount"),
+        c("_rmax").alias("maximum_transaction_amount"), "fraud_count", c("_fraud_amount").alias("fraud_amount"),
+        "flagged_fraud_count", "high_value_transaction_count", "unique_origin_accounts",
+        "unique_destination_accounts",
+    )
+    daily = _daily_rates(daily)
+    hourly = grain("step", "transaction_day", "hour_of_day").join(hour_distinct, "step", "left").select(
+        "step", "transaction_day", "hour_of_day", "transaction_count", c("_total").alias("total_transaction_amount"),
+        "fraud_count", c("_fraud_amount").alias("fraud_amount"), "flagged_fraud_count",
+        "high_value_transaction_count", "unique_origin_accounts", "unique_destination_accounts",
+    ).withColumns({
+        "fraud_rate_pct": safe_pct("fraud_count", "transaction_count"),
+        "flag_coverage_pct": safe_pct("flagged_fraud_count", "fraud_count"),
+    })
+    by_type = grain("transaction_type").join(medians, "transaction_type", "left").select(
+        "transaction_type", "transaction_count", c("_total").alias("total_amount"), c("_avg").alias("average_amount"),
+        "median_amount", c("_rmin").alias("minimum_amount"), c("_rmax").alias("maximum_amount"), "fraud_count",
+        c("_fraud_amount").alias("fraud_amount"), "flagged_fraud_count", "high_value_transaction_count",
+    )
+    total = F.sum("transaction_count").over(Window.partitionBy())
+    by_type = by_type.withColumns({
+        "transaction_pct": safe_pct(F.col("transaction_count"), total, 4),
+        "fraud_rate_pct": safe_pct("fraud_count", "transaction_count"),
+    })
+    day_type = grain("transaction_day", "transaction_type")
+    daily_type = day_type.select(
+        "transaction_day", "transaction_type", "transaction_count", c("_total").alias("total_amount"),
+        c("_avg").alias("average_amount"), "fraud_count", c("_fraud_amount").alias("fraud_amount"),
+        "flagged_fraud_count",
+    ).withColumn("fraud_rate_pct", safe_pct("fraud_count", "transaction_count"))
+    high_value = day_type.filter(c("high_value_transaction_count") > 0).select(
+        "transaction_day", "transaction_type", "high_value_transaction_count",
+        F.round(c("_hv_sum"), 2).alias("high_value_total_amount"),
+        F.round(c("_hv_sum") / c("high_value_transaction_count"), 2).alias("high_value_average_amount"),
+        F.round(c("_hv_max"), 2).alias("high_value_maximum_amount"),
+        c("_hv_fraud").alias("high_value_fraud_count"), c("_hv_flagged").alias("high_value_flagged_count"),
+    ).withColumn("high_value_fraud_rate_pct", safe_pct("high_value_fraud_count", "high_value_transaction_count"))
+    return {
+        "daily_transaction_summary": daily,
+        "hourly_fraud_summary": hourly,
+        "transaction_type_summary": by_type,
+        "high_value_summary": high_value,
+        "daily_type_summary": daily_type,
+    }

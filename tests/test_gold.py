@@ -142,3 +142,18 @@ def test_group_of_copies_is_split_by_the_scan(spark):
     assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0
     per_part = got.groupBy(F.spark_partition_id().alias("p")).count().agg(F.max("count")).first()[0]
     assert per_part < df.count()  # no single task holds the copies
+
+
+def test_ruled_rollup_equals_single_marts(spark):
+    s = C.silver_ruled(spark, SF_SMALL)
+    split = M.ruled_calendar_marts(M.ruled_calendar_rollup(s), M.ruled_distinct_accounts(s), M.ruled_type_medians(s))
+    single = {
+        "daily_transaction_summary": M.daily_transaction_summary_exact(s),
+        "hourly_fraud_summary": M.hourly_fraud_profile(s),
+        "transaction_type_summary": M.transaction_type_profile(s),
+        "high_value_summary": M.high_value_profile(s),
+        "daily_type_summary": M.daily_type_profile(s),
+    }
+    for name, df in single.items():
+        got = split[name].select(*df.columns)
+        assert got.exceptAll(df).count() == 0 and df.exceptAll(got).count() == 0, name
