@@ -806,3 +806,31 @@ def q_parquet_roundtrip(spark, sf):
     path = scratch_path(spark, "silver-parquet")
     K.write_parquet(s, path, partition_columns=["transaction_day"])
     return spark.read.schema(s.schema).parquet(path)
+
+
+# ------------------------------------------------------------------ the job's rollup forms (same results as the single marts)
+
+def _strict_rollup(spark, sf):
+    return M.calendar_marts(M.calendar_rollup(silver(spark, sf)))
+
+
+def _ruled_rollup(spark, sf):
+    s = silver_ruled(spark, sf)
+    return M.ruled_calendar_marts(M.ruled_calendar_rollup(s), M.ruled_distinct_accounts(s), M.ruled_type_medians(s))
+
+
+@register("rollup_daily_transaction_summary_core")
+def q_rollup_daily_core(spark, sf):
+    return _strict_rollup(spark, sf)["daily_transaction_summary"].drop(
+        "estimated_unique_origin_accounts", "estimated_unique_destination_accounts")
+
+
+for _name in ["daily_type_summary", "hourly_fraud_summary", "transaction_type_summary", "high_value_summary"]:
+    register(f"rollup_{_name}")(lambda spark, sf, _n=_name: _strict_rollup(spark, sf)[_n])
+
+for _name, _key in [("daily_transaction_summary", "daily_transaction_summary_exact"),
+                    ("hourly_fraud_summary", "hourly_fraud_profile"),
+                    ("transaction_type_summary", "transaction_type_profile"),
+                    ("high_value_summary", "high_value_profile"),
+                    ("daily_type_summary", "daily_type_profile")]:
+    register(f"rollup_{_key}")(lambda spark, sf, _n=_name: _ruled_rollup(spark, sf)[_n])

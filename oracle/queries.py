@@ -711,3 +711,10 @@ ORACLE["csv_export_roundtrip"] = ORACLE["transaction_type_summary"]
 ORACLE["export_roundtrip"] = query(
     "SELECT 'fraud_monitoring' AS table_name, COUNT(*) AS exported_row_count FROM silver_m WHERE is_fraud = 1", "silver_m")
 ORACLE["parquet_partitioned_roundtrip"] = ORACLE["silver_transactions"]
+
+# ------------------------------------------------------------------ the job's rollup forms: same answers
+ORACLE["rollup_daily_transaction_summary_core"] = ORACLE["daily_transaction_summary_core"]
+for _k in ["daily_type_summary", "hourly_fraud_summary", "transaction_type_summary", "high_value_summary",
+           "daily_transaction_summary_exact", "hourly_fraud_profile", "transaction_type_profile",
+           "high_value_profile", "daily_type_profile"]:
+    ORACLE[f"rollup_{_k}"] = ORACLE[_k]
