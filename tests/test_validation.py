@@ -110,3 +110,12 @@ def test_schema_profile(spark):
 
     df = spark.createDataFrame([(1, "a")], "step int, type string")
     assert schema_profile(df) == [("step", "int", True), ("type", "string", True)]
+
+
+def test_sizing_conf_scales_with_input():
+    from ledgerlake.session import sizing_conf
+
+    small = sizing_conf(10 * 1024 ** 2, total_cores=8)
+    huge = sizing_conf(100 * 1024 ** 4, total_cores=8000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 24
+    assert int(huge["spark.sql.shuffle.partitions"]) > 400_000
