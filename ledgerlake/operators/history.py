@@ -132,6 +132,14 @@ def _walk(pdf: pd.DataFrame, key: str, amount: str, fraud: str, step: str, st: _
     }
 
 
+def _nullable_int(values: np.ndarray) -> pd.array:
+    """float64 with NaN for missing -> pandas nullable Int64 (NULL in Spark)."""
+    missing = np.isnan(values)
+    out = pd.array(np.where(missing, 0, values).astype("int64"), dtype="Int64")
+    out[missing] = pd.NA
+    return out
+
+
 _SUMMARY_SCHEMA = T.StructType(
     [
         T.StructField("_pid", T.IntegerType()),
@@ -226,6 +234,7 @@ def prior_history_scan(df: DataFrame, key: str, order: list[str], amount: str =
         ]
     )
     keep = [f.name for f in base_fields if f.name != "_tb"]
+    step_is_integral = isinstance(df.schema[step].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
     carry_cols = ["_c_active", "_c_key", "_c_count", "_c_total", "_c_max", "_c_fraud", "_c_step", "_c_amount"]
 
     def apply(batches):
@@ -251,13 +260,8 @@ def prior_history_scan(df: DataFrame, key: str, order: list[str], amount: str =
             res["_prior_count"] = out["_prior_count"]
             res["_prior_sum"] = out["_prior_sum"]
             res["_prior_max"] = out["_prior_max"]
-            res["_prior_fraud"] = pd.array(
-                np.where(np.isnan(out["_prior_fraud"]), 0, out["_prior_fraud"]).astype("int64"), dtype="Int64"
-            )
-            res.loc[np.isnan(out["_prior_fraud"]), "_prior_fraud"] = pd.NA
-            prev_step = pd.array(np.where(np.isnan(out["_prev_step"]), 0, out["_prev_step"]).astype("int64"), dtype="Int64")
-            prev_step[np.isnan(out["_prev_step"])] = pd.NA
-            res["_prev_step"] = prev_step
+            res["_prior_fraud"] = _nullable_int(out["_prior_fraud"])
+            res["_prev_step"] = _nullable_int(out["_prev_step"]) if step_is_integral else out["_prev_step"]
             res["_prev_amount"] = out["_prev_amount"]
             yield res
 

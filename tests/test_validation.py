@@ -119,3 +119,24 @@ def test_sizing_conf_scales_with_input():
     huge = sizing_conf(100 * 1024 ** 4, total_cores=8000)
     assert int(small["spark.sql.shuffle.partitions"]) == 24
     assert int(huge["spark.sql.shuffle.partitions"]) > 400_000
+
+
+def test_exact_quantiles_through_the_prefix_scan(spark):
+    """Force every group through the scan path (tiny hot threshold); values must not change."""
+    import numpy as np
+
+    from ledgerlake.operators.history import HOT_KEY_ROWS_CONF
+    from ledgerlake.operators.quantiles import exact_quantiles
+
+    s = C.silver(spark, SF_SMALL)
+    spark.conf.set(HOT_KEY_ROWS_CONF, "10")
+    try:
+        got = {(r.transaction_type, r.p): r.quantile
+               for r in exact_quantiles(s, "amount", [0.05, 0.5, 0.95], ["transaction_type"]).collect()}
+    finally:
+        spark.conf.unset(HOT_KEY_ROWS_CONF)
+    pdf = s.select("transaction_type", "amount").toPandas()
+    assert len(got) == 15
+    for (t, p), q in got.items():
+        expected = float(np.quantile(pdf[pdf.transaction_type == t].amount.to_numpy(), p))
+        assert abs(q - expected) <= 1e-6 * max(1.0, abs(expected))
