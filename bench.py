@@ -33,12 +33,10 @@ def main() -> None:
     from ledgerlake.operators import features as FE
     from ledgerlake.operators import marts as M
     from ledgerlake.operators import quality as Q
-    from ledgerlake.operators import reconcile as RC
     from ledgerlake.plans import job as J
-    from ledgerlake.plans.checks import strict_reconciliation
     from ledgerlake.session import checkpoint_root, local_session
     from ledgerlake.sources.fixture import raw_transactions
-    from ledgerlake.sources.sinks import append_records, export_small_table, write_csv, write_many, write_parquet
+    from ledgerlake.sources.sinks import export_small_table, write_csv, write_many, write_parquet
 
     t0 = time.perf_counter()
     spark = local_session(cpus=cpus, shuffle_partitions=cpus, app="ledgerlake-bench")
@@ -90,16 +88,7 @@ def main() -> None:
     written["fraud_feature"] = spark.read.parquet(f"{sink}/gold/fraud_feature")
 
     def reconcile_and_audit():
-        report = strict_reconciliation(silver, counts["bronze_row_count"], written)
-        write_parquet(report, f"{sink}/reconciliation")
-        status = RC.overall_status(spark.read.parquet(f"{sink}/reconciliation")).first()["pipeline_status"]
-        audits = [RC.audit_record(silver, params.run_id, "silver", "silver_transactions")]
-        audits += [RC.audit_record(df, params.run_id, "gold", name) for name, df in sorted(written.items())]
-        append_records(RC.combine_audit_records(audits), f"{sink}/audit")
-        write_parquet(RC.gold_registry(written, params.run_id, {n: "PARQUET" for n in written}), f"{sink}/registry")
-        append_records(spark.createDataFrame([{"pipeline_run_id": params.run_id, "pipeline_status": status}]),
-                       f"{sink}/summary")
-        return status
+        return J.finalize_run(spark, sink, params, silver, counts, written)["pipeline_status"]
 
     rows["pipeline_status_success"] = int(timed("reconciliation_audit", reconcile_and_audit) == "SUCCESS")
 

@@ -99,6 +99,45 @@ def write_gold(spark: SparkSession, silver: DataFrame, sink: str, rsd: float = D
     return written
 
 
+def finalize_run(spark: SparkSession, sink: str, params: RunParams, silver: DataFrame, counts: dict,
+                 written: dict[str, DataFrame], started: float | None = None) -> dict:
+    """Reconciliation report, audit rows and registry (written concurrently), then the summary."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    report = strict_reconciliation(silver, counts["bronze_row_count"], written)
+    audits = [RC.audit_record(silver, params.run_id, "silver", "silver_transactions")]
+    audits += [RC.audit_record(df, params.run_id, "gold", name) for name, df in sorted(written.items())]
+    registry = RC.gold_registry(written, params.run_id, {name: "PARQUET" for name in written})
+    report_path = f"{sink}/reconciliation/run_id={params.run_id}"
+    tasks = [
+        lambda: write_parquet(report, report_path),
+        lambda: append_records(RC.combine_audit_records(audits), f"{sink}/audit"),
+        lambda: write_parquet(registry, f"{sink}/registry/run_id={params.run_id}"),
+    ]
+    with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
+        for future in [pool.submit(t) for t in tasks]:
+            future.result()
+    pipeline_status = RC.overall_status(spark.read.parquet(report_path)).first()["pipeline_status"]
+    summary = {
+        "pipeline_run_id": params.run_id,
+        "pipeline_status": pipeline_status,
+        "total_execution_seconds": round(time.perf_counter() - started, 3) if started else None,
+        **counts,
+        "rejected_row_count": counts["bronze_row_count"] - counts["silver_row_count"],
+        "gold_tables_written": len(written),
+        "overall_reconciliation_status": "PASS" if pipeline_status == "SUCCESS" else "FAIL",
+    }
+    append_records(spark.createDataFrame([summary], _SUMMARY_SCHEMA), f"{sink}/summary")
+    return summary
+
+
+_SUMMARY_SCHEMA = (
+    "pipeline_run_id string, pipeline_status string, total_execution_seconds double, bronze_row_count long, "
+    "silver_row_count long, silver_fraud_count long, rejected_row_count long, gold_tables_written int, "
+    "overall_reconciliation_status string"
+)
+
+
 def run(spark: SparkSession, raw: DataFrame, sink: str, params: RunParams) -> dict:
     """Run the strict pipeline into ``sink``; returns the run summary as a dict."""
     started = time.perf_counter()
@@ -112,29 +151,7 @@ def run(spark: SparkSession, raw: DataFrame, sink: str, params: RunParams) -> di
             for name, keys in SMALL_MARTS.items():
                 export_small_table(written[name], f"{sink}/exports/{name}", sort_by=keys)
 
-        report = strict_reconciliation(silver, counts["bronze_row_count"], written)
-        write_parquet(report, f"{sink}/reconciliation/run_id={params.run_id}")
-        report = spark.read.parquet(f"{sink}/reconciliation/run_id={params.run_id}")
-        status_row = RC.overall_status(report).first()
-        pipeline_status = status_row["pipeline_status"]
-
-        audits = [RC.audit_record(silver, params.run_id, "silver", "silver_transactions")]
-        audits += [RC.audit_record(df, params.run_id, "gold", name) for name, df in sorted(written.items())]
-        append_records(RC.combine_audit_records(audits), f"{sink}/audit")
-        persisted = {name: "PARQUET" for name in written}
-        write_parquet(RC.gold_registry(written, params.run_id, persisted), f"{sink}/registry/run_id={params.run_id}")
-
-        summary = {
-            "pipeline_run_id": params.run_id,
-            "pipeline_status": pipeline_status,
-            "total_execution_seconds": round(time.perf_counter() - started, 3),
-            **counts,
-            "rejected_row_count": counts["bronze_row_count"] - counts["silver_row_count"],
-            "gold_tables_written": len(written),
-            "overall_reconciliation_status": "PASS" if pipeline_status == "SUCCESS" else "FAIL",
-        }
-        append_records(spark.createDataFrame([summary]), f"{sink}/summary")
-        return summary
+        return finalize_run(spark, sink, params, silver, counts, written, started)
     except Exception as exc:  # record the failure, then surface it
         failure = {
             "pipeline_run_id": params.run_id,
