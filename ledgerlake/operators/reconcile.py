@@ -150,3 +150,39 @@ def gold_registry(tables: dict[str, DataFrame], run_id: str,
                                                     F.lit(None).cast("string").alias("persistence_format"),
                                                     F.lit(status).alias("persistence_status")))
     return reduce(DataFrame.unionByName, parts)
+
+
+def _lookup(mapping: dict, key: Column) -> Column:
+    """Literal map lookup (no join) for small per-table metadata."""
+    return F.create_map(*[x for k, v in mapping.items() for x in (F.lit(k), F.lit(v))])[key]
+
+
+def table_row_counts(tables: dict[str, DataFrame]) -> DataFrame:
+    """table_name, row_count: one count per table, stacked."""
+    return reduce(DataFrame.unionByName, [
+        df.agg(F.count("*").cast("bigint").alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
+        for name, df in tables.items()
+    ])
+
+
+def audit_from_counts(counts: DataFrame, tables: dict[str, DataFrame], stages: dict[str, str], run_id: str,
+                      reconciliation_status: str = "PASS") -> DataFrame:
+    """Audit rows (AUDIT_SCHEMA order) from already counted tables."""
+    name = F.col("table_name")
+    return counts.select(
+        F.lit(run_id).alias("pipeline_run_id"), _lookup(stages, name).alias("pipeline_stage"), name,
+        F.col("row_count"), _lookup({k: len(v.columns) for k, v in tables.items()}, name).cast("int").alias("column_count"),
+        F.lit(reconciliation_status).alias("reconciliation_status"),
+        F.lit(0.0).alias("execution_time_seconds"), F.current_timestamp().alias("audit_timestamp_utc"),
+    )
+
+
+def registry_from_counts(counts: DataFrame, tables: dict[str, DataFrame], run_id: str, fmt: str) -> DataFrame:
+    """Registry rows for persisted tables from already counted tables."""
+    name = F.col("table_name")
+    return counts.select(
+        F.lit(run_id).alias("pipeline_run_id"), name,
+        _lookup({k: len(v.columns) for k, v in tables.items()}, name).cast("int").alias("column_count"),
+        F.col("row_count"), F.lit(fmt).alias("persistence_format"),
+        F.lit("CSV_EXPORTED" if fmt == "CSV" else f"{fmt}_WRITTEN").alias("persistence_status"),
+    )

@@ -107,13 +107,18 @@ def finalize_run(spark: SparkSession, sink: str, params: RunParams, silver: Data
     measured faster than as concurrent jobs (no oversubscription by tiny stages).
     """
     report = strict_reconciliation(silver, counts["bronze_row_count"], written)
-    audits = [RC.audit_record(silver, params.run_id, "silver", "silver_transactions")]
-    audits += [RC.audit_record(df, params.run_id, "gold", name) for name, df in sorted(written.items())]
-    registry = RC.gold_registry(written, params.run_id, {name: "PARQUET" for name in written})
     report_path = f"{sink}/reconciliation/run_id={params.run_id}"
     write_parquet(report, report_path)
-    append_records(RC.combine_audit_records(audits), f"{sink}/audit")
-    write_parquet(registry, f"{sink}/registry/run_id={params.run_id}")
+    # Count every table once; audit rows and the registry are both derived from these counts.
+    tables = {"silver_transactions": silver, **dict(sorted(written.items()))}
+    counts_path = f"{sink}/table_counts/run_id={params.run_id}"
+    write_parquet(RC.table_row_counts(tables), counts_path)
+    table_counts = spark.read.parquet(counts_path)
+    stages = {name: ("silver" if name == "silver_transactions" else "gold") for name in tables}
+    append_records(RC.audit_from_counts(table_counts, tables, stages, params.run_id), f"{sink}/audit")
+    write_parquet(RC.registry_from_counts(table_counts.filter(F.col("table_name") != "silver_transactions"),
+                                          written, params.run_id, "PARQUET"),
+                  f"{sink}/registry/run_id={params.run_id}")
     pipeline_status = RC.overall_status(spark.read.parquet(report_path)).first()["pipeline_status"]
     summary = {
         "pipeline_run_id": params.run_id,

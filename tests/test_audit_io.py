@@ -139,3 +139,14 @@ def test_quality_report_exports(spark):
 
 def test_descriptive_registry(spark):
     assert J.describe_gold_tables(spark).count() == 9
+
+
+def test_audit_and_registry_from_counts_match_direct_forms(spark):
+    tables = {"a": spark.range(3), "b": spark.range(5).withColumn("x", F.lit(1))}
+    counts = RC.table_row_counts(tables)
+    audit = RC.audit_from_counts(counts, tables, {"a": "gold", "b": "gold"}, "r").drop("audit_timestamp_utc", "execution_time_seconds")
+    direct = RC.combine_audit_records([RC.audit_record(df, "r", "gold", n, with_time=False) for n, df in tables.items()])
+    assert audit.exceptAll(direct).count() == 0 and direct.exceptAll(audit).count() == 0
+    reg = RC.registry_from_counts(counts, tables, "r", "PARQUET")
+    ref = RC.gold_registry(tables, "r", {"a": "PARQUET", "b": "PARQUET"})
+    assert reg.exceptAll(ref.select(*reg.columns)).count() == 0
