@@ -772,7 +772,6 @@ def q_stage_audit_gold(spark, sf):
 
 
 # ------------------------------------------------------------------ sources and sinks (round trips)
-from ledgerlake.session import scratch_path  # noqa: E402
 from ledgerlake.sources import csv as CSV  # noqa: E402
 from ledgerlake.sources import sinks as K  # noqa: E402
 
