@@ -36,4 +36,36 @@ SELECT doc_id, size::BIGINT AS size, source_size, target,
 FROM r
 """
 
-ORACLES: dict[str, str] = {"op8_source_mix": OP8}
+OP1 = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text, text IS NULL AS no_text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]', false), (-7, 1, 'assistant', '</s>[INST] ok [/INST]', false)
+), e AS (
+  SELECT *, regexp_replace(replace(text, '\', '\\'), '(<\|im_start\|>|<\|im_sep\|>|<\|im_end\|>|</?s>|\[/?INST\]|<</?SYS>>)', '?\1', 'g') AS marked_text,
+         regexp_replace(replace(role, '\', '\\'), '(<\|im_start\|>|<\|im_sep\|>|<\|im_end\|>|</?s>|\[/?INST\]|<</?SYS>>)', '?\1', 'g') AS marked_role
+  FROM c
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, no_text DESC, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, no_text DESC, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(length('<|im_start|><|im_sep|><|im_end|>') + length(marked_role) + length(marked_text))::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+OP9 = r"""
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS h FROM pages
+), f AS (
+  SELECT h, min(page_id) AS first FROM p GROUP BY h
+)
+SELECT p.page_id, n::BIGINT AS payload_bytes,
+       array_to_string([
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                1 + ((('0x' || substr(p.h, (5 * (i // 4) + 1)::BIGINT, 5))::BIGINT >> (15 - 5 * (i % 4))::BIGINT) & 31), 1) FOR i IN range(32)], '') AS payload_digest,
+       CASE WHEN first IS NULL OR first IS NOT DISTINCT FROM p.page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first IS NOT NULL AND first IS DISTINCT FROM p.page_id THEN first END AS refers_to
+FROM p JOIN f ON p.h = f.h
+"""
+
+ORACLES: dict[str, str] = {"op1_chat_format": OP1, "op8_source_mix": OP8, "op9_warc_round_trip": OP9}
