@@ -2,10 +2,11 @@
 
 Features are densities of lexicon words, plain and disguised (digits or signs for letters,
 stretched or spaced letters), how near they stand to the second person, and rates of capitals,
-punctuation and disguise. The lexicon is a short fixed one plus words that labelled toxic
-documents share and others lack. Lexicon, trees and calibration learn from at most about
-``LABELLED`` labelled documents that are not held out; a quarter of them, drawn by a hash, only
-calibrates. Language, source, id and labels are no inputs of a score.
+punctuation and disguise. The lexicon is a short fixed one plus words and word beginnings that
+labelled toxic documents share and others lack, far beyond chance. Lexicon, trees and
+calibration learn from at most about ``LABELLED`` labelled documents that are not held out; the
+calibration is fitted to scores by trees that haven't seen the document. Language, source, id
+and labels are no inputs of a score.
 
 Rows: a null text is an empty text and has a score. Rows with equal or null ids are scored one
 by one. Without labels, or with clean ones only, every score is 0. An empty table gives an
@@ -15,11 +16,13 @@ empty table. Only the named columns are read; ``clean`` keeps all columns of its
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,11 +30,14 @@ from ledgerlake.llm.common import prepare, staged
 from ledgerlake.llm.labelled import held_out, sample
 from ledgerlake.llm.trees import Trees, fit, isotonic
 
-LABELLED = 40_000
+LABELLED = 20_000
 THRESHOLD = 0.3
-#: Learned lexicon: so many words at most, each in so large a share of the toxic documents at
-#: least, and so many times as common there as elsewhere.
-LEARNED, LEAST_SHARE, LEAST_LIFT = 200, 0.02, 10.0
+#: Learned lexicon: so many entries at most, each so many times as common in toxic documents as
+#: elsewhere at least, and less likely by chance than this after counting all candidates.
+LEARNED, LEAST_LIFT, CHANCE = 200, 4.0, 0.01
+#: Lengths of word beginnings that may be entries, besides whole words.
+STEMS = (4, 5, 6, 7, 8)
+FOLDS = 4
 NEAR = 4
 #: Distinct words that a worker remembers.
 CACHED_WORDS = 300_000
@@ -45,7 +51,7 @@ INSULTS = (
 SECOND_PERSON = "you your yours yourself youre ur u du dich dir dein deine ihr euch tu toi te ton ta vous votre usted tú ti tus".split()
 
 FEATURES = (
-    "plain", "plain_n", "disguised", "disguised_n", "learned", "learned_n", "spaced_n", "near_second", "second",
+    "plain", "plain_n", "disguised", "disguised_n", "learned", "learned_n", "learned_weight", "spaced_n", "near_second", "second",
     "capitals", "capital_words", "punctuation", "exclaims", "mixed", "stretched", "log_words",
 )
 _EDGES = ".,;:!?'\"()[]{}<>-_/\\|#*&%^~`+=«»“”‘’…¡¿"
@@ -64,15 +70,19 @@ def core(word: bytes) -> str:
 class Lexicon(dict):
     """Word in UTF-8 to its marks; remembers a bounded number of words."""
 
-    def __init__(self, learned: list[str]) -> None:
+    def __init__(self, learned: dict[str, float]) -> None:
         super().__init__()
-        self.insults, self.learned, self.second = frozenset(INSULTS), frozenset(learned), frozenset(SECOND_PERSON)
-        self.all = self.insults | self.learned
+        self.insults, self.second, self.weights = frozenset(INSULTS), frozenset(SECOND_PERSON), learned
+        self.all = self.insults | {w for w in learned if not w.endswith("*")}
         self.single = {_REPEATS.sub(r"\1", w): w for w in self.all}
 
+    def weight(self, w: str) -> float:
+        """The largest weight of the learned entries that a word matches, 0 if there is none."""
+        return max([self.weights.get(w, 0.0), *(self.weights.get(f"{w[:n]}*", 0.0) for n in STEMS if len(w) > n)])
+
     def __missing__(self, word: bytes) -> int:
         w = core(word)
-        marks = (_PLAIN if w in self.insults else 0) | (_LEARNED if w in self.learned else 0)
+        marks = (_PLAIN if w in self.insults else 0) | (_LEARNED if self.weight(w) else 0)
         if w in self.second:
             marks |= _SECOND
         if len(w) == 1 and w.isalpha():
@@ -113,6 +123,7 @@ def features(raw: bytes, lexicon: Lexicon) -> tuple[float, ...]:
     marks = np.fromiter(map(lexicon.__getitem__, words), dtype=np.int16, count=len(words))
     plain, learned, disguised, second = ((marks & m) > 0 for m in (_PLAIN, _LEARNED, _DISGUISED, _SECOND))
     hit = plain | learned | disguised
+    weight = sum(lexicon.weight(core(words[i])) for i in np.flatnonzero(learned))
     near = 0
     if hit.any() and second.any():
         at, you = np.flatnonzero(hit), np.flatnonzero(second)
@@ -129,30 +140,76 @@ def features(raw: bytes, lexicon: Lexicon) -> tuple[float, ...]:
     upper, lower = size - len(joined.translate(None, _UPPER)), size - len(joined.translate(None, _LOWER))
     exclaims = raw.count(b"!")
     return (
-        plain.sum() / n, plain.sum(), disguised.sum() / n, disguised.sum(), learned.sum() / n, learned.sum(), spaced, near / n, second.sum() / n,
+        plain.sum() / n, plain.sum(), disguised.sum() / n, disguised.sum(), learned.sum() / n, learned.sum(), weight, spaced, near / n, second.sum() / n,
         upper / max(1, upper + lower), sum(map(bytes.isupper, words)) / n, (len(joined) - len(joined.translate(None, _PLAIN_EDGES))) / size,
         exclaims / n, ((marks & _MIXED) > 0).sum() / n, ((marks & _STRETCHED) > 0).sum() / n, np.log1p(len(words)),
     )
 
 
+def entries(raw: bytes) -> Counter[str]:
+    """A text's candidates and how often they occur: its words, and with a star the beginnings of longer ones."""
+    found: Counter[str] = Counter()
+    for w, n in Counter(map(core, raw.split())).items():
+        found[w] += n
+        for k in STEMS:
+            if len(w) > k:
+                found[f"{w[:k]}*"] += n
+    return found
+
+
 def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows(counts: dict[tuple[str, int], list[int]]) -> pa.RecordBatch:
+        clean, toxic = ([c[k] for c in counts.values()] for k in (0, 1))
+        word, times = ([k[i] for k in counts] for i in (0, 1))
+        return pa.RecordBatch.from_arrays([pa.array(word, pa.string()), pa.array(times, pa.int32()), pa.array(clean, pa.int64()), pa.array(toxic, pa.int64())], names=["word", "times", "clean", "toxic"])
+
+    counts: dict[tuple[str, int], list[int]] = {}
     for b in batches:
-        counts: dict[str, list[int]] = {}
         for t, y in zip(b.column("text").cast(pa.binary()).to_pylist(), b.column("y").to_pylist(), strict=True):
-            for w in {core(w) for w in (t or b"").split()}:
-                counts.setdefault(w, [0, 0])[y > 0] += 1
-        yield pa.RecordBatch.from_arrays([pa.array(list(counts)), pa.array([c[0] for c in counts.values()], pa.int64()), pa.array([c[1] for c in counts.values()], pa.int64())], names=["word", "clean", "toxic"])
+            for w, n in entries(t or b"").items():
+                for times in range(1, min(n, 2) + 1):
+                    counts.setdefault((w, times), [0, 0])[y > 0] += 1
+        if len(counts) > CACHED_WORDS:
+            yield rows(counts)
+            counts = {}
+    yield rows(counts)
 
 
-def learned_words(texts: DataFrame) -> list[str]:
-    """Words (of text, y) that toxic documents share and others lack; ``LEARNED`` at most."""
-    totals = texts.agg(F.count(F.when(F.col("y") > 0, 1)), F.count(F.when(F.col("y") <= 0, 1))).first()
-    toxic, clean = (max(1, x) for x in totals)
-    share = F.col("toxic") / toxic
-    lift = share / ((F.col("clean") + 0.5) / clean)
-    words = texts.mapInArrow(_words, "word string, clean long, toxic long").groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    words = words.where((F.length("word") > 2) & (F.col("toxic") > 2) & (share >= LEAST_SHARE) & (lift >= LEAST_LIFT))
-    return [r["word"] for r in words.orderBy(F.desc("toxic"), "word").limit(LEARNED).collect()]
+def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        marks = []
+        for t in b.column("text").cast(pa.binary()).to_pylist():
+            words = (t or b"").lower().split()
+            runs = (b" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4)))
+            marks.append(min(map(xxhash.xxh64_intdigest, runs)).to_bytes(8, "big"))
+        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(marks, pa.binary())], names=[*b.schema.names, "mark"])
+
+
+def learned_words(texts: DataFrame) -> dict[str, float]:
+    """Entries (of text, y) that toxic documents share and others lack, and their log lifts; ``LEARNED`` at most.
+
+    An entry counts where it occurs, and once more where it occurs twice or more. Near copies would make any word of theirs common, so of texts with the same smallest hash of
+    five words one counts. An entry in t toxic and c other documents has the log-likelihood ratio
+    of two rates over one; it must exceed what the best of all candidates reaches by chance. Of
+    entries where one begins with the other the stronger stays.
+    """
+    one = texts.mapInArrow(_signed, "text string, y int, mark binary").dropDuplicates(["y", "mark"]).select("text", "y")
+    one = staged(one, "toxic-distinct")
+    toxic, clean = (max(1, x) for x in one.agg(F.count(F.when(F.col("y") > 0, 1)), F.count(F.when(F.col("y") <= 0, 1))).first())
+    words = staged(one.mapInArrow(_words, "word string, times int, clean long, toxic long").groupBy("word", "times").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")), "toxic-words")
+    least = float(np.log(max(1, words.count()) / CHANCE))
+    share = toxic / (toxic + clean)
+    t, c = F.col("toxic"), F.col("clean")
+    # t * log(t / expected) + c * log(c / expected)
+    ratio = t * F.log(t / ((t + c) * share)) + F.when(c > 0, c * F.log(c / ((t + c) * (1 - share)))).otherwise(0.0)
+    lift = (t / toxic) / ((c + 0.5) / clean)
+    found = words.where((t > 0) & (F.length("word") > 2) & (lift >= LEAST_LIFT)).where(ratio >= least)
+    taken: dict[str, float] = {}
+    for r in found.orderBy(F.desc(ratio), F.length("word"), "word", "times").select("word", F.log(lift).alias("weight")).limit(20 * LEARNED).collect():
+        w = r["word"].rstrip("*")
+        if len(taken) < LEARNED and not any(w.startswith(x.rstrip("*")) or x.startswith(w) for x in taken):
+            taken[r["word"]] = r["weight"]
+    return taken
 
 
 def _matrix(batch: pa.RecordBatch, text_col: str, lexicon: Lexicon) -> np.ndarray:
@@ -160,7 +217,7 @@ def _matrix(batch: pa.RecordBatch, text_col: str, lexicon: Lexicon) -> np.ndarra
     return np.array([features(t or b"", lexicon) for t in texts], dtype=float).reshape(len(texts), len(FEATURES))
 
 
-def _measure(learned: list[str]):
+def _measure(learned: dict[str, float]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = Lexicon(learned)
         for b in batches:
@@ -180,15 +237,18 @@ class Model:
         return np.clip(np.interp(self.trees.score(x), self.knots, self.values), 0.0, 1.0)
 
 
-def fit_model(x: np.ndarray, y: np.ndarray, calibrates: np.ndarray) -> Model | None:
-    """Trees from the rows that don't calibrate, knots from those that do; None without a toxic row."""
+def fit_model(x: np.ndarray, y: np.ndarray, fold: np.ndarray) -> Model | None:
+    """Trees from all rows, calibrated on scores by trees of the other folds; None without a toxic row."""
     if not y.sum():
         return None
-    learns = ~calibrates
-    if len(np.unique(y[learns])) < 2 or len(np.unique(y[calibrates])) < 2:
-        learns = calibrates = np.ones(len(y), dtype=bool)
-    trees = fit(x[learns], y[learns])
-    return Model(trees, *isotonic(trees.score(x[calibrates]), y[calibrates]))
+    unseen = np.zeros(len(y))
+    for k in range(FOLDS):
+        unseen[fold == k] = _trees(x[fold != k], y[fold != k]).score(x[fold == k])
+    return Model(_trees(x, y), *isotonic(unseen, y))
+
+
+def _trees(x: np.ndarray, y: np.ndarray) -> Trees:
+    return fit(x, y, trees=40, depth=3, least=2.0, ridge=2.0)
 
 
 def _scores(model: Model | None, batch: pa.RecordBatch, text_col: str, lexicon: Lexicon) -> np.ndarray:
@@ -197,7 +257,7 @@ def _scores(model: Model | None, batch: pa.RecordBatch, text_col: str, lexicon:
     return model.score(_matrix(batch, text_col, lexicon))
 
 
-def _score(learned: list[str], model: Model | None):
+def _score(learned: dict[str, float], model: Model | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = Lexicon(learned)
         for b in batches:
@@ -206,7 +266,7 @@ def _score(learned: list[str], model: Model | None):
     return run
 
 
-def _clean(learned: list[str], model: Model | None, text_col: str, threshold: float):
+def _clean(learned: dict[str, float], model: Model | None, text_col: str, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = Lexicon(learned)
         for b in batches:
@@ -215,19 +275,19 @@ def _clean(learned: list[str], model: Model | None, text_col: str, threshold: fl
     return run
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label: str = "toxic", rows: int = LABELLED) -> tuple[list[str], Model | None]:
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label: str = "toxic", rows: int = LABELLED) -> tuple[dict[str, float], Model | None]:
     """The learned lexicon and the model; numbers of about ``rows`` documents reach the driver at most."""
     prepare(docs.sparkSession)
     drawn = F.broadcast(sample(labels, label, rows))
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(drawn, "doc_id")
     texts = staged(texts.select(F.col("doc_id").cast("string").alias("doc_id"), "text", "y"), "toxic-labelled")
-    learned = learned_words(texts)
+    learned = learned_words(texts.select("text", "y"))
     got = texts.mapInArrow(_measure(learned), "doc_id string, y int, features array<double>")
-    got = got.withColumn("calibrates", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(4)) == 0).toPandas()
+    got = got.withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(FOLDS))).toPandas()
     if got.empty:
         return learned, None
     got = got.sort_values("doc_id", kind="stable")
-    return learned, fit_model(np.stack(got["features"].to_list()), got["y"].to_numpy(dtype=float), got["calibrates"].to_numpy(dtype=bool))
+    return learned, fit_model(np.stack(got["features"].to_list()), got["y"].to_numpy(dtype=float), got["fold"].to_numpy(dtype=int))
 
 
 def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -114,14 +114,14 @@ def test_toxicity_on_held_out_labels(spark):
     rows = toxicity.score(table(spark, sf, "documents"), table(spark, sf, "labels")).collect()
     assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.3) for r in rows)
     y, p = held_out_rates(rows, table(spark, sf, "labels"), "toxic", lambda r: r["predicted"])
-    assert p[y == 1].mean() > 0.95 and p[y == 0].mean() < 0.02
+    assert p[y == 1].mean() >= 0.9 and p[y == 0].mean() < 0.01
     kept = toxicity.clean(table(spark, sf, "documents"), table(spark, sf, "labels"))
     assert kept.columns == table(spark, sf, "documents").columns
     assert {r["doc_id"] for r in kept.select("doc_id").collect()} == {r["doc_id"] for r in rows if not r["predicted"]}
 
 
 def test_disguised_insults():
-    lexicon = toxicity.Lexicon([])
+    lexicon = toxicity.Lexicon({})
     of = dict(zip(toxicity.FEATURES, toxicity.features("You are an 1d10t, st*pid, looooser, l o s e r!".encode(), lexicon), strict=True))
     assert of["disguised_n"] == 3 and of["spaced_n"] == 1 and of["near_second"] > 0
     clean = dict(zip(toxicity.FEATURES, toxicity.features(prose(3, 500).encode(), lexicon), strict=True))
