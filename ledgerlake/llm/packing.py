@@ -32,7 +32,7 @@ from ledgerlake.llm.tokens import encoder, gathered
 
 GROUP = 4096
 #: Sequences that the search of a group closes at most, and steps within one filling.
-NODES, STEPS, FILLINGS = 20_000, 400, 4
+NODES, STEPS, FILLINGS = 4000, 100, 3
 
 
 def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
@@ -54,8 +54,24 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
 
 
 def fewest(lengths: list[int], capacity: int) -> int:
-    """No packing has fewer bins: total over capacity, and pieces over half a bin never share one."""
-    return max(-(-sum(lengths) // capacity), sum(2 * n > capacity for n in lengths))
+    """No packing has fewer bins.
+
+    For any least size k: pieces over capacity - k stand alone as far as pieces of at least k go,
+    pieces over half a bin never share one, and what other pieces of at least k don't find room
+    for beside those needs bins of its own.
+    """
+    n = np.sort(np.asarray(lengths, dtype=np.int64))
+    total = np.concatenate([[0], np.cumsum(n)])
+    half = int(np.searchsorted(n, capacity // 2, side="right"))
+    best = -(-int(total[-1]) // capacity)
+    for k in np.unique(np.append(n[:half], 0)).tolist():
+        alone = int(np.searchsorted(n, capacity - k, side="right"))
+        first = int(np.searchsorted(n, k, side="left"))
+        alone = max(alone, half)
+        room = (alone - half) * capacity - int(total[alone] - total[half])
+        rest = int(total[half] - total[min(first, half)]) - room
+        best = max(best, len(n) - half + max(0, -(-rest // capacity)))
+    return best
 
 
 class _Search:
