@@ -40,7 +40,7 @@ STEMS = (4, 5, 6, 7, 8)
 FOLDS = 4
 NEAR = 4
 #: Distinct words that a worker remembers.
-CACHED_WORDS = 300_000
+CACHED_WORDS = 500_000
 # Insults, and words of the second person, in the languages of the corpus.
 INSULTS = (
     "idiot idiots idiotic moron morons moronic stupid dumb dumbass loser losers pathetic worthless trash scum clown "
@@ -58,6 +58,7 @@ _EDGES = ".,;:!?'\"()[]{}<>-_/\\|#*&%^~`+=«»“”‘’…¡¿"
 _PLAIN_EDGES = _EDGES.encode()
 _LEET = str.maketrans("013457@$!|+€", "oieastasiite")
 _REPEATS = re.compile(r"(.)\1+")
+_STRETCHED_RUN = re.compile(r"(.)\1\1")
 _UPPER, _LOWER = bytes(range(65, 91)), bytes(range(97, 123))
 _NONE, _PLAIN, _LEARNED, _DISGUISED, _SECOND, _LETTER, _MIXED, _STRETCHED = 0, 1, 2, 4, 8, 16, 32, 64
 
@@ -76,22 +77,30 @@ class Lexicon(dict):
         self.all = self.insults | {w for w in learned if not w.endswith("*")}
         self.single = {_REPEATS.sub(r"\1", w): w for w in self.all}
 
+        self.heads = frozenset(w[: STEMS[0]] for w in learned)
+
     def weight(self, w: str) -> float:
         """The largest weight of the learned entries that a word matches, 0 if there is none."""
+        if w[: STEMS[0]] not in self.heads:
+            return 0.0
         return max([self.weights.get(w, 0.0), *(self.weights.get(f"{w[:n]}*", 0.0) for n in STEMS if len(w) > n)])
 
     def __missing__(self, word: bytes) -> int:
-        w = core(word)
+        low = word.decode().lower()
+        w = low.strip(_EDGES)
         marks = (_PLAIN if w in self.insults else 0) | (_LEARNED if self.weight(w) else 0)
+        letters = w.isalpha()
+        stretched = _STRETCHED_RUN.search(w) is not None
         if w in self.second:
             marks |= _SECOND
-        if len(w) == 1 and w.isalpha():
+        if letters and len(w) == 1:
             marks |= _LETTER
-        if not w.isalpha() and any(c.isalpha() for c in w):
+        if not letters and any(map(str.isalpha, w)):
             marks |= _MIXED
-        if any(m.end() - m.start() > 2 for m in _REPEATS.finditer(w)):
+        if stretched:
             marks |= _STRETCHED
-        if not marks & (_PLAIN | _LEARNED) and len(w) > 2 and self.undisguised(word.decode().lower()):
+        # A word of letters without a stretch hides nothing, unless a sign before it is one more letter.
+        if not marks & (_PLAIN | _LEARNED) and len(w) > 2 and (not letters or stretched or low[0] in "!$@|") and self.undisguised(low):
             marks |= _DISGUISED
         if len(self) < CACHED_WORDS:
             self[word] = marks
@@ -113,9 +122,6 @@ class Lexicon(dict):
         return False
 
 
-_STRETCHED_RUN = re.compile(r"(.)\1\1")
-
-
 def features(raw: bytes, lexicon: Lexicon) -> tuple[float, ...]:
     """The features of one whole text in UTF-8, in the order of ``FEATURES``."""
     words = raw.split()
