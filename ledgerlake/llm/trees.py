@@ -123,11 +123,12 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = 60, depth: int = 4, rate: flo
 
 def isotonic(score: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pool-adjacent-violators: knots and the non-decreasing values at them, for ``np.interp``."""
+    scores, place, counts = np.unique(score, return_inverse=True, return_counts=True)
+    means = np.bincount(place, weights=y) / counts
     blocks: list[list[float]] = []  # mean, weight, first score, last score
-    order = np.argsort(score, kind="stable")
-    for s, v in zip(score[order].tolist(), y[order].tolist(), strict=True):
-        blocks.append([v, 1.0, s, s])
-        while len(blocks) > 1 and (blocks[-2][0] >= blocks[-1][0] or blocks[-2][3] == blocks[-1][2]):
+    for s, v, n in zip(scores.tolist(), means.tolist(), counts.tolist(), strict=True):  # equal scores are one
+        blocks.append([v, float(n), s, s])
+        while len(blocks) > 1 and blocks[-2][0] >= blocks[-1][0]:
             m, w, _, last = blocks.pop()
             b = blocks[-1]
             b[0], b[1], b[3] = (b[0] * b[1] + m * w) / (b[1] + w), b[1] + w, last

@@ -105,8 +105,10 @@ def held_out_rates(rows, labels, label, value):
 
 def test_quality_on_held_out_labels(spark):
     sf = "/root/testdata/sf0.1"
-    y, kept = held_out_rates(quality.judge(table(spark, sf, "documents"), table(spark, sf, "labels")).collect(), table(spark, sf, "labels"), "quality", lambda r: r["kept"])
-    assert kept[y == 1].mean() > 0.97 and kept[y == 0].mean() < 0.1
+    rows = quality.judge(table(spark, sf, "documents"), table(spark, sf, "labels")).collect()
+    # the trees' verdict; what the fixed limits reject is settled before it
+    y, kept = held_out_rates([r for r in rows if not r["base_failed"]], table(spark, sf, "labels"), "quality", lambda r: r["kept"])
+    assert kept[y == 1].mean() > 0.98 and kept[y == 0].mean() < 0.1
 
 
 def test_toxicity_on_held_out_labels(spark):
