@@ -1,64 +1,53 @@
 """Prior-history features per key without putting one key into one task.
 
-``prior_history_window`` is the textbook form: a window partitioned by the key.
-It is exact but a key holding a third of all rows becomes one task.
-
-``prior_history_scan`` computes the same columns as a distributed prefix scan:
-
-1. Rows get a tie-break among identical rows (``_tb``; only identical rows can
-   tie on the order key, so which copy gets which index does not change the bag
-   of results) and are range-partitioned + sorted on (key, order..., _tb) into N
-   balanced partitions. A hot key simply spans many partitions.
-2. Each partition emits one summary row: its first key, its last key and the
-   running totals of that last key (``mapInPandas``, vectorised numpy).
-3. A window over the N summary rows (N = the partition count, a fixed bound)
-   turns those into a carry-in per partition for its first key.
-4. The carry table is broadcast (N rows) onto the sorted rows, and one more
-   ``mapInPandas`` pass emits the per-row prior count / sum / max / fraud and
-   the previous row's step and amount.
-
-One range shuffle of the rows, materialised once by a reliable ``checkpoint``
-(so both passes read identical partitions and lineage is cut); every task
-handles at most one partition.
+``prior_history_window`` is a window partitioned by the key. A key that holds a
+third of all rows becomes one task there.
+
+``prior_history_scan`` computes the same columns as a distributed prefix scan,
+in DataFrame operations only:
+
+1. Rows get a tie-break among identical rows (``_tb``; only identical rows tie
+   on the order key, so which copy comes first does not change the bag of
+   results) and are range-partitioned on (key, order..., _tb). A hot key spans
+   as many ranges as its rows need. The ranges are written once by a reliable
+   ``checkpoint``, since their bounds are sampled per exchange.
+2. Totals per (key, range), summed over a key's earlier ranges, are the carry
+   of a range's first key: at most one row per range.
+3. Windows over (key, range) give the history inside a range; the carry is
+   joined by range number first, so the rows shuffle once, evenly.
+
+Sums are over ``decimal(28,6)`` and turn into doubles at the end, so neither
+the order of addition nor the split into ranges changes a digit: both forms
+return the same values. NULL amounts are skipped as by ``sum`` and ``max``;
+amounts that are not finite do not add to a sum. Keys may have any type, and
+NULL is a key of its own in both forms.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ledgerlake.session import checkpoint_root
 
-# The per-partition functions below run in Python workers; ship this module by
-# value so executors need no installed copy of the package.
-try:  # pragma: no cover - depends on the pyspark build
-    import sys as _sys
-
-    from pyspark import cloudpickle as _cloudpickle
-
-    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
-except Exception:  # noqa: BLE001
-    pass
-
 PRIOR_COLUMNS = [
     "_prior_count", "_prior_sum", "_prior_max", "_prior_fraud", "_prev_step", "_prev_amount",
 ]
 
 
+def _exact(amount: str) -> Column:
+    return F.col(amount).try_cast("decimal(28,6)")
+
+
 def prior_history_window(df: DataFrame, key: str, order: list[str], amount: str = "amount",
                          fraud: str = "is_fraud", step: str = "step") -> DataFrame:
-    """Reference form: one window partitioned by ``key``."""
+    """One window partitioned by ``key``."""
     w = Window.partitionBy(key).orderBy(*order)
     prior = w.rowsBetween(Window.unboundedPreceding, -1)
     return df.withColumns(
         {
             "_prior_count": F.count("*").over(prior),
-            "_prior_sum": F.sum(amount).over(prior),
+            "_prior_sum": F.sum(_exact(amount)).over(prior).cast("double"),
             "_prior_max": F.max(amount).over(prior),
             "_prior_fraud": F.sum(fraud).over(prior).cast("bigint"),
             "_prev_step": F.lag(step, 1).over(w),
@@ -67,237 +56,83 @@ def prior_history_window(df: DataFrame, key: str, order: list[str], amount: str
     )
 
 
-@dataclass
-class _State:
-    """Running totals of the current key while walking a sorted partition."""
-
-    key: object = None
-    active: bool = False
-    count: int = 0
-    total: float = 0.0
-    maximum: float = float("nan")
-    fraud: int = 0
-    last_step: float = float("nan")
-    last_amount: float = float("nan")
-
-
-def _walk(pdf: pd.DataFrame, key: str, amount: str, fraud: str, step: str, st: _State):
-    """Exclusive running aggregates for one sorted batch, seeded by ``st``."""
-    n = len(pdf)
-    keys = pdf[key].to_numpy()
-    vals = pdf[amount].to_numpy(dtype="float64")
-    frauds = pdf[fraud].to_numpy(dtype="float64")
-    steps = pdf[step].to_numpy(dtype="float64")
-    starts = np.ones(n, dtype=bool)
-    starts[1:] = keys[1:] != keys[:-1]
-    cont = st.active and n > 0 and keys[0] == st.key
-    if cont:
-        starts[0] = False
-    gid = np.cumsum(starts)
-
-    def shifted(arr, seed_value, fill):
-        out = np.empty(n, dtype="float64")
-        out[1:] = arr[:-1]
-        out[starts] = fill
-        if cont:
-            out[0] = seed_value
-        return out
-
-    g = pd.Series(gid)
-    cnt = g.groupby(gid).cumcount().to_numpy().astype("int64")
-    if cont:
-        cnt[gid == gid[0]] += st.count
-    prior_sum = pd.Series(shifted(vals, st.total, 0.0)).groupby(gid).cumsum().to_numpy()
-    prior_fraud = pd.Series(shifted(frauds, float(st.fraud), 0.0)).groupby(gid).cumsum().to_numpy()
-    prior_max = pd.Series(shifted(vals, st.maximum, np.nan)).groupby(gid).cummax().to_numpy()
-    prev_step = shifted(steps, st.last_step, np.nan)
-    prev_amount = shifted(vals, st.last_amount, np.nan)
-    if n:
-        last = n - 1
-        st.key, st.active = keys[last], True
-        st.count = int(cnt[last]) + 1
-        st.total = float(prior_sum[last] + vals[last])
-        pm = prior_max[last]
-        st.maximum = float(vals[last] if np.isnan(pm) else max(pm, vals[last]))
-        st.fraud = int(prior_fraud[last] + frauds[last])
-        st.last_step, st.last_amount = float(steps[last]), float(vals[last])
-    has_prior = cnt > 0
-    return {
-        "_prior_count": cnt,
-        "_prior_sum": np.where(has_prior, prior_sum, np.nan),
-        "_prior_max": np.where(has_prior, prior_max, np.nan),
-        "_prior_fraud": np.where(has_prior, prior_fraud, np.nan),
-        "_prev_step": prev_step,
-        "_prev_amount": prev_amount,
-    }
-
-
-def _nullable_int(values: np.ndarray) -> pd.array:
-    """float64 with NaN for missing -> pandas nullable Int64 (NULL in Spark)."""
-    missing = np.isnan(values)
-    out = pd.array(np.where(missing, 0, values).astype("int64"), dtype="Int64")
-    out[missing] = pd.NA
-    return out
-
-
-_SUMMARY_SCHEMA = T.StructType(
-    [
-        T.StructField("_pid", T.IntegerType()),
-        T.StructField("first_key", T.StringType()),
-        T.StructField("last_key", T.StringType()),
-        T.StructField("last_count", T.LongType()),
-        T.StructField("last_total", T.DoubleType()),
-        T.StructField("last_max", T.DoubleType()),
-        T.StructField("last_fraud", T.LongType()),
-        T.StructField("last_step", T.DoubleType()),
-        T.StructField("last_amount", T.DoubleType()),
-    ]
-)
-
-
 def prior_history_scan(df: DataFrame, key: str, order: list[str], amount: str = "amount",
                        fraud: str = "is_fraud", step: str = "step",
                        num_partitions: int | None = None) -> DataFrame:
     """Skew-safe equivalent of :func:`prior_history_window` (see module doc)."""
-    spark = df.sparkSession
-    n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    checkpoint_root(df.sparkSession)
     sort_cols = [key, *order, "_tb"]
-    checkpoint_root(spark)
-    # Materialise the sorted ranges once (reliable checkpoint in the shared
-    # checkpoint folder): the summary pass and the apply pass must see exactly
-    # the same partitions, and range bounds are sampled per exchange.
-    ranged = (
-        df.withColumn("_tb", F.monotonically_increasing_id())
-        .repartitionByRange(n_parts, *sort_cols)
-        .sortWithinPartitions(*sort_cols)
-        .checkpoint(eager=True)
+    tied = df.withColumn("_tb", F.monotonically_increasing_id())
+    ranged = (tied.repartitionByRange(num_partitions, *sort_cols) if num_partitions
+              else tied.repartitionByRange(*sort_cols))
+    ranged = ranged.withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True)
+
+    totals = ranged.groupBy(F.col(key).alias("_c_key"), "_pid").agg(
+        F.count("*").alias("n"), F.sum(_exact(amount)).alias("total"), F.max(amount).alias("most"),
+        F.sum(fraud).alias("frauds"),
+        F.max_by(F.struct(F.col(step).alias("step"), F.col(amount).alias("amount")), F.struct(*order, "_tb")).alias("last"),
     )
-
-    def summarize(batches):
-        from pyspark import TaskContext
-
-        st = _State()
-        first_key = None
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            if first_key is None:
-                first_key = pdf[key].iloc[0]
-            _walk(pdf, key, amount, fraud, step, st)
-        if first_key is None:
-            return
-        yield pd.DataFrame(
-            {
-                "_pid": [TaskContext.get().partitionId()],
-                "first_key": [first_key], "last_key": [st.key],
-                "last_count": [st.count], "last_total": [st.total],
-                "last_max": [st.maximum], "last_fraud": [st.fraud],
-                "last_step": [st.last_step], "last_amount": [st.last_amount],
-            }
-        )
-
-    # ``apply`` still checks that each carry belongs to its partition's first key.
-    summary = ranged.mapInPandas(summarize, _SUMMARY_SCHEMA)
-    by_last = Window.partitionBy("last_key").orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0)
-    cum = summary.select(
-        "_pid", "first_key", "last_key", "last_step", "last_amount",
-        F.sum("last_count").over(by_last).alias("cum_count"),
-        F.sum("last_total").over(by_last).alias("cum_total"),
-        F.max("last_max").over(by_last).alias("cum_max"),
-        F.sum("last_fraud").over(by_last).alias("cum_fraud"),
+    by_key = Window.partitionBy("_c_key").orderBy("_pid")
+    earlier = by_key.rowsBetween(Window.unboundedPreceding, -1)
+    carry = totals.select(
+        "_pid", "_c_key", F.sum("n").over(earlier).alias("_c_n"), F.sum("total").over(earlier).alias("_c_total"),
+        F.max("most").over(earlier).alias("_c_most"), F.sum("frauds").over(earlier).alias("_c_frauds"),
+        F.lag("last", 1).over(by_key).alias("_c_last"),
+    ).filter(F.col("_c_n").isNotNull())
+
+    w = Window.partitionBy(key, "_pid").orderBy(*order, "_tb")
+    prior = w.rowsBetween(Window.unboundedPreceding, -1)
+    rows = ranged.join(carry, "_pid", "left").withColumns(
+        {
+            "_n": F.count("*").over(prior), "_total": F.sum(_exact(amount)).over(prior),
+            "_most": F.max(amount).over(prior), "_frauds": F.sum(fraud).over(prior),
+            "_last": F.lag(F.struct(F.col(step).alias("step"), F.col(amount).alias("amount")), 1).over(w),
+        }
     )
-    # One global window over N summary rows: bounded by the partition count.
-    by_pid = Window.orderBy("_pid")
-    prev = lambda c: F.lag(c, 1).over(by_pid)
-    carry = cum.select(
-        "_pid",
-        F.when(prev("last_key") == F.col("first_key"), F.lit(True)).otherwise(F.lit(False)).alias("_c_active"),
-        F.col("first_key").alias("_c_key"),
-        prev("cum_count").alias("_c_count"),
-        prev("cum_total").alias("_c_total"),
-        prev("cum_max").alias("_c_max"),
-        prev("cum_fraud").alias("_c_fraud"),
-        prev("last_step").alias("_c_step"),
-        prev("last_amount").alias("_c_amount"),
+    goes_on = F.col("_c_n").isNotNull() & F.col(key).eqNullSafe(F.col("_c_key"))
+
+    def carried(name: str) -> Column:
+        return F.when(goes_on, F.col(name))
+
+    def plus(name: str, carry_name: str) -> Column:
+        a, b = F.col(name), carried(carry_name)
+        return F.coalesce(a + b, a, b)
+
+    last = F.when(F.col("_n") > 0, F.col("_last")).otherwise(carried("_c_last"))
+    return rows.select(
+        *df.columns,
+        plus("_n", "_c_n").alias("_prior_count"),
+        plus("_total", "_c_total").cast("double").alias("_prior_sum"),
+        F.greatest(F.col("_most"), carried("_c_most")).alias("_prior_max"),
+        plus("_frauds", "_c_frauds").cast("bigint").alias("_prior_fraud"),
+        last["step"].alias("_prev_step"),
+        last["amount"].alias("_prev_amount"),
     )
 
-    base_fields = [f for f in ranged.schema.fields]
-    out_schema = T.StructType(
-        [f for f in base_fields if f.name != "_tb"]
-        + [
-            T.StructField("_prior_count", T.LongType()),
-            T.StructField("_prior_sum", T.DoubleType()),
-            T.StructField("_prior_max", T.DoubleType()),
-            T.StructField("_prior_fraud", T.LongType()),
-            T.StructField("_prev_step", df.schema[step].dataType),
-            T.StructField("_prev_amount", T.DoubleType()),
-        ]
-    )
-    keep = [f.name for f in base_fields if f.name != "_tb"]
-    step_is_integral = isinstance(df.schema[step].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
-    carry_cols = ["_c_active", "_c_key", "_c_count", "_c_total", "_c_max", "_c_fraud", "_c_step", "_c_amount"]
-
-    def apply(batches):
-        st = None
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            if st is None:
-                c = pdf.iloc[0]
-                if pd.notna(c["_c_key"]) and c["_c_key"] != c[key]:
-                    raise RuntimeError("prefix scan: carry does not belong to this partition")
-                st = _State()
-                if bool(c["_c_active"]) if pd.notna(c["_c_active"]) else False:
-                    st.key, st.active = c["_c_key"], True
-                    st.count = int(c["_c_count"])
-                    st.total = float(c["_c_total"])
-                    st.maximum = float(c["_c_max"]) if pd.notna(c["_c_max"]) else float("nan")
-                    st.fraud = int(c["_c_fraud"])
-                    st.last_step = float(c["_c_step"])
-                    st.last_amount = float(c["_c_amount"])
-            out = _walk(pdf, key, amount, fraud, step, st)
-            res = pdf[keep].copy()
-            res["_prior_count"] = out["_prior_count"]
-            res["_prior_sum"] = out["_prior_sum"]
-            res["_prior_max"] = out["_prior_max"]
-            res["_prior_fraud"] = _nullable_int(out["_prior_fraud"])
-            res["_prev_step"] = _nullable_int(out["_prev_step"]) if step_is_integral else out["_prev_step"]
-            res["_prev_amount"] = out["_prev_amount"]
-            yield res
-
-    with_pid = ranged.withColumn("_pid", F.spark_partition_id())
-    joined = with_pid.join(F.broadcast(carry), "_pid", "left").select(*keep, *carry_cols)
-    return joined.mapInPandas(apply, out_schema)
-
 
 HOT_KEY_ROWS_CONF = "ledgerlake.history.hotKeyRows"
 DEFAULT_HOT_KEY_ROWS = 2_000_000
-MAX_BROADCAST_HOT_KEYS = 100_000
 
 
 def prior_history(df: DataFrame, key: str, order: list[str], amount: str = "amount", fraud: str = "is_fraud",
                   step: str = "step", hot_key_rows: int | None = None, num_partitions: int | None = None,
                   key_counts: DataFrame | None = None) -> DataFrame:
-    """Split by key size: ordinary keys use the window, hot keys the prefix scan.
+    """Ordinary keys by the window, hot keys by the prefix scan; the values do not depend on which.
 
     A key is hot when it holds more than ``hot_key_rows`` rows (session conf
-    ``ledgerlake.history.hotKeyRows``). Window tasks are then bounded by that
-    threshold; hot keys are spread over range partitions by the scan. The hot
-    key list holds at most ``rows / hot_key_rows`` keys; its size is counted
-    before it is broadcast, and a shuffle join is used beyond a fixed bound.
+    ``ledgerlake.history.hotKeyRows``), which bounds a window task. The joins
+    that part the rows carry no hint: adaptive execution broadcasts the hot keys
+    where their measured size allows it. NULL is a key like any other.
     ``key_counts`` (columns ``key``, ``_key_rows``) reuses rows-per-key that a job
     already computed (e.g. a written per-account summary) instead of a new pass.
     """
     spark = df.sparkSession
     limit = hot_key_rows or int(spark.conf.get(HOT_KEY_ROWS_CONF, str(DEFAULT_HOT_KEY_ROWS)))
     counts = key_counts if key_counts is not None else df.groupBy(key).agg(F.count("*").alias("_key_rows"))
-    hot = counts.filter(F.col("_key_rows") > limit).select(key)
-    n_hot = hot.count()
-    if n_hot == 0:
+    hot = counts.filter(F.col("_key_rows") > limit).select(F.col(key).alias("_hot_key"))
+    if hot.isEmpty():
         return prior_history_window(df, key, order, amount, fraud, step)
-    tag = F.broadcast(hot) if n_hot <= MAX_BROADCAST_HOT_KEYS else hot
-    cold_rows = df.join(tag, key, "left_anti")
-    hot_rows = df.join(tag, key, "left_semi")
-    cold = prior_history_window(cold_rows, key, order, amount, fraud, step)
-    warm = prior_history_scan(hot_rows, key, order, amount, fraud, step, num_partitions)
+    same = F.col(key).eqNullSafe(F.col("_hot_key"))
+    cold = prior_history_window(df.join(hot, same, "left_anti"), key, order, amount, fraud, step)
+    warm = prior_history_scan(df.join(hot, same, "left_semi"), key, order, amount, fraud, step, num_partitions)
     return cold.unionByName(warm.select(*cold.columns))

@@ -210,7 +210,8 @@ def fraud_by_type(raw: DataFrame) -> DataFrame:
         F.sum("isFraud").cast("bigint").alias("fraud_count"),
         F.sum("amount").alias("total_amount"),
     )
-    return agg.withColumn("fraud_rate_pct", F.col("fraud_count") / F.col("transaction_count") * 100.0)
+    rated = agg.withColumn("fraud_rate_pct", F.col("fraud_count") / F.col("transaction_count") * 100.0)
+    return rated.orderBy(F.desc("fraud_rate_pct"), "type")
 
 
 def hourly_profile(raw: DataFrame) -> DataFrame:
@@ -293,37 +294,30 @@ class Check:
 
 
 def row_check_meta(columns: Sequence[str] = RAW_COLUMNS) -> list[tuple[str, str, str, str]]:
-    """(name, category, severity, description) of the row checks, in report order (plain text)."""
-    meta = [(f"{c}_not_null", "completeness", "ERROR", f"{c} should not contain null values.") for c in columns]
+    """(name, category, severity, description) of the row checks, in report order.
+
+    Names, categories and severities are fixed values; descriptions are this library's own text.
+    """
+    meta = [(f"{c}_not_null", "completeness", "ERROR", f"No row lacks {c}.") for c in columns]
     meta += [
-        ("valid_transaction_type", "validity", "ERROR", "Transaction type must belong to the documented domain."),
-        ("valid_step_range", "validity", "ERROR", "Simulation step must be between 1 and 744."),
-        ("non_negative_amount", "validity", "ERROR", "Transaction amount must not be negative."),
-        ("non_zero_amount", "business_rule", "WARNING",
-         "Zero-value transactions require review but are not automatically rejected."),
+        ("valid_transaction_type", "validity", "ERROR", "The type is one of the five known ones."),
+        ("valid_step_range", "validity", "ERROR", "The step lies in the simulated month (1 to 744)."),
+        ("non_negative_amount", "validity", "ERROR", "No amount is below zero."),
+        ("non_zero_amount", "business_rule", "WARNING", "Amounts of zero are counted for review and kept."),
     ]
-    meta += [(f"{c}_finite", "validity", "ERROR", f"{c} must contain finite numeric values.") for c in NUMERIC_COLUMNS]
-    meta += [(f"{c}_non_negative", "validity", "ERROR", f"{c} should not contain negative balances.")
-             for c in BALANCE_COLUMNS]
-    meta += [(f"{c}_binary", "validity", "ERROR", f"{c} must contain only 0 or 1.") for c in ["isFraud", "isFlaggedFraud"]]
+    meta += [(f"{c}_finite", "validity", "ERROR", f"No value of {c} is infinite.") for c in NUMERIC_COLUMNS]
+    meta += [(f"{c}_non_negative", "validity", "ERROR", f"No value of {c} is below zero.") for c in BALANCE_COLUMNS]
+    meta += [(f"{c}_binary", "validity", "ERROR", f"{c} is 0 or 1.") for c in ["isFraud", "isFlaggedFraud"]]
     meta += [
-        ("valid_origin_account_format", "validity", "ERROR",
-         "Origin account identifiers should follow the C<number> pattern."),
-        ("valid_destination_account_format", "validity", "ERROR",
-         "Destination identifiers should follow C<number> or M<number>."),
-        ("no_self_transfer", "business_rule", "WARNING", "Origin and destination should normally be different accounts."),
-        ("merchant_destination_balance_unavailable", "business_rule", "WARNING",
-         "Merchant destinations are expected to have unavailable balances, typically represented by zeros."),
-        ("outgoing_origin_balance_reconciliation", "consistency", "WARNING",
-         "Outgoing transaction balances should approximately reconcile; the simulated source has documented inconsistencies."),
-        ("cash_in_origin_balance_reconciliation", "consistency", "WARNING",
-         "Cash-in origin balances should approximately reconcile."),
-        ("fraud_transaction_type_consistency", "business_rule", "WARNING",
-         "Fraudulent transactions are expected primarily in TRANSFER and CASH_OUT records."),
-        ("flagged_fraud_threshold_rule", "business_rule", "WARNING",
-         "Flagged fraud should represent transfers above the documented 200,000 threshold."),
-        ("high_value_transfer_flag_coverage", "business_rule", "WARNING",
-         "Measures how many transfers above 200,000 were not flagged."),
+        ("valid_origin_account_format", "validity", "ERROR", "Sending accounts read C and digits."),
+        ("valid_destination_account_format", "validity", "ERROR", "Receiving accounts read C or M and digits."),
+        ("no_self_transfer", "business_rule", "WARNING", "Sender and receiver differ."),
+        ("merchant_destination_balance_unavailable", "business_rule", "WARNING", "Balances of receiving merchants are zero, as they are not recorded."),
+        ("outgoing_origin_balance_reconciliation", "consistency", "WARNING", "The sender's new balance is the old one less the amount, within the tolerance."),
+        ("cash_in_origin_balance_reconciliation", "consistency", "WARNING", "After a cash-in the new balance is the old one plus the amount, within the tolerance."),
+        ("fraud_transaction_type_consistency", "business_rule", "WARNING", "Fraud occurs in transfers and cash-outs only."),
+        ("flagged_fraud_threshold_rule", "business_rule", "WARNING", "Flagged rows are transfers above the threshold."),
+        ("high_value_transfer_flag_coverage", "business_rule", "WARNING", "Transfers above the threshold carry the flag."),
     ]
     return meta
 
@@ -381,14 +375,12 @@ def row_checks(columns: Sequence[str] = RAW_COLUMNS) -> list[Check]:
 
 
 SCHEMA_CHECKS = [
-    ("expected_columns_present", "schema", "ERROR", "All required source columns must be present."),
-    ("no_unexpected_columns", "schema", "WARNING", "The source should not contain undocumented columns."),
-    ("expected_column_order", "schema", "WARNING", "Source column order should match the documented schema."),
+    ("expected_columns_present", "schema", "ERROR", "Every column of the contract is there."),
+    ("no_unexpected_columns", "schema", "WARNING", "No column is there that the contract lacks."),
+    ("expected_column_order", "schema", "WARNING", "Columns come in the contract's order."),
 ]
-DUPLICATE_CHECK = ("no_exact_duplicate_rows", "uniqueness", "ERROR",
-                   "The source should not contain exact duplicate transactions.")
-STEPS_CHECK = ("all_expected_steps_present", "completeness", "WARNING",
-               "All documented hourly simulation steps should be represented.")
+DUPLICATE_CHECK = ("no_exact_duplicate_rows", "uniqueness", "ERROR", "No row repeats another in all columns.")
+STEPS_CHECK = ("all_expected_steps_present", "completeness", "WARNING", "Each step of the month has a row.")
 
 REPORT_COLUMNS = ["check_name", "check_category", "description", "severity", "records_tested",
                   "failed_records", "failure_rate_pct", "status"]

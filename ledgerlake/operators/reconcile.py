@@ -166,14 +166,20 @@ def table_row_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def audit_from_counts(counts: DataFrame, tables: dict[str, DataFrame], stages: dict[str, str], run_id: str,
-                      reconciliation_status: str = "PASS") -> DataFrame:
-    """Audit rows (AUDIT_SCHEMA order) from already counted tables."""
+                      statuses: dict[str, str] | None = None, seconds: dict[str, float] | None = None) -> DataFrame:
+    """Audit rows (AUDIT_SCHEMA order) from already counted tables.
+
+    ``statuses`` and ``seconds`` are by table: the outcome of its own checks and
+    how long its write took. A table without a check is PASS.
+    """
     name = F.col("table_name")
+    status = {t: (statuses or {}).get(t, "PASS") for t in tables}
+    took = {t: float((seconds or {}).get(t, 0.0)) for t in tables}
     return counts.select(
         F.lit(run_id).alias("pipeline_run_id"), _lookup(stages, name).alias("pipeline_stage"), name,
         F.col("row_count"), _lookup({k: len(v.columns) for k, v in tables.items()}, name).cast("int").alias("column_count"),
-        F.lit(reconciliation_status).alias("reconciliation_status"),
-        F.lit(0.0).alias("execution_time_seconds"), F.current_timestamp().alias("audit_timestamp_utc"),
+        _lookup(status, name).alias("reconciliation_status"),
+        _lookup(took, name).alias("execution_time_seconds"), F.current_timestamp().alias("audit_timestamp_utc"),
     )
 
 

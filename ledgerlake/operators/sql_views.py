@@ -20,6 +20,7 @@ def sql_type_summary(raw: DataFrame) -> DataFrame:
                CAST(ROUND(100.0 * SUM(isFraud) / COUNT(*), 6) AS DOUBLE) AS fraud_rate_pct
         FROM {t}
         GROUP BY type
+        ORDER BY fraud_rate_pct DESC, transaction_type
         """,
         t=raw,
     )
@@ -47,6 +48,7 @@ def sql_hourly_summary(raw: DataFrame) -> DataFrame:
                CAST(ROUND(100.0 * SUM(isFraud) / COUNT(*), 6) AS DOUBLE) AS fraud_rate_pct
         FROM {t}
         GROUP BY step
+        ORDER BY step
         """,
         t=raw,
     )
@@ -54,7 +56,8 @@ def sql_hourly_summary(raw: DataFrame) -> DataFrame:
 
 def sql_bronze_type_counts(bronze_ruled: DataFrame) -> DataFrame:
     return bronze_ruled.sparkSession.sql(
-        "SELECT type, COUNT(*) AS transaction_count, SUM(isFraud) AS fraud_count FROM {t} GROUP BY type",
+        "SELECT type, COUNT(*) AS transaction_count, SUM(isFraud) AS fraud_count FROM {t} GROUP BY type "
+        "ORDER BY transaction_count DESC, type",
         t=bronze_ruled,
     )
 
@@ -67,6 +70,7 @@ def sql_silver_type_summary(silver_ruled: DataFrame) -> DataFrame:
                CAST(ROUND(100.0 * SUM(is_fraud) / COUNT(*), 6) AS DOUBLE) AS fraud_rate_pct
         FROM {t}
         GROUP BY transaction_type
+        ORDER BY transaction_count DESC, transaction_type
         """,
         t=silver_ruled,
     )
@@ -74,7 +78,8 @@ def sql_silver_type_summary(silver_ruled: DataFrame) -> DataFrame:
 
 def sql_status_summary(silver_ruled: DataFrame) -> DataFrame:
     return silver_ruled.sparkSession.sql(
-        "SELECT validation_status, COUNT(*) AS record_count, SUM(is_fraud) AS fraud_count FROM {t} GROUP BY validation_status",
+        "SELECT validation_status, COUNT(*) AS record_count, SUM(is_fraud) AS fraud_count FROM {t} GROUP BY validation_status "
+        "ORDER BY record_count DESC, validation_status",
         t=silver_ruled,
     )
 
@@ -84,6 +89,7 @@ def sql_gold_type_lookup(type_profile: DataFrame) -> DataFrame:
         """
         SELECT transaction_type, transaction_count, total_amount, fraud_count, fraud_amount, fraud_rate_pct
         FROM {t}
+        ORDER BY transaction_count DESC, transaction_type
         """,
         t=type_profile,
     )

@@ -177,6 +177,12 @@ def q_fraud_feature(spark, sf):
     return FE.fraud_feature(silver(spark, sf))
 
 
+@register("fraud_feature_scan")
+def q_fraud_feature_scan(spark, sf):
+    """The features with every account through the prefix scan."""
+    return FE.fraud_feature(silver(spark, sf), method="scan")
+
+
 @register("approx_accounts_by_day")
 def q_approx_accounts(spark, sf):
     return silver(spark, sf).groupBy("transaction_day").agg(
@@ -329,6 +335,12 @@ def q_fraud_feature_profile(spark, sf):
     return _no_ts(FE.fraud_feature_profile(silver_ruled(spark, sf)))
 
 
+@register("fraud_feature_profile_scan")
+def q_fraud_feature_profile_scan(spark, sf):
+    """The ruled features with every account through the prefix scan."""
+    return _no_ts(FE.fraud_feature_profile(silver_ruled(spark, sf), method="scan"))
+
+
 @register("raw_type_summary")
 def q_raw_type_summary(spark, sf):
     return M.raw_type_summary(raw(spark, sf))
@@ -520,19 +532,21 @@ def q_time_range(spark, sf):
 
 @register("amount_category_counts")
 def q_amount_category_counts(spark, sf):
-    return validated(spark, sf).groupBy("amount_category").agg(F.count("*").alias("transaction_count"))
+    counts = validated(spark, sf).groupBy("amount_category").agg(F.count("*").alias("transaction_count"))
+    return counts.orderBy(F.desc("transaction_count"), "amount_category")
 
 
 @register("destination_category_counts")
 def q_destination_category_counts(spark, sf):
-    return validated(spark, sf).groupBy("destination_category").agg(F.count("*").alias("transaction_count"))
+    counts = validated(spark, sf).groupBy("destination_category").agg(F.count("*").alias("transaction_count"))
+    return counts.orderBy(F.desc("transaction_count"), "destination_category")
 
 
 @register("fraud_only_by_type")
 def q_fraud_only_by_type(spark, sf):
     return raw(spark, sf).filter(F.col("isFraud") == 1).groupBy("type").agg(
         F.count("*").alias("fraud_count"), F.round(F.sum("amount"), 2).alias("fraud_amount")
-    )
+    ).orderBy(F.desc("fraud_count"), "type")
 
 
 @register("high_value_fraud")

@@ -19,6 +19,7 @@ Plan shape chosen for scale:
 
 from __future__ import annotations
 
+import datetime
 import time
 import traceback
 from dataclasses import dataclass
@@ -84,23 +85,51 @@ def gold_tables(spark: SparkSession, silver: DataFrame, sink: str, rsd: float =
     return gold
 
 
-def write_gold(spark: SparkSession, silver: DataFrame, sink: str, rsd: float = DEFAULT_RSD) -> dict[str, DataFrame]:
+def write_gold(spark: SparkSession, silver: DataFrame, sink: str, rsd: float = DEFAULT_RSD,
+               seconds: dict[str, float] | None = None) -> dict[str, DataFrame]:
     """Write all nine strict marts; returns them read back from the sink.
 
+    ``seconds`` receives how long each table's write took.
+
     The feature table goes last: its hot-account decision reuses the written
     origin-account summary (rows per account) instead of another pass over Silver.
     """
     gold = gold_tables(spark, silver, sink, rsd)
-    write_many(gold, f"{sink}/gold")
+    seconds = {} if seconds is None else seconds
+    seconds.update(write_many(gold, f"{sink}/gold"))
     written = {name: spark.read.parquet(f"{sink}/gold/{name}") for name in gold}
+    began = time.perf_counter()
     features = FE.fraud_feature(silver, origin_counts=written["origin_account_summary"])
     write_parquet(features, f"{sink}/gold/fraud_feature")
+    seconds["fraud_feature"] = round(time.perf_counter() - began, 3)
     written["fraud_feature"] = spark.read.parquet(f"{sink}/gold/fraud_feature")
     return written
 
 
+# Which reconciliation checks decide a table's audit status.
+TABLE_CHECKS = {
+    "silver_transactions": ["bronze_to_silver_bound"],
+    "daily_transaction_summary": ["daily_count", "daily_fraud"],
+    "daily_type_summary": ["daily_type_count"],
+    "hourly_fraud_summary": ["hourly_count"],
+    "transaction_type_summary": ["type_count"],
+    "high_value_summary": ["high_value_count"],
+    "fraud_monitoring": ["fraud_monitoring_rows"],
+    "fraud_feature": ["fraud_feature_rows"],
+    "origin_account_summary": ["origin_account_count"],
+    "destination_account_summary": ["destination_account_count"],
+}
+
+
+def table_statuses(report: DataFrame) -> dict[str, str]:
+    """FAIL for a table of which a check failed, else PASS (the report has a dozen rows)."""
+    outcome = {r["check_name"]: r["status"] for r in report.select("check_name", "status").collect()}
+    return {t: "PASS" if all(outcome.get(c) == "PASS" for c in checks) else "FAIL" for t, checks in TABLE_CHECKS.items()}
+
+
 def finalize_run(spark: SparkSession, sink: str, params: RunParams, silver: DataFrame, counts: dict,
-                 written: dict[str, DataFrame], started: float | None = None) -> dict:
+                 written: dict[str, DataFrame], started: float | None = None,
+                 bronze: DataFrame | None = None, seconds: dict[str, float] | None = None) -> dict:
     """Reconciliation report, audit rows and registry, then the run summary.
 
     These are unions of many tiny aggregates; written one after another they
@@ -111,12 +140,15 @@ def finalize_run(spark: SparkSession, sink: str, params: RunParams, silver: Data
     write_parquet(report, report_path)
     # Count every table once; audit rows and the registry are both derived from these counts.
     tables = {"silver_transactions": silver, **dict(sorted(written.items()))}
+    if bronze is not None:
+        tables = {"bronze_transactions": bronze, **tables}
     counts_path = f"{sink}/table_counts/run_id={params.run_id}"
     write_parquet(RC.table_row_counts(tables), counts_path)
     table_counts = spark.read.parquet(counts_path)
-    stages = {name: ("silver" if name == "silver_transactions" else "gold") for name in tables}
-    append_records(RC.audit_from_counts(table_counts, tables, stages, params.run_id), f"{sink}/audit")
-    write_parquet(RC.registry_from_counts(table_counts.filter(F.col("table_name") != "silver_transactions"),
+    stages = {name: {"bronze_transactions": "bronze", "silver_transactions": "silver"}.get(name, "gold") for name in tables}
+    statuses = table_statuses(spark.read.parquet(report_path))
+    append_records(RC.audit_from_counts(table_counts, tables, stages, params.run_id, statuses, seconds), f"{sink}/audit")
+    write_parquet(RC.registry_from_counts(table_counts.filter(F.col("table_name").isin(*written)),
                                           written, params.run_id, "PARQUET"),
                   f"{sink}/registry/run_id={params.run_id}")
     pipeline_status = RC.overall_status(spark.read.parquet(report_path)).first()["pipeline_status"]
@@ -145,22 +177,28 @@ def run(spark: SparkSession, raw: DataFrame, sink: str, params: RunParams) -> di
     started = time.perf_counter()
     sink = sink.rstrip("/")
     try:
+        seconds: dict[str, float] = {}
         bronze, bronze_rows = bronze_stage(spark, raw, sink, params)
+        seconds["bronze_transactions"] = round(time.perf_counter() - started, 3)
+        began = time.perf_counter()
         silver, counts = silver_stage(spark, bronze, sink, params)
+        seconds["silver_transactions"] = round(time.perf_counter() - began, 3)
         counts = {"bronze_row_count": bronze_rows, **counts}
-        written = write_gold(spark, silver, sink, params.approximate_distinct_rsd)
+        written = write_gold(spark, silver, sink, params.approximate_distinct_rsd, seconds)
         if params.export_csv:
             for name, keys in SMALL_MARTS.items():
                 export_small_table(written[name], f"{sink}/exports/{name}", sort_by=keys)
 
-        return finalize_run(spark, sink, params, silver, counts, written, started)
+        return finalize_run(spark, sink, params, silver, counts, written, started, bronze, seconds)
     except Exception as exc:  # record the failure, then surface it
         failure = {
             "pipeline_run_id": params.run_id,
             "pipeline_status": "FAILED",
             "error_type": type(exc).__name__,
-            "error_message": str(exc)[:4000],
-            "traceback": traceback.format_exc()[:16000],
+            "error_message": str(exc),
+            "traceback": traceback.format_exc(),
+            "failed_at_utc": datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None),
+            "execution_seconds": round(time.perf_counter() - started, 3),
         }
         try:
             append_records(spark.createDataFrame([failure]), f"{sink}/failures")
@@ -245,7 +283,6 @@ def run_ruled(spark: SparkSession, raw: DataFrame, sink: str, params: RunParams)
 
 def new_run_id() -> str:
     """``YYYYmmdd_HHMMSS_<8 hex>`` in UTC."""
-    import datetime
     import uuid
 
     now = datetime.datetime.now(datetime.timezone.utc)
@@ -259,10 +296,10 @@ def write_quality_reports(raw: DataFrame, sink: str) -> list[str]:
     reports = {
         "quality_report": (Q.quality_report(raw), ["status", "severity", "check_category", "check_name"]),
         "missing_value_summary": (Q.null_profile_long(raw), ["column_name"]),
-        "cardinality_profile": (Q.cardinality_profile(raw), ["cardinality_pct"]),
+        "cardinality_profile": (Q.cardinality_profile(raw), [F.desc("cardinality_pct")]),
         "transaction_type_profile": (Q.type_quality_profile(raw), ["type"]),
         "hourly_profile": (Q.hourly_profile(raw), ["step"]),
-        "fraud_by_transaction_type": (Q.fraud_by_type(raw), ["fraud_rate_pct"]),
+        "fraud_by_transaction_type": (Q.fraud_by_type(raw), [F.desc("fraud_rate_pct"), "type"]),
     }
     paths = []
     for name, (df, order) in reports.items():

@@ -51,8 +51,8 @@ def export_small_table(df: DataFrame, path: str, sort_by: Sequence[str] | None =
 
 
 def append_records(df: DataFrame, path: str, partition_column: str = "pipeline_run_id") -> None:
-    """Audit / summary / failure rows: append, partitioned by run id."""
-    write_parquet(df, path, mode="append", partition_columns=[partition_column])
+    """Audit / summary / failure rows, partitioned by run id; writing a run id again replaces its rows."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_column).parquet(path)
 
 
 def write_many(tables: dict[str, DataFrame], base_path: str, max_parallel: int = 4) -> dict[str, float]:

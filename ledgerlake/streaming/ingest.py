@@ -3,7 +3,8 @@
 The batch operators are reused unchanged on a streaming DataFrame: new raw
 files landing in a folder are parsed with the explicit schema, get lineage
 (the file name comes from the ``_metadata`` column of the file source), pass
-the strict validity filter and are appended to the day-partitioned Silver
+the strict validity filter and are appended (a line that does not parse fails
+the query, as it fails a batch scan) to the day-partitioned Silver
 table. Progress lives in the checkpoint folder, so a restarted or failed query
 resumes where it stopped without duplicating rows (the file sink is
 exactly-once). ``availableNow`` processes everything present and stops, which
@@ -26,7 +27,7 @@ def read_raw_stream(spark: SparkSession, source_dir: str, schema: T.StructType =
                     fmt: str = "csv", max_files_per_trigger: int | None = None) -> DataFrame:
     reader = spark.readStream.schema(schema).format(fmt)
     if fmt == "csv":
-        reader = reader.option("header", True).option("mode", "PERMISSIVE").option("enforceSchema", False)
+        reader = reader.option("header", True).option("mode", "FAILFAST").option("enforceSchema", False)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.load(source_dir)

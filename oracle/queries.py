@@ -433,9 +433,35 @@ oracle("missing_steps", """
 SELECT CAST(range AS INTEGER) AS step FROM range(1, 745)
 WHERE range NOT IN (SELECT DISTINCT step FROM raw WHERE step IS NOT NULL)""", "raw")
 
-# The check report: names/categories/severities/descriptions are fixed text shared
-# with the library (plain metadata); the failure and denominator predicates are written here.
-from ledgerlake.operators.quality import DUPLICATE_CHECK, SCHEMA_CHECKS, STEPS_CHECK, row_check_meta  # noqa: E402
+# The check report as the contract states it: (name, category, severity, description).
+_SCHEMA_META = [
+    ("expected_columns_present", "schema", "ERROR", "Every column of the contract is there."),
+    ("no_unexpected_columns", "schema", "WARNING", "No column is there that the contract lacks."),
+    ("expected_column_order", "schema", "WARNING", "Columns come in the contract's order."),
+]
+_DUPLICATE_META = ("no_exact_duplicate_rows", "uniqueness", "ERROR", "No row repeats another in all columns.")
+_STEPS_META = ("all_expected_steps_present", "completeness", "WARNING", "Each step of the month has a row.")
+_ROW_META = [(f"{c}_not_null", "completeness", "ERROR", f"No row lacks {c}.") for c in _RAWC]
+_ROW_META += [
+    ("valid_transaction_type", "validity", "ERROR", "The type is one of the five known ones."),
+    ("valid_step_range", "validity", "ERROR", "The step lies in the simulated month (1 to 744)."),
+    ("non_negative_amount", "validity", "ERROR", "No amount is below zero."),
+    ("non_zero_amount", "business_rule", "WARNING", "Amounts of zero are counted for review and kept."),
+]
+_ROW_META += [(f"{c}_finite", "validity", "ERROR", f"No value of {c} is infinite.") for c in _NUM]
+_ROW_META += [(f"{c}_non_negative", "validity", "ERROR", f"No value of {c} is below zero.") for c in _BAL]
+_ROW_META += [(f"{c}_binary", "validity", "ERROR", f"{c} is 0 or 1.") for c in ["isFraud", "isFlaggedFraud"]]
+_ROW_META += [
+    ("valid_origin_account_format", "validity", "ERROR", "Sending accounts read C and digits."),
+    ("valid_destination_account_format", "validity", "ERROR", "Receiving accounts read C or M and digits."),
+    ("no_self_transfer", "business_rule", "WARNING", "Sender and receiver differ."),
+    ("merchant_destination_balance_unavailable", "business_rule", "WARNING", "Balances of receiving merchants are zero, as they are not recorded."),
+    ("outgoing_origin_balance_reconciliation", "consistency", "WARNING", "The sender's new balance is the old one less the amount, within the tolerance."),
+    ("cash_in_origin_balance_reconciliation", "consistency", "WARNING", "After a cash-in the new balance is the old one plus the amount, within the tolerance."),
+    ("fraud_transaction_type_consistency", "business_rule", "WARNING", "Fraud occurs in transfers and cash-outs only."),
+    ("flagged_fraud_threshold_rule", "business_rule", "WARNING", "Flagged rows are transfers above the threshold."),
+    ("high_value_transfer_flag_coverage", "business_rule", "WARNING", "Transfers above the threshold carry the flag."),
+]
 
 _CHECK_SQL = {}
 for _c in _RAWC:
@@ -484,16 +510,16 @@ def _report_row(name, category, severity, description, tested_sql, failed_sql, s
 
 def _quality_report_sql() -> str:
     parts = [
-        _report_row(*SCHEMA_CHECKS[0], "11", "0", source="(SELECT 1) s"),
-        _report_row(*SCHEMA_CHECKS[1], "11", "0", source="(SELECT 1) s"),
-        _report_row(*SCHEMA_CHECKS[2], "1", "0", source="(SELECT 1) s"),
+        _report_row(*_SCHEMA_META[0], "11", "0", source="(SELECT 1) s"),
+        _report_row(*_SCHEMA_META[1], "11", "0", source="(SELECT 1) s"),
+        _report_row(*_SCHEMA_META[2], "1", "0", source="(SELECT 1) s"),
     ]
-    for meta in row_check_meta(_RAWC):
+    for meta in _ROW_META:
         failed, tested = _CHECK_SQL[meta[0]]
         parts.append(_report_row(*meta, f"count_if({tested})" if tested else "COUNT(*)", f"count_if({failed})"))
-    parts.append(_report_row(*DUPLICATE_CHECK, "SUM(n)", "coalesce(SUM(CASE WHEN n > 1 THEN n - 1 END), 0)",
+    parts.append(_report_row(*_DUPLICATE_META, "SUM(n)", "coalesce(SUM(CASE WHEN n > 1 THEN n - 1 END), 0)",
                              source="(SELECT COUNT(*) AS n FROM raw GROUP BY " + ", ".join(_RAWC) + ") d"))
-    parts.append(_report_row(*STEPS_CHECK, "744", "COUNT(*)",
+    parts.append(_report_row(*_STEPS_META, "744", "COUNT(*)",
                              source="range(1, 745) WHERE range NOT IN (SELECT DISTINCT step FROM raw WHERE step IS NOT NULL)"))
     body = "\nUNION ALL\n".join(parts)
     return f"""
@@ -718,3 +744,7 @@ for _k in ["daily_type_summary", "hourly_fraud_summary", "transaction_type_summa
            "daily_transaction_summary_exact", "hourly_fraud_profile", "transaction_type_profile",
            "high_value_profile", "daily_type_profile"]:
     ORACLE[f"rollup_{_k}"] = ORACLE[_k]
+
+# The scan forms must return what the window forms return.
+ORACLE["fraud_feature_scan"] = ORACLE["fraud_feature"]
+ORACLE["fraud_feature_profile_scan"] = ORACLE["fraud_feature_profile"]

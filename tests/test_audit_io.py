@@ -94,7 +94,9 @@ def test_job_run_end_to_end(spark):
     summary = J.run(spark, C.raw(spark, SF_SMALL), sink, J.RunParams(run_id="test_run"))
     assert summary["pipeline_status"] == "SUCCESS"
     assert summary["bronze_row_count"] == 1002 and summary["silver_row_count"] == 946
-    assert spark.read.parquet(f"{sink}/audit").count() == 10
+    audit = spark.read.parquet(f"{sink}/audit")
+    assert audit.count() == 11 and audit.filter("table_name = 'bronze_transactions' AND row_count = 1002").count() == 1
+    assert audit.filter("reconciliation_status <> 'PASS' OR execution_time_seconds <= 0").count() == 0
     registry = spark.read.parquet(f"{sink}/registry/run_id=test_run")
     assert registry.count() == 9 and registry.filter("persistence_status = 'PARQUET_WRITTEN'").count() == 9
     assert spark.read.parquet(f"{sink}/summary").first().pipeline_status == "SUCCESS"
@@ -107,7 +109,40 @@ def test_job_records_failures(spark):
     bad = spark.createDataFrame([(1, "PAYMENT")], "step int, type string")
     with pytest.raises(ValueError):
         J.run(spark, bad, sink, J.RunParams(run_id="bad_run"))
-    assert spark.read.parquet(f"{sink}/failures").first().error_type == "ValueError"
+    failure = spark.read.parquet(f"{sink}/failures").first()
+    assert failure.error_type == "ValueError" and failure.execution_seconds >= 0 and failure.failed_at_utc is not None
+
+
+def test_failure_record_is_whole(spark, monkeypatch):
+    sink = os.path.join(_scratch(), "long-failure")
+    message = "x" * 50_000 + "end"
+
+    def fail(*_):
+        raise RuntimeError(message)
+
+    monkeypatch.setattr(J, "bronze_stage", fail)
+    with pytest.raises(RuntimeError):
+        J.run(spark, spark.range(1), sink, J.RunParams(run_id="long"))
+    failure = spark.read.parquet(f"{sink}/failures").first()
+    assert failure.error_message == message and failure.traceback.rstrip().endswith("end")
+
+
+def test_a_failed_check_fails_its_table(spark):
+    checks = [c for own in J.TABLE_CHECKS.values() for c in own]
+    rows = [(c, "FAIL" if c == "daily_fraud" else "PASS") for c in checks]
+    statuses = J.table_statuses(spark.createDataFrame(rows, "check_name string, status string"))
+    assert [t for t, s in statuses.items() if s == "FAIL"] == ["daily_transaction_summary"]
+    tables = {t: spark.range(2) for t in ["daily_transaction_summary", "fraud_monitoring"]}
+    audit = RC.audit_from_counts(RC.table_row_counts(tables), tables, dict.fromkeys(tables, "gold"), "r", statuses, {"fraud_monitoring": 1.5})
+    got = {r.table_name: (r.reconciliation_status, r.execution_time_seconds) for r in audit.collect()}
+    assert got == {"daily_transaction_summary": ("FAIL", 0.0), "fraud_monitoring": ("PASS", 1.5)}
+
+
+def test_records_of_a_run_id_are_replaced(spark):
+    path = os.path.join(_scratch(), "records")
+    for run, n in (("a", 2), ("b", 3), ("a", 2)):
+        K.append_records(spark.range(n).withColumn("pipeline_run_id", F.lit(run)), path)
+    assert {r.pipeline_run_id: r["count"] for r in spark.read.parquet(path).groupBy("pipeline_run_id").count().collect()} == {"a": 2, "b": 3}
 
 
 def test_ruled_run(spark):

@@ -1,6 +1,8 @@
 import os
 import tempfile
 
+import pytest
+
 from conftest import SF_SMALL
 from ledgerlake.operators import bronze as B
 from ledgerlake.operators import silver as S
@@ -31,3 +33,14 @@ def test_streaming_ingest_matches_batch_and_resumes(spark):
     expected_new = S.silver_transactions(B.bronze_transactions(added)).count()
     assert spark.read.parquet(silver_dir).count() == 946 + expected_new
     assert {r.pipeline_run_id for r in spark.read.parquet(silver_dir).select("pipeline_run_id").distinct().collect()} == {"stream_run"}
+
+
+def test_streaming_fails_on_a_line_that_does_not_parse(spark):
+    root = tempfile.mkdtemp(prefix="ledgerlake-stream-")
+    source, silver_dir, ckpt = (os.path.join(root, p) for p in ("landing", "silver", "checkpoint"))
+    K.write_csv(C.raw(spark, SF_SMALL).limit(5), source)
+    with open(os.path.join(source, "bad.csv"), "w") as f:
+        f.write(",".join(C.raw(spark, SF_SMALL).columns) + "\n1,PAYMENT,not-a-number,C1,1.0,1.0,C2,1.0,1.0,0,0\n")
+    q = start_silver_ingest(spark, source, silver_dir, ckpt, "stream_run")
+    with pytest.raises(Exception):
+        q.awaitTermination(120)
