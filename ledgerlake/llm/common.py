@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import os
 import tempfile
-import uuid
 import zipfile
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlake.session import scratch_path
+
 #: Rows of one Arrow batch between the JVM and a Python worker. Texts average a few KB, so a
 #: batch stays at a few MB; one very long text makes its own batch larger by its own size.
 BATCH_ROWS = 256
@@ -37,13 +38,9 @@ def prepare(spark: SparkSession) -> None:
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path below the folder that the cluster names in ``spark.checkpoint.dir``.
 
-    Only where neither the setting nor a checkpoint folder exists (tests) one is made here.
+    Where it is unset, a local session (tests) gets a folder of its own and a cluster an error.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerlake-checkpoint-"))
-        root = spark.sparkContext.getCheckpointDir()
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return scratch_path(spark, name)
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

@@ -2,8 +2,8 @@
 
 Two bigram models over an identifier's characters are compared: one of random strings, one of
 ordinary identifiers. Their samples are labelled by the fixed patterns: characters inside a
-match teach the first, all other identifiers of all documents the second; counts of both are
-sums over every document. A run of identifier characters outside all matches is a secret where
+match teach the first; all other identifiers of all documents the second, but for long runs that
+don't read as a word, which are what is to be decided. Counts of both are sums over every document. A run of identifier characters outside all matches is a secret where
 its log-likelihood ratio is at least ``LEAST_RATIO`` in all and ``LEAST_PER_CHAR`` a character.
 
 Rows: a null text is an empty text without spans. Ids may be null or repeat; each row is
@@ -39,7 +39,8 @@ _CODE = np.zeros(256, dtype=np.int16)
 _CODE[np.frombuffer(ALPHABET, dtype=np.uint8)] = np.arange(1, len(ALPHABET) + 1)
 K = len(ALPHABET) + 1
 CANDIDATE = re.compile(rb"[A-Za-z0-9+/_=-]{16,}")
-LEAST_RATIO, LEAST_PER_CHAR = 16.0, 1.0
+_WORD = re.compile(rb"[A-Za-z]?[a-z]+|[A-Z]+")
+LEAST_RATIO, LEAST_PER_CHAR = 16.0, 0.6
 #: Weight of the uniform prior in each row of a model, in characters.
 PRIOR = 50.0
 
@@ -68,28 +69,38 @@ def _value(text: bytes, span: tuple[int, int, int]) -> bytes:
     return ASSIGN.match(text, start).group(1) if kind == 0 else text[start:end]
 
 
+def _overlaps(base: list[tuple[int, int, int]], run: tuple[int, int]) -> bool:
+    return any(a < run[1] and run[0] < b for a, _, b in base)
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros((2, K * K), dtype=np.int64)
     for b in batches:
         texts = b.column("text").cast(pa.binary()).to_pylist()
         total[0] += _bigrams(b"\n".join(t or b"" for t in texts))
         for t in texts:
-            for span in base_spans(t or b""):
+            base = base_spans(t or b"")
+            for span in base:
                 own = _bigrams(_value(t, span))
                 total[1] += own
                 total[0] -= own
+            for m in CANDIDATE.finditer(t or b""):  # undecided, unless it reads as a word
+                if not _WORD.fullmatch(m[0]) and not _overlaps(base, m.span()):
+                    total[0] -= _bigrams(m[0])
     kind, cell = np.nonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(kind), pa.array(cell), pa.array(total[kind, cell])], names=["kind", "cell", "n"])
 
 
 def ratios(ordinary: np.ndarray, random: np.ndarray) -> np.ndarray:
-    """Log-likelihood ratio of each pair of characters, random over ordinary, under a uniform prior."""
-    out = []
-    for n in (random, ordinary):
-        n = np.maximum(n.reshape(K, K).astype(float), 0)
-        n[0, 0] = 0
-        out.append(np.log((n + PRIOR / K) / (n.sum(axis=1, keepdims=True) + PRIOR)))
-    return out[0] - out[1]
+    """Log-likelihood ratio of each pair of characters, random over ordinary, under a uniform prior.
+
+    The random model is half what the matches hold and half uniform: a matched password may be
+    a word, and random strings that no pattern knows still are random.
+    """
+    learned, usual = (np.maximum(n.reshape(K, K).astype(float), 0) for n in (random, ordinary))
+    learned[0, 0] = usual[0, 0] = 0
+    learned, usual = ((n + PRIOR / K) / (n.sum(axis=1, keepdims=True) + PRIOR) for n in (learned, usual))
+    return np.log((learned + 1 / K) / 2) - np.log(usual)
 
 
 def train(docs: DataFrame, text_col: str = "text") -> np.ndarray:
@@ -107,7 +118,7 @@ def random_spans(text: bytes, base: list[tuple[int, int, int]], ratio: np.ndarra
     out = []
     for m in CANDIDATE.finditer(text):
         start, end = m.span()
-        if any(a < end and start < b for a, _, b in base):
+        if _overlaps(base, (start, end)):
             continue
         codes = np.zeros(end - start + 2, dtype=np.int32)
         codes[1:-1] = _CODE[np.frombuffer(text, dtype=np.uint8, count=end - start, offset=start)]
