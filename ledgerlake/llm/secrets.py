@@ -39,7 +39,7 @@ _CODE = np.zeros(256, dtype=np.int16)
 _CODE[np.frombuffer(ALPHABET, dtype=np.uint8)] = np.arange(1, len(ALPHABET) + 1)
 K = len(ALPHABET) + 1
 CANDIDATE = re.compile(rb"[A-Za-z0-9+/_=-]{16,}")
-_WORD = re.compile(rb"[A-Za-z]?[a-z]+|[A-Z]+")
+_WORD = re.compile(rb"[A-Za-z]?[a-z]+|[A-Z]+|[0-9]+")  # numbers are ordinary, too
 LEAST_RATIO, LEAST_PER_CHAR = 16.0, 0.6
 #: Weight of the uniform prior in each row of a model, in characters.
 PRIOR = 50.0
