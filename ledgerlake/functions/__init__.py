@@ -4,6 +4,7 @@ from ledgerlake.functions.columns import (  # noqa: F401
     count_where,
     day_from_step,
     day_from_step_ceil,
+    exact_amount,
     failing,
     flag,
     hour_from_step,

@@ -38,12 +38,18 @@ def safe_pct(numerator: ColumnLike, denominator: ColumnLike, precision: int = 6)
     return F.when(den > 0, F.round(num / den * F.lit(100.0), precision)).otherwise(F.lit(0.0))
 
 
+def exact_amount(c: ColumnLike = "amount") -> Column:
+    """A money value as decimal: its sums don't depend on the order of addition. Not finite -> NULL."""
+    return col(c).try_cast("decimal(28,6)")
+
+
 def money_total(c: ColumnLike = "amount") -> Column:
-    return F.round(F.sum(col(c)), 2)
+    return F.round(F.sum(exact_amount(c)), 2).cast("double")
 
 
 def money_avg(c: ColumnLike = "amount") -> Column:
-    return F.round(F.avg(col(c)), 2)
+    """The exact sum over the number of values (NULLs are none), rounded once."""
+    return F.round(F.try_divide(F.sum(exact_amount(c)).cast("double"), F.count(exact_amount(c))), 2)
 
 
 def money_min(c: ColumnLike = "amount") -> Column:
@@ -56,7 +62,7 @@ def money_max(c: ColumnLike = "amount") -> Column:
 
 def sum_where(condition: Column, value: ColumnLike = "amount") -> Column:
     """Conditional money sum, 0.0 where the condition fails, rounded to 2."""
-    return F.round(F.sum(F.when(condition, col(value)).otherwise(F.lit(0.0))), 2)
+    return F.round(F.sum(F.when(condition, exact_amount(value)).otherwise(F.lit(0).cast("decimal(28,6)"))), 2).cast("double")
 
 
 def count_where(condition: Column) -> Column:

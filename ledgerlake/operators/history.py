@@ -28,6 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlake.functions import exact_amount
 from ledgerlake.session import checkpoint_root
 
 PRIOR_COLUMNS = [
@@ -35,10 +36,6 @@ PRIOR_COLUMNS = [
 ]
 
 
-def _exact(amount: str) -> Column:
-    return F.col(amount).try_cast("decimal(28,6)")
-
-
 def prior_history_window(df: DataFrame, key: str, order: list[str], amount: str = "amount",
                          fraud: str = "is_fraud", step: str = "step") -> DataFrame:
     """One window partitioned by ``key``."""
@@ -47,7 +44,7 @@ def prior_history_window(df: DataFrame, key: str, order: list[str], amount: str
     return df.withColumns(
         {
             "_prior_count": F.count("*").over(prior),
-            "_prior_sum": F.sum(_exact(amount)).over(prior).cast("double"),
+            "_prior_sum": F.sum(exact_amount(amount)).over(prior).cast("double"),
             "_prior_max": F.max(amount).over(prior),
             "_prior_fraud": F.sum(fraud).over(prior).cast("bigint"),
             "_prev_step": F.lag(step, 1).over(w),
@@ -68,7 +65,7 @@ def prior_history_scan(df: DataFrame, key: str, order: list[str], amount: str =
     ranged = ranged.withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True)
 
     totals = ranged.groupBy(F.col(key).alias("_c_key"), "_pid").agg(
-        F.count("*").alias("n"), F.sum(_exact(amount)).alias("total"), F.max(amount).alias("most"),
+        F.count("*").alias("n"), F.sum(exact_amount(amount)).alias("total"), F.max(amount).alias("most"),
         F.sum(fraud).alias("frauds"),
         F.max_by(F.struct(F.col(step).alias("step"), F.col(amount).alias("amount")), F.struct(*order, "_tb")).alias("last"),
     )
@@ -84,7 +81,7 @@ def prior_history_scan(df: DataFrame, key: str, order: list[str], amount: str =
     prior = w.rowsBetween(Window.unboundedPreceding, -1)
     rows = ranged.join(carry, "_pid", "left").withColumns(
         {
-            "_n": F.count("*").over(prior), "_total": F.sum(_exact(amount)).over(prior),
+            "_n": F.count("*").over(prior), "_total": F.sum(exact_amount(amount)).over(prior),
             "_most": F.max(amount).over(prior), "_frauds": F.sum(fraud).over(prior),
             "_last": F.lag(F.struct(F.col(step).alias("step"), F.col(amount).alias("amount")), 1).over(w),
         }

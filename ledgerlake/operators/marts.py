@@ -8,12 +8,13 @@ the result (top-k); sort at the sink if a file needs it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.contracts import DEFAULT_RSD, SILVER_REQUIRED_COLUMNS, validate_required_columns
 from ledgerlake.functions import (
     count_where,
+    exact_amount,
     money_avg,
     money_max,
     money_min,
@@ -349,53 +350,79 @@ def build_gold_tables(silver: DataFrame, approximate_distinct_rsd: float = DEFAU
 
 # ---------------------------------------------------------------- one-pass calendar marts
 
+def _calendar_cells(silver: DataFrame, keys: list[str]) -> DataFrame:
+    """Additive measures per calendar cell (hour step and type): the one pass over the fact table.
+
+    The step fixes the day and the hour, so there are at most steps x types cells at any data
+    size, and partial aggregation leaves about that many rows a task for the shuffle.
+    """
+    high, fraud = F.col("is_high_value_transaction") == 1, _fraud()
+    amount, none = exact_amount(), F.lit(0).cast("decimal(28,6)")
+    return silver.groupBy(*keys).agg(
+        F.count("*").alias("transaction_count"), F.count(amount).alias("_amounts"), F.sum(amount).alias("_sum"),
+        F.min("amount").alias("_min"), F.max("amount").alias("_max"), F.sum("is_fraud").alias("fraud_count"),
+        F.sum(F.when(fraud, amount).otherwise(none)).alias("_fraud_sum"),
+        F.sum("is_flagged_fraud").alias("flagged_fraud_count"),
+        F.sum("is_high_value_transaction").alias("high_value_transaction_count"),
+        F.count(F.when(high, amount)).alias("_hv_amounts"), F.sum(F.when(high, amount)).alias("_hv_sum"),
+        F.max(F.when(high, F.col("amount"))).alias("_hv_max"), F.sum(F.when(high, F.col("is_fraud"))).alias("_hv_fraud"),
+        F.sum(F.when(high, F.col("is_flagged_fraud"))).alias("_hv_flagged"),
+    )
+
+
+_CELL_EXTREMES = {"_min": "MIN", "_max": "MAX", "_hv_max": "MAX"}
+
+
+def _roll_up(cells: DataFrame, keys: list[str], sets: str) -> DataFrame:
+    """The cells summed up for each grouping set; only these few rows are expanded."""
+    measures = ", ".join(f"{_CELL_EXTREMES.get(c, 'SUM')}({c}) AS {c}" for c in cells.columns if c not in keys)
+    names = ", ".join(keys)
+    return cells.sparkSession.sql(
+        f"SELECT {names}, GROUPING_ID({names}) AS _gid, {measures} FROM {{cells}} GROUP BY GROUPING SETS {sets}", cells=cells
+    )
+
+
 def calendar_rollup(silver: DataFrame, approximate_distinct_rsd: float = DEFAULT_RSD) -> DataFrame:
-    """One scan of Silver for the five calendar / type marts (GROUPING SETS).
+    """One pass of Silver for the five calendar / type marts, and a narrow one for the day estimates.
 
     Sets: (day), (day, type), (type), (step). High-value measures are
     conditional aggregates on the (day, type) set. The result holds at most
     days + days x types + types + steps rows, so it is tiny at any data size.
     """
     _check_rsd(approximate_distinct_rsd)
-    spark = silver.sparkSession
-    sets = "GROUPING SETS ((transaction_day), (transaction_day, transaction_type), (transaction_type), (step))"
-    agg_sql = ", ".join([
-        "COUNT(*) AS transaction_count", "SUM(amount) AS _sum", "MIN(amount) AS _min", "MAX(amount) AS _max",
-        "SUM(is_fraud) AS fraud_count",
-        "SUM(CASE WHEN is_fraud = 1 THEN amount ELSE 0.0 END) AS _fraud_sum",
-        "SUM(is_flagged_fraud) AS flagged_fraud_count",
-        "SUM(is_high_value_transaction) AS high_value_transaction_count",
-        f"approx_count_distinct(origin_account, {approximate_distinct_rsd}) AS estimated_unique_origin_accounts",
-        f"approx_count_distinct(destination_account, {approximate_distinct_rsd}) AS estimated_unique_destination_accounts",
-        "SUM(CASE WHEN is_high_value_transaction = 1 THEN amount END) AS _hv_sum",
-        "SUM(CASE WHEN is_high_value_transaction = 1 THEN is_fraud END) AS _hv_fraud",
-    ])
-    return spark.sql(
-        f"""
-        SELECT transaction_day, transaction_type, step,
-               GROUPING_ID(transaction_day, transaction_type, step) AS _gid, {agg_sql}
-        FROM {{s}}
-        GROUP BY {sets}
-        """,
-        s=silver.select("transaction_day", "transaction_type", "step", "amount", "is_fraud", "is_flagged_fraud",
-                        "is_high_value_transaction", "origin_account", "destination_account"),
+    keys = ["transaction_day", "transaction_type", "step"]
+    rollup = _roll_up(_calendar_cells(silver, keys), keys,
+                      "((transaction_day), (transaction_day, transaction_type), (transaction_type), (step))")
+    estimates = silver.groupBy(F.col("transaction_day").alias("_day")).agg(
+        F.approx_count_distinct("origin_account", approximate_distinct_rsd).alias("estimated_unique_origin_accounts"),
+        F.approx_count_distinct("destination_account", approximate_distinct_rsd).alias("estimated_unique_destination_accounts"),
     )
+    of_day = (F.col("_gid") == _GID["day"]) & F.col("transaction_day").eqNullSafe(F.col("_day"))
+    return rollup.join(estimates, of_day, "left").drop("_day")
 
 
 # GROUPING_ID bit order: transaction_day (4), transaction_type (2), step (1); 1 = rolled up.
 _GID = {"day": 0b011, "day_type": 0b001, "type": 0b101, "step": 0b110}
 
 
+def _total(name: str) -> Column:
+    return F.round(F.col(name), 2).cast("double")
+
+
+def _average(total: str, count: str) -> Column:
+    return F.round(F.try_divide(F.col(total).cast("double"), F.col(count)), 2)
+
+
 def calendar_marts(rollup: DataFrame) -> dict[str, DataFrame]:
     """Split a calendar rollup into the five strict marts (same values as the one-off aggregates)."""
     c = F.col
     base = rollup.withColumns(
         {
-            "total_transaction_amount": F.round(c("_sum"), 2),
-            "average_transaction_amount": F.round(c("_sum") / c("transaction_count"), 2),
+            "total_transaction_amount": _total("_sum"),
+            "average_transaction_amount": _average("_sum", "_amounts"),
             "minimum_transaction_amount": F.round(c("_min"), 2),
             "maximum_transaction_amount": F.round(c("_max"), 2),
-            "fraud_amount": F.round(c("_fraud_sum"), 2),
+            "fraud_amount": _total("_fraud_sum"),
         }
     )
 
@@ -418,8 +445,8 @@ def calendar_marts(rollup: DataFrame) -> dict[str, DataFrame]:
     high_value = grain("day_type").filter(c("high_value_transaction_count") > 0).select(
         "transaction_day", "transaction_type",
         c("high_value_transaction_count"),
-        F.round(c("_hv_sum"), 2).alias("high_value_total_amount"),
-        F.round(c("_hv_sum") / c("high_value_transaction_count"), 2).alias("high_value_average_amount"),
+        _total("_hv_sum").alias("high_value_total_amount"),
+        _average("_hv_sum", "_hv_amounts").alias("high_value_average_amount"),
         c("_hv_fraud").alias("high_value_fraud_count"),
     )
     return {
@@ -431,10 +458,8 @@ def calendar_marts(rollup: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-# ---------------------------------------------------------------- ruled calendar marts in three scans
+# ---------------------------------------------------------------- ruled calendar marts in one pass each
 
-_RULED_SETS = ("GROUPING SETS ((transaction_day), (step, transaction_day, hour_of_day), "
-               "(transaction_type), (transaction_day, transaction_type))")
 # GROUPING_ID bits follow the grouping columns' first appearance: day 8, step 4, hour 2, type 1.
 _RULED_KEYS = ["transaction_day", "step", "hour_of_day", "transaction_type"]
 
@@ -448,55 +473,33 @@ def _ruled_gid(present: set[str]) -> int:
 
 
 def ruled_calendar_rollup(silver_ruled: DataFrame) -> DataFrame:
-    """Additive measures of the five ruled calendar marts in one scan."""
-    spark = silver_ruled.sparkSession
-    aggs = ", ".join([
-        "COUNT(*) AS transaction_count", "SUM(amount) AS _sum", "MIN(amount) AS _min", "MAX(amount) AS _max",
-        "SUM(is_fraud) AS fraud_count", "SUM(CASE WHEN is_fraud = 1 THEN amount ELSE 0.0 END) AS _fraud_sum",
-        "SUM(is_flagged_fraud) AS flagged_fraud_count",
-        "SUM(is_high_value_transaction) AS high_value_transaction_count",
-        "SUM(CASE WHEN is_high_value_transaction = 1 THEN amount END) AS _hv_sum",
-        "MAX(CASE WHEN is_high_value_transaction = 1 THEN amount END) AS _hv_max",
-        "SUM(CASE WHEN is_high_value_transaction = 1 THEN is_fraud END) AS _hv_fraud",
-        "SUM(CASE WHEN is_high_value_transaction = 1 THEN is_flagged_fraud END) AS _hv_flagged",
-    ])
-    return spark.sql(
-        f"""
-        SELECT transaction_day, step, hour_of_day, transaction_type,
-               GROUPING_ID(transaction_day, step, hour_of_day, transaction_type) AS _gid, {aggs}
-        FROM {{s}} GROUP BY {_RULED_SETS}
-        """,
-        s=silver_ruled.select("transaction_day", "step", "hour_of_day", "transaction_type", "amount", "is_fraud",
-                              "is_flagged_fraud", "is_high_value_transaction"),
-    )
+    """Additive measures of the five ruled calendar marts: one pass, rolled up from its cells."""
+    return _roll_up(_calendar_cells(silver_ruled, _RULED_KEYS), _RULED_KEYS,
+                    "((transaction_day), (step, transaction_day, hour_of_day), (transaction_type), (transaction_day, transaction_type))")
 
 
-def ruled_distinct_accounts(silver_ruled: DataFrame) -> DataFrame:
-    """Exact distinct origin / destination accounts per day and per hour, in one scan.
+def _distinct_per_grain(silver_ruled: DataFrame, account: str, out: str) -> DataFrame:
+    """Distinct values of one account column per hour step and per day, in long form.
 
-    The first aggregate deduplicates (grain, account) pairs (partial aggregation
-    drops repeats map-side); the second counts them per grain (tiny output).
+    (step, account) pairs are made once, with partial aggregation; the days come from the pairs.
+    Both branches read the pairs' exchange, whose count column keeps the two plans the same.
     """
-    spark = silver_ruled.sparkSession
-    pairs = spark.sql(
-        """
-        SELECT transaction_day, step, hour_of_day, origin_account, destination_account,
-               GROUPING(origin_account) AS _g_origin, GROUPING(step) AS _g_step
-        FROM {s}
-        GROUP BY GROUPING SETS ((transaction_day, origin_account), (transaction_day, destination_account),
-                                (step, transaction_day, hour_of_day, origin_account),
-                                (step, transaction_day, hour_of_day, destination_account))
-        """,
-        s=silver_ruled.select("transaction_day", "step", "hour_of_day", "origin_account", "destination_account"),
-    )
-    is_origin = F.col("_g_origin") == 0
-    grain_is_day = F.col("_g_step") == 1
-    return pairs.groupBy(
-        "transaction_day", "step", "hour_of_day", grain_is_day.alias("_day_grain")
-    ).agg(
-        F.count_if(is_origin).alias("unique_origin_accounts"),
-        F.count_if(~is_origin).alias("unique_destination_accounts"),
-    )
+    hour = ["transaction_day", "step", "hour_of_day"]
+    pairs = silver_ruled.groupBy(*hour, account).agg(F.count("*").alias("_n"))
+    accounts = F.count(F.when(F.col("_n") > 0, F.col(account))).alias(out)
+    hours = pairs.groupBy(*hour).agg(accounts).withColumn("_day_grain", F.lit(False))
+    days = pairs.groupBy("transaction_day", account).agg(F.sum("_n").alias("_n")).groupBy("transaction_day").agg(accounts)
+    return hours.unionByName(days.withColumn("_day_grain", F.lit(True)), allowMissingColumns=True)
+
+
+def ruled_distinct_accounts(silver_ruled: DataFrame) -> DataFrame:
+    """Exact distinct origin / destination accounts per day and per hour."""
+    origin = _distinct_per_grain(silver_ruled, "origin_account", "unique_origin_accounts")
+    destination = _distinct_per_grain(silver_ruled, "destination_account", "unique_destination_accounts")
+    return origin.unionByName(destination, allowMissingColumns=True).groupBy(
+        "transaction_day", "step", "hour_of_day", "_day_grain"
+    ).agg(F.max("unique_origin_accounts").alias("unique_origin_accounts"),
+          F.max("unique_destination_accounts").alias("unique_destination_accounts"))
 
 
 def ruled_type_medians(silver_ruled: DataFrame, median_accuracy: int = 1_000_000) -> DataFrame:
@@ -510,11 +513,11 @@ def ruled_calendar_marts(rollup: DataFrame, distinct: DataFrame, medians: DataFr
     c = F.col
     base = rollup.withColumns(
         {
-            "_total": F.round(c("_sum"), 2),
-            "_avg": F.round(c("_sum") / c("transaction_count"), 2),
+            "_total": _total("_sum"),
+            "_avg": _average("_sum", "_amounts"),
             "_rmin": F.round(c("_min"), 2),
             "_rmax": F.round(c("_max"), 2),
-            "_fraud_amount": F.round(c("_fraud_sum"), 2),
+            "_fraud_amount": _total("_fraud_sum"),
         }
     )
 
@@ -559,8 +562,8 @@ def ruled_calendar_marts(rollup: DataFrame, distinct: DataFrame, medians: DataFr
     ).withColumn("fraud_rate_pct", safe_pct("fraud_count", "transaction_count"))
     high_value = day_type.filter(c("high_value_transaction_count") > 0).select(
         "transaction_day", "transaction_type", "high_value_transaction_count",
-        F.round(c("_hv_sum"), 2).alias("high_value_total_amount"),
-        F.round(c("_hv_sum") / c("high_value_transaction_count"), 2).alias("high_value_average_amount"),
+        _total("_hv_sum").alias("high_value_total_amount"),
+        _average("_hv_sum", "_hv_amounts").alias("high_value_average_amount"),
         F.round(c("_hv_max"), 2).alias("high_value_maximum_amount"),
         c("_hv_fraud").alias("high_value_fraud_count"), c("_hv_flagged").alias("high_value_flagged_count"),
     ).withColumn("high_value_fraud_rate_pct", safe_pct("high_value_fraud_count", "high_value_transaction_count"))

@@ -34,5 +34,13 @@ def test_filters_and_pruning_reach_the_silver_scan(spark):
     plan = M.fraud_monitoring(silver)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(is_fraud), EqualTo(is_fraud,1)]" in plan
     assert "origin_old_balance" not in plan  # unused columns are pruned from the scan
-    rollup = M.calendar_rollup(silver)._jdf.queryExecution().executedPlan().toString()
-    assert rollup.count("FileScan parquet") == 1 and "Expand" in rollup
+
+
+def test_calendar_rollups_expand_cells_and_not_the_fact_table(spark):
+    silver, ruled = C.silver(spark, SF_SMALL), C.silver_ruled(spark, SF_SMALL)
+    # what lies below an Expand is the aggregate of the cells
+    for rollup in (M.calendar_rollup(silver), M.ruled_calendar_rollup(ruled)):
+        lines = rollup._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        below = [lines[k + 1] for k, line in enumerate(lines) if "Expand" in line]
+        assert len(below) == 1 and "Aggregate" in below[0]
+    assert "Expand" not in _plans(M.ruled_distinct_accounts(ruled))
