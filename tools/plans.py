@@ -44,7 +44,7 @@ sections = [
     ("Silver from Bronze (filter pushed into the Bronze scan)", S.silver_transactions(bronze)),
     ("Fraud monitoring from written Silver (pushed filter, pruned columns)", M.fraud_monitoring(silver)),
     ("High-value summary (pushed filter, partial + final aggregate)", M.high_value_summary(silver)),
-    ("Calendar rollup: five marts in one scan (Expand + partial aggregate)", M.calendar_rollup(silver)),
+    ("Calendar rollup: five marts from one aggregate of cells, plus the day estimates", M.calendar_rollup(silver)),
     ("Fraud features, ordinary accounts (window path)", FE.fraud_feature(silver)),
     ("Prefix scan for hot accounts (checkpointed ranges, N-row carry broadcast)",
      prior_history_scan(history_input, "origin_account", ["step", "_record_hash"])),
