@@ -32,7 +32,7 @@ from ledgerlake.llm.tokens import encoder, gathered
 
 GROUP = 4096
 #: Sequences that the search of a group closes at most, and steps within one filling.
-NODES, STEPS, FILLINGS = 4000, 100, 3
+NODES, STEPS, FILLINGS = 20_000, 400, 4
 
 
 def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
@@ -77,7 +77,6 @@ def fewest(lengths: list[int], capacity: int) -> int:
 class _Search:
     def __init__(self, lengths: list[int], capacity: int, nodes: int) -> None:
         self.sizes = sorted(set(lengths), reverse=True)
-        self.ascending = [-n for n in self.sizes]
         self.left = [0] * len(self.sizes)
         place = {n: k for k, n in enumerate(self.sizes)}
         for n in lengths:
@@ -87,34 +86,44 @@ class _Search:
 
     def fillings(self, room: int) -> list[tuple[int, list[int]]]:
         """(waste, sizes by position) of undominated fillings of ``room``, least waste first."""
-        sizes, left, found, steps = self.sizes, self.left, [], 0
-        smallest = next((sizes[k] for k in range(len(sizes) - 1, -1, -1) if left[k]), room + 1)
+        places = [k for k, n in enumerate(self.left) if n]
+        sizes, left = [self.sizes[k] for k in places], [self.left[k] for k in places]
+        ascending = [-n for n in sizes]
+        # the two smallest pieces together
+        two = sizes[-1] + (sizes[-1] if left[-1] > 1 else sizes[-2] if len(sizes) > 1 else self.capacity) if sizes else 0
+        found, steps = [], 0
         chosen: list[int] = []
-        skipped: list[int] = []
+        skipped: list[int] = []  # ascending; some of each are left over
+
+        def larger(c: int, room: int) -> bool:
+            """Whether a skipped piece fits in place of the smaller chosen one."""
+            i = bisect_left(skipped, bisect_left(ascending, -sizes[c] - room))
+            return i < len(skipped) and skipped[i] < c
 
         def go(at: int, room: int) -> bool:
             nonlocal steps
             steps += 1
-            at = max(at, bisect_left(self.ascending, -room))
-            while at < len(sizes) and not left[at]:
-                at += 1
+            at = max(at, bisect_left(ascending, -room))
             if at == len(sizes):
-                if room < smallest or not any(left[k] and sizes[k] <= room for k in range(len(sizes))):
-                    # dominated: a larger piece that was skipped fits in place of a chosen one
-                    if not any(0 < sizes[k] - sizes[c] <= room for k in skipped for c in chosen):
-                        found.append((room, chosen.copy()))
+                # dominated: a skipped piece fits beside the chosen ones or in place of one
+                if not (skipped and sizes[skipped[-1]] <= room) and not any(larger(c, room) for c in set(chosen)):
+                    found.append((room, [places[c] for c in chosen]))
                 return room == 0 or steps > STEPS or len(found) >= 8 * FILLINGS
-            left[at] -= 1
-            chosen.append(at)
-            done = go(at, room - sizes[at])
-            chosen.pop()
-            left[at] += 1
-            if done or steps > STEPS:
-                return True
+            # equal pieces are one step: as many as fit first, then fewer
+            most = min(left[at], room // sizes[at])
+            chosen.extend([at] * most)
+            done = go(at + 1, room - most * sizes[at])
             skipped.append(at)
-            done = go(at + 1, room)
+            for n in range(most - 1, -1, -1):
+                if done or steps > STEPS:
+                    break
+                del chosen[-1]
+                # with no or one piece more, the skipped one would fit beside it or in its place
+                if room - n * sizes[at] >= two:
+                    done = go(at + 1, room - n * sizes[at])
             skipped.pop()
-            return done
+            del chosen[len(chosen) - chosen.count(at) :]
+            return done or steps > STEPS
 
         go(0, room)
         found.sort(key=lambda x: x[0])

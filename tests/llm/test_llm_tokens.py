@@ -6,7 +6,7 @@ import pyarrow as pa
 import pytest
 from llm_cases import documents, none, prose, whole
 
-from ledgerlake.llm.packing import best_fit, complete, fewest, pack
+from ledgerlake.llm.packing import _Search, best_fit, complete, fewest, pack
 from ledgerlake.llm.queries import tokenizer
 from ledgerlake.llm.rans import Codec, quantised, rans_round_trip, read_ids, write_ids
 from ledgerlake.llm.tokens import WordEncoder
@@ -133,6 +133,20 @@ def test_bin_completion_improves_on_best_fit():
     assert better
 
 
+def test_fillings_of_many_short_pieces():
+    # 142 pieces of 7 leave a waste of 2, 140 and five of 4 none
+    fillings = _Search([7] * 200 + [4] * 50, 1000, 1).fillings(1000)
+    assert fillings[0][0] == 0 and len(fillings) > 1
+
+
+def test_the_search_of_long_pieces():
+    rng = random.Random(1)
+    lengths = [rng.randint(300, 1000) for _ in range(300)]
+    bins = complete(lengths, 2048)
+    check_bins(lengths, 2048, bins)
+    assert len(bins) <= 97  # a search of 4000 nodes and 100 steps ends with 98
+
+
 def test_pack(spark, library):
     docs = documents(spark, extra="offset")
     rows = pack(docs, tokenizer(), capacity=256, with_ids=True).collect()
