@@ -4,7 +4,9 @@ Unit vectors are cut in halves, each with its own codebook (k-means on a bounded
 vector's cell in the product grid is its nearest code of either half. A query visits cells in
 ascending order of how far it is, at least, from them: the squared distances to the hyperplanes
 that part its own codes from the cell's. It stops where the target recall is reached; that
-point is measured on the sample, from vectors turned by exactly the least linking angle. Of two
+point is measured on vectors of the sample turned by exactly the least linking angle, and raised
+to what the true links of about ``QUERIES`` vectors with all others need. Where these have too
+few links to tell, it is the exact bound, the squared distance at the least linking cosine. Of two
 cells the vectors of the larger visit the smaller, so a pair is met once. Met vectors are
 verified by their cosine in double precision.
 
@@ -25,7 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import components, prepare, staged
@@ -36,6 +38,8 @@ SAMPLE = 20_000
 CODES, PER_CELL = 256, 64
 BLOCK = 256
 RECALL = 0.9995
+#: Vectors whose links with all others are measured (about), links that tell enough, and steps up to the exact bound.
+QUERIES, LEAST_LINKS, STEPS = 2000, 100, 100
 _ROUNDS, _TURNS = 10, 8
 
 
@@ -124,6 +128,59 @@ def _vectors(b: pa.RecordBatch) -> np.ndarray:
     return v.flatten().to_numpy(zero_copy_only=False).reshape(len(v), -1)
 
 
+def _needed(index: Index, cosine: float, ids: np.ndarray, queries: np.ndarray):
+    """How many links of each query are met from which step up to the exact bound on."""
+    width = len(index.codes[1])
+
+    def placed(x: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
+        bounds = index.bounds(x)
+        homes = [b.argmin(axis=1) for b in bounds]
+        return bounds, homes, homes[0] * width + homes[1]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((len(queries), STEPS + 1), dtype=np.int64)
+        q_bounds, q_homes, q_cell = placed(queries)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                b = batch.slice(at, 1024)
+                x, own = unit(_vectors(b)), b.column("class").to_numpy()
+                row, q = np.nonzero((x @ queries.T >= cosine) & (own[:, None] != ids[None]))
+                if not len(row):
+                    continue
+                bounds, homes, cell = placed(x)
+                visits = sum(a[row, h[q]] for a, h in zip(bounds, q_homes, strict=True))
+                visited = sum(a[q, h[row]] for a, h in zip(q_bounds, homes, strict=True))
+                far = np.where(cell[row] > q_cell[q], visits, visited)
+                step = np.ceil(far / max(2 - 2 * cosine, 1e-12) * STEPS).astype(np.int64)
+                np.add.at(total, (q, np.minimum(step, STEPS)), 1)
+        q, step = np.nonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(q), pa.array(step), pa.array(total[q, step])], names=["query", "step", "n"])
+
+    return run
+
+
+def raise_stop(index: Index, classes: DataFrame, n: int, cosine: float) -> None:
+    """Raise where a traversal stops to what true links need, over all links and in the mean of the queries."""
+    if len(index.codes[0]) * len(index.codes[1]) == 1:
+        return
+    drawn = classes if n <= QUERIES else classes.where(F.pmod(F.xxhash64("class", F.lit(2)), F.lit(n)) < QUERIES)
+    drawn = drawn.orderBy("class").select("class", "embedding").toPandas()
+    exact = max(2 - 2 * cosine, 1e-12) * (1 + 1e-9)
+    steps = []
+    if len(drawn):
+        needed = _needed(index, cosine, drawn["class"].to_numpy(), unit(np.stack(drawn["embedding"].to_list())))
+        links = classes.mapInArrow(needed, "query long, step long, n long").groupBy("query", "step").agg(F.sum("n").alias("n"))
+        share = F.col("n") / F.sum("n").over(Window.partitionBy("query"))
+        steps = links.withColumn("share", share).groupBy("step").agg(F.sum("n").alias("n"), F.sum("share").alias("share")).orderBy("step").collect()
+    if sum(r["n"] for r in steps) < LEAST_LINKS:
+        index.stop = exact
+        return
+    for weight in ("n", "share"):
+        met = np.cumsum([r[weight] for r in steps])
+        at = steps[int(np.searchsorted(met, RECALL * met[-1]))]["step"]
+        index.stop = max(index.stop, at / STEPS * exact)
+
+
 def _cells(index: Index):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         members = np.zeros(len(index.codes[0]) * len(index.codes[1]), dtype=np.int64)
@@ -149,6 +206,7 @@ def _dealt(index: Index, members: np.ndarray, visitors: np.ndarray):
                 continue
             home, visits = index.visits(unit(_vectors(b)))
             own = b.column("deal").to_numpy()
+            visits = [v[members[v] > 0] for v in visits]  # nothing to meet in an empty cell
             n = np.array([len(v) for v in visits])
             row = np.concatenate([np.arange(len(home)), np.arange(len(home)), np.repeat(np.arange(len(home)), n)])
             cell = np.concatenate([home, home, *visits]).astype(np.int64)
@@ -212,6 +270,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95, id_col: str = "vec
     drawn = classes if n <= SAMPLE else classes.where(F.pmod(F.xxhash64("class"), F.lit(n)) < SAMPLE)
     sample = drawn.orderBy("class").select("embedding").toPandas()["embedding"]
     index = Index.learn(np.stack(sample.to_list()), n, cosine)
+    raise_stop(index, classes, n, cosine)
     dealt = classes.withColumn("deal", F.shiftrightunsigned(F.xxhash64("class", F.lit(1)), 1))
     # One row for each cell of the grid at most.
     cells = dealt.mapInArrow(_cells(index), "cell long, members long, visitors long").groupBy("cell").agg(F.sum("members").alias("members"), F.sum("visitors").alias("visitors")).collect()

@@ -93,6 +93,28 @@ def test_embedding_links_by_brute_force(spark, sf):
     assert np.mean(same) >= 0.99 and all(r["kept"] == (r["component_id"] == r["vec_id"]) for r in got)
 
 
+@pytest.mark.parametrize("rank", [3, 6])
+def test_links_of_low_rank_vectors(spark, monkeypatch, rank):
+    monkeypatch.setattr(embeddings, "PER_CELL", 1)
+    rng = np.random.default_rng(rank)
+    x = embeddings.unit(rng.standard_normal((1500, rank)) @ rng.standard_normal((rank, 64))).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = {r["vec_id"]: r["n_links"] for r in embeddings.near_duplicates(df).collect()}
+    unit = embeddings.unit(x)
+    link = unit @ unit.T >= 0.95
+    np.fill_diagonal(link, False)
+    found = sum(got.values())
+    assert link.sum() > 0 and 0.99 * link.sum() <= found <= link.sum()
+
+
+def test_few_links_are_met_by_the_exact_bound(spark):
+    x = np.random.default_rng(2).standard_normal((500, 16))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "class long, embedding array<float>")
+    index = embeddings.Index.learn(x, 20_000, 0.95)
+    embeddings.raise_stop(index, df, len(x), 0.95)
+    assert index.stop >= 0.1 * (1 - 1e-9)
+
+
 def test_odd_vectors(spark):
     rows = [(1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, [1.0, 0.0]), (4, None), (5, [0.0, 0.0]), (6, [float("nan"), 1.0]), (7, [None, 1.0]), (8, [float("inf"), 1.0]), (9, [1.0]), (10, [0.0, 1.0]), (None, [0.0, 3.0]), (10, [0.0, 1.0]), (11, [])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("size", F.lit("clash")).withColumn("class", F.lit("clash"))
