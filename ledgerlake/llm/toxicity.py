@@ -55,6 +55,8 @@ FEATURES = (
     "capitals", "capital_words", "punctuation", "exclaims", "mixed", "stretched", "log_words",
 )
 _EDGES = ".,;:!?'\"()[]{}<>-_/\\|#*&%^~`+=«»“”‘’…¡¿"
+#: Signs at a word's edges that never stand for a letter.
+_SILENT = ".,;:?\"'()"
 _PLAIN_EDGES = _EDGES.encode()
 _LEET = str.maketrans("013457@$!|+€", "oieastasiite")
 _REPEATS = re.compile(r"(.)\1+")
@@ -99,8 +101,9 @@ class Lexicon(dict):
             marks |= _MIXED
         if stretched:
             marks |= _STRETCHED
-        # A word of letters without a stretch hides nothing, unless a sign before it is one more letter.
-        if not marks & (_PLAIN | _LEARNED) and len(w) > 2 and (not letters or stretched or low[0] in "!$@|") and self.undisguised(low):
+        # Letters without a stretch hide nothing; any other sign at their ends may be one more letter.
+        searched = stretched or not low.strip(_SILENT).isalpha()
+        if not marks & (_PLAIN | _LEARNED) and len(w) > 2 and searched and self.undisguised(low):
             marks |= _DISGUISED
         if len(self) < CACHED_WORDS:
             self[word] = marks

@@ -130,6 +130,20 @@ def test_disguised_insults():
     assert clean["plain_n"] == clean["disguised_n"] == clean["spaced_n"] == 0
 
 
+def test_disguises_at_the_ends_of_words():
+    lexicon = toxicity.Lexicon({"shit": 2.0})
+    hidden = "idio+ shi+ +rash stup** mor** los** bit** tra** idio** **iot (mor**), +rash, $tupid !diot".split()
+    assert all(lexicon[w.encode()] & toxicity._DISGUISED for w in hidden)
+    # a mark is what the search without a skip says
+    rng = random.Random(6)
+    signs, pieces = [*".,;:?!\"'()*#_-@+|$[]1", "", "", ""], [*toxicity.INSULTS, "idio", "shi", "rash", "mor", "los", "bit", "tra", "iot", "thing", "loooser"]
+    for _ in range(20_000):
+        word = "".join(rng.choice(signs) for _ in range(2)) + rng.choice(pieces) + "".join(rng.choice(signs) for _ in range(2))
+        w = toxicity.core(word.encode())
+        want = w not in lexicon.all and len(w) > 2 and lexicon.undisguised(word)
+        assert bool(lexicon[word.encode()] & toxicity._DISGUISED) == want, word
+
+
 def test_toxicity_rows(spark):
     docs = documents(spark, extra="score")
     rows = toxicity.score(docs, none(spark, LABELS)).collect()
