@@ -3,8 +3,10 @@
 Two bigram models over an identifier's characters are compared: one of random strings, one of
 ordinary identifiers. Their samples are labelled by the fixed patterns: characters inside a
 match teach the first; all other identifiers of all documents the second, but for long runs that
-don't read as a word, which are what is to be decided. Counts of both are sums over every document. A run of identifier characters outside all matches is a secret where
-its log-likelihood ratio is at least ``LEAST_RATIO`` in all and ``LEAST_PER_CHAR`` a character.
+don't read as a word, which are what is to be decided. Counts of both are sums over every document. A run of identifier characters, cut at all matches, is a secret where
+its log-likelihood ratio is at least ``LEAST_RATIO`` in all and ``LEAST_PER_CHAR`` a character;
+of a run that isn't, each best stretch of ``LEAST_LENGTH`` characters or more that is, by more
+than the choice among stretches gives, and that isn't made of words.
 
 Rows: a null text is an empty text without spans. Ids may be null or repeat; each row is
 scanned on its own, so ties don't arise. An empty table leaves both models at their uniform
@@ -38,8 +40,10 @@ ALPHABET = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-
 _CODE = np.zeros(256, dtype=np.int16)
 _CODE[np.frombuffer(ALPHABET, dtype=np.uint8)] = np.arange(1, len(ALPHABET) + 1)
 K = len(ALPHABET) + 1
-CANDIDATE = re.compile(rb"[A-Za-z0-9+/_=-]{16,}")
+LEAST_LENGTH = 16
+CANDIDATE = re.compile(rb"[A-Za-z0-9+/_=-]{%d,}" % LEAST_LENGTH)
 _WORD = re.compile(rb"[A-Za-z]?[a-z]+|[A-Z]+|[0-9]+")  # numbers are ordinary, too
+_JOINTS = re.compile(rb"[+/_=-]")
 LEAST_RATIO, LEAST_PER_CHAR = 16.0, 0.6
 #: Weight of the uniform prior in each row of a model, in characters.
 PRIOR = 50.0
@@ -69,8 +73,14 @@ def _value(text: bytes, span: tuple[int, int, int]) -> bytes:
     return ASSIGN.match(text, start).group(1) if kind == 0 else text[start:end]
 
 
-def _overlaps(base: list[tuple[int, int, int]], run: tuple[int, int]) -> bool:
-    return any(a < run[1] and run[0] < b for a, _, b in base)
+def _parts(text: bytes, base: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
+    """Runs of identifier characters, cut at base spans; what is long enough of them."""
+    for m in CANDIDATE.finditer(text):
+        at = m.start()
+        for a, _, b in [*((x for x in base if x[0] < m.end() and m.start() < x[2])), (m.end(), 0, m.end())]:
+            if a - at >= LEAST_LENGTH:
+                yield at, a
+            at = max(at, b)
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,9 +94,9 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 own = _bigrams(_value(t, span))
                 total[1] += own
                 total[0] -= own
-            for m in CANDIDATE.finditer(t or b""):  # undecided, unless it reads as a word
-                if not _WORD.fullmatch(m[0]) and not _overlaps(base, m.span()):
-                    total[0] -= _bigrams(m[0])
+            for start, end in _parts(t or b"", base):  # undecided, unless it reads as a word
+                if not _WORD.fullmatch(t, start, end):
+                    total[0] -= _bigrams(t[start:end])
     kind, cell = np.nonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(kind), pa.array(cell), pa.array(total[kind, cell])], names=["kind", "cell", "n"])
 
@@ -114,17 +124,47 @@ def train(docs: DataFrame, text_col: str = "text") -> np.ndarray:
 
 
 def random_spans(text: bytes, base: list[tuple[int, int, int]], ratio: np.ndarray) -> list[tuple[int, int, int]]:
-    """Runs outside all base spans that the random model explains far better."""
+    """Runs outside all base spans, else their best stretches, that the random model explains far better."""
     out = []
-    for m in CANDIDATE.finditer(text):
-        start, end = m.span()
-        if _overlaps(base, (start, end)):
-            continue
+    for start, end in _parts(text, base):
         codes = np.zeros(end - start + 2, dtype=np.int32)
         codes[1:-1] = _CODE[np.frombuffer(text, dtype=np.uint8, count=end - start, offset=start)]
-        score = ratio[codes[:-1], codes[1:]].sum()
-        if score >= max(LEAST_RATIO, LEAST_PER_CHAR * (end - start)):
+        scores = ratio[codes[:-1], codes[1:]]
+        if scores.sum() >= max(LEAST_RATIO, LEAST_PER_CHAR * (end - start)):
             out.append((start, 3, end))
+        else:
+            for a, b in sorted(_stretches(scores[:-1])):
+                a, b = start + a, start + b
+                if all(_WORD.fullmatch(w) for w in _JOINTS.split(text[a:b]) if w):
+                    continue
+                # whole up to the next joints, so that no end of a secret stays
+                while a > start and not _JOINTS.match(text, a - 1):
+                    a -= 1
+                while b < end and not _JOINTS.match(text, b):
+                    b += 1
+                if out and out[-1][2] > a:
+                    a = out.pop()[0]
+                out.append((a, 3, b))
+    return out
+
+
+def _stretches(scores: np.ndarray) -> list[tuple[int, int]]:
+    """The best stretch of a run by what it scores beyond the least a character, and so on beside it.
+
+    By chance a best stretch scores more the longer the run is, by the log of its length; so does the least ratio.
+    """
+    out, left, least = [], [(0, len(scores))], LEAST_RATIO + float(np.log(max(1, len(scores))))
+    while left:
+        start, end = left.pop()
+        if end - start < LEAST_LENGTH:
+            continue
+        gain = np.concatenate([[0.0], np.cumsum(scores[start:end] - LEAST_PER_CHAR)])
+        before = gain[: len(gain) - LEAST_LENGTH]
+        b = int(np.argmax(gain[LEAST_LENGTH:] - np.minimum.accumulate(before))) + LEAST_LENGTH
+        a = int(np.argmin(before[: b - LEAST_LENGTH + 1]))
+        if gain[b] >= gain[a] and scores[start + a : start + b].sum() >= least:
+            out.append((start + a, start + b))
+            left += [(start, start + a), (start + b, end)]
     return out
 
 
