@@ -89,10 +89,30 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(secrets.scan(table(spark, sf_dir, "documents")))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlake.llm.spelling import variants
+
+    return variants(table(spark, sf_dir, "documents"), damage=199, least_chars=6, least_n=5, ratio=5)
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlake.llm.whitening import whiten
+
+    return whiten(table(spark, sf_dir, "embeddings"), components=32)
+
+
+def op13_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlake.llm.language_model import scores
+
+    docs = table(spark, sf_dir, "documents")
+    return scores(docs, held_out=F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_chat_format, op2_rans_ids, op3_toxicity, op4_quality_rules, op5_best_fit_packing,
         op6_embedding_near_dedup, op7_simhash_near_dedup, op8_source_mix, op9_warc_round_trip, op10_secret_scan,
+        op11_spelling_variants, op12_embedding_whitening, op13_lm_scores,
     )
 }
