@@ -156,13 +156,20 @@ def test_levels():
 
 def test_trie_from_a_mapped_file(tmp_path):
     rng = np.random.default_rng(9)
-    t = np.unique(rng.integers(0, 40, (3000, 3)) ** 2, axis=0)
-    n, logs = rng.integers(1, 9, len(t)), np.full(len(t), -2.0)
-    trie = Trie.build(t[:, 0], t[:, 1], t[:, 2], n, logs, 0.75)
+    ids = np.arange(40) ** 2 * 10**6
+    t = np.unique(rng.integers(0, 40, (3000, 3)), axis=0)
+    t = t[np.lexsort((t[:, 2], t[:, 0], t[:, 1]))]
+    logs = np.full(len(ids), -2.0)
+    trie = Trie.build(ids, t[:, 0], t[:, 1], t[:, 2], rng.integers(1, 9, len(t)), logs, 0.75)
     path = tmp_path / "trie"
     path.write_bytes(trie.to_bytes())
     with open(path, "rb") as f:
         mapped = Trie.open(mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ))
-    ask = rng.integers(0, 42, (5000, 3)) ** 2
-    args = (ask[:, 0], ask[:, 1], ask[:, 2], np.full(len(ask), -2.0))
+    asked = np.arange(45) ** 2 * 10**6 + (np.arange(45) % 7 == 3)
+    q = rng.integers(0, 45, (5000, 3))
+    q = q[np.lexsort((q[:, 2], q[:, 0], q[:, 1]))]
+    args = (asked, q[:, 0], q[:, 1], q[:, 2], np.full(len(asked), -2.0))
     assert np.array_equal(trie.log10(*args), mapped.log10(*args))
+    shuffled = rng.permutation(len(q))
+    again = mapped.log10(asked, *(q[shuffled, k] for k in range(3)), args[-1])
+    assert np.array_equal(again, trie.log10(*args)[shuffled])
