@@ -4,6 +4,7 @@ from ledgerlake.functions.columns import (  # noqa: F401
     count_where,
     day_from_step,
     day_from_step_ceil,
+    distinct_sketch,
     exact_amount,
     failing,
     flag,
@@ -15,6 +16,8 @@ from ledgerlake.functions.columns import (  # noqa: F401
     money_total,
     record_hash,
     safe_pct,
+    sketch_bits,
+    sketch_median,
     strict_flag,
     sum_where,
 )

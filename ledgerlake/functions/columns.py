@@ -4,6 +4,7 @@ whole-stage codegen and compose into one projection per layer."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import ceil, log2
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -60,6 +61,27 @@ def money_max(c: ColumnLike = "amount") -> Column:
     return F.round(F.max(col(c)), 2)
 
 
+#: Size of a median's sketch: about 0.05 % of the ranks off at most, exact up to some thousand values.
+MEDIAN_SKETCH = 8192
+
+
+def sketch_median(c: ColumnLike = "amount") -> Column:
+    """Median estimated by a KLL sketch: a few ten KB a group at any number of values, merged across tasks."""
+    value = col(c).cast("double")
+    sketch = F.kll_sketch_agg_double(value, F.lit(MEDIAN_SKETCH))
+    return F.when(F.count(value) > 0, F.kll_sketch_get_quantile_double(sketch, F.lit(0.5)))
+
+
+def distinct_sketch(c: ColumnLike, rsd: float) -> Column:
+    """HyperLogLog state whose estimate has about the relative standard deviation ``rsd``; states can be merged."""
+    return F.hll_sketch_agg(col(c), F.lit(sketch_bits(rsd)))
+
+
+def sketch_bits(rsd: float) -> int:
+    """log2 of the registers: the error is 1.04 over the root of their number."""
+    return min(21, max(4, ceil(2 * log2(1.04 / rsd))))
+
+
 def sum_where(condition: Column, value: ColumnLike = "amount") -> Column:
     """Conditional money sum, 0.0 where the condition fails, rounded to 2."""
     return F.round(F.sum(F.when(condition, exact_amount(value)).otherwise(F.lit(0).cast("decimal(28,6)"))), 2).cast("double")

@@ -11,15 +11,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.contracts import DEFAULT_RSD, SILVER_REQUIRED_COLUMNS, validate_required_columns
+from ledgerlake.contracts import DEFAULT_RSD, SILVER_REQUIRED_COLUMNS, VALID_TRANSACTION_TYPES, validate_required_columns
 from ledgerlake.functions import (
     count_where,
+    distinct_sketch,
     exact_amount,
     money_avg,
     money_max,
     money_min,
     money_total,
     safe_pct,
+    sketch_median,
     sum_where,
 )
 
@@ -168,27 +170,43 @@ def fraud_monitoring(silver: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- ruled (N)
 
-def daily_transaction_summary_exact(silver: DataFrame) -> DataFrame:
-    agg = silver.groupBy("transaction_day").agg(
-        *daily_measures(),
-        F.count_distinct("origin_account").alias("unique_origin_accounts"),
-        F.count_distinct("destination_account").alias("unique_destination_accounts"),
+def distinct_accounts(silver: DataFrame, keys: list[str]) -> DataFrame:
+    """Exact distinct origin / destination accounts per ``keys``: one scan of narrow (role, account) pairs.
+
+    Pairs are combined before they are shuffled by (keys, role, account); whole rows are not expanded.
+    """
+    pair = [F.struct(F.lit(is_origin).alias("origin"), F.col(c).alias("account"))
+            for is_origin, c in ((True, "origin_account"), (False, "destination_account"))]
+    pairs = silver.select(*keys, F.explode(F.array(*pair)).alias("x")).groupBy(*keys, "x.origin", "x.account").agg(F.count("*"))
+    return pairs.groupBy(*keys).agg(
+        F.count(F.when(F.col("origin"), F.col("account"))).alias("unique_origin_accounts"),
+        F.count(F.when(~F.col("origin"), F.col("account"))).alias("unique_destination_accounts"),
     )
-    return _daily_rates(agg)
+
+
+def _with_accounts(measures: DataFrame, silver: DataFrame, keys: list[str]) -> DataFrame:
+    """Measures per ``keys`` beside the distinct accounts of the same keys (NULL is a key)."""
+    accounts = distinct_accounts(silver, keys).withColumnsRenamed({k: f"_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    return measures.join(accounts, same, "left").drop(*[f"_{k}" for k in keys])
+
+
+def daily_transaction_summary_exact(silver: DataFrame) -> DataFrame:
+    agg = silver.groupBy("transaction_day").agg(*daily_measures())
+    return _daily_rates(_with_accounts(agg, silver, ["transaction_day"]))
 
 
 def hourly_fraud_profile(silver: DataFrame) -> DataFrame:
-    agg = silver.groupBy("step", "transaction_day", "hour_of_day").agg(
+    keys = ["step", "transaction_day", "hour_of_day"]
+    agg = silver.groupBy(*keys).agg(
         F.count("*").alias("transaction_count"),
         money_total().alias("total_transaction_amount"),
         F.sum("is_fraud").alias("fraud_count"),
         sum_where(_fraud()).alias("fraud_amount"),
         F.sum("is_flagged_fraud").alias("flagged_fraud_count"),
         F.sum("is_high_value_transaction").alias("high_value_transaction_count"),
-        F.count_distinct("origin_account").alias("unique_origin_accounts"),
-        F.count_distinct("destination_account").alias("unique_destination_accounts"),
     )
-    return agg.withColumns(
+    return _with_accounts(agg, silver, keys).withColumns(
         {
             "fraud_rate_pct": safe_pct("fraud_count", "transaction_count"),
             "flag_coverage_pct": safe_pct("flagged_fraud_count", "fraud_count"),
@@ -196,8 +214,8 @@ def hourly_fraud_profile(silver: DataFrame) -> DataFrame:
     )
 
 
-def transaction_type_profile(silver: DataFrame, median_accuracy: int = 1_000_000) -> DataFrame:
-    """Type profile with an approximate median and the share of all rows.
+def transaction_type_profile(silver: DataFrame) -> DataFrame:
+    """Type profile with an approximate median (a bounded sketch) and the share of all rows.
 
     The total comes from a window over the (5-row) aggregate, not a driver-side count.
     """
@@ -205,7 +223,7 @@ def transaction_type_profile(silver: DataFrame, median_accuracy: int = 1_000_000
         F.count("*").alias("transaction_count"),
         money_total().alias("total_amount"),
         money_avg().alias("average_amount"),
-        F.round(F.percentile_approx("amount", 0.5, median_accuracy), 2).alias("median_amount"),
+        F.round(sketch_median(), 2).alias("median_amount"),
         money_min().alias("minimum_amount"),
         money_max().alias("maximum_amount"),
         F.sum("is_fraud").alias("fraud_count"),
@@ -223,6 +241,8 @@ def transaction_type_profile(silver: DataFrame, median_accuracy: int = 1_000_000
 
 
 def origin_account_profile(silver: DataFrame) -> DataFrame:
+    """Per origin account. Ruled Silver holds the five valid types only, so the distinct types are a
+    sum of five flags; with one distinct count left (destinations) no row is expanded."""
     t = F.col("transaction_type")
     agg = silver.groupBy("origin_account").agg(
         F.count("*").alias("transaction_count"),
@@ -231,7 +251,8 @@ def origin_account_profile(silver: DataFrame) -> DataFrame:
         money_min().alias("minimum_transaction_amount"),
         money_max().alias("maximum_transaction_amount"),
         F.count_distinct("destination_account").alias("unique_destination_count"),
-        F.count_distinct("transaction_type").alias("unique_transaction_type_count"),
+        sum((F.coalesce(F.max((t == v).cast("bigint")), F.lit(0)) for v in VALID_TRANSACTION_TYPES), F.lit(0).cast("bigint"))
+        .alias("unique_transaction_type_count"),
         F.min("step").alias("first_transaction_step"),
         F.max("step").alias("last_transaction_step"),
         F.sum("is_fraud").alias("fraud_transaction_count"),
@@ -348,9 +369,27 @@ def build_gold_tables(silver: DataFrame, approximate_distinct_rsd: float = DEFAU
     return tables
 
 
+# ---------------------------------------------------------------- certificates of estimates
+
+def distinct_errors(estimates: DataFrame, silver: DataFrame, keys: list[str], rsd: float = DEFAULT_RSD,
+                    deviations: float = 4.0) -> DataFrame:
+    """Per key: exact distinct accounts and whether each estimate lies within ``deviations`` times ``rsd``.
+
+    ``estimates`` holds the keys and ``estimated_unique_{origin,destination}_accounts``.
+    """
+    exact = _with_accounts(estimates, silver, keys)
+
+    def within(side: str) -> Column:
+        true = F.col(f"unique_{side}_accounts")
+        off = F.abs(F.col(f"estimated_unique_{side}_accounts") - true)
+        return (off <= F.lit(deviations * rsd) * true).alias(f"{side}_estimate_within_bound")
+
+    return exact.select(*keys, "unique_origin_accounts", "unique_destination_accounts", within("origin"), within("destination"))
+
+
 # ---------------------------------------------------------------- one-pass calendar marts
 
-def _calendar_cells(silver: DataFrame, keys: list[str]) -> DataFrame:
+def _calendar_cells(silver: DataFrame, keys: list[str], *more: Column) -> DataFrame:
     """Additive measures per calendar cell (hour step and type): the one pass over the fact table.
 
     The step fixes the day and the hour, so there are at most steps x types cells at any data
@@ -366,16 +405,16 @@ def _calendar_cells(silver: DataFrame, keys: list[str]) -> DataFrame:
         F.sum("is_high_value_transaction").alias("high_value_transaction_count"),
         F.count(F.when(high, amount)).alias("_hv_amounts"), F.sum(F.when(high, amount)).alias("_hv_sum"),
         F.max(F.when(high, F.col("amount"))).alias("_hv_max"), F.sum(F.when(high, F.col("is_fraud"))).alias("_hv_fraud"),
-        F.sum(F.when(high, F.col("is_flagged_fraud"))).alias("_hv_flagged"),
+        F.sum(F.when(high, F.col("is_flagged_fraud"))).alias("_hv_flagged"), *more,
     )
 
 
-_CELL_EXTREMES = {"_min": "MIN", "_max": "MAX", "_hv_max": "MAX"}
+_CELL_MERGES = {"_min": "MIN", "_max": "MAX", "_hv_max": "MAX", "_origins": "HLL_UNION_AGG", "_destinations": "HLL_UNION_AGG"}
 
 
 def _roll_up(cells: DataFrame, keys: list[str], sets: str) -> DataFrame:
     """The cells summed up for each grouping set; only these few rows are expanded."""
-    measures = ", ".join(f"{_CELL_EXTREMES.get(c, 'SUM')}({c}) AS {c}" for c in cells.columns if c not in keys)
+    measures = ", ".join(f"{_CELL_MERGES.get(c, 'SUM')}({c}) AS {c}" for c in cells.columns if c not in keys)
     names = ", ".join(keys)
     return cells.sparkSession.sql(
         f"SELECT {names}, GROUPING_ID({names}) AS _gid, {measures} FROM {{cells}} GROUP BY GROUPING SETS {sets}", cells=cells
@@ -383,22 +422,22 @@ def _roll_up(cells: DataFrame, keys: list[str], sets: str) -> DataFrame:
 
 
 def calendar_rollup(silver: DataFrame, approximate_distinct_rsd: float = DEFAULT_RSD) -> DataFrame:
-    """One pass of Silver for the five calendar / type marts, and a narrow one for the day estimates.
+    """One pass of Silver for the five calendar / type marts, the account estimates included.
 
     Sets: (day), (day, type), (type), (step). High-value measures are
-    conditional aggregates on the (day, type) set. The result holds at most
+    conditional aggregates on the (day, type) set. Each cell keeps two HyperLogLog states of a
+    few hundred bytes, which merge into the days' estimates. The result holds at most
     days + days x types + types + steps rows, so it is tiny at any data size.
     """
     _check_rsd(approximate_distinct_rsd)
     keys = ["transaction_day", "transaction_type", "step"]
-    rollup = _roll_up(_calendar_cells(silver, keys), keys,
-                      "((transaction_day), (transaction_day, transaction_type), (transaction_type), (step))")
-    estimates = silver.groupBy(F.col("transaction_day").alias("_day")).agg(
-        F.approx_count_distinct("origin_account", approximate_distinct_rsd).alias("estimated_unique_origin_accounts"),
-        F.approx_count_distinct("destination_account", approximate_distinct_rsd).alias("estimated_unique_destination_accounts"),
-    )
-    of_day = (F.col("_gid") == _GID["day"]) & F.col("transaction_day").eqNullSafe(F.col("_day"))
-    return rollup.join(estimates, of_day, "left").drop("_day")
+    cells = _calendar_cells(silver, keys, distinct_sketch("origin_account", approximate_distinct_rsd).alias("_origins"),
+                            distinct_sketch("destination_account", approximate_distinct_rsd).alias("_destinations"))
+    rollup = _roll_up(cells, keys, "((transaction_day), (transaction_day, transaction_type), (transaction_type), (step))")
+    return rollup.withColumns({
+        "estimated_unique_origin_accounts": F.hll_sketch_estimate("_origins"),
+        "estimated_unique_destination_accounts": F.hll_sketch_estimate("_destinations"),
+    }).drop("_origins", "_destinations")
 
 
 # GROUPING_ID bit order: transaction_day (4), transaction_type (2), step (1); 1 = rolled up.
@@ -502,10 +541,9 @@ def ruled_distinct_accounts(silver_ruled: DataFrame) -> DataFrame:
           F.max("unique_destination_accounts").alias("unique_destination_accounts"))
 
 
-def ruled_type_medians(silver_ruled: DataFrame, median_accuracy: int = 1_000_000) -> DataFrame:
-    return silver_ruled.groupBy("transaction_type").agg(
-        F.round(F.percentile_approx("amount", 0.5, median_accuracy), 2).alias("median_amount")
-    )
+def ruled_type_medians(silver_ruled: DataFrame) -> DataFrame:
+    """Each task keeps one bounded sketch per type; the sketches merge."""
+    return silver_ruled.groupBy("transaction_type").agg(F.round(sketch_median(), 2).alias("median_amount"))
 
 
 def ruled_calendar_marts(rollup: DataFrame, distinct: DataFrame, medians: DataFrame) -> dict[str, DataFrame]:

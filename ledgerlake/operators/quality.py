@@ -3,7 +3,8 @@
 Row-level checks compile to one aggregation pass (``count_if`` per check and
 per denominator); only exact duplicates and missing steps need their own
 shuffle. Long (unpivoted) outputs come from ``unpivot`` over the one-row
-aggregate, so nothing is collected to the driver.
+aggregate, so nothing is collected to the driver. Distinct counts of several
+columns explode narrow (column, value) pairs instead of expanding whole rows.
 """
 
 from __future__ import annotations
@@ -11,6 +12,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,6 +28,7 @@ from ledgerlake.contracts import (
     VALID_TRANSACTION_TYPES,
     schema_drift,
 )
+from ledgerlake.functions import money_total
 from ledgerlake.operators.quantiles import exact_quantiles, pivot_quantiles
 
 BALANCE_COLUMNS = ["oldbalanceOrg", "newbalanceOrig", "oldbalanceDest", "newbalanceDest"]
@@ -58,16 +62,10 @@ def duplicate_keys(df: DataFrame, key_columns: Sequence[str]) -> DataFrame:
 
 
 def nonbinary_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Distinct non-NULL values outside {0, 1}, per column (column_name, value)."""
-    parts = None
-    for c in columns:
-        part = (
-            df.filter(F.col(c).isNotNull() & ~F.col(c).isin(0, 1))
-            .select(F.lit(c).alias("column_name"), F.col(c).cast("bigint").alias("value"))
-            .distinct()
-        )
-        parts = part if parts is None else parts.unionByName(part)
-    return parts
+    """Distinct non-NULL values outside {0, 1}, per column (column_name, value); one scan of all columns."""
+    pair = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("bigint").alias("value"), F.col(c).isin(0, 1).alias("binary")) for c in columns]
+    values = df.select(F.explode(F.array(*pair)).alias("x")).select("x.*")
+    return values.filter(~F.col("binary")).select("column_name", "value").distinct()
 
 
 def bronze_validation_metrics(raw: DataFrame) -> DataFrame:
@@ -106,6 +104,17 @@ def silver_binary_metrics(silver: DataFrame) -> DataFrame:
     )
 
 
+def silver_metrics(silver: DataFrame) -> DataFrame:
+    """The totals of a strict Silver table in one row; an empty table counts 0."""
+    return silver.agg(
+        F.count("*").alias("silver_row_count"),
+        F.coalesce(F.sum("is_fraud"), F.lit(0)).cast("bigint").alias("silver_fraud_count"),
+        F.coalesce(F.sum("is_flagged_fraud"), F.lit(0)).cast("bigint").alias("silver_flagged_fraud_count"),
+        F.coalesce(F.sum("is_high_value_transaction"), F.lit(0)).cast("bigint").alias("silver_high_value_count"),
+        money_total().alias("silver_total_amount"),
+    )
+
+
 def flag_detection_rate(raw: DataFrame) -> DataFrame:
     fraud = F.col("isFraud") == 1
     agg = raw.agg(
@@ -118,20 +127,37 @@ def flag_detection_rate(raw: DataFrame) -> DataFrame:
     )
 
 
+def distinct_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """column_name, unique_count (of values, NULL is none), null_count, row_count: all columns from one scan.
+
+    Rows become narrow (column number, value as text) pairs, counted before they are shuffled;
+    a second grouping counts the pairs per column. The text of a value is as distinct as the
+    value. Keys are (column, value), so no column ends in one task.
+    """
+    spark = df.sparkSession
+    pair = [F.struct(F.lit(i).alias("i"), _as_text(F.col(f"`{c}`"), df.schema[c].dataType.typeName()).alias("v")) for i, c in enumerate(columns)]
+    values = df.select(F.explode(F.array(*pair)).alias("x")).groupBy("x.i", "x.v").agg(F.count("*").alias("n"))
+    counted = values.groupBy("i").agg(
+        F.count("v").alias("unique_count"), F.sum("n").alias("row_count"), F.sum(F.when(F.col("v").isNull(), F.col("n"))).alias("null_count")
+    )
+    names = spark.createDataFrame(list(enumerate(columns)), "i int, column_name string")  # an empty table has no pairs
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("bigint").alias(c)
+    return names.join(counted, "i", "left").select("column_name", *[zero(c) for c in ("unique_count", "null_count", "row_count")])
+
+
+def _as_text(value: Column, kind: str) -> Column:
+    """Equal values as equal texts: -0.0 is 0.0."""
+    return (value + F.lit(0.0)).cast("string") if kind in ("double", "float") else value.cast("string")
+
+
 def cardinality_profile(df: DataFrame, count_null: bool = True) -> DataFrame:
     """column_name, data_type, unique_count, cardinality_pct; NULL counts as a value by default."""
-    aggs = [F.count("*").alias("_n")]
-    for c in df.columns:
-        distinct = F.count_distinct(F.col(c))
-        if count_null:
-            distinct = distinct + F.max(F.when(F.col(c).isNull(), 1).otherwise(0))
-        aggs.append(distinct.cast("bigint").alias(c))
-    wide = df.agg(*aggs)
-    long = wide.unpivot(["_n"], df.columns, "column_name", "unique_count")
     types = F.create_map(*[x for f in df.schema.fields for x in (F.lit(f.name), F.lit(f.dataType.simpleString()))])
-    return long.select(
+    unique = F.col("unique_count") + ((F.col("null_count") > 0).cast("bigint") if count_null else 0)
+    found = distinct_values(df, df.columns).withColumn("unique_count", unique)
+    return found.select(
         "column_name", types[F.col("column_name")].alias("data_type"), "unique_count",
-        F.when(F.col("_n") > 0, F.col("unique_count") / F.col("_n") * 100.0).otherwise(F.lit(0.0)).alias("cardinality_pct"),
+        F.when(F.col("row_count") > 0, F.col("unique_count") / F.col("row_count") * 100.0).otherwise(F.lit(0.0)).alias("cardinality_pct"),
     )
 
 
@@ -139,28 +165,32 @@ DESCRIBE_PROBS = {0.01: "p01", 0.05: "p05", 0.25: "p25", 0.5: "p50", 0.75: "p75"
 QUARTILE_PROBS = {0.25: "p25", 0.5: "p50", 0.75: "p75"}
 
 
-def describe(df: DataFrame, columns: Sequence[str], probs: dict[float, str] = DESCRIBE_PROBS) -> DataFrame:
+def describe(df: DataFrame, columns: Sequence[str], probs: dict[float, str] = DESCRIBE_PROBS, few_rows: bool = False) -> DataFrame:
     """Per column: count, mean, std (sample), min, exact quantiles, max (rounded to 6).
 
-    Moments of all columns come from one aggregation pass; the quantiles of all
-    columns come from one distributed ranking of the unpivoted (column, value)
-    rows, so no column is gathered into one task and the input is scanned twice
-    in total, whatever the number of columns.
+    Moments of all columns come from one aggregation pass; the quantiles of all columns come from
+    the counts of the (column, value) pairs, so the input is scanned twice, whatever the number
+    of columns. ``few_rows`` says that the input is small by nature (a row per hour, say): then
+    Spark's own ``percentile`` answers in the pass of the moments.
     """
     cols = list(columns)
     stats = ["count", "mean", "std", "min", "max"]
-    moments = df.agg(*[
+    aggs = [
         agg(F.col(c).cast("double")).alias(f"{c}\u0001{name}")
         for c in cols
         for name, agg in (("count", F.count), ("mean", F.avg), ("std", F.stddev_samp), ("min", F.min), ("max", F.max))
-    ])
+    ]
+    if few_rows:
+        stats += list(probs.values())
+        aggs += [F.percentile(F.col(c).cast("double"), p).alias(f"{c}\u0001{name}") for c in cols for p, name in probs.items()]
     rows = [F.struct(F.lit(c).alias("column_name"),
                      *[F.col(f"`{c}\u0001{name}`").alias(name) for name in stats]) for c in cols]
-    moments_long = moments.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
-    values = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
-        [], cols, "column_name", "_value")
-    qs = pivot_quantiles(exact_quantiles(values, "_value", list(probs), ["column_name"]), ["column_name"], probs)
-    out = moments_long.join(qs, "column_name", "left")
+    out = df.agg(*aggs).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    if not few_rows:
+        pair = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("_value")) for c in cols]
+        values = df.select(F.explode(F.array(*pair)).alias("x")).select("x.*")
+        qs = pivot_quantiles(exact_quantiles(values, "_value", list(probs), ["column_name"]), ["column_name"], probs)
+        out = out.join(qs, "column_name", "left")
     return out.select(
         "column_name", "count",
         *[F.round(F.col(n), 6).alias(n) for n in ["mean", "std", "min", *probs.values(), "max"]],
@@ -228,7 +258,7 @@ def hourly_profile(raw: DataFrame) -> DataFrame:
 def hourly_profile_stats(raw: DataFrame) -> DataFrame:
     """Describe over the hourly profile (an aggregate of an aggregate, <= #steps rows)."""
     hourly = hourly_profile(raw)
-    return describe(hourly, ["transaction_count", "total_amount", "fraud_count", "fraud_rate_pct"], QUARTILE_PROBS)
+    return describe(hourly, ["transaction_count", "total_amount", "fraud_count", "fraud_rate_pct"], QUARTILE_PROBS, few_rows=True)
 
 
 def merchant_balance_profile(raw: DataFrame) -> DataFrame:
@@ -271,13 +301,27 @@ def missing_steps(raw: DataFrame, min_step: int = MIN_STEP, max_step: int = MAX_
     return expected.join(observed, "step", "left_anti")
 
 
+def rows_per_partition(df: DataFrame) -> DataFrame:
+    """partition_id, row_count: a row for each partition, the empty ones too.
+
+    A pass over the partitions, each of which answers once whatever it holds.
+    """
+    def counted(batches):
+        yield pa.RecordBatch.from_pydict(
+            {"partition_id": [TaskContext.get().partitionId()], "row_count": [sum(b.num_rows for b in batches)]},
+            schema=pa.schema([("partition_id", pa.int32()), ("row_count", pa.int64())]),
+        )
+
+    # One narrow column goes along; a frame without columns would lose its batches' row counts.
+    return df.select(F.lit(True).alias("one")).mapInArrow(counted, "partition_id int, row_count long")
+
+
 def partition_skew(df: DataFrame) -> DataFrame:
-    """Rows per partition and the min / max / avg summary (no RDD, no collect)."""
-    per_part = df.groupBy(F.spark_partition_id().alias("partition_id")).agg(F.count("*").alias("row_count"))
-    return per_part.agg(
-        F.count("*").alias("non_empty_partitions"),
+    """The summary of the rows per partition: partitions, empty ones, least, most, mean."""
+    return rows_per_partition(df).agg(
+        F.count("*").alias("partitions"), F.count_if(F.col("row_count") > 0).alias("non_empty_partitions"),
         F.min("row_count").alias("min_rows"), F.max("row_count").alias("max_rows"),
-        F.round(F.avg("row_count"), 2).alias("avg_rows"),
+        F.round(F.avg("row_count"), 2).alias("avg_rows"), F.sum("row_count").alias("total_rows"),
     )
 
 
@@ -425,7 +469,7 @@ def quality_report(raw: DataFrame, expected_columns: Sequence[str] = RAW_COLUMNS
         (len(drift["unexpected_columns"]), len(raw.columns)),
         (0 if drift["column_order_matches"] else 1, 1),
     ]
-    schema_part = wide.select(F.explode(F.array(*[
+    schema_part = raw.sparkSession.range(1).select(F.explode(F.array(*[
         F.struct(*meta(*SCHEMA_CHECKS[i]), F.lit(t).cast("bigint").alias("records_tested"),
                  F.lit(f).cast("bigint").alias("failed_records"))
         for i, (f, t) in enumerate(schema_vals)

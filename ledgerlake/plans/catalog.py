@@ -7,6 +7,7 @@ Wall-clock lineage columns are dropped so results are deterministic.
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -80,6 +81,29 @@ def q_bronze(spark, sf):
     return _no_ts(bronze(spark, sf))
 
 
+#: When the fixture rows count as ingested, where a query shows the time.
+INGESTED_AT = datetime.datetime(2024, 1, 31, 12, 30, 15)
+
+
+@register("bronze_metadata")
+def q_bronze_metadata(spark, sf):
+    """Strict lineage with the time given: source file, run id, ingestion time as text."""
+    b = B.add_lineage(B.rename_columns(raw(spark, sf)), B.DEFAULT_SOURCE_FILE, B.DEFAULT_RUN_ID, F.lit(INGESTED_AT))
+    at = F.date_format("bronze_ingestion_timestamp", "yyyy-MM-dd HH:mm:ss")
+    return b.select("step", "amount", "origin_account", "source_file_name", "pipeline_run_id", at.alias("bronze_ingestion_timestamp"))
+
+
+@register("bronze_lineage")
+def q_bronze_lineage(spark, sf):
+    """Ruled lineage with the time given: run id, time and date as text, file, path, record hash."""
+    b = B.bronze_ruled(raw(spark, sf), ingested_at=F.lit(INGESTED_AT))
+    return b.select(
+        "_record_hash", "_pipeline_run_id", "_source_file", "_source_file_path",
+        F.date_format("_ingestion_timestamp", "yyyy-MM-dd HH:mm:ss").alias("_ingestion_timestamp"),
+        F.date_format("_ingestion_date", "yyyy-MM-dd").alias("_ingestion_date"),
+    )
+
+
 @register("record_hash")
 def q_record_hash(spark, sf):
     return B.bronze_ruled(raw(spark, sf)).select("step", "type", "amount", "nameOrig", "_record_hash")
@@ -193,12 +217,35 @@ def q_approx_accounts(spark, sf):
 
 @register("exact_accounts_by_day")
 def q_exact_accounts(spark, sf):
-    return silver(spark, sf).groupBy("transaction_day").agg(
-        F.count_distinct("origin_account").alias("unique_origin_accounts"),
-        F.count_distinct("destination_account").alias("unique_destination_accounts"),
+    return M.distinct_accounts(silver(spark, sf), ["transaction_day"])
+
+
+@register("approx_accounts_by_day_bound")
+def q_approx_accounts_bound(spark, sf):
+    """The exact accounts beside whether the estimates of ``approx_accounts_by_day`` are near enough."""
+    return M.distinct_errors(q_approx_accounts(spark, sf), silver(spark, sf), ["transaction_day"])
+
+
+@register("daily_transaction_summary_bound")
+def q_daily_bound(spark, sf):
+    """As above, for the estimates of the daily summary that merged sketches give (the job's form)."""
+    s = silver(spark, sf)
+    days = M.calendar_marts(M.calendar_rollup(s))["daily_transaction_summary"]
+    return M.distinct_errors(days, s, ["transaction_day"])
+
+
+@register("daily_summary_join_core")
+def q_daily_join_core(spark, sf):
+    return M.daily_transaction_summary_join(silver(spark, sf)).drop(
+        "estimated_unique_origin_accounts", "estimated_unique_destination_accounts"
     )
 
 
+@register("silver_metrics")
+def q_silver_metrics(spark, sf):
+    return Q.silver_metrics(silver(spark, sf))
+
+
 # ------------------------------------------------------------------ ruled silver
 
 @register("normalize_strings")
@@ -350,9 +397,10 @@ def q_raw_type_summary(spark, sf):
 from ledgerlake.operators import quality as Q  # noqa: E402
 from ledgerlake.operators import reconcile as RC  # noqa: E402
 from ledgerlake.operators import sql_views as SV  # noqa: E402
-from ledgerlake.operators.quantiles import exact_quantiles, pivot_quantiles  # noqa: E402
+from ledgerlake.operators.quantiles import exact_quantiles, pivot_quantiles, rank_errors  # noqa: E402
 from ledgerlake.plans.checks import strict_reconciliation  # noqa: E402
 from ledgerlake.session import scratch_path  # noqa: E402
+from ledgerlake.functions import sketch_median  # noqa: E402
 
 
 @register("null_profile")
@@ -496,6 +544,12 @@ def q_partition_skew(spark, sf):
     return Q.partition_skew(raw(spark, sf))
 
 
+@register("partition_rows")
+def q_partition_rows(spark, sf):
+    """Rows dealt to 16 partitions, counted partition by partition, and what they add up to."""
+    return Q.partition_skew(raw(spark, sf).repartition(16)).select("partitions", "total_rows")
+
+
 @register("quality_report")
 def q_quality_report(spark, sf):
     return Q.quality_report(raw(spark, sf))
@@ -585,6 +639,31 @@ def q_approx_quantiles(spark, sf):
     )
 
 
+@register("approx_quantiles_bound")
+def q_approx_quantiles_bound(spark, sf):
+    """Values counted and whether each estimate of ``approx_quantiles`` is within its rank error (1 / accuracy)."""
+    r = raw(spark, sf)
+    row = q_approx_quantiles(spark, sf).first()
+    estimates = {int(name[1:]) / 100: row[name] for name in row.asDict()}
+    return rank_errors(r, "amount", estimates).select(
+        F.col("p").alias("probability"), "row_count", (F.col("rank_error") <= 1 / 1000).alias("within_bound")
+    )
+
+
+@register("type_median_bound")
+def q_type_median_bound(spark, sf):
+    """Per type: rows, and whether the sketched median is within 0.1 % of the ranks."""
+    s = silver_ruled(spark, sf)
+    medians = s.groupBy("transaction_type").agg(sketch_median().alias("median_amount"))
+    v = F.col("amount")
+    counted = s.join(medians.withColumnRenamed("transaction_type", "_t"), F.col("transaction_type").eqNullSafe(F.col("_t"))).groupBy("transaction_type").agg(
+        F.count("*").alias("row_count"), F.count_if(v < F.col("median_amount")).alias("below"), F.count_if(v <= F.col("median_amount")).alias("upto")
+    )
+    half = F.col("row_count") / 2
+    off = F.greatest(F.col("below") - half, half - F.col("upto"), F.lit(0.0))
+    return counted.select("transaction_type", "row_count", (off <= 0.001 * F.col("row_count")).alias("within_bound"))
+
+
 @register("exact_quantiles")
 def q_exact_quantiles(spark, sf):
     probs = {0.01: "p01", 0.25: "p25", 0.5: "p50", 0.75: "p75", 0.95: "p95", 0.99: "p99"}
@@ -599,6 +678,18 @@ def q_sample_rows(spark, sf):
     return raw(spark, sf).orderBy(F.rand(42)).limit(10)
 
 
+@register("sample_rows_bound")
+def q_sample_rows_bound(spark, sf):
+    """How many rows the sample has, and how many of them the source doesn't hold as often."""
+    r = raw(spark, sf)
+    sample = r.orderBy(F.rand(42)).limit(10)  # the limit is the sampling feature
+    sides = sample.agg(F.count("*").alias("n")).select(F.lit("sampled").alias("side"), "n").unionByName(
+        sample.exceptAll(r).agg(F.count("*").alias("n")).select(F.lit("foreign").alias("side"), "n")
+    )
+    return sides.agg(F.max(F.when(F.col("side") == "sampled", F.col("n"))).alias("sampled_rows"),
+                     F.max(F.when(F.col("side") == "foreign", F.col("n"))).alias("foreign_rows"))
+
+
 # ------------------------------------------------------------------ SQL surface
 
 @register("sql_type_summary")

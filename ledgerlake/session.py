@@ -14,6 +14,9 @@ import uuid
 from pyspark.sql import SparkSession
 
 _CHECKPOINT_CONF = "spark.checkpoint.dir"
+#: Groups with sketches that a task keeps in a hash table before it sorts its rows instead: the
+#: calendar cells (hours x types) are fewer, at about a KB each.
+SKETCH_GROUPS = 8192
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "ledgerlake") -> SparkSession:
@@ -26,6 +29,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", str(SKETCH_GROUPS))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -76,6 +80,7 @@ def sizing_conf(input_bytes: int, total_cores: int, target_partition_bytes: int
         "spark.sql.shuffle.partitions": str(shuffle),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": str(SKETCH_GROUPS),
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     }
 

@@ -9,13 +9,29 @@ to make the whole file parse once, up front.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlake.contracts import RAW_TRANSACTION_SCHEMA
+from ledgerlake.contracts import RAW_TRANSACTION_SCHEMA, schema_drift
 
 CORRUPT_COLUMN = "_corrupt_record"
+#: Columns that ``with_files`` adds: where each row was read.
+SCANNED_NAME, SCANNED_PATH, SCANNED_TIME = "_scanned_file", "_scanned_path", "_scanned_modified"
+FILE_COLUMNS = [SCANNED_NAME, SCANNED_PATH, SCANNED_TIME]
+
+
+class UnusableSource(ValueError):
+    """The input is missing, empty or has another header."""
+
+
+def with_files(scan: DataFrame) -> DataFrame:
+    """The scan's rows, each with its file's name, path and modification time (its scan's own metadata)."""
+    return scan.select(
+        "*", F.col("_metadata.file_name").alias(SCANNED_NAME), F.col("_metadata.file_path").alias(SCANNED_PATH),
+        F.col("_metadata.file_modification_time").alias(SCANNED_TIME),
+    )
 
 
 def read_csv_strict(spark: SparkSession, path: str, schema: T.StructType = RAW_TRANSACTION_SCHEMA) -> DataFrame:
@@ -53,8 +69,25 @@ def validate_all_columns(df: DataFrame) -> int:
 
 def source_is_readable(spark: SparkSession, path: str, fmt: str = "csv") -> bool:
     """Input guard: the source exists and holds at least one row (reads one row)."""
+    reader = spark.read.option("header", True) if fmt == "csv" else spark.read
     try:
-        reader = spark.read.option("header", True) if fmt == "csv" else spark.read
         return not reader.format(fmt).load(path).limit(1).isEmpty()
-    except Exception:  # noqa: BLE001 - missing path / unreadable source
+    except AnalysisException:  # no such path, no file in it, or a file of another format
         return False
+
+
+def guard_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_TRANSACTION_SCHEMA) -> None:
+    """Raise :class:`UnusableSource` before any row is ingested, if the input can't be what is expected."""
+    if not source_is_readable(spark, path):
+        raise UnusableSource(f"no rows to read at {path}")
+    header = spark.read.option("header", True).csv(path).columns
+    drift = schema_drift(header, schema.fieldNames())
+    if drift["missing_columns"] or drift["unexpected_columns"] or not drift["column_order_matches"]:
+        raise UnusableSource(f"the header of {path} differs: {drift}")
+
+
+def split_rejects(scan: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows that parsed, rows that didn't) of a permissive scan; rejects keep their line and where it stood."""
+    broken = F.col(CORRUPT_COLUMN).isNotNull()
+    rest = [c for c in scan.columns if c == CORRUPT_COLUMN or c in FILE_COLUMNS]
+    return scan.filter(~broken).drop(CORRUPT_COLUMN), scan.filter(broken).select(*rest)

@@ -748,3 +748,25 @@ for _k in ["daily_type_summary", "hourly_fraud_summary", "transaction_type_summa
 # The scan forms must return what the window forms return.
 ORACLE["fraud_feature_scan"] = ORACLE["fraud_feature"]
 ORACLE["fraud_feature_profile_scan"] = ORACLE["fraud_feature_profile"]
+
+# ------------------------------------------------------------------ bounds of estimates (no estimate is compared)
+
+ORACLE["daily_summary_join_core"] = ORACLE["daily_transaction_summary_core"]
+_BOUND = """SELECT transaction_day, COUNT(DISTINCT origin_account) AS unique_origin_accounts,
+  COUNT(DISTINCT destination_account) AS unique_destination_accounts,
+  TRUE AS origin_estimate_within_bound, TRUE AS destination_estimate_within_bound
+FROM silver_m GROUP BY transaction_day"""
+for _k in ["approx_accounts_by_day_bound", "daily_transaction_summary_bound"]:
+    oracle(_k, _BOUND, "silver_m")
+oracle("approx_quantiles_bound", """SELECT p.probability, (SELECT COUNT(amount) FROM raw) AS row_count, TRUE AS within_bound
+FROM (VALUES (0.01::DOUBLE), (0.25), (0.5), (0.75), (0.95), (0.99)) p(probability)""", "raw")
+oracle("sample_rows_bound", "SELECT LEAST(10, COUNT(*)) AS sampled_rows, CAST(0 AS BIGINT) AS foreign_rows FROM raw", "raw")
+oracle("partition_rows", "SELECT CAST(16 AS BIGINT) AS partitions, COUNT(*) AS total_rows FROM raw", "raw")
+oracle("silver_metrics", f"""SELECT COUNT(*) AS silver_row_count, {bigint_sum('is_fraud')} AS silver_fraud_count,
+  {bigint_sum('is_flagged_fraud')} AS silver_flagged_fraud_count, {bigint_sum('is_high_value_transaction')} AS silver_high_value_count,
+  {sround('SUM(CAST(amount AS DECIMAL(28,6)))', 2)} AS silver_total_amount FROM silver_m""", "silver_m")
+oracle("bronze_metadata", """SELECT step, amount, origin_account, source_file_name, pipeline_run_id,
+  '2024-01-31 12:30:15' AS bronze_ingestion_timestamp FROM bronze_m""", "bronze_m")
+oracle("bronze_lineage", """SELECT _record_hash, _pipeline_run_id, _source_file, _source_file_path,
+  '2024-01-31 12:30:15' AS _ingestion_timestamp, '2024-01-31' AS _ingestion_date FROM bronze_n""", "bronze_n")
+oracle("type_median_bound", "SELECT transaction_type, COUNT(*) AS row_count, TRUE AS within_bound FROM silver_n GROUP BY transaction_type", "silver_n")
