@@ -36,7 +36,7 @@ def main() -> None:
     from ledgerlake.plans import job as J
     from ledgerlake.session import checkpoint_root, local_session
     from ledgerlake.sources.fixture import raw_transactions
-    from ledgerlake.sources.sinks import export_small_table, write_csv, write_many, write_parquet
+    from ledgerlake.sources.sinks import export_csv_file, write_many, write_parquet
 
     t0 = time.perf_counter()
     spark = local_session(cpus=cpus, shuffle_partitions=cpus, app="ledgerlake-bench")
@@ -57,43 +57,39 @@ def main() -> None:
         return out
 
     raw = raw_transactions(spark, sf_dir)
-    bronze, bronze_rows = timed("bronze", lambda: J.bronze_stage(spark, raw, sink, params))
-    silver, counts = timed("silver", lambda: J.silver_stage(spark, bronze, sink, params))
-    counts = {"bronze_row_count": bronze_rows, **counts}
-    rows.update(counts)
+    log = J.RunLog()
+    bronze = timed("bronze", lambda: J.bronze_stage(spark, raw, sink, params, log))
+    silver = timed("silver", lambda: J.silver_stage(spark, bronze, sink, params, log))
+    rows.update(bronze_row_count=log.values["bronze_rows"], silver_row_count=log.values["silver_rows"], silver_fraud_count=log.values["silver_fraud"])
+
+    def write(tables):
+        for name, written in write_many(tables, f"{sink}/gold", measures=J.mart_measures(tables)).items():
+            log.add(name, written)
 
     def calendar():
         rollup_path = f"{sink}/gold/_calendar_rollup"
         write_parquet(M.calendar_rollup(silver), rollup_path)
-        marts = M.calendar_marts(spark.read.parquet(rollup_path))
-        write_many(marts, f"{sink}/gold")
+        write(M.calendar_marts(spark.read.parquet(rollup_path)))
         for name, keys in J.SMALL_MARTS.items():
-            export_small_table(spark.read.parquet(f"{sink}/gold/{name}"), f"{sink}/exports/{name}", sort_by=keys)
-        return list(marts)
+            log.exports.append(export_csv_file(spark.read.parquet(f"{sink}/gold/{name}"), f"{sink}/exports", f"{name}.csv", sort_by=keys))
 
-    calendar_names = timed("calendar_marts", calendar)
+    timed("calendar_marts", calendar)
 
     def fraud_rows():
-        write_parquet(M.fraud_monitoring(silver), f"{sink}/gold/fraud_monitoring")
-        write_csv(spark.read.parquet(f"{sink}/gold/fraud_monitoring"), f"{sink}/exports/fraud_monitoring")
+        write({"fraud_monitoring": M.fraud_monitoring(silver)})
+        J.export_fraud_rows(spark, spark.read.parquet(f"{sink}/gold/fraud_monitoring"), f"{sink}/exports", log.tables["fraud_monitoring"].rows, log)
 
     timed("fraud_monitoring", fraud_rows)
-    timed("account_summaries", lambda: write_many(
+    timed("account_summaries", lambda: write(
         {"origin_account_summary": M.origin_account_summary(silver),
-         "destination_account_summary": M.destination_account_summary(silver)}, f"{sink}/gold"))
-    written = {name: spark.read.parquet(f"{sink}/gold/{name}")
-               for name in [*calendar_names, "fraud_monitoring", "origin_account_summary", "destination_account_summary"]}
-    timed("fraud_feature", lambda: write_parquet(
-        FE.fraud_feature(silver, origin_counts=written["origin_account_summary"]), f"{sink}/gold/fraud_feature"))
-    written["fraud_feature"] = spark.read.parquet(f"{sink}/gold/fraud_feature")
-
-    def reconcile_and_audit():
-        return J.finalize_run(spark, sink, params, silver, counts, written)["pipeline_status"]
-
-    rows["pipeline_status_success"] = int(timed("reconciliation_audit", reconcile_and_audit) == "SUCCESS")
+         "destination_account_summary": M.destination_account_summary(silver)}))
+    origin = spark.read.parquet(f"{sink}/gold/origin_account_summary")
+    timed("fraud_feature", lambda: write({"fraud_feature": FE.fraud_feature(silver, origin_counts=origin)}))
+    rows["pipeline_status_success"] = int(timed("reconciliation_audit", lambda: J.finalize_run(spark, sink, params, log)["pipeline_status"]) == "SUCCESS")
 
     raw_from_bronze = B.to_raw_names(bronze)
-    validated = timed("ruled_validate", lambda: J.write_validated(spark, raw_from_bronze, sink, params))
+    ruled_bronze = B.bronze_ruled(raw_from_bronze, params.run_id, params.source_file_name)
+    validated = timed("ruled_validate", lambda: J.write_validated(spark, ruled_bronze, sink, params))
     silver_ruled = J.silver_ruled_view(validated)
     timed("ruled_marts", lambda: J.write_ruled_gold(spark, silver_ruled, sink))
     report = timed("quality_report", lambda: Q.quality_report(raw_from_bronze).collect())
@@ -109,7 +105,7 @@ def main() -> None:
         "scope": "bronze + silver + 5 calendar marts (+CSV) + fraud rows (+CSV) + reconciliation/audit/registry/summary",
         "queries": times,
         "all_stages_sec": round(sum(times.values()), 3),
-        "rows_per_sec": round(counts["bronze_row_count"] / value, 1) if value else None,
+        "rows_per_sec": round(rows["bronze_row_count"] / value, 1) if value else None,
         "rows": rows,
         "session_start_sec": round(session_start, 3),
         "sf": sf,

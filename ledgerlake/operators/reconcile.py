@@ -7,13 +7,14 @@ join or driver round trip is needed. Empty inputs count as 0 (never NULL).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.contracts import AUDIT_SCHEMA
+from ledgerlake.sources.sinks import Written
 
 
 def _count(df: DataFrame, label: Column, value: Column | None = None) -> DataFrame:
@@ -80,6 +81,46 @@ def comparison_report(measures: Sequence[tuple[str, str, DataFrame]], checks: Se
     return wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
+_REPORT_SCHEMA = "check_name string, expected_measure string, actual_measure string, expected_value long, actual_value long, status string"
+
+
+def report_of_values(spark: SparkSession, values: Mapping[str, int], checks: Sequence[tuple[str, str, str, str]]) -> DataFrame:
+    """The same report from measures that the writes already counted: a row per check, no table read."""
+    rows = []
+    for check, expected, actual, relation in checks:
+        e, a = int(values.get(expected) or 0), int(values.get(actual) or 0)
+        ok = e == a if relation == "eq" else 0 <= a <= e
+        rows.append((check, expected, actual, e, a, "PASS" if ok else "FAIL"))
+    return spark.createDataFrame(rows, _REPORT_SCHEMA)
+
+
+#: Contents are compared modulo this prime, so that they fit a long.
+_CONTENT = (1 << 61) - 1
+
+
+def content(columns: Sequence[str]) -> Column:
+    """A number for a bag of rows, whatever their order: the sum of their hashes. Equal bags have equal
+    numbers; a row changed, lost or doubled changes it but for a chance of about 1 in 10**18."""
+    return F.sum(F.pmod(F.xxhash64(*columns), F.lit(_CONTENT)).cast("decimal(38,0)")) % F.lit(_CONTENT)
+
+
+def content_where(condition: Column, columns: Sequence[str]) -> Column:
+    """The same over the rows for which ``condition`` holds."""
+    hashed = F.pmod(F.xxhash64(*columns), F.lit(_CONTENT)).cast("decimal(38,0)")
+    return F.sum(F.when(condition, hashed)) % F.lit(_CONTENT)
+
+
+def content_reconciliation(sides: Mapping[str, DataFrame], columns: Sequence[str]) -> DataFrame:
+    """table_name, row_count, same_content: each side beside the first, compared row by row content."""
+    first = next(iter(sides))
+    parts = [df.agg(F.count("*").alias("row_count"), F.coalesce(content(columns), F.lit(0)).alias("_content")).select(
+        F.lit(i).alias("_i"), F.lit(name).alias("table_name"), "row_count", "_content") for i, (name, df) in enumerate(sides.items())]
+    stacked = reduce(DataFrame.unionByName, parts)
+    # A row per side: the window holds as many rows as tables are compared.
+    of_first = F.first(F.struct("row_count", "_content")).over(Window.partitionBy(F.lit(first)).orderBy("_i"))
+    return stacked.select("table_name", "row_count", (F.struct("row_count", "_content") == of_first).alias("same_content"))
+
+
 def overall_status(report: DataFrame) -> DataFrame:
     """SUCCESS when every check passes, else COMPLETED_WITH_VALIDATION_FAILURE."""
     agg = report.agg(F.count_if(F.col("status") != "PASS").alias("failed_checks"), F.count("*").alias("checks"))
@@ -105,9 +146,14 @@ def audit_record(df: DataFrame, run_id: str, stage: str, table_name: str,
     return df.agg(*cols)
 
 
+def count_status(df: DataFrame, source: DataFrame) -> str:
+    """PASS where both have as many rows."""
+    return count_reconciliation(source, df).first()["reconciliation_status"]
+
+
 def combine_audit_records(records: Sequence[DataFrame]) -> DataFrame:
     if not records:
-        raise ValueError("At least one audit DataFrame is required.")
+        raise ValueError("nothing to combine: no audit rows were given")
     return reduce(DataFrame.unionByName, records)
 
 
@@ -183,6 +229,15 @@ def audit_from_counts(counts: DataFrame, tables: dict[str, DataFrame], stages: d
     )
 
 
+def audit_of_writes(spark: SparkSession, tables: Mapping[str, Written], stage_of: Callable[[str], str], run_id: str,
+                    statuses: Mapping[str, str]) -> DataFrame:
+    """Audit rows (AUDIT_SCHEMA order) of tables as their writes counted them. A table without a check fails."""
+    rows = [(run_id, stage_of(n), n, w.rows, w.columns, statuses.get(n, "FAIL"), w.seconds) for n, w in tables.items()]
+    names = [f.name for f in AUDIT_SCHEMA.fields]
+    df = spark.createDataFrame(rows, "run string, stage string, name string, rows long, columns int, status string, seconds double")
+    return df.toDF(*names[:7]).withColumn(names[7], F.current_timestamp())
+
+
 def registry_from_counts(counts: DataFrame, tables: dict[str, DataFrame], run_id: str, fmt: str) -> DataFrame:
     """Registry rows for persisted tables from already counted tables."""
     name = F.col("table_name")
@@ -192,3 +247,11 @@ def registry_from_counts(counts: DataFrame, tables: dict[str, DataFrame], run_id
         F.col("row_count"), F.lit(fmt).alias("persistence_format"),
         F.lit("CSV_EXPORTED" if fmt == "CSV" else f"{fmt}_WRITTEN").alias("persistence_status"),
     )
+
+
+def registry_of_writes(spark: SparkSession, tables: Mapping[str, Written], exports: Mapping[str, Written], run_id: str) -> DataFrame:
+    """A row per mart: as it was written, and the file that holds it where it was exported too."""
+    rows = [(run_id, n, w.columns, w.rows, "PARQUET", "PARQUET_WRITTEN", exports[n].path if n in exports else None,
+             exports[n].rows if n in exports else None) for n, w in sorted(tables.items())]
+    return spark.createDataFrame(rows, "pipeline_run_id string, table_name string, column_count int, row_count long, persistence_format string, "
+                                       "persistence_status string, export_path string, exported_row_count long")

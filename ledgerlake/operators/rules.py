@@ -170,7 +170,11 @@ def validated_transactions(
     high_value_threshold: float = HIGH_VALUE_THRESHOLD,
 ) -> DataFrame:
     """Raw -> ruled Bronze -> renamed, normalized, enriched, rule-evaluated rows."""
-    bronze = bronze_ruled(raw, pipeline_run_id, source_file_name)
+    return validated_bronze(bronze_ruled(raw, pipeline_run_id, source_file_name), high_value_threshold)
+
+
+def validated_bronze(bronze: DataFrame, high_value_threshold: float = HIGH_VALUE_THRESHOLD) -> DataFrame:
+    """The rules over a ruled Bronze layer, whose lineage and record hash stay as they are."""
     return (
         rename_columns(bronze, RULED_RENAMES)
         .transform(normalize_strings)

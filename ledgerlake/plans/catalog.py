@@ -398,6 +398,7 @@ from ledgerlake.operators import quality as Q  # noqa: E402
 from ledgerlake.operators import reconcile as RC  # noqa: E402
 from ledgerlake.operators import sql_views as SV  # noqa: E402
 from ledgerlake.operators.quantiles import exact_quantiles, pivot_quantiles, rank_errors  # noqa: E402
+from ledgerlake.plans import job as J  # noqa: E402
 from ledgerlake.plans.checks import strict_reconciliation  # noqa: E402
 from ledgerlake.session import scratch_path  # noqa: E402
 from ledgerlake.functions import sketch_median  # noqa: E402
@@ -762,55 +763,102 @@ def q_pipeline_status(spark, sf):
     return RC.overall_status(q_reconciliation_report(spark, sf))
 
 
+_RUNS: dict[tuple[str, str, str], str] = {}
+
+
+def _job(spark, sf, kind: str) -> str:
+    """The folder of a whole run over the raw rows as CSV files; one run a session and input."""
+    key = (spark.sparkContext.applicationId, sf, kind)
+    if key not in _RUNS:
+        sink = scratch_path(spark, f"run-{kind}")
+        job = {"strict": J.run, "ruled": J.run_ruled}[kind]
+        job(spark, _raw_csv(spark, sf), sink, J.RunParams(run_id="fixture_run"))
+        _RUNS[key] = sink
+    return _RUNS[key]
+
+
 @register("audit_records")
 def q_audit_records(spark, sf):
-    b = bronze(spark, sf)
-    s = written_silver(spark, sf)
-    gold = M.build_gold_tables(s)
-    records = [RC.audit_record(b, "fixture_run", "bronze", "bronze_transactions", with_time=False),
-               RC.audit_record(s, "fixture_run", "silver", "silver_transactions", with_time=False)]
-    records += [RC.audit_record(df, "fixture_run", "gold", name, with_time=False) for name, df in sorted(gold.items())]
-    return RC.combine_audit_records(records)
+    """The audit rows that the job left: counts of its writes, statuses of its checks."""
+    return spark.read.parquet(f"{_job(spark, sf, 'strict')}/audit").select(*RC.audit_schema_names(with_time=False))
+
+
+@register("audit_union")
+def q_audit_union(spark, sf):
+    """Audit rows made from the tables themselves, unioned by name."""
+    b, s = bronze(spark, sf), silver(spark, sf)
+    status = RC.count_status(b, raw(spark, sf))
+    return RC.combine_audit_records([
+        RC.audit_record(b, "fixture_run", "bronze", "bronze_transactions", status, with_time=False),
+        RC.audit_record(s, "fixture_run", "silver", "silver_transactions", RC.count_status(s, S.select_valid(b)), with_time=False),
+    ])
 
 
 @register("gold_registry")
 def q_gold_registry(spark, sf):
-    return RC.gold_registry(M.build_gold_tables(written_silver(spark, sf)), "fixture_run")
+    """The job's registry, by what was exported: rows of the named file, or none."""
+    registry = spark.read.parquet(f"{_job(spark, sf, 'strict')}/registry/run_id=fixture_run")
+    fmt = F.upper(F.substring_index("export_path", ".", -1))
+    return registry.select(
+        "pipeline_run_id", "table_name", "column_count", F.col("exported_row_count").alias("row_count"), fmt.alias("persistence_format"),
+        F.when(fmt.isNotNull(), F.concat(fmt, F.lit("_EXPORTED"))).otherwise(F.lit("DEFINED_NOT_PERSISTED")).alias("persistence_status"),
+    )
 
 
 @register("run_summary")
 def q_run_summary(spark, sf):
-    b = bronze(spark, sf)
-    s = written_silver(spark, sf)
-    report = strict_reconciliation(s, b, M.build_gold_tables(s))
-    status = RC.overall_status(report)
-    measures = b.agg(F.count("*").alias("bronze_row_count")).select(
-        F.lit("fixture_run").alias("pipeline_run_id"), "bronze_row_count"
+    """The job's own summary row, without its times."""
+    return spark.read.parquet(f"{_job(spark, sf, 'strict')}/summary").select(
+        "pipeline_run_id", "pipeline_status", "bronze_row_count", "silver_row_count", "rejected_row_count", "fraud_transaction_count",
+        F.col("csv_files_exported").alias("gold_tables_exported"), "large_gold_tables_skipped", "overall_reconciliation_status",
     )
-    silver_m = s.agg(F.count("*").alias("silver_row_count"), F.sum("is_fraud").cast("bigint").alias("fraud_transaction_count"))
-    stacked = (
-        measures.select("pipeline_run_id", "bronze_row_count", F.lit(None).cast("bigint").alias("silver_row_count"),
-                        F.lit(None).cast("bigint").alias("fraud_transaction_count"), F.lit(None).cast("string").alias("pipeline_status"))
-        .unionByName(silver_m.select(F.lit("fixture_run").alias("pipeline_run_id"), F.lit(None).cast("bigint").alias("bronze_row_count"),
-                                     "silver_row_count", "fraud_transaction_count", F.lit(None).cast("string").alias("pipeline_status")))
-        .unionByName(status.select(F.lit("fixture_run").alias("pipeline_run_id"), F.lit(None).cast("bigint").alias("bronze_row_count"),
-                                   F.lit(None).cast("bigint").alias("silver_row_count"),
-                                   F.lit(None).cast("bigint").alias("fraud_transaction_count"), "pipeline_status"))
-    )
-    row = stacked.groupBy("pipeline_run_id").agg(
-        F.max("bronze_row_count").alias("bronze_row_count"), F.max("silver_row_count").alias("silver_row_count"),
-        F.max("fraud_transaction_count").alias("fraud_transaction_count"), F.max("pipeline_status").alias("pipeline_status"),
-    )
-    return row.select(
-        "pipeline_run_id", "pipeline_status", "bronze_row_count", "silver_row_count",
-        (F.col("bronze_row_count") - F.col("silver_row_count")).alias("rejected_row_count"),
-        "fraud_transaction_count",
-        F.lit(len(RC.SMALL_GOLD_TABLES) + len(RC.EXPORTED_ROW_TABLES)).alias("gold_tables_exported"),
-        F.lit(len(RC.LARGE_GOLD_TABLES)).alias("large_gold_tables_skipped"),
-        F.when(F.col("pipeline_status") == "SUCCESS", F.lit("PASS")).otherwise(F.lit("FAIL")).alias("overall_reconciliation_status"),
+
+
+@register("job_reconciliation")
+def q_job_reconciliation(spark, sf):
+    """The job's report from the counts of its writes; values of contents are left to their status."""
+    report = spark.read.parquet(f"{_job(spark, sf, 'strict')}/reconciliation/run_id=fixture_run")
+    content = F.col("check_name").endswith("_content")
+    return report.select("check_name", *[F.when(~content, F.col(c)).alias(c) for c in ("expected_value", "actual_value")], "status")
+
+
+@register("ruled_reconciliation")
+def q_ruled_reconciliation(spark, sf):
+    return spark.read.parquet(f"{_job(spark, sf, 'ruled')}/reconciliation_ruled/run_id=fixture_run")
+
+
+@register("ruled_summary")
+def q_ruled_summary(spark, sf):
+    return spark.read.parquet(f"{_job(spark, sf, 'ruled')}/summary_ruled").select(
+        "pipeline_run_id", "pipeline_status", "bronze_record_count", "silver_record_count", "quarantine_record_count",
+        "warning_record_count", "fraud_transaction_count", "csv_files_exported", "reconciliation_status",
     )
 
 
+@register("warning_file")
+def q_warning_file(spark, sf):
+    """The ruled run's file of warnings by rule, read back."""
+    return spark.read.option("header", True).schema("rule_kind string, rule_code string, rule_order int, failed_records long").csv(
+        f"{_job(spark, sf, 'ruled')}/quality_ruled/warning_counts.csv")
+
+
+@register("hard_failure_file")
+def q_hard_failure_file(spark, sf):
+    """The ruled run's file of hard failures by rule, read back."""
+    return spark.read.option("header", True).schema("rule_kind string, rule_code string, rule_order int, failed_records long").csv(
+        f"{_job(spark, sf, 'ruled')}/quality_ruled/hard_failure_counts.csv")
+
+
+@register("export_reconciliation")
+def q_export_reconciliation(spark, sf):
+    """The fraud rows of Silver, of the mart and of the exported file: as many, and the same rows."""
+    sink = _job(spark, sf, "strict")
+    s, mart = spark.read.parquet(f"{sink}/silver"), spark.read.parquet(f"{sink}/gold/fraud_monitoring")
+    file = spark.read.option("header", True).schema(mart.schema).csv(f"{sink}/exports/fraud_monitoring.csv")
+    return RC.content_reconciliation({"silver": s.filter("is_fraud = 1"), "fraud_monitoring": mart, "fraud_monitoring.csv": file},
+                                     M.FRAUD_MONITORING_COLUMNS)
+
+
 @register("stage_audit_silver")
 def q_stage_audit_silver(spark, sf):
     v = validated(spark, sf)
@@ -851,6 +899,12 @@ def q_stage_audit_bronze(spark, sf):
 
 @register("stage_audit_gold")
 def q_stage_audit_gold(spark, sf):
+    """The ruled run's Silver-to-Gold record: one row of counts and checks, without its duration."""
+    return spark.read.parquet(f"{_job(spark, sf, 'ruled')}/audit_ruled/silver_to_gold").drop("duration_seconds")
+
+
+@register("stage_checks_gold")
+def q_stage_checks_gold(spark, sf):
     s = silver_ruled(spark, sf)
     tables = {
         "daily": M.daily_transaction_summary_exact(s), "hourly": M.hourly_fraud_profile(s),
@@ -900,10 +954,34 @@ def q_scan_csv_permissive(spark, sf):
 
 @register("csv_export_roundtrip")
 def q_csv_export_roundtrip(spark, sf):
+    """A mart as one named file, read back by its name."""
     mart = M.transaction_type_summary(silver(spark, sf))
-    path = scratch_path(spark, "type-summary-csv")
-    K.export_small_table(mart, path, sort_by=["transaction_type"])
-    return spark.read.option("header", True).schema(mart.schema).csv(path)
+    file = K.export_csv_file(mart, scratch_path(spark, "exports"), "transaction_type_summary.csv", sort_by=["transaction_type"])
+    return spark.read.option("header", True).schema(mart.schema).csv(file.path)
+
+
+@register("csv_to_bronze")
+def q_csv_to_bronze(spark, sf):
+    """CSV files to Bronze through the guard; each row names a file that it came from."""
+    source = _raw_csv(spark, sf)
+    rows = B.bronze_transactions(J.open_source(spark, source, J.RunParams(run_id="fixture_run")), "fixture_run")
+    return _no_ts(rows.withColumn("has_source_file", F.col("source_file_name").endswith(".csv"))).drop("source_file_name")
+
+
+@register("csv_rejects")
+def q_csv_rejects(spark, sf):
+    """Lines whose step is missing in the data are broken on purpose; they end as rejects with their file."""
+    rows = raw(spark, sf)
+    amount = F.when(F.col("step").isNull(), F.lit("broken")).otherwise(F.col("amount").cast("string"))
+    path = scratch_path(spark, "broken-csv")
+    K.write_csv(rows.withColumn("amount", amount), path)
+    params = J.RunParams(run_id="fixture_run", malformed="reject")
+    log, sink = J.RunLog(), scratch_path(spark, "broken-run")
+    J.bronze_stage(spark, path, sink, params, log)
+    rejects = spark.read.schema(f"{CSV.CORRUPT_COLUMN} string, {CSV.SCANNED_NAME} string").parquet(f"{sink}/rejects") if log.values["rejected_rows"] else spark.range(0).select(F.lit("").alias(CSV.CORRUPT_COLUMN), F.lit("").alias(CSV.SCANNED_NAME))
+    lost = rejects.agg(F.count("*").alias("rejected_lines"), F.count_if(F.col(CSV.CORRUPT_COLUMN).contains("broken")).alias("broken_lines"),
+                       F.count_if(F.col(CSV.SCANNED_NAME).endswith(".csv")).alias("lines_with_file"))
+    return lost.withColumn("bronze_rows", F.lit(log.values["bronze_rows"]).cast("long"))
 
 
 @register("export_roundtrip")

@@ -87,7 +87,6 @@ def guard_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_TRANSAC
 
 
 def split_rejects(scan: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows that parsed, rows that didn't) of a permissive scan; rejects keep their line and where it stood."""
+    """(rows that parsed, rows that didn't) of a permissive scan; rejects keep their line beside the cells that could be read."""
     broken = F.col(CORRUPT_COLUMN).isNotNull()
-    rest = [c for c in scan.columns if c == CORRUPT_COLUMN or c in FILE_COLUMNS]
-    return scan.filter(~broken).drop(CORRUPT_COLUMN), scan.filter(broken).select(*rest)
+    return scan.filter(~broken).drop(CORRUPT_COLUMN), scan.filter(broken)

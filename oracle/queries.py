@@ -668,13 +668,45 @@ _GOLD_M = {  # table -> (column count, row-count query)
     "origin_account_summary": (6, "SELECT COUNT(DISTINCT origin_account) FROM silver_m"),
     "transaction_type_summary": (8, "SELECT COUNT(DISTINCT transaction_type) FROM silver_m"),
 }
-_audit_rows = [
-    "SELECT 'fixture_run' AS pipeline_run_id, 'bronze' AS pipeline_stage, 'bronze_transactions' AS table_name, "
-    "CAST((SELECT COUNT(*) FROM bronze_m) AS BIGINT) AS row_count, 14 AS column_count, 'PASS' AS reconciliation_status",
-    "SELECT 'fixture_run', 'silver', 'silver_transactions', CAST((SELECT COUNT(*) FROM silver_m) AS BIGINT), 24, 'PASS'",
-]
-_audit_rows += [f"SELECT 'fixture_run', 'gold', '{t}', CAST(({q}) AS BIGINT), {n}, 'PASS'" for t, (n, q) in _GOLD_M.items()]
-oracle("audit_records", "\nUNION ALL\n".join(_audit_rows), "silver_m")
+# Which checks decide a table's status; the layers' own checks are restated in SQL.
+_LAYERS = """
+SELECT 'bronze_source_count' AS check_name, CAST((SELECT COUNT(*) FROM raw) AS BIGINT) AS expected_value,
+  CAST((SELECT COUNT(*) FROM bronze_m) AS BIGINT) AS actual_value
+UNION ALL SELECT 'amounts_summable', CAST(0 AS BIGINT), CAST((SELECT count_if(isinf(amount) OR isnan(amount)) FROM silver_m) AS BIGINT)"""
+_FRAUD_ROWS = "CAST((SELECT COUNT(*) FROM silver_m WHERE is_fraud = 1) AS BIGINT)"
+_JOB_CHECKS = f"""
+SELECT check_name, expected_value, actual_value, status FROM ({_RECON}) r
+UNION ALL SELECT check_name, expected_value, actual_value, CASE WHEN expected_value = actual_value THEN 'PASS' ELSE 'FAIL' END FROM ({_LAYERS}) l
+UNION ALL SELECT 'fraud_export_rows', {_FRAUD_ROWS}, {_FRAUD_ROWS}, 'PASS'
+UNION ALL SELECT 'fraud_monitoring_content', NULL, NULL, 'PASS'
+UNION ALL SELECT 'fraud_export_content', NULL, NULL, 'PASS'"""
+oracle("job_reconciliation", _JOB_CHECKS, "silver_m")
+_OWN_CHECKS = {
+    "bronze_transactions": ["bronze_source_count"], "silver_transactions": ["bronze_to_silver_bound", "amounts_summable"],
+    "daily_transaction_summary": ["daily_count", "daily_fraud"], "daily_type_summary": ["daily_type_count"],
+    "hourly_fraud_summary": ["hourly_count"], "transaction_type_summary": ["type_count"], "high_value_summary": ["high_value_count"],
+    "fraud_monitoring": ["fraud_monitoring_rows"], "fraud_feature": ["fraud_feature_rows"],
+    "origin_account_summary": ["origin_account_count"], "destination_account_summary": ["destination_account_count"],
+}
+
+
+def _status_of(table: str) -> str:
+    checks = ", ".join(f"'{c}'" for c in _OWN_CHECKS[table])
+    return f"(SELECT CASE WHEN bool_and(status = 'PASS') THEN 'PASS' ELSE 'FAIL' END FROM ({_JOB_CHECKS}) j WHERE check_name IN ({checks}))"
+
+
+_AUDITED = {"bronze_transactions": ("bronze", 14, "SELECT COUNT(*) FROM bronze_m"), "silver_transactions": ("silver", 24, "SELECT COUNT(*) FROM silver_m")}
+_AUDITED |= {t: ("gold", n, q) for t, (n, q) in _GOLD_M.items()}
+
+
+def _audit_rows(tables) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT 'fixture_run' AS pipeline_run_id, '{_AUDITED[t][0]}' AS pipeline_stage, '{t}' AS table_name, "
+        f"CAST(({_AUDITED[t][2]}) AS BIGINT) AS row_count, {_AUDITED[t][1]} AS column_count, {_status_of(t)} AS reconciliation_status" for t in tables)
+
+
+oracle("audit_records", _audit_rows(_AUDITED), "silver_m")
+oracle("audit_union", _audit_rows(["bronze_transactions", "silver_transactions"]), "silver_m")
 
 _SMALL = ["daily_transaction_summary", "daily_type_summary", "hourly_fraud_summary", "transaction_type_summary",
           "high_value_summary", "fraud_monitoring"]
@@ -692,7 +724,7 @@ oracle("gold_registry", "\nUNION ALL\n".join(_reg), "silver_m")
 oracle("run_summary", f"""
 SELECT 'fixture_run' AS pipeline_run_id, (SELECT pipeline_status FROM ({_STATUS}) s) AS pipeline_status,
   b.n AS bronze_row_count, s.n AS silver_row_count, b.n - s.n AS rejected_row_count,
-  s.f AS fraud_transaction_count, 6 AS gold_tables_exported, 3 AS large_gold_tables_skipped,
+  s.f AS fraud_transaction_count, {len(_SMALL)} AS gold_tables_exported, {len(_GOLD_M) - len(_SMALL)} AS large_gold_tables_skipped,
   CASE WHEN (SELECT pipeline_status FROM ({_STATUS}) s) = 'SUCCESS' THEN 'PASS' ELSE 'FAIL' END
     AS overall_reconciliation_status
 FROM (SELECT COUNT(*) AS n FROM bronze_m) b,
@@ -722,7 +754,7 @@ _MEASURES_G = {
     "fraud_monitoring_rows": "SELECT COUNT(*) FROM silver_n WHERE is_fraud = 1",
     "feature_rows": "SELECT COUNT(*) FROM silver_n",
 }
-oracle("stage_audit_gold", _comparison(_MEASURES_G, [
+oracle("stage_checks_gold", _comparison(_MEASURES_G, [
     ("type_reconciliation", "silver_record_count", "type_record_total", "eq"),
     ("daily_reconciliation", "silver_record_count", "daily_record_total", "eq"),
     ("hourly_reconciliation", "silver_record_count", "hourly_record_total", "eq"),
@@ -730,7 +762,54 @@ oracle("stage_audit_gold", _comparison(_MEASURES_G, [
     ("feature_reconciliation", "silver_record_count", "feature_rows", "eq"),
 ]), "silver_n")
 
+_RULED_ROWS = {
+    "daily_transaction_summary": "SELECT COUNT(DISTINCT transaction_day) FROM silver_n",
+    "daily_type_summary": "SELECT COUNT(*) FROM (SELECT DISTINCT transaction_day, transaction_type FROM silver_n) x",
+    "hourly_fraud_summary": "SELECT COUNT(*) FROM (SELECT DISTINCT step, transaction_day, hour_of_day FROM silver_n) x",
+    "transaction_type_summary": "SELECT COUNT(DISTINCT transaction_type) FROM silver_n",
+    "origin_account_summary": "SELECT COUNT(DISTINCT origin_account) FROM silver_n",
+    "destination_account_summary": "SELECT COUNT(*) FROM (SELECT DISTINCT destination_account, destination_category FROM silver_n) x",
+    "high_value_summary": "SELECT COUNT(*) FROM (SELECT DISTINCT transaction_day, transaction_type FROM silver_n WHERE is_high_value_transaction = 1) x",
+    "fraud_monitoring": "SELECT COUNT(*) FROM silver_n WHERE is_fraud = 1",
+    "fraud_features": "SELECT COUNT(*) FROM silver_n",
+}
+oracle("stage_audit_gold", f"""
+SELECT 'fixture_run' AS pipeline_run_id, 'silver_to_gold' AS pipeline_name, (SELECT COUNT(*) FROM silver_n) AS silver_record_count,
+  {", ".join(f"({q}) AS {t}_row_count" for t, q in _RULED_ROWS.items())},
+  (SELECT SUM(n) FROM (SELECT COUNT(*) AS n FROM silver_n GROUP BY transaction_day) x) = (SELECT COUNT(*) FROM silver_n) AS daily_reconciliation_passed,
+  (SELECT SUM(n) FROM (SELECT COUNT(*) AS n FROM silver_n GROUP BY step) x) = (SELECT COUNT(*) FROM silver_n) AS hourly_reconciliation_passed,
+  (SELECT SUM(n) FROM (SELECT COUNT(*) AS n FROM silver_n GROUP BY transaction_type) x) = (SELECT COUNT(*) FROM silver_n) AS type_reconciliation_passed,
+  (SELECT SUM(is_fraud) FROM silver_n) = (SELECT COUNT(*) FROM silver_n WHERE is_fraud = 1) AS fraud_reconciliation_passed,
+  'SUCCESS' AS pipeline_status""", "silver_n")
+_N, _HIGH = "SELECT COUNT(*) FROM silver_n", "SELECT COUNT(*) FROM silver_n WHERE is_high_value_transaction = 1"
+_FRAUD_N = "SELECT COUNT(*) FROM silver_n WHERE is_fraud = 1"
+oracle("ruled_reconciliation", _comparison(
+    {"accepted_rows": "SELECT COUNT(*) FROM raw", "bronze_rows": "SELECT COUNT(*) FROM bronze_n",
+     "split_rows": "SELECT count_if(hard_failure_count = 0) + count_if(hard_failure_count > 0) FROM validated_n", "silver_rows": _N,
+     "daily_rows": _N, "daily_type_rows": _N, "hourly_rows": _N, "type_rows": _N, "origin_rows": _N, "destination_rows": _N, "feature_rows": _N,
+     "silver_high_value": _HIGH, "high_value_rows": _HIGH, "silver_fraud": "SELECT SUM(is_fraud) FROM silver_n", "monitoring_rows": _FRAUD_N},
+    [("bronze_source_count", "accepted_rows", "bronze_rows", "eq"), ("bronze_split", "bronze_rows", "split_rows", "eq"),
+     ("daily_count", "silver_rows", "daily_rows", "eq"), ("daily_type_count", "silver_rows", "daily_type_rows", "eq"),
+     ("hourly_count", "silver_rows", "hourly_rows", "eq"), ("type_count", "silver_rows", "type_rows", "eq"),
+     ("high_value_count", "silver_high_value", "high_value_rows", "eq"), ("fraud_monitoring_rows", "silver_fraud", "monitoring_rows", "eq"),
+     ("fraud_feature_rows", "silver_rows", "feature_rows", "eq"), ("origin_account_count", "silver_rows", "origin_rows", "eq"),
+     ("destination_account_count", "silver_rows", "destination_rows", "eq")]), "silver_n")
+oracle("ruled_summary", """
+SELECT 'fixture_run' AS pipeline_run_id, 'SUCCESS' AS pipeline_status, COUNT(*) AS bronze_record_count,
+  CAST(count_if(hard_failure_count = 0) AS BIGINT) AS silver_record_count, CAST(count_if(hard_failure_count > 0) AS BIGINT) AS quarantine_record_count,
+  CAST(count_if(hard_failure_count = 0 AND warning_count > 0) AS BIGINT) AS warning_record_count,
+  CAST(SUM(CASE WHEN hard_failure_count = 0 THEN is_fraud END) AS BIGINT) AS fraud_transaction_count, 3 AS csv_files_exported,
+  'PASS' AS reconciliation_status FROM validated_n""", "validated_n")
+ORACLE["warning_file"], ORACLE["hard_failure_file"] = ORACLE["warning_rule_counts"], ORACLE["hard_rule_counts"]
+oracle("export_reconciliation", """
+SELECT t.table_name, (SELECT COUNT(*) FROM silver_m WHERE is_fraud = 1) AS row_count, TRUE AS same_content
+FROM (VALUES ('silver'), ('fraud_monitoring'), ('fraud_monitoring.csv')) t(table_name)""", "silver_m")
+
 # ------------------------------------------------------------------ sources and sinks (round trips)
+oracle("csv_to_bronze", "SELECT * EXCLUDE (source_file_name), TRUE AS has_source_file FROM bronze_m", "bronze_m")
+oracle("csv_rejects", """
+SELECT CAST(count_if(step IS NULL) AS BIGINT) AS rejected_lines, CAST(count_if(step IS NULL) AS BIGINT) AS broken_lines,
+  CAST(count_if(step IS NULL) AS BIGINT) AS lines_with_file, CAST(count_if(step IS NOT NULL) AS BIGINT) AS bronze_rows FROM raw""", "raw")
 oracle("scan_csv_strict", "SELECT * FROM raw", "raw")
 oracle("scan_csv_permissive", "SELECT *, CAST(NULL AS VARCHAR) AS _corrupt_record FROM raw", "raw")
 ORACLE["csv_export_roundtrip"] = ORACLE["transaction_type_summary"]

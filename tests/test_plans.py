@@ -29,8 +29,8 @@ def test_no_cross_or_nested_loop_join(spark, name):
 def test_filters_and_pruning_reach_the_silver_scan(spark):
     sink = tempfile.mkdtemp(prefix="ledgerlake-plan-")
     params = J.RunParams(run_id="plan")
-    bronze, _ = J.bronze_stage(spark, C.raw(spark, SF_SMALL), sink, params)
-    silver, _ = J.silver_stage(spark, bronze, sink, params)
+    bronze = J.bronze_stage(spark, C.raw(spark, SF_SMALL), sink, params)
+    silver = J.silver_stage(spark, bronze, sink, params)
     plan = M.fraud_monitoring(silver)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(is_fraud), EqualTo(is_fraud,1)]" in plan
     assert "origin_old_balance" not in plan  # unused columns are pruned from the scan
