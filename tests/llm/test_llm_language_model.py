@@ -78,6 +78,7 @@ def test_small_batches_and_many_shards(spark, monkeypatch):
     want = plain([(r["doc_id"], r["text"]) for r in docs.collect()])
     monkeypatch.setattr(lm, "BATCH_BYTES", 10_000)
     monkeypatch.setattr(lm, "SHARD_TOKENS", 500)
+    monkeypatch.setattr(lm, "LOTS", 3)
     same(whole(lm.scores(docs, out())), want)
 
 
