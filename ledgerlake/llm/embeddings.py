@@ -14,10 +14,13 @@ Equal vectors are one class with its size. Cells are split into blocks of about
 a task never has more than two blocks, whatever a cell holds. A block pair gives counts and, for
 what it links, one edge per vector, never its pairs.
 
-Rows: vectors that are null, zero, hold null or non-finite components, or whose length isn't the
-most frequent one (of equally frequent ones the longest) link with nothing and are alone. Rows
-with equal or null ids are vectors of their own; a component takes its smallest id that isn't
-null. An empty table gives an empty table. Only the two named columns are read.
+Vectors of different lengths have no cosine, so each length has an index of its own; lengths with
+``FEW`` different vectors at most need none and are compared as they are, all such lengths in one job.
+
+Rows: vectors that are null, zero, or hold null or non-finite components link with nothing and are
+alone. Any other finite vector links, however small or large its components. Rows with equal or
+null ids are vectors of their own; a component takes its smallest id that isn't null. An empty
+table gives an empty table. Only the two named columns are read.
 """
 
 from __future__ import annotations
@@ -40,11 +43,15 @@ BLOCK = 256
 RECALL = 0.9995
 #: Vectors whose links with all others are measured (about), links that tell enough, and steps up to the exact bound.
 QUERIES, LEAST_LINKS, STEPS = 2000, 100, 100
+#: Different vectors of a length up to which they are compared without an index.
+FEW = 1000
 _ROUNDS, _TURNS = 10, 8
 
 
 def unit(x: np.ndarray) -> np.ndarray:
+    """Unit vectors; scaled by powers of two first, so that no square leaves the range of doubles."""
     x = x.astype(np.float64)
+    x = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, initial=0, keepdims=True))[1])
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
@@ -226,6 +233,17 @@ def _dealt(index: Index, members: np.ndarray, visitors: np.ndarray):
     return run
 
 
+def _few(cosine: float):
+    """All vectors of a length as members and as visitors of one cell."""
+    verified = _verified(cosine)
+
+    def run(rows: pa.Table) -> pa.Table:
+        n = rows.num_rows
+        return verified(pa.concat_tables([rows, rows]).append_column("role", pa.array(np.repeat([0, 1], n))))
+
+    return run
+
+
 def _verified(cosine: float):
     def run(unit_: pa.Table) -> pa.Table:
         role = unit_["role"].to_numpy()
@@ -251,22 +269,8 @@ def _verified(cosine: float):
     return run
 
 
-def near_duplicates(vectors: DataFrame, cosine: float = 0.95, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """vec_id, n_links, component_id, kept: a row per vector."""
-    spark = vectors.sparkSession
-    prepare(spark)
-    rows = vectors.select(F.col(id_col).alias("vec_id"), F.col(vector_col).alias("embedding"))
-    lengths = rows.where(F.size("embedding") > 0).groupBy(F.size("embedding").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
-    finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
-    linkable = (F.size("embedding") == (lengths["d"] if lengths else 0)) & F.forall("embedding", finite) & F.exists("embedding", lambda x: x != 0)
-    rows = rows.withColumn("linkable", F.coalesce(linkable, F.lit(False)))
-    # A class is a distinct vector, named by a running number: ids may be null or repeat.
-    classes = rows.where("linkable").groupBy("embedding").agg(F.min("vec_id").alias("first"), F.count("*").alias("size"))
-    classes = staged(classes.withColumn("class", F.monotonically_increasing_id()), "classes")
-    n = classes.count()
-    alone = F.struct(F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-    if not n:
-        return _result(rows.withColumn("x", alone))
+def _indexed(classes: DataFrame, n: int, cosine: float) -> DataFrame:
+    """class, n, root: what block pairs of the index link among the ``n`` classes of one length."""
     drawn = classes if n <= SAMPLE else classes.where(F.pmod(F.xxhash64("class"), F.lit(n)) < SAMPLE)
     sample = drawn.orderBy("class").select("embedding").toPandas()["embedding"]
     index = Index.learn(np.stack(sample.to_list()), n, cosine)
@@ -280,7 +284,30 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95, id_col: str = "vec
         members[c["cell"]], visitors[c["cell"]] = c["members"], c["visitors"]
     kind = dict(classes.dtypes)["embedding"]
     pairs = dealt.mapInArrow(_dealt(index, members, visitors), f"cell long, member long, visitor long, role long, class long, size long, embedding {kind}")
-    found = staged(pairs.groupBy("cell", "member", "visitor").applyInArrow(_verified(cosine), "class long, n long, root long"), "vector-links")
+    return pairs.groupBy("cell", "member", "visitor").applyInArrow(_verified(cosine), "class long, n long, root long")
+
+
+def near_duplicates(vectors: DataFrame, cosine: float = 0.95, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+    """vec_id, n_links, component_id, kept: a row per vector."""
+    spark = vectors.sparkSession
+    prepare(spark)
+    rows = vectors.select(F.col(id_col).alias("vec_id"), F.col(vector_col).alias("embedding"))
+    finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
+    linkable = F.forall("embedding", finite) & F.exists("embedding", lambda x: x != 0)
+    rows = rows.withColumn("linkable", F.coalesce(linkable, F.lit(False)))
+    # A class is a distinct vector, named by a running number: ids may be null or repeat.
+    classes = rows.where("linkable").groupBy("embedding").agg(F.min("vec_id").alias("first"), F.count("*").alias("size"))
+    classes = staged(classes.withColumns({"class": F.monotonically_increasing_id(), "length": F.size("embedding")}), "classes")
+    alone = F.struct(F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    lengths = {r["length"]: r["count"] for r in classes.groupBy("length").count().where("count > 1").collect()}  # a row per length
+    if not classes.count():
+        return _result(rows.withColumn("x", alone))
+    small = classes.where(F.col("length").isin([d for d, n in lengths.items() if n <= FEW]))
+    links = small.select("length", "class", "size", "embedding").groupBy("length").applyInArrow(_few(cosine), "class long, n long, root long")
+    for d, n in lengths.items():
+        if n > FEW:
+            links = links.unionByName(_indexed(classes.where(F.col("length") == d), n, cosine))
+    found = staged(links, "vector-links")
     counts = found.groupBy("class").agg(F.sum("n").alias("n"))
     reached = components(found.select(F.col("class").alias("u"), F.col("root").alias("v")))
     classes = classes.join(counts, "class", "left").join(reached, classes["class"] == reached["node"], "left")

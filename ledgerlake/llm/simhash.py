@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import components, prepare, staged
+from ledgerlake.llm.common import components, free_names, prepare, staged
 
 SEED = 42
 POSITIONS = 8
@@ -180,8 +180,8 @@ def keep_one(docs: DataFrame, shingle: int = 3, bits: int = 2, id_col: str = "do
     found = near_duplicates(docs, shingle, bits, id_col, text_col)
     first = found.groupBy("component").agg(F.min(F.struct("doc_id", "text_hash")).alias("x")).select("x.*")
     zero = F.lit(0).cast(dict(first.dtypes)["doc_id"])
-    keys = ["sim_id", "sim_null", "sim_hash"]
+    keys = free_names(docs.columns, "sim_id", "sim_null", "sim_hash")
     named = lambda id_, hash_: dict(zip(keys, (F.coalesce(id_, zero), id_.isNull(), hash_), strict=True))
     kept = first.select(*[v.alias(k) for k, v in named(F.col("doc_id"), F.col("text_hash")).items()])
     rows = docs.withColumns(named(F.col(id_col), F.xxhash64(text_col)))
-    return rows.join(kept, keys, "left_semi").dropDuplicates(keys).select(*docs.columns)
+    return rows.join(kept, keys, "left_semi").dropDuplicates(keys).select(*[F.col(f"`{c}`") for c in docs.columns])

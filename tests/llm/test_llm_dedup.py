@@ -61,8 +61,10 @@ def test_simhash_by_brute_force(spark):
     want = sorted((str(r["doc_id"]), f"{p:016x}", str(smallest[x])) for r, p, x in zip(rows, prints, label, strict=True))
     found = simhash.near_duplicates(near(spark).withColumn("component", F.lit("clash")))
     assert sorted((str(r["doc_id"]), r["fingerprint"], str(r["component_id"])) for r in found.collect()) == want
-    kept = simhash.keep_one(near(spark).withColumn("sim_note", F.lit(1)))
-    assert kept.columns[-1] == "sim_note" and kept.count() == len(set(label))
+    clash = near(spark).withColumn("sim_hash", F.monotonically_increasing_id()).withColumns({"sim_id": F.lit("x"), "SIM_NULL": F.lit(2.5), "print": F.lit(1)})
+    kept = simhash.keep_one(clash)
+    assert kept.columns == clash.columns and kept.count() == len(set(label))
+    assert {r["sim_hash"] for r in kept.collect()} <= {r["sim_hash"] for r in clash.collect()} and {r["sim_id"] for r in kept.collect()} == {"x"}
 
 
 def test_large_list_of_fingerprints():
@@ -77,20 +79,58 @@ def test_simhash_of_nothing(spark):
     assert whole(simhash.near_duplicates(none(spark))) == [] and whole(simhash.keep_one(none(spark))) == []
 
 
-@pytest.mark.parametrize("sf", ["sf0.1", "check_s"])
-def test_embedding_links_by_brute_force(spark, sf):
-    df = table(spark, f"/root/testdata/{sf}", "embeddings")
-    got = sorted(embeddings.near_duplicates(df).collect())
-    rows = sorted(df.select("vec_id", "embedding").collect())
-    x = embeddings.unit(np.array([r["embedding"] for r in rows]))
-    link = x @ x.T >= 0.95
+def groups_of_vectors(rng, n, d, groups, spread):
+    """Vectors around ``groups`` directions, most of them farther from each other than the limit and some nearer."""
+    centres = embeddings.unit(rng.standard_normal((groups, d)))
+    x = centres[rng.integers(0, groups, n)] + rng.uniform(0.3, 1.2, (n, 1)) * spread * rng.standard_normal((n, d)) / np.sqrt(d)
+    return (x * rng.uniform(0.1, 50, (n, 1))).astype(np.float32)
+
+
+def check_links(got, ids, x, least=0.99):
+    """Links and components against all pairs."""
+    unit = embeddings.unit(x)
+    link = unit @ unit.T >= 0.95
     np.fill_diagonal(link, False)
     found = sum(r["n_links"] for r in got)
-    assert 0.99 * link.sum() <= found <= link.sum()
-    assert all(r["n_links"] <= n for r, n in zip(got, link.sum(axis=1), strict=True))
-    label = reached(len(rows), np.argwhere(link).tolist())
-    same = [r["component_id"] == rows[i]["vec_id"] for r, i in zip(got, label, strict=True)]
-    assert np.mean(same) >= 0.99 and all(r["kept"] == (r["component_id"] == r["vec_id"]) for r in got)
+    assert link.sum() > 0 and least * link.sum() <= found <= link.sum()
+    by_id = {r["vec_id"]: r for r in got}
+    assert all(by_id[i]["n_links"] <= n for i, n in zip(ids, link.sum(axis=1), strict=True))
+    label = reached(len(ids), np.argwhere(link).tolist())
+    same = [by_id[i]["component_id"] == ids[x] for i, x in zip(ids, label, strict=True)]
+    assert np.mean(same) >= least and all(r["kept"] == (r["component_id"] == r["vec_id"]) for r in got)
+
+
+@pytest.mark.parametrize("d,spread", [(64, 0.35), (16, 0.3)])
+def test_embedding_links_by_brute_force(spark, d, spread):
+    """At the production settings: an index over several cells, thousands of links near the limit."""
+    x = groups_of_vectors(np.random.default_rng(d), 6000, d, 700, spread)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    check_links(embeddings.near_duplicates(df).collect(), list(range(len(x))), x)
+
+
+def test_each_length_links_within_itself(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "FEW", 500)
+    rng = np.random.default_rng(6)
+    x, y, z = groups_of_vectors(rng, 1500, 12, 200, 0.3), groups_of_vectors(rng, 300, 8, 60, 0.3), groups_of_vectors(rng, 200, 5, 50, 0.3)
+    rows = [(i, v.tolist()) for i, v in enumerate([*x, *y, *z])] + [(9000, [1.0]), (9001, [2.0]), (9002, [-1.0]), (9003, [1.0] * 30)]
+    got = embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()
+    for at, some in ((0, x), (1500, y), (1800, z)):
+        ids = list(range(at, at + len(some)))
+        check_links([r for r in got if r["vec_id"] in set(ids)], ids, some)
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in got if r["vec_id"] >= 9000) == [(9000, 1, 9000), (9001, 1, 9000), (9002, 0, 9002), (9003, 0, 9003)]
+
+
+@pytest.mark.parametrize("few", [0, 1000])
+def test_tiny_and_huge_components(spark, monkeypatch, few):
+    monkeypatch.setattr(embeddings, "FEW", few)
+    x = groups_of_vectors(np.random.default_rng(1), 600, 8, 90, 0.3).astype(float)
+    x = np.concatenate([x, x[:5] * 1e-200, x[:5] * 1e300, x[:5] * 5e-320])
+    x[600:605, 0] += 0.0
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: r for r in embeddings.near_duplicates(df).collect()}
+    for k in range(5):
+        assert len({got[i]["component_id"] for i in (k, 600 + k, 605 + k)}) == 1 and got[600 + k]["n_links"] >= 2 and got[605 + k]["n_links"] >= 2
+    check_links(list(got.values()), list(range(len(x))), x)
 
 
 @pytest.mark.parametrize("rank", [3, 6])
