@@ -54,11 +54,20 @@ def offset(source: Column, seed: int) -> Column:
     return F.conv(F.substring(key, 1, OFFSET_BITS // 4), 16, 10).cast("double") / float(1 << OFFSET_BITS)
 
 
+#: What ``with_copies`` adds to the columns kept.
+ADDED = ["mix_size", "mix_source_size", "mix_target", "mix_copies"]
+_OWN = [*ADDED, "mix_source", "mix_key", "mix_at", "mix_part"]
+
+
 def with_copies(docs: DataFrame, seed: int = 42, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", keep: list[str] | None = None) -> DataFrame:
-    """Columns ``keep`` (all by default) plus mix_size, mix_source_size, mix_target and mix_copies, a row per document."""
+    """Columns ``keep`` (all by default) plus mix_size, mix_source_size, mix_target and mix_copies, a row per document.
+
+    A column of ``docs`` that is called like one of the operator's own is not kept.
+    """
+    keep = [c for c in (docs.columns if keep is None else keep) if c.lower() not in _OWN]
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(
-        *(docs.columns if keep is None else keep),
+        *[F.col(f"`{c}`") for c in keep],
         F.col(source_col).alias("mix_source"),
         n_words(text).alias("mix_size"),
         F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("-")), F.lit(":"), F.md5(text))).alias("mix_key"),
@@ -77,19 +86,21 @@ def with_copies(docs: DataFrame, seed: int = 42, id_col: str = "doc_id", text_co
     parts = parts.alias("a").join(sources.alias("b"), same).select("a.mix_source", "mix_part", "first", "before", "mix_source_size", "mix_target")
     # Written, so that the next join's plan rests on its true size.
     parts = staged(parts, "mix-parts")
-    rate = F.when(F.col("mix_source_size") > 0, F.col("mix_target") / F.col("mix_source_size")).otherwise(F.lit(0.0))
-    rank = (F.col("mix_at") - F.col("first") + F.col("before") + 1).cast("double")
+    rate = F.when(F.col("b.mix_source_size") > 0, F.col("b.mix_target") / F.col("b.mix_source_size")).otherwise(F.lit(0.0))
+    rank = (F.col("a.mix_at") - F.col("b.first") + F.col("b.before") + 1).cast("double")
     start = offset(F.col("a.mix_source"), seed)
     copies = F.floor(start + rate * rank) - F.floor(start + rate * (rank - 1))
     joined = rows.alias("a").join(parts.alias("b"), same & (F.col("a.mix_part") == F.col("b.mix_part")))
     return joined.select(
         *[F.col(f"a.`{c}`") for c in rows.columns if c not in ("mix_source", "mix_part", "mix_at")],
-        "mix_source_size", "mix_target", copies.cast("long").alias("mix_copies"),
+        "b.mix_source_size", "b.mix_target", copies.cast("long").alias("mix_copies"),
     )
 
 
 def mix(docs: DataFrame, seed: int = 42, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The mix: rows of ``docs``, each as often as the sampling takes it."""
-    rows = with_copies(docs, seed, id_col, text_col, source_col)
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")  # nested, so that no name of it can clash
+    rows = docs.select(whole, F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(source_col).alias("source"))
+    rows = with_copies(rows, seed, keep=["row"])
     rows = rows.where("mix_copies > 0").withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies"))))
-    return rows.select(*docs.columns)
+    return rows.select("row.*")

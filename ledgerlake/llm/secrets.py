@@ -74,13 +74,28 @@ def _value(text: bytes, span: tuple[int, int, int]) -> bytes:
 
 
 def _parts(text: bytes, base: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
-    """Runs of identifier characters, cut at base spans; what is long enough of them."""
+    """Runs of identifier characters, cut at base spans; what is long enough of them. One merged pass over both."""
+    taken: list[list[int]] = []  # the union of the spans, which may overlap
+    for a, _, b in base:
+        if taken and a <= taken[-1][1]:
+            taken[-1][1] = max(taken[-1][1], b)
+        else:
+            taken.append([a, b])
+    k = 0
     for m in CANDIDATE.finditer(text):
-        at = m.start()
-        for a, _, b in [*((x for x in base if x[0] < m.end() and m.start() < x[2])), (m.end(), 0, m.end())]:
+        at, end = m.span()
+        while k < len(taken) and taken[k][1] <= at:
+            k += 1
+        while k < len(taken) and taken[k][0] < end:
+            a, b = taken[k]
             if a - at >= LEAST_LENGTH:
                 yield at, a
             at = max(at, b)
+            if b > end:
+                break  # it reaches into the next run, too
+            k += 1
+        if end - at >= LEAST_LENGTH:
+            yield at, end
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,13 +152,15 @@ def random_spans(text: bytes, base: list[tuple[int, int, int]], ratio: np.ndarra
                 a, b = start + a, start + b
                 if all(_WORD.fullmatch(w) for w in _JOINTS.split(text[a:b]) if w):
                     continue
-                # whole up to the next joints, so that no end of a secret stays
-                while a > start and not _JOINTS.match(text, a - 1):
-                    a -= 1
+                # whole up to the next joints, so that no end of a secret stays; what the span before took isn't walked again
+                if out and out[-1][2] > a:
+                    a, _, before = out.pop()
+                    b = max(b, before)
+                else:
+                    while a > start and not _JOINTS.match(text, a - 1):
+                        a -= 1
                 while b < end and not _JOINTS.match(text, b):
                     b += 1
-                if out and out[-1][2] > a:
-                    a = out.pop()[0]
                 out.append((a, 3, b))
     return out
 

@@ -26,7 +26,6 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -83,20 +82,21 @@ def _one_line(url: str | None) -> str:
     return "".join(c for c in url or "" if c not in "\r\n")
 
 
-def records(page_id: int | None, url: str | None, payload: bytes, first: int | None, name: str, segment: int = SEGMENT) -> list[bytes]:
-    """The records of one page; ``first`` is the page that it revisits, if any."""
+def records(page_id: int | None, url: str | None, payload: bytes, first: tuple[int | None, int] | None, row: int, segment: int = SEGMENT) -> list[bytes]:
+    """The records of one page, of row number ``row``; ``first`` is the page and row that it revisits, if any."""
+    own_id = f"<urn:page:{page_id}:{row}>"
     sha = digest(payload)
-    fields = [("WARC-Record-ID", f"<urn:page:{page_id}:{name}>"), ("WARC-Date", _DATE), ("WARC-Target-URI", _one_line(url)), ("WARC-Payload-Digest", f"sha1:{sha}"), ("X-Payload-Length", str(len(payload)))]
+    fields = [("WARC-Record-ID", own_id), ("WARC-Date", _DATE), ("WARC-Target-URI", _one_line(url)), ("WARC-Payload-Digest", f"sha1:{sha}"), ("X-Payload-Length", str(len(payload)))]
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
     if first is not None:
         profile = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-        return [_record([("WARC-Type", "revisit"), *fields, ("WARC-Profile", profile), ("WARC-Refers-To", f"<urn:page:{first}>")], http)]
+        return [_record([("WARC-Type", "revisit"), *fields, ("WARC-Profile", profile), ("WARC-Refers-To", f"<urn:page:{first[0]}:{first[1]}>")], http)]
     parts = list(_cuts(http + chunked(payload), segment))
     if len(parts) == 1:
         return [_record([("WARC-Type", "response"), *fields], parts[0])]
     out = [_record([("WARC-Type", "response"), *fields, ("WARC-Segment-Number", "1")], parts[0])]
     for n, part in enumerate(parts[1:], 2):
-        own = [("WARC-Type", "continuation"), ("WARC-Record-ID", f"<urn:page:{page_id}:{name}:{n}>"), ("WARC-Date", _DATE), ("WARC-Segment-Origin-ID", f"<urn:page:{page_id}:{name}>"), ("WARC-Segment-Number", str(n))]
+        own = [("WARC-Type", "continuation"), ("WARC-Record-ID", f"{own_id[:-1]}:{n}>"), ("WARC-Date", _DATE), ("WARC-Segment-Origin-ID", own_id), ("WARC-Segment-Number", str(n))]
         out.append(_record(own + ([("WARC-Segment-Total-Length", str(sum(map(len, parts))))] if n == len(parts) else []), part))
     return out
 
@@ -121,27 +121,33 @@ def parse(archive: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
 
 
 def _write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    part, at = TaskContext.get().partitionId(), 0
     for b in batches:
         out: list[bytes] = []
-        for page, url, payload, first in zip(b.column("page_id").to_pylist(), b.column("url").to_pylist(), b.column("payload").cast(pa.binary()).to_pylist(), b.column("first").to_pylist(), strict=True):
-            out += records(page, url, payload or b"", first, f"{part}-{at}")
-            at += 1
+        columns = [b.column(c) for c in ("page_id", "url", "payload", "row", "first", "first_row")]
+        columns[2] = columns[2].cast(pa.binary())
+        for page, url, payload, row, first, first_row in zip(*(c.to_pylist() for c in columns), strict=True):
+            out += records(page, url, payload or b"", None if first_row is None else (first, first_row), row)
         yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()).cast(pa.string())], names=["value"])
 
 
 def write(pages: DataFrame, path: str, least: int = 0, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html") -> None:
     """Writes gzip archives of all pages below ``path``.
 
-    Payloads of at least ``least`` bytes that occur again are revisits of their smallest id.
-    Only digests that occur twice or more go into the join that finds it.
+    Payloads of at least ``least`` bytes that occur again are revisits of their smallest id; they name
+    the record of the first row with it. Only digests that occur twice or more go into the join
+    that finds it. Rows are numbered as they are read.
     """
     prepare(pages.sparkSession)
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(payload_col), F.lit("")).alias("payload"))
-    rows = rows.withColumn("sha", F.sha1(F.col("payload").cast("binary")))
-    again = rows.where(F.octet_length("payload") >= least).groupBy("sha").agg(F.min("page_id").alias("smallest"), F.count("*").alias("n")).where("n > 1").select("sha", "smallest")
+    rows = rows.withColumns({"sha": F.unhex(F.sha1(F.col("payload").cast("binary"))), "row": F.monotonically_increasing_id()})
+    # The smallest id that isn't null, then the first row with it.
+    least_row = F.min(F.struct(F.col("page_id").isNull().alias("no_id"), "page_id", "row")).alias("least")
+    again = rows.where(F.octet_length("payload") >= least).groupBy("sha").agg(least_row, F.count("*").alias("n")).where("n > 1 AND NOT least.no_id")
+    again = again.select("sha", F.col("least.page_id").alias("smallest"), F.col("least.row").alias("smallest_row"))
     revisits = F.col("smallest").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("smallest"))
-    rows = rows.join(again, "sha", "left").select("page_id", "url", "payload", F.when(revisits, F.col("smallest")).alias("first"))
+    rows = rows.join(again, "sha", "left").select(
+        "page_id", "url", "payload", "row", F.when(revisits, F.col("smallest")).alias("first"), F.when(revisits, F.col("smallest_row")).alias("first_row")
+    )
     # Each record ends in two line breaks: the writer's line separator.
     rows.mapInArrow(_write, "value string").write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", FILE_RECORDS).text(path)
 

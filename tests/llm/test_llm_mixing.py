@@ -35,9 +35,9 @@ def test_targets(spark):
 
 
 def test_taken_words_come_near_targets(spark):
-    docs = documents(spark, extra="mix_size_", n=60)
+    docs = documents(spark, extra="mix_size_", n=60).withColumns({c: F.lit("clash") for c in ("mix_size", "mix_copies", "mix_source", "MIX_AT", "before")})
     rows = with_copies(docs)
-    assert set(docs.columns) < set(rows.columns)
+    assert {*documents(spark).columns, "mix_size_", "before", "mix_copies"} < set(rows.columns) and len(rows.columns) == 11
     found = rows.collect()
     assert len(found) == docs.count()
     for r in found:
@@ -53,7 +53,7 @@ def test_taken_words_come_near_targets(spark):
 
 
 def test_documents_repeat_as_often_as_they_are_taken(spark):
-    docs = documents(spark)
+    docs = documents(spark).withColumns({c: F.lit(c) for c in ("mix_size", "mix_copies", "mix_source", "mix_copy", "row", "mix_part", "a.b")})
     copies = Counter()
     for r in with_copies(docs).collect():
         copies[r["doc_id"], r["text"]] += r["mix_copies"]
