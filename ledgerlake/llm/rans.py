@@ -20,11 +20,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import prepare, scratch, staged
-from ledgerlake.llm.tokens import encoder, gathered
+from ledgerlake.llm.tokens import encoder, forgetting, gathered
 
 #: A block closes at the document that brings it to so many ids.
 BLOCK_IDS = 1 << 20
@@ -160,25 +160,35 @@ class Block:
 
 
 def _tokenised(path: str, end_id: int):
+    """doc_id, tie (of equal ids), n, ids with the end id: a row per document."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, part, at, place = encoder(path), TaskContext.get().partitionId(), 0, 0
+        enc = encoder(path)
         width = enc.dtype.itemsize
-        for b in gathered(batches, "text"):
+        tail = np.array([end_id], dtype=enc.dtype).tobytes()
+        for b in forgetting(enc, gathered(batches, "text")):
             ids, counts = enc.encode(b.column("text"))
             ends = np.cumsum(counts)
-            raw, tail = ids.tobytes(), np.array([end_id], dtype=enc.dtype).tobytes()
+            raw = ids.tobytes()
             own = [raw[width * (e - c) : width * e] + tail for c, e in zip(counts.tolist(), ends.tolist(), strict=True)]
-            n = counts + 1
-            starts = place + np.cumsum(n) - n
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(n), part, dtype=np.int32)), pa.array(np.arange(at, at + len(n))), b.column("doc_id"), pa.array(starts), pa.array(n), pa.array(own, pa.binary())],
-                names=["part", "seq", "doc_id", "start", "n", "ids"],
-            )
-            at, place = at + len(n), place + int(n.sum())
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("tie"), pa.array(counts + 1), pa.array(own, pa.binary())], names=["doc_id", "tie", "n", "ids"])
 
     return run
 
 
+def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of a range in their order: number in the range, ids before them in it."""
+    part, at, place = TaskContext.get().partitionId(), 0, 0
+    for b in batches:
+        n = b.column("n").to_numpy()
+        starts = place + np.cumsum(n) - n
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(n), part, dtype=np.int32)), pa.array(np.arange(at, at + len(n))), b.column("doc_id"), pa.array(starts), b.column("n"), b.column("ids")],
+            names=["part", "seq", "doc_id", "start", "n", "ids"],
+        )
+        at, place = at + len(n), place + int(n.sum())
+
+
 def _counted(width: str, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size, dtype=np.int64)
@@ -190,7 +200,7 @@ def _counted(width: str, size: int):
     return run
 
 
-def _blocks(width: str, freq: np.ndarray, bits: int):
+def _blocks(width: str, freq: np.ndarray, bits: int, before: dict[int, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(freq, bits)
         docs: list[int | None] = []
@@ -211,7 +221,7 @@ def _blocks(width: str, freq: np.ndarray, bits: int):
                     yield block()
                     docs, raws, size = [], [], 0
                 if not docs:
-                    at = start
+                    at = before[part] + start
                 docs.append(doc)
                 raws.append(raw)
                 size += len(raw) // np.dtype(width).itemsize
@@ -225,8 +235,8 @@ def _blocks(width: str, freq: np.ndarray, bits: int):
 def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Writes the file set ``path``: ``table`` (id, freq) and ``blocks`` (start, n_ids, n_docs, block).
 
-    Documents go in ascending id order. Texts are encoded once; the ids are staged for the two
-    passes that need them, the count for the table and the encoding.
+    Documents go in ascending id order. Texts are encoded once, where they are read; their ids are
+    staged, ranged, and staged in order for the two passes that need them.
     """
     spark = docs.sparkSession
     prepare(spark)
@@ -234,17 +244,20 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col: s
     width, size = enc.dtype.str, enc.size
     if not 0 <= end_id < size:
         raise ValueError("the end id must be an id of the tokenizer")
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = rows.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))
-    ids = staged(rows.mapInArrow(_tokenised(tokenizer, end_id), "part int, seq long, doc_id long, start long, n long, ids binary"), "ids")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("tie"), F.col(text_col).alias("text"))
+    # Ids, not texts, go through the range shuffle, whose bounds are sampled from what is staged.
+    coded = staged(rows.mapInArrow(_tokenised(tokenizer, end_id), "doc_id long, tie long, n long, ids binary"), "coded")
+    order = ["doc_id", "tie"]
+    ranged = coded.repartitionByRange(*order).sortWithinPartitions(*order)
+    ids = staged(ranged.mapInArrow(_numbered, "part int, seq long, doc_id long, start long, n long, ids binary"), "ids")
     # At most one row for each id of the vocabulary.
     seen = ids.select("ids").mapInArrow(_counted(width, size), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
     freq, bits = quantised(seen["id"].to_numpy(dtype=np.int64), seen["n"].to_numpy(dtype=np.int64), size)
     spark.createDataFrame([(i, int(f), bits, size) for i, f in enumerate(freq) if f], "id int, freq long, bits int, size int").coalesce(1).write.parquet(f"{path}/table")
-    # One row for each written partition: ids of all partitions before it.
-    before = ids.groupBy("part").agg(F.sum("n").alias("n")).select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
-    placed = ids.join(F.broadcast(before), "part").select("part", "seq", "doc_id", (F.col("start") + F.col("before")).alias("start"), "ids")
-    placed.mapInArrow(_blocks(width, freq, bits), "start long, n_ids long, n_docs long, block binary").write.option("compression", "none").parquet(f"{path}/blocks")
+    # One number for each written range: ids of all ranges before it.
+    totals = {r["part"]: r["n"] for r in ids.groupBy("part").agg(F.sum("n").alias("n")).collect()}
+    before = dict(zip(sorted(totals), np.cumsum([0, *(totals[p] for p in sorted(totals))]).tolist(), strict=False))
+    ids.select("part", "seq", "doc_id", "start", "ids").mapInArrow(_blocks(width, freq, bits, before), "start long, n_ids long, n_docs long, block binary").write.option("compression", "none").parquet(f"{path}/blocks")
 
 
 def _read(freq: np.ndarray, bits: int, with_ids: bool):

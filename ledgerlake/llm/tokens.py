@@ -16,12 +16,13 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Distinct words that a worker remembers, about 200 bytes each. Words beyond are encoded anew.
-CACHED_WORDS = 1_000_000
+#: Bytes of distinct words and their ids that a worker remembers, and what an entry costs besides.
+#: Words beyond are encoded anew.
+CACHE_BYTES, ENTRY_BYTES = 48 << 20, 170
 #: Words handed to the library in one call.
 CHUNK = 1000
 #: Text that is encoded at once; a longer text is encoded alone.
-GATHER_BYTES = 4 << 20
+GATHER_BYTES = 8 << 20
 _STOPS = b".,;:!?"
 _LETTERS = frozenset(b"abcdefghijklmnopqrstuvwxyz")
 _ENCODERS: dict[str, "WordEncoder"] = {}
@@ -70,6 +71,11 @@ class WordEncoder:
                 [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
             )
         self.cache: dict[bytes, bytes] = {}
+        self.cached = 0
+
+    def clear(self) -> None:
+        """Forget all words; a task does so at its end, since its worker lives on."""
+        self.cache, self.cached = {}, 0
 
     def _library(self, texts: list[str]) -> list[bytes]:
         out = self.whole.encode_batch_fast(texts, add_special_tokens=False)
@@ -115,11 +121,26 @@ class WordEncoder:
         if None in found:
             fresh: dict[bytes, bytes] = {}
             self._learn([w for w, got in zip(words, found, strict=True) if got is None], fresh)
-            if len(self.cache) + len(fresh) <= CACHED_WORDS:
-                self.cache.update(fresh)
+            self._remember(fresh)
             found = [fresh[w] if got is None else got for w, got in zip(words, found, strict=True)]
         return found
 
+    def _remember(self, fresh: dict[bytes, bytes]) -> None:
+        room = CACHE_BYTES - self.cached
+        if room <= 0:
+            return
+        size = sum(map(len, fresh)) + sum(map(len, fresh.values())) + ENTRY_BYTES * len(fresh)
+        if size > room:  # the shorter words, which are the ones that repeat
+            kept, size = {}, 0
+            for w in sorted(fresh, key=len):
+                size += len(w) + len(fresh[w]) + ENTRY_BYTES
+                if size > room:
+                    break
+                kept[w] = fresh[w]
+            fresh, size = kept, room
+        self.cache.update(fresh)
+        self.cached += size
+
     def _joined(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         counts = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces)) // self.dtype.itemsize
         return np.frombuffer(b"".join(pieces), dtype=self.dtype), counts
@@ -140,7 +161,10 @@ class WordEncoder:
         codes = coded.indices.to_numpy()
         n = sizes[codes]
         ends = np.concatenate([[0], np.cumsum(n)])
-        ids = store[np.repeat((np.cumsum(sizes) - sizes)[codes] - ends[:-1], n) + np.arange(ends[-1])]
+        narrow = np.int32 if max(len(store), int(ends[-1])) < 1 << 31 else np.int64
+        place = np.repeat(((np.cumsum(sizes) - sizes)[codes] - ends[:-1]).astype(narrow), n)
+        place += np.arange(ends[-1], dtype=narrow)
+        ids = store[place]
         bounds = ends[words.offsets.to_numpy() - words.offsets[0].as_py()]
         counts = np.diff(bounds)
         if odd.any():
@@ -151,6 +175,14 @@ class WordEncoder:
         return ids, counts
 
 
+def forgetting(enc: WordEncoder, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches of a task; behind the last one, or when the task is given up, the words are forgotten."""
+    try:
+        yield from batches
+    finally:
+        enc.clear()
+
+
 def gathered(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
     """Batches joined until ``column`` holds a few MB, so that repeated words meet."""
     some: list[pa.RecordBatch] = []

@@ -134,16 +134,16 @@ def write(pages: DataFrame, path: str, least: int = 0, id_col: str = "page_id",
     """Writes gzip archives of all pages below ``path``.
 
     Payloads of at least ``least`` bytes that occur again are revisits of their smallest id; they name
-    the record of the first row with it. Only digests that occur twice or more go into the join
+    the record of a row with it. Only digests that occur twice or more go into the join
     that finds it. Rows are numbered as they are read.
     """
     prepare(pages.sparkSession)
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(payload_col), F.lit("")).alias("payload"))
     rows = rows.withColumns({"sha": F.unhex(F.sha1(F.col("payload").cast("binary"))), "row": F.monotonically_increasing_id()})
-    # The smallest id that isn't null, then the first row with it.
-    least_row = F.min(F.struct(F.col("page_id").isNull().alias("no_id"), "page_id", "row")).alias("least")
-    again = rows.where(F.octet_length("payload") >= least).groupBy("sha").agg(least_row, F.count("*").alias("n")).where("n > 1 AND NOT least.no_id")
-    again = again.select("sha", F.col("least.page_id").alias("smallest"), F.col("least.row").alias("smallest_row"))
+    # The smallest id that isn't null, and a row with it.
+    again = rows.where(F.octet_length("payload") >= least).groupBy("sha").agg(
+        F.min("page_id").alias("smallest"), F.min_by("row", "page_id").alias("smallest_row"), F.count("*").alias("n")
+    ).where("n > 1").drop("n")
     revisits = F.col("smallest").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("smallest"))
     rows = rows.join(again, "sha", "left").select(
         "page_id", "url", "payload", "row", F.when(revisits, F.col("smallest")).alias("first"), F.when(revisits, F.col("smallest_row")).alias("first_row")

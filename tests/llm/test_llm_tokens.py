@@ -6,6 +6,7 @@ import pyarrow as pa
 import pytest
 from llm_cases import documents, none, prose, whole
 
+from ledgerlake.llm import packing, tokens
 from ledgerlake.llm.packing import _Search, best_fit, complete, fewest, pack
 from ledgerlake.llm.queries import tokenizer
 from ledgerlake.llm.rans import Codec, quantised, rans_round_trip, read_ids, write_ids
@@ -135,7 +136,7 @@ def test_bin_completion_improves_on_best_fit():
 
 def test_fillings_of_many_short_pieces():
     # 142 pieces of 7 leave a waste of 2, 140 and five of 4 none
-    fillings = _Search([7] * 200 + [4] * 50, 1000, 1).fillings(1000)
+    fillings = _Search([7] * 200 + [4] * 50, 1000, 1).fillings(1000, 1000)
     assert fillings[0][0] == 0 and len(fillings) > 1
 
 
@@ -169,6 +170,47 @@ def test_pack(spark, library):
     assert len(bins) <= -(-sum(r["length"] for r in rows) // 256) + 1
 
 
+def test_the_emptiest_sequences_of_groups_are_packed_together(spark, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP", 40)
+    rng = random.Random(2)
+    docs = spark.createDataFrame([(i, prose(i, rng.randint(20, 400))) for i in range(800)], "doc_id long, text string")
+    rows = pack(docs, tokenizer(), capacity=4096).collect()
+    assert len({(r["doc_id"], r["piece"]) for r in rows}) == len(rows) and {r["doc_id"] for r in rows} == set(range(800))
+    bins = {}
+    for r in rows:
+        bins.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for b in bins.values():
+        at = 0
+        for offset, length in sorted(b):
+            assert offset == at
+            at += length
+        assert at <= 4096
+    floor = fewest([r["length"] for r in rows], 4096)
+    # twenty groups alone end up to one sequence each over their own floors, which are rounded up, too
+    assert floor <= len(bins) <= floor + 4
+
+
+def test_refuted_remainders_change_no_result():
+    rng = random.Random(5)
+    for _ in range(40):
+        lengths = [rng.randint(15, 60) for _ in range(14)]
+        bins = complete(lengths, 100)
+        check_bins(lengths, 100, bins)
+        assert len(bins) == exact(lengths, 100)
+
+
+def test_the_word_cache_is_bounded_and_forgotten(monkeypatch, library):
+    monkeypatch.setattr(tokens, "CACHE_BYTES", 20_000)
+    enc = tokens.WordEncoder(tokenizer())
+    texts = [prose(i, 200) + f" w{i}x{i * i}y" * 3 for i in range(50)]
+    ids, counts = enc.encode(pa.array(texts))
+    assert 0 < len(enc.cache) < 200 and enc.cached <= 20_000
+    again, _ = enc.encode(pa.array(texts))
+    assert np.array_equal(ids, again) and ids.tolist() == [i for t in texts for i in library.encode(t, add_special_tokens=False).ids]
+    list(tokens.forgetting(enc, iter([])))
+    assert not enc.cache and not enc.cached
+
+
 def test_many_equal_pieces(spark):
     docs = spark.createDataFrame([(1, prose(4, 40))] * 9000, "doc_id long, text string")
     rows = pack(docs, tokenizer()).groupBy("sequence_id").agg({"length": "sum"}).collect()
