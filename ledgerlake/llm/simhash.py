@@ -1,13 +1,14 @@
 """SimHash near-duplicates over an inverted index of byte positions.
 
 A fingerprint has eight bytes in eight positions. Fingerprints that differ in two bits at most
-share the bytes of at least six positions, the guaranteed minimum of matches. The index lists
-each distinct fingerprint under every six of its eight positional bytes (28 keys): two
-fingerprints meet in a list exactly where their tally of shared positional bytes is at least
-six, so the count filter is the index itself and no pair is written out to be tallied. A list
-holds distinct fingerprints that differ in two bytes only, 65,536 at most, however many copies
-or near copies there are. In a list the bits are verified, and what it links goes on as one
-edge per fingerprint to the smallest one it reaches there, not as pairs.
+share the bytes of at least six positions, the guaranteed minimum of matches, and so both bytes of
+at least two of the four pairs of positions. The index lists each distinct fingerprint under every
+two of its four pairs (6 keys of 4 bytes). In a list the shared positional bytes of each two
+fingerprints are tallied; those with the minimum are retained and their bits verified. A list longer than
+``LISTED`` isn't tallied but listed anew by its other positions: of these at least two more bytes are
+shared, so that it falls into lists by six bytes, 65,536 at most each, where the tally holds
+by itself. What a list links goes on as one edge per fingerprint to the smallest one it reaches
+there, not as pairs.
 
 Rows: a null or empty text, or one without a word, has fingerprint 0, linked like any other.
 A text with fewer words than a shingle is one shingle. Rows with equal or null ids keep a row
@@ -31,9 +32,10 @@ from ledgerlake.llm.common import components, free_names, prepare, staged
 
 SEED = 42
 POSITIONS = 8
-#: Positions left out of a key; as many bytes as differing bits can touch.
+#: Positions whose bytes may differ; as many as differing bits can touch.
 LEFT_OUT = 2
-_DENSE = 512
+#: Fingerprints of a list that are tallied at most.
+LISTED = 512
 
 
 def fingerprint(raw: bytes, shingle: int = 3) -> int:
@@ -71,25 +73,99 @@ def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text
     return rows.mapInArrow(_fingerprints(shingle), f"doc_id {dict(rows.dtypes)['doc_id']}, text_hash long, print long")
 
 
-def _keys() -> Column:
-    """(which positions are left out, the bytes of the others) for each way to leave two out."""
+def _shared(differing: np.ndarray) -> np.ndarray:
+    """Number of equal positional bytes of two fingerprints, from the bits in which they differ."""
+    return (np.ascontiguousarray(differing).view(np.uint8).reshape(*differing.shape, POSITIONS) == 0).sum(axis=-1)
+
+
+def _mask(positions: tuple[int, ...]) -> Column:
+    mask = reduce(lambda m, p: m | 0xFF << 8 * p, positions, 0)
+    return F.col("print").bitwiseAND(F.lit(mask - (1 << 64) if mask >> 63 else mask))
+
+
+#: The positions of each key of the index: two of the four pairs.
+_PAIRS = [tuple(p for pair in two for p in (2 * pair, 2 * pair + 1)) for two in combinations(range(POSITIONS // 2), 2)]
+
+
+def _keys(ways: list[tuple[int, ...]]) -> Column:
+    """(which positions, their bytes) for each way."""
+    return F.explode(F.array(*[F.struct(F.lit(k).alias("way"), _mask(p).alias("bytes")) for k, p in enumerate(ways)]))
+
+
+def _further() -> Column:
+    """The same for a list that was too long: its own four positions and two of the others."""
     ways = []
-    for k, out in enumerate(combinations(range(POSITIONS), LEFT_OUT)):
-        mask = ((1 << 64) - 1) ^ reduce(lambda m, p: m | 0xFF << 8 * p, out, 0)
-        ways.append(F.struct(F.lit(k).alias("way"), F.col("print").bitwiseAND(F.lit(mask - (1 << 64) if mask >> 63 else mask)).alias("bytes")))
-    return F.explode(F.array(*ways))
+    for own in _PAIRS:
+        others = [p for p in range(POSITIONS) if p not in own]
+        ways.append(F.array(*[F.struct(F.lit(sum(1 << p for p in own + two)).alias("way"), _mask(own + two).alias("bytes")) for two in combinations(others, 2)]))
+    return F.explode(F.element_at(F.array(*ways), F.col("way") + 1))
+
+
+def _reached(near: np.ndarray) -> np.ndarray:
+    """For each row of a table of links, the smallest row that links reach."""
+    label = np.arange(len(near))
+    while True:
+        new = np.minimum(label, np.where(near, label[None, :], len(near)).min(axis=1))
+        if (new == label).all():
+            return label
+        label = new
+
+
+def _tallied(bits: int):
+    """Lists, sorted by key: links (way -1), and the fingerprints of lists that are too long (their way)."""
+    least = POSITIONS - bits
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple[np.ndarray, np.ndarray, int]] = []
+
+        def closed(way: int, prints: np.ndarray) -> None:
+            prints = np.unique(prints)
+            differing = prints[:, None] ^ prints[None, :]
+            retained = _shared(differing) >= least
+            label = _reached(retained & (np.bitwise_count(differing) <= bits))
+            moved = label != np.arange(len(prints))
+            out.append((prints[moved], prints[label[moved]], -1))
+
+        def sent() -> pa.RecordBatch:
+            u, v = (np.concatenate([x[k] for x in out] or [np.zeros(0, dtype=np.uint64)]) for k in (0, 1))
+            way = np.concatenate([np.full(len(x[0]), x[2]) for x in out] or [np.zeros(0, dtype=np.int64)])
+            out.clear()
+            return pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(v.view(np.int64)), pa.array(way, pa.int32())], names=["u", "v", "way"])
+
+        open_: tuple[tuple[int, int], list[np.ndarray], bool] | None = None  # the key, its fingerprints so far, whether it is too long
+        for b in batches:
+            way, key, prints = b.column("way").to_numpy(), b.column("bytes").to_numpy(), b.column("print").to_numpy().view(np.uint64)
+            starts = np.flatnonzero(np.concatenate([[True], (way[1:] != way[:-1]) | (key[1:] != key[:-1])])) if len(way) else []
+            ends = np.append(starts[1:], len(way)) if len(way) else []
+            single = np.diff(np.append(starts, len(way))) == 1 if len(way) else []
+            for s, e, one in zip(starts, ends, single, strict=True):
+                this = (int(way[s]), int(key[s]))
+                if open_ and open_[0] != this:
+                    if not open_[2] and sum(map(len, open_[1])) > 1:
+                        closed(open_[0][0], np.concatenate(open_[1]))
+                    open_ = None
+                if one and open_ is None and e < len(way):
+                    continue  # alone in its list
+                _, some, long = open_ or (this, [], False)
+                some.append(prints[s:e])
+                if long or sum(map(len, some)) > LISTED:
+                    for x in some:
+                        out.append((x, x, this[0]))
+                    some, long = [], True
+                open_ = (this, some, long)
+            yield sent()
+        if open_ and not open_[2]:
+            closed(open_[0][0], np.concatenate(open_[1]))
+        yield sent()
+
+    return run
 
 
 def _smallest(prints: np.ndarray, bits: int) -> np.ndarray:
     """For each fingerprint of a list, the smallest one that links of the list reach."""
     label = np.arange(len(prints))
-    if len(prints) <= _DENSE:
-        near = np.bitwise_count(prints[:, None] ^ prints[None, :]) <= bits
-        while True:
-            new = np.where(near, label[None, :], len(prints)).min(axis=1)
-            if (new == label).all():
-                return label
-            label = new
+    if len(prints) <= LISTED:
+        return _reached(np.bitwise_count(prints[:, None] ^ prints[None, :]) <= bits)
     # the differing bytes side by side: a table of 16 bits, and every way to flip so many of them
     free = np.bitwise_or.reduce(prints ^ prints[0])
     places = [p for p in range(64) if int(free) >> p & 1]
@@ -154,9 +230,13 @@ def links(prints: DataFrame, bits: int = 2) -> DataFrame:
     """Edges (u, v) that connect all fingerprints of ``prints`` (print, distinct) within ``bits`` bits."""
     if not 0 <= bits <= LEFT_OUT:
         raise ValueError(f"keys leave {LEFT_OUT} positions out, which covers at most as many differing bits")
-    listed = prints.select("print", _keys().alias("key")).select(F.col("key.way").alias("way"), F.col("key.bytes").alias("bytes"), "print")
-    dealt = listed.repartition("way", "bytes").sortWithinPartitions("way", "bytes")
-    return dealt.mapInArrow(_links(bits), "u long, v long")
+    def dealt(rows: DataFrame, keys: Column) -> DataFrame:
+        listed = rows.select("print", keys.alias("key")).select(F.col("key.way").alias("way"), F.col("key.bytes").alias("bytes"), "print")
+        return listed.repartition("way", "bytes").sortWithinPartitions("way", "bytes")
+
+    found = staged(dealt(prints.select("print"), _keys(_PAIRS)).mapInArrow(_tallied(bits), "u long, v long, way int"), "tallied")
+    long = found.where("way >= 0").select(F.col("u").alias("print"), "way")
+    return found.where("way < 0").select("u", "v").unionByName(dealt(long, _further()).mapInArrow(_links(bits), "u long, v long"))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, bits: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -71,10 +71,43 @@ def test_large_list_of_fingerprints():
     rng = np.random.default_rng(3)
     prints = np.unique(rng.integers(0, 1 << 12, 900).astype(np.uint64) << np.uint64(20))
     want = reached(len(prints), [(i, j) for i in range(len(prints)) for j in range(i) if int(prints[i] ^ prints[j]).bit_count() <= 2])
-    assert len(prints) > simhash._DENSE and simhash._smallest(prints, 2).tolist() == want
+    assert len(prints) > simhash.LISTED and simhash._smallest(prints, 2).tolist() == want
     assert simhash._smallest(prints[:100], 2).tolist() == reached(100, [(i, j) for i in range(100) for j in range(i) if int(prints[i] ^ prints[j]).bit_count() <= 2])
 
 
+def linked(spark, prints, bits=2):
+    df = spark.createDataFrame([(int(np.int64(p)),) for p in prints.view(np.int64)], "print long").repartition(4)
+    edges = [(int(np.uint64(r["u"] & (2**64 - 1))), int(np.uint64(r["v"] & (2**64 - 1)))) for r in simhash.links(df, bits).collect()]
+    place = {int(p): i for i, p in enumerate(prints)}
+    assert all((u ^ v).bit_count() > 0 for u, v in edges)
+    return reached(len(prints), [(place[u], place[v]) for u, v in edges])
+
+
+@pytest.mark.parametrize("bits", [0, 1, 2])
+def test_links_by_tally_against_all_pairs(spark, bits):
+    rng = np.random.default_rng(bits)
+    seeds = rng.integers(0, 1 << 63, 60).astype(np.uint64) * np.uint64(2)
+    flips = np.uint64(1) << rng.integers(0, 64, (60, 40, 3)).astype(np.uint64)
+    keep = rng.integers(0, 4, (60, 40))
+    prints = np.concatenate([np.bitwise_xor.reduce(np.where(np.arange(3)[None, :] < keep[i][:, None], flips[i], np.uint64(0)), axis=1) ^ seeds[i] for i in range(60)])
+    prints = np.unique(prints)
+    want = reached(len(prints), [(i, j) for i in range(len(prints)) for j in range(i) if int(prints[i] ^ prints[j]).bit_count() <= bits])
+    assert bits == 0 or len(set(want)) < len(prints)
+    assert linked(spark, prints, bits) == want
+
+
+def test_long_lists_are_listed_anew(spark):
+    """Thousands of fingerprints that share four bytes, and so a list."""
+    rng = np.random.default_rng(7)
+    prints = np.unique((rng.integers(0, 1 << 13, 2500).astype(np.uint64) << np.uint64(35)) ^ np.uint64(0x1122000000003344))
+    assert len(prints) > 3 * simhash.LISTED
+    want = reached(len(prints), [(i, j) for i in range(len(prints)) for j in range(i) if int(prints[i] ^ prints[j]).bit_count() <= 2])
+    assert linked(spark, prints) == want
+    far = np.unique(rng.integers(0, 1 << 24, 1500).astype(np.uint64) << np.uint64(20))  # one list, few links
+    want = reached(len(far), [(i, j) for i in range(len(far)) for j in range(i) if int(far[i] ^ far[j]).bit_count() <= 2])
+    assert len(set(want)) > 700 and linked(spark, far) == want
+
+
 def test_simhash_of_nothing(spark):
     assert whole(simhash.near_duplicates(none(spark))) == [] and whole(simhash.keep_one(none(spark))) == []
 
