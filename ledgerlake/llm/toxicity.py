@@ -40,7 +40,7 @@ STEMS = (4, 5, 6, 7, 8)
 FOLDS = 4
 NEAR = 4
 #: Distinct words that a worker remembers.
-CACHED_WORDS = 500_000
+CACHED_WORDS = 200_000
 # Insults, and words of the second person, in the languages of the corpus.
 INSULTS = (
     "idiot idiots idiotic moron morons moronic stupid dumb dumbass loser losers pathetic worthless trash scum clown "
