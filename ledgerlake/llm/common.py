@@ -43,11 +43,11 @@ def scratch(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, name)
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, row_group: int = 128 << 20) -> DataFrame:
     """``df`` written to the shared folder and read back: computed once, no lineage behind it."""
     spark = df.sparkSession
     path = scratch(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").option("parquet.block.size", row_group).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import prepare, scratch, staged
-from ledgerlake.llm.tokens import encoder, forgetting, gathered
+from ledgerlake.llm.tokens import encoder, gathered
 
 #: A block closes at the document that brings it to so many ids.
 BLOCK_IDS = 1 << 20
@@ -159,6 +159,10 @@ class Block:
         return np.concatenate(parts) if parts else np.zeros(0, dtype=np.uint32)
 
 
+#: Bytes of a row group of staged ids; a writer holds one in memory.
+ROW_GROUP = 16 << 20
+
+
 def _tokenised(path: str, end_id: int):
     """doc_id, tie (of equal ids), n, ids with the end id: a row per document."""
 
@@ -166,7 +170,7 @@ def _tokenised(path: str, end_id: int):
         enc = encoder(path)
         width = enc.dtype.itemsize
         tail = np.array([end_id], dtype=enc.dtype).tobytes()
-        for b in forgetting(enc, gathered(batches, "text")):
+        for b in gathered(batches, "text"):
             ids, counts = enc.encode(b.column("text"))
             ends = np.cumsum(counts)
             raw = ids.tobytes()
@@ -246,10 +250,10 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col: s
         raise ValueError("the end id must be an id of the tokenizer")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("tie"), F.col(text_col).alias("text"))
     # Ids, not texts, go through the range shuffle, whose bounds are sampled from what is staged.
-    coded = staged(rows.mapInArrow(_tokenised(tokenizer, end_id), "doc_id long, tie long, n long, ids binary"), "coded")
+    coded = staged(rows.mapInArrow(_tokenised(tokenizer, end_id), "doc_id long, tie long, n long, ids binary"), "coded", ROW_GROUP)
     order = ["doc_id", "tie"]
     ranged = coded.repartitionByRange(*order).sortWithinPartitions(*order)
-    ids = staged(ranged.mapInArrow(_numbered, "part int, seq long, doc_id long, start long, n long, ids binary"), "ids")
+    ids = staged(ranged.mapInArrow(_numbered, "part int, seq long, doc_id long, start long, n long, ids binary"), "ids", ROW_GROUP)
     # At most one row for each id of the vocabulary.
     seen = ids.select("ids").mapInArrow(_counted(width, size), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
     freq, bits = quantised(seen["id"].to_numpy(dtype=np.int64), seen["n"].to_numpy(dtype=np.int64), size)
