@@ -1028,3 +1028,29 @@ for _name, _key in [("daily_transaction_summary", "daily_transaction_summary_exa
                     ("high_value_summary", "high_value_profile"),
                     ("daily_type_summary", "daily_type_profile")]:
     register(f"rollup_{_key}")(lambda spark, sf, _n=_name: _ruled_rollup(spark, sf)[_n])
+
+
+# ------------------------------------------------------------------ money with cents (amounts with fractions, the same marts)
+
+def _cents_silver(spark, sf):
+    return S.silver_transactions(B.bronze_transactions(raw_transactions(spark, sf, cents=True)))
+
+
+def _cents_ruled(spark, sf):
+    return R.split_valid(R.validated_transactions(raw_transactions(spark, sf, cents=True)))
+
+
+for _name in ["daily_type_summary", "transaction_type_summary", "high_value_summary", "hourly_fraud_summary"]:
+    register(f"cents_{_name}")(lambda spark, sf, _n=_name: M.calendar_marts(M.calendar_rollup(_cents_silver(spark, sf)))[_n])
+
+for _name, _mart in [("origin_account_summary", M.origin_account_summary), ("destination_account_summary", M.destination_account_summary)]:
+    register(f"cents_{_name}")(lambda spark, sf, _m=_mart: _m(_cents_silver(spark, sf)))
+
+for _name, _mart in [("origin_account_profile", M.origin_account_profile), ("daily_type_profile", M.daily_type_profile),
+                     ("daily_transaction_summary_exact", M.daily_transaction_summary_exact)]:
+    register(f"cents_{_name}")(lambda spark, sf, _m=_mart: _m(_cents_ruled(spark, sf)))
+
+
+@register("cents_raw_transactions")
+def q_cents_raw(spark, sf):
+    return raw_transactions(spark, sf, cents=True)

@@ -30,13 +30,16 @@ def _d(x: float) -> Column:
     return F.lit(float(x))
 
 
-def raw_from_events(events: DataFrame) -> DataFrame:
-    """Map an ``events`` DataFrame onto the raw transaction schema (with duplicates)."""
+def raw_from_events(events: DataFrame, cents: bool = False) -> DataFrame:
+    """Map an ``events`` DataFrame onto the raw transaction schema (with duplicates).
+
+    The mapped amounts are whole; with ``cents`` each event adds a fraction of its own.
+    """
     i = F.col("event_id")
     et = F.col("event_type")
     u = F.col("user_id").cast("bigint")
     base_step = (F.dayofmonth("ts") * 24 + F.hour("ts") - 23).cast("int")
-    v = F.round(F.col("value") * AMOUNT_SCALE, 2)
+    v = F.round(F.col("value") * AMOUNT_SCALE + (i * 37 % 100 / 100.0 if cents else _d(0)), 2)
 
     step = (
         F.when(_hit(i, 211, 7), F.lit(None).cast("int"))
@@ -119,9 +122,9 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
 
 
-def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_transactions(spark: SparkSession, sf_dir: str, cents: bool = False) -> DataFrame:
     """The raw 11-column transaction table for one scale-factor folder."""
-    return raw_from_events(read_events(spark, sf_dir))
+    return raw_from_events(read_events(spark, sf_dir), cents)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

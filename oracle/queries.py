@@ -849,3 +849,17 @@ oracle("bronze_metadata", """SELECT step, amount, origin_account, source_file_na
 oracle("bronze_lineage", """SELECT _record_hash, _pipeline_run_id, _source_file, _source_file_path,
   '2024-01-31 12:30:15' AS _ingestion_timestamp, '2024-01-31' AS _ingestion_date FROM bronze_n""", "bronze_n")
 oracle("type_median_bound", "SELECT transaction_type, COUNT(*) AS row_count, TRUE AS within_bound FROM silver_n GROUP BY transaction_type", "silver_n")
+
+# ------------------------------------------------------------------ money with cents
+
+def _with_cents(sql: str) -> str:
+    """The same query over amounts with fractions, its sums and means exact."""
+    exact = "SUM(CAST(amount AS DECIMAL(28,6)))"
+    return (sql.replace("ROUND(value * 2000, 2) AS v", "ROUND(value * 2000 + (event_id * 37 % 100) / 100.0, 2) AS v")
+            .replace("SUM(amount)", exact).replace("AVG(amount)", f"CAST({exact} AS DOUBLE) / COUNT(amount)")
+            .replace("SUM(CASE WHEN is_fraud = 1 THEN amount ELSE 0.0 END)", "SUM(CASE WHEN is_fraud = 1 THEN CAST(amount AS DECIMAL(28,6)) ELSE 0 END)"))
+
+
+for _k in ["daily_type_summary", "transaction_type_summary", "high_value_summary", "hourly_fraud_summary", "origin_account_summary",
+           "destination_account_summary", "origin_account_profile", "daily_type_profile", "daily_transaction_summary_exact", "raw_transactions"]:
+    ORACLE[f"cents_{_k}"] = _with_cents(ORACLE[_k])
