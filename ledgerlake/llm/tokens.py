@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 
 #: Bytes of distinct words and their ids that a worker remembers, and what an entry costs besides.
 #: Words beyond are encoded anew. A worker keeps them for its next task, which saves two fifths of the work.
-CACHE_BYTES, ENTRY_BYTES = 48 << 20, 170
+CACHE_BYTES, ENTRY_BYTES = 96 << 20, 170
 #: Words handed to the library in one call.
 CHUNK = 1000
 #: Text that is encoded at once; a longer text is encoded alone.

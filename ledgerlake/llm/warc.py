@@ -23,7 +23,9 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import io
 from collections.abc import Iterator
+from typing import BinaryIO
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -101,23 +103,23 @@ def records(page_id: int | None, url: str | None, payload: bytes, first: tuple[i
     return out
 
 
-def parse(archive: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(fields, block) of each record of a whole archive."""
-    at = 0
-    while at < len(archive):
-        if archive[at : at + 2] == _END:
-            at += 2
+def parse(archive: bytes | BinaryIO) -> Iterator[tuple[dict[str, str], bytes]]:
+    """(fields, block) of each record of an archive, read on one by one."""
+    f = io.BytesIO(archive) if isinstance(archive, bytes) else archive
+    while line := f.readline():
+        if line == _END:
             continue
-        end = archive.index(_END + _END, at)
-        lines = archive[at:end].decode().split("\r\n")
-        if not lines[0].startswith("WARC/"):
+        if not line.startswith(b"WARC/"):
             raise ValueError("a record doesn't begin where the one before ends")
-        fields = dict(x.split(": ", 1) for x in lines[1:])
+        fields = {}
+        while (line := f.readline()) and line != _END:
+            name, value = line.decode().removesuffix("\r\n").split(": ", 1)
+            fields[name] = value
         size = int(fields["Content-Length"])
-        at = end + 4 + size
-        if at > len(archive):
+        block = f.read(size)
+        if len(block) < size:
             raise ValueError("a record is cut short")
-        yield fields, archive[end + 4 : at]
+        yield fields, block
 
 
 def _write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,7 +172,8 @@ def _parse(with_payload: bool):
         for b in batches:
             for raw in b.column("content"):
                 rows, size = [], 0
-                for fields, block in parse(gzip.decompress(raw.as_py())):
+                # Unpacked as it is read: a file is some ten MB, a record some KB.
+                for fields, block in parse(io.BufferedReader(gzip.GzipFile(fileobj=pa.BufferReader(raw.as_buffer())))):
                     number = int(fields.get("WARC-Segment-Number", 0))
                     row = {"origin": fields.get("WARC-Segment-Origin-ID", fields["WARC-Record-ID"]), "number": number, "record_type": fields["WARC-Type"], "whole": not number, "block": block}
                     if total := fields.get("WARC-Segment-Total-Length"):
@@ -186,6 +189,7 @@ def _parse(with_payload: bool):
                         yield pa.RecordBatch.from_pylist(rows, schema)
                         rows, size = [], 0
                 yield pa.RecordBatch.from_pylist(rows, schema)
+                pa.default_memory_pool().release_unused()
 
     return run
 
