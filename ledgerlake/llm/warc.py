@@ -31,12 +31,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import prepare, scratch
+from ledgerlake.llm.common import prepare, scratch, staged
 
 #: Bytes of a record's block, and of a chunk, at most.
 SEGMENT, CHUNK = 32 << 10, 8 << 10
 #: Records of an archive file at most, about; a file is read as a whole.
 FILE_RECORDS = 4000
+#: Repeated digests (about 100 bytes each in memory) that are sent to every executor at most.
+BROADCAST_ROWS = 200_000
 _END = b"\r\n"
 _DATE = "2000-01-01T00:00:00Z"  # fixed, so that reruns write equal bytes
 
@@ -137,7 +139,8 @@ def write(pages: DataFrame, path: str, least: int = 0, id_col: str = "page_id",
 
     Payloads of at least ``least`` bytes that occur again are revisits of their smallest id; they name
     the record of a row with it. Only digests that occur twice or more go into the join
-    that finds it. Rows are numbered as they are read.
+    that finds it: up to ``BROADCAST_ROWS`` of them go to the payloads, which stay where they were read;
+    with more, payloads are shuffled by digest. Rows are numbered as they are read.
     """
     prepare(pages.sparkSession)
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(payload_col), F.lit("")).alias("payload"))
@@ -146,8 +149,10 @@ def write(pages: DataFrame, path: str, least: int = 0, id_col: str = "page_id",
     again = rows.where(F.octet_length("payload") >= least).groupBy("sha").agg(
         F.min("page_id").alias("smallest"), F.min_by("row", "page_id").alias("smallest_row"), F.count("*").alias("n")
     ).where("n > 1").drop("n")
+    again = staged(again, "repeated-digests")
+    few = again.count() <= BROADCAST_ROWS
     revisits = F.col("smallest").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("smallest"))
-    rows = rows.join(again, "sha", "left").select(
+    rows = rows.join(F.broadcast(again) if few else again, "sha", "left").select(
         "page_id", "url", "payload", "row", F.when(revisits, F.col("smallest")).alias("first"), F.when(revisits, F.col("smallest_row")).alias("first_row")
     )
     # Each record ends in two line breaks: the writer's line separator.

@@ -19,7 +19,9 @@ def pages(spark):
     return spark.createDataFrame(rows, PAGES).withColumn("record_type", F.lit("clash"))
 
 
-def test_archives_round_trip(spark, tmp_path):
+@pytest.mark.parametrize("few", [0, 1000])
+def test_archives_round_trip(spark, tmp_path, monkeypatch, few):
+    monkeypatch.setattr(warc, "BROADCAST_ROWS", few)
     path = str(tmp_path / "warc")
     warc.write(pages(spark), path)
     got = warc.read(spark, path).collect()
