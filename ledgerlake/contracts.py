@@ -22,6 +22,7 @@ DESTINATION_ACCOUNT_PATTERN = r"^[CM][0-9]+$"
 HASH_SEPARATOR = "||"
 HASH_NULL_TOKEN = "<NULL>"
 
+# Fixed values, too: the column names, types, orders and renames below are the data's contract.
 RAW_COLUMNS = [
     "step", "type", "amount", "nameOrig", "oldbalanceOrg", "newbalanceOrig",
     "nameDest", "oldbalanceDest", "newbalanceDest", "isFraud", "isFlaggedFraud",

@@ -31,7 +31,7 @@ def _fraud():
 
 def _check_rsd(rsd: float) -> None:
     if not 0 < rsd <= 0.39:
-        raise ValueError("approximate_distinct_rsd must be between 0 and 0.39.")
+        raise ValueError(f"a relative standard deviation of {rsd} can't be kept: it must be above 0 and at most 0.39")
 
 
 # ---------------------------------------------------------------- strict (M)
