@@ -68,4 +68,50 @@ SELECT p.page_id, n::BIGINT AS payload_bytes,
 FROM p JOIN f ON p.h = f.h
 """
 
-ORACLES: dict[str, str] = {"op1_chat_format": OP1, "op8_source_mix": OP8, "op9_warc_round_trip": OP9}
+#: CRC-32 by its table, which follows from the polynomial; near words by the place of the edit.
+OP11 = r"""
+WITH t AS (
+  SELECT list_transform(range(256), lambda i: list_reduce([i] || range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS tbl
+), runs AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS id,
+         unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run
+  FROM documents
+), r AS (
+  SELECT id, run, count(*) AS times FROM runs WHERE length(run) >= 6 GROUP BY ALL
+), b AS (
+  SELECT run, times, hex(encode(id || ':' || run)) AS h FROM r
+), c AS (
+  SELECT run, times, xor(list_reduce([4294967295] || list_transform(range(length(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT),
+                     lambda a, x: xor(a // 256, tbl[xor(a, x) % 256 + 1])), 4294967295) AS crc
+  FROM b, t
+), s AS (
+  SELECT CASE WHEN crc % 199 = 0 THEN substr(run, 1, (crc % length(run))::INT) || substr(run, (crc % length(run))::INT + 2) ELSE run END AS word, times FROM c
+), v AS (
+  SELECT word, sum(times)::BIGINT AS n FROM s WHERE length(word) >= 6 GROUP BY word HAVING sum(times) >= 5
+), d AS (
+  SELECT word, n, unnest(range(1, length(word) + 1)) AS pos FROM v
+), cut AS (
+  SELECT word, n, pos, substr(word, 1, pos - 1) || substr(word, pos + 1) AS rest FROM d
+), pairs AS (
+  SELECT DISTINCT a.word, b.word AS other, b.n AS m FROM cut a JOIN cut b ON a.rest = b.rest AND a.pos = b.pos AND a.word <> b.word
+  UNION
+  SELECT DISTINCT a.word, v.word, v.n FROM cut a JOIN v ON a.rest = v.word
+  UNION
+  SELECT DISTINCT v.word, a.word, a.n FROM cut a JOIN v ON a.rest = v.word
+), near AS (
+  SELECT word, count(*) AS n_near, arg_min(other, (-m, other)) AS best, max(m) AS m FROM pairs GROUP BY word
+), f AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 5 * v.n THEN best END AS form, CASE WHEN m >= 5 * v.n THEN m END AS form_n
+  FROM v LEFT JOIN near USING (word)
+), chain AS (
+  WITH RECURSIVE up AS (
+    SELECT word, form AS pos FROM f WHERE form IS NOT NULL
+    UNION ALL
+    SELECT up.word, f.form FROM up JOIN f ON f.word = up.pos WHERE f.form IS NOT NULL
+  )
+  SELECT up.word, up.pos AS root FROM up JOIN f ON f.word = up.pos WHERE f.form IS NULL
+)
+SELECT f.word, f.n, f.n_near, f.form, f.form_n, coalesce(chain.root, f.word) AS root FROM f LEFT JOIN chain USING (word)
+"""
+
+ORACLES: dict[str, str] = {"op1_chat_format": OP1, "op8_source_mix": OP8, "op9_warc_round_trip": OP9, "op11_spelling_variants": OP11}
