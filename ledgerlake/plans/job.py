@@ -117,6 +117,11 @@ def failures_recorded(spark: SparkSession, sink: str, params: RunParams, log: Ru
 
 # ------------------------------------------------------------------ layers
 
+def reread(df: DataFrame, path: str) -> DataFrame:
+    """What was written of ``df``, under its schema: nothing is inferred, and an empty table is a table."""
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def open_source(spark: SparkSession, source: DataFrame | str, params: RunParams) -> DataFrame:
     """Raw rows: a DataFrame as it is, or the guarded scan of CSV files with their names."""
     if isinstance(source, DataFrame):
@@ -128,20 +133,22 @@ def open_source(spark: SparkSession, source: DataFrame | str, params: RunParams)
     return CSV.with_files(read(spark, source))
 
 
-def _ingest(raw: DataFrame, sink: str, path: str, params: RunParams, bronze: Callable[[DataFrame], DataFrame]) -> tuple[Written, dict]:
+def _ingest(raw: DataFrame, sink: str, path: str, params: RunParams, bronze: Callable[[DataFrame], DataFrame], log: RunLog) -> DataFrame:
     """Write a Bronze layer in the one pass over the source; count its rows before and behind rejects."""
     observation = Observation()
     permissive = CSV.CORRUPT_COLUMN in raw.columns
     rejected = F.count_if(F.col(CSV.CORRUPT_COLUMN).isNotNull()) if permissive else F.count_if(F.lit(False))
     counted = raw.observe(observation, F.count(F.lit(1)).alias("rows"), rejected.alias("rejected"))
-    rows, _ = CSV.split_rejects(counted) if permissive else (counted, None)
-    written = write_parquet(bronze(rows), path)
+    rows = bronze(CSV.split_rejects(counted)[0] if permissive else counted)
+    written = write_parquet(rows, path)
     seen = observation.get
     n, lost = int(seen.get("rows") or 0), int(seen.get("rejected") or 0)
     if lost:  # rare, so their lines are scanned for once more instead of in every run
         rejects = CSV.split_rejects(raw)[1].withColumn("pipeline_run_id", F.lit(params.run_id))
         append_records(rejects, f"{sink}/rejects")
-    return written, {"source_rows": n, "rejected_rows": lost, "accepted_rows": n - lost, "bronze_rows": written.rows}
+    log.add("bronze_transactions", written)
+    log.values.update(source_rows=n, rejected_rows=lost, accepted_rows=n - lost, bronze_rows=written.rows)
+    return reread(rows, path)
 
 
 def bronze_stage(spark: SparkSession, source: DataFrame | str, sink: str, params: RunParams, log: RunLog | None = None) -> DataFrame:
@@ -153,10 +160,7 @@ def bronze_stage(spark: SparkSession, source: DataFrame | str, sink: str, params
         validate_required_columns(rows, BRONZE_REQUIRED_COLUMNS, "bronze_dataframe")
         return rows
 
-    written, values = _ingest(open_source(spark, source, params), sink, f"{sink}/bronze", params, bronze)
-    log.add("bronze_transactions", written)
-    log.values.update(values)
-    return spark.read.parquet(written.path)
+    return _ingest(open_source(spark, source, params), sink, f"{sink}/bronze", params, bronze, log)
 
 
 def silver_stage(spark: SparkSession, bronze: DataFrame, sink: str, params: RunParams, log: RunLog | None = None) -> DataFrame:
@@ -173,7 +177,7 @@ def silver_stage(spark: SparkSession, bronze: DataFrame, sink: str, params: RunP
     }
     files = files_per_value(bronze, day_from_step("step"))
     log.add("silver_transactions", write_parquet(silver, f"{sink}/silver", partition_columns=["transaction_day"], files=files, measures=measures))
-    return spark.read.schema(silver.schema).parquet(f"{sink}/silver")
+    return reread(silver, f"{sink}/silver")
 
 
 def mart_measures(names) -> dict:
@@ -190,15 +194,16 @@ def write_gold(spark: SparkSession, silver: DataFrame, sink: str, rsd: float = D
     """
     log = RunLog() if log is None else log
     rollup_path = f"{sink}/gold/_calendar_rollup"
-    write_parquet(M.calendar_rollup(silver, rsd), rollup_path)
+    rollup = M.calendar_rollup(silver, rsd)
+    write_parquet(rollup, rollup_path)
     gold = M.build_gold_tables(silver, rsd, include_features=False)
-    gold.update(M.calendar_marts(spark.read.parquet(rollup_path)))
+    gold.update(M.calendar_marts(reread(rollup, rollup_path)))
     for name, written in write_many(gold, f"{sink}/gold", measures=mart_measures(gold)).items():
         log.add(name, written)
-    tables = {name: spark.read.parquet(f"{sink}/gold/{name}") for name in gold}
+    tables = {name: reread(df, f"{sink}/gold/{name}") for name, df in gold.items()}
     features = FE.fraud_feature(silver, origin_counts=tables["origin_account_summary"])
     log.add("fraud_feature", write_parquet(features, f"{sink}/gold/fraud_feature", measures=mart_measures(["fraud_feature"])["fraud_feature"]))
-    tables["fraud_feature"] = spark.read.parquet(f"{sink}/gold/fraud_feature")
+    tables["fraud_feature"] = reread(features, f"{sink}/gold/fraud_feature")
     return tables
 
 
@@ -354,11 +359,8 @@ RULED_CHECKS = [
 def ruled_bronze_stage(spark: SparkSession, source: DataFrame | str, sink: str, params: RunParams, log: RunLog | None = None) -> DataFrame:
     """The ruled Bronze layer: raw names, extended lineage, record hash; written once, counts observed."""
     log = RunLog() if log is None else log
-    written, values = _ingest(open_source(spark, source, params), sink, f"{sink}/bronze_ruled", params,
-                              lambda raw: B.bronze_ruled(raw, params.run_id, params.source_file_name))
-    log.add("bronze_transactions", written)
-    log.values.update(values)
-    return spark.read.parquet(written.path)
+    return _ingest(open_source(spark, source, params), sink, f"{sink}/bronze_ruled", params,
+                   lambda raw: B.bronze_ruled(raw, params.run_id, params.source_file_name), log)
 
 
 def write_validated(spark: SparkSession, bronze: DataFrame, sink: str, params: RunParams, log: RunLog | None = None) -> DataFrame:
@@ -382,10 +384,11 @@ def write_validated(spark: SparkSession, bronze: DataFrame, sink: str, params: R
         observation, *[m.cast("bigint").alias(k) for k, m in {**measures, **counts}.items()]
     )
     keep = list(dict.fromkeys(R.SILVER_RULED_COLUMNS + R.QUARANTINE_COLUMNS))
-    log.add("validated_transactions", write_parquet(rows.select(*keep), f"{sink}/validated", partition_columns=["validation_status"]))
+    rows = rows.select(*keep)
+    log.add("validated_transactions", write_parquet(rows, f"{sink}/validated", partition_columns=["validation_status"]))
     log.values.update({k: int(v or 0) for k, v in observation.get.items()})
     log.values["split_rows"] = log.values["silver_rows"] + log.values["quarantine_rows"]
-    return spark.read.parquet(f"{sink}/validated")
+    return reread(rows, f"{sink}/validated")
 
 
 def silver_ruled_view(validated: DataFrame) -> DataFrame:
@@ -417,7 +420,7 @@ def write_ruled_gold(spark: SparkSession, silver: DataFrame, sink: str, log: Run
         return {n: {k: make() for k, make in RULED_MEASURES[n].items()} for n in names if n in RULED_MEASURES}
 
     def read(name: str) -> DataFrame:
-        return spark.read.parquet(f"{base}/{name}")
+        return reread(first[name], f"{base}/{name}")
 
     done = write_many(first, base, measures=measures(first))
     calendar = M.ruled_calendar_marts(read("_calendar_rollup"), read("_distinct_accounts"), read("_type_medians"))

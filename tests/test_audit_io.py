@@ -310,6 +310,15 @@ def test_ruled_run(spark):
     assert sum(int(r.record_count) for r in statuses.collect()) == 1002
 
 
+def test_runs_over_no_rows(spark):
+    empty = spark.createDataFrame([], NULLABLE_RAW_SCHEMA)
+    sink = os.path.join(_scratch(), "empty")
+    assert J.run(spark, empty, sink, J.RunParams(run_id="none"))["pipeline_status"] == "SUCCESS"
+    assert J.run_ruled(spark, empty, sink, J.RunParams(run_id="none"))["reconciliation_status"] == "PASS"
+    report = spark.read.parquet(f"{sink}/reconciliation/run_id=none")
+    assert report.count() == 16 and report.filter("expected_value <> 0 OR status <> 'PASS'").count() == 0
+
+
 def test_ruled_run_records_failures(spark):
     sink = os.path.join(_scratch(), "ruled-fail")
     with pytest.raises(Exception):
