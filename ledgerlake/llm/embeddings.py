@@ -37,8 +37,9 @@ from ledgerlake.llm.common import components, prepare, staged
 
 #: Vectors that codebooks and stopping point are learned from, at most (about).
 SAMPLE = 20_000
-#: Codes of a half at most; below, as many as give a cell about ``PER_CELL`` vectors.
-CODES, PER_CELL = 256, 64
+#: Codes of a half at most; below, that is up to some 67 million vectors, as many as give a cell about ``PER_CELL``
+#: vectors. The grid's counts, a row per cell, come to the driver: about 24 MB at most.
+CODES, PER_CELL = 1024, 64
 BLOCK = 256
 RECALL = 0.9995
 #: Vectors whose links with all others are measured (about), links that tell enough, and steps up to the exact bound.
@@ -58,7 +59,7 @@ def unit(x: np.ndarray) -> np.ndarray:
 def _codes(x: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
     codes = x[rng.choice(len(x), min(k, len(x)), replace=False)]
     for _ in range(_ROUNDS):
-        near = _squares(x, codes).argmin(axis=1)
+        near = np.concatenate([_squares(x[at : at + 4096], codes).argmin(axis=1) for at in range(0, len(x), 4096)])
         n = np.bincount(near, minlength=len(codes))
         sums = np.zeros_like(codes)
         np.add.at(sums, near, x)
@@ -277,11 +278,11 @@ def _indexed(classes: DataFrame, n: int, cosine: float) -> DataFrame:
     raise_stop(index, classes, n, cosine)
     dealt = classes.withColumn("deal", F.shiftrightunsigned(F.xxhash64("class", F.lit(1)), 1))
     # One row for each cell of the grid at most.
-    cells = dealt.mapInArrow(_cells(index), "cell long, members long, visitors long").groupBy("cell").agg(F.sum("members").alias("members"), F.sum("visitors").alias("visitors")).collect()
+    cells = dealt.mapInArrow(_cells(index), "cell long, members long, visitors long").groupBy("cell").agg(F.sum("members").alias("members"), F.sum("visitors").alias("visitors")).toPandas()
     members = np.zeros(len(index.codes[0]) * len(index.codes[1]), dtype=np.int64)
     visitors = members.copy()
-    for c in cells:
-        members[c["cell"]], visitors[c["cell"]] = c["members"], c["visitors"]
+    members[cells["cell"].to_numpy(dtype=np.int64)] = cells["members"].to_numpy(dtype=np.int64)
+    visitors[cells["cell"].to_numpy(dtype=np.int64)] = cells["visitors"].to_numpy(dtype=np.int64)
     kind = dict(classes.dtypes)["embedding"]
     pairs = dealt.mapInArrow(_dealt(index, members, visitors), f"cell long, member long, visitor long, role long, class long, size long, embedding {kind}")
     return pairs.groupBy("cell", "member", "visitor").applyInArrow(_verified(cosine), "class long, n long, root long")
