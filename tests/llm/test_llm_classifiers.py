@@ -1,5 +1,8 @@
+import math
 import random
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -103,6 +106,50 @@ def held_out_rates(rows, labels, label, value):
     return np.array([a for a, _ in own]), np.array([b for _, b in own])
 
 
+def walked(model, x):
+    """The log-odds of one row, node by node."""
+    total = model.base
+    for node in model.roots.tolist():
+        while model.left[node] != node:
+            node = int(model.left[node] if x[model.feature[node]] <= model.threshold[node] else model.right[node])
+        total += model.value[node]
+    return total
+
+
+def plain_quality_features(text):
+    words = [w for w in re.split("[ \t-\r]+", text) if w]
+    lines = [x for x in text.split("\n") if x.strip(" \t\r\x0b\x0c")]
+    runs = [tuple(words[i : i + 8]) for i in range(len(words) - 7)]
+    times = Counter(runs)
+    inside = {k for i, r in enumerate(runs) if times[r] > 1 for k in range(i, i + 8)}
+    joined = "".join(words)
+    n, size = max(1, len(words)), max(1, len(joined.encode()))
+    upper, lower = (sum(a <= c <= z for c in joined) for a, z in (("A", "Z"), ("a", "z")))
+    return (
+        math.log1p(len(words)), len(joined) / n, sum(c in "#*$%&|<>" for c in text) / n, (len(lines) - len(set(lines))) / max(1, len(lines)),
+        len(inside) / n, upper / max(1, upper + lower),
+        sum("0" <= c <= "9" for c in joined) / size, text.count("!") / n, sum(c in quality._PUNCTUATION.decode() for c in joined) / size,
+        len(set(words)) / n, len(lines) / n, text.count("|") / n, max((len(w.encode()) for w in words), default=0), (upper + lower) / size,
+    )
+
+
+def test_quality_verdicts_by_a_plain_walk(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    model = quality.train(docs, labels)
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    verdicts = []
+    for r in quality.judge(docs, labels).collect():
+        x = plain_quality_features(texts[r["doc_id"]])
+        assert np.allclose(x, quality.statistics(texts[r["doc_id"]].encode())[1])
+        good = 1 / (1 + math.exp(-walked(model, x)))
+        assert abs(good - r["good"]) < 1e-9
+        words = len([w for w in re.split("[ \t-\r]+", texts[r["doc_id"]]) if w])
+        assert r["n_words"] == words and r["kept"] == (not (words < 20 or 100 * r["n_repeat_words"] > 30 * words) and good >= 0.5)
+        verdicts.append(r["kept"])
+    assert 0 < sum(verdicts) < len(verdicts)
+
+
 def test_quality_on_held_out_labels(spark):
     sf = "/root/testdata/sf0.1"
     rows = quality.judge(table(spark, sf, "documents"), table(spark, sf, "labels")).collect()
@@ -122,6 +169,54 @@ def test_toxicity_on_held_out_labels(spark):
     assert {r["doc_id"] for r in kept.select("doc_id").collect()} == {r["doc_id"] for r in rows if not r["predicted"]}
 
 
+def plain_toxic_features(text, lexicon):
+    words = [w for w in re.split("[ \t-\r]+", text) if w]
+    n = max(1, len(words))
+    cores = [w.lower().strip(toxicity._EDGES) for w in words]
+    plain = [c in toxicity.INSULTS for c in cores]
+    learned = [lexicon.weight(c) > 0 for c in cores]
+    hidden = [not p and not k and len(c) > 2 and lexicon.undisguised(w.lower()) for w, c, p, k in zip(words, cores, plain, learned, strict=True)]
+    second = [c in toxicity.SECOND_PERSON for c in cores]
+    hit = [any(x) for x in zip(plain, learned, hidden, strict=True)]
+    near = sum(any(second[max(0, i - toxicity.NEAR) : i + toxicity.NEAR + 1]) for i, h in enumerate(hit) if h)
+    runs, run = [], ""
+    for c in [*cores, " "]:
+        if len(c) == 1 and c.isalpha():
+            run += c
+        else:
+            runs.append(run)
+            run = ""
+    letters = sum(len(c) == 1 and c.isalpha() for c in cores)
+    spaced = sum(any(x in r for x in lexicon.all if len(x) > 3) for r in runs if len(r) > 3) if letters > 3 else 0
+    joined = "".join(words)
+    size = max(1, len(joined.encode()))
+    upper, lower = (sum(a <= c <= z for c in joined) for a, z in (("A", "Z"), ("a", "z")))
+    punctuation = sum(bytes([b]) in [bytes([x]) for x in toxicity._PLAIN_EDGES] for b in joined.encode())
+    capital_words = sum(any("A" <= c <= "Z" for c in w) and not any("a" <= c <= "z" for c in w) for w in words)
+    mixed = sum(not c.isalpha() and any(map(str.isalpha, c)) for c in cores)
+    stretched = sum(any(a == b == d for a, b, d in zip(c, c[1:], c[2:], strict=False)) for c in cores)
+    return (
+        sum(plain) / n, sum(plain), sum(hidden) / n, sum(hidden), sum(learned) / n, sum(learned), sum(lexicon.weight(c) for c, k in zip(cores, learned, strict=True) if k),
+        spaced, near / n, sum(second) / n, upper / max(1, upper + lower), capital_words / n, punctuation / size, text.count("!") / n, mixed / n, stretched / n,
+        math.log1p(len(words)),
+    )
+
+
+def test_toxicity_scores_by_a_plain_walk(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    learned, model = toxicity.train(docs, labels)
+    lexicon = toxicity.Lexicon(learned)
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    rows = toxicity.score(docs, labels).collect()
+    for r in rows:
+        x = plain_toxic_features(texts[r["doc_id"]], lexicon)
+        assert np.allclose(x, toxicity.features(texts[r["doc_id"]].encode(), lexicon)), r["doc_id"]
+        want = float(np.interp(walked(model.trees, x), model.knots, model.values))
+        assert abs(want - r["score"]) < 1e-9 and r["predicted"] == (want >= 0.3)
+    assert 0 < sum(r["predicted"] for r in rows) < len(rows)
+
+
 def test_disguised_insults():
     lexicon = toxicity.Lexicon({})
     of = dict(zip(toxicity.FEATURES, toxicity.features("You are an 1d10t, st*pid, looooser, l o s e r!".encode(), lexicon), strict=True))
