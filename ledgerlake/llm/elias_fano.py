@@ -209,30 +209,55 @@ class Trie:
         return cls(fano[0], Level(*fano[1:3]), Level(*fano[3:5]), Level(*fano[5:7]), parts[cls.PARTS :])
 
     @classmethod
-    def build(cls, ids: np.ndarray, i1: np.ndarray, i2: np.ndarray, i3: np.ndarray, n: np.ndarray, log_unigram: np.ndarray, discount: float) -> "Trie":
+    def build(
+        cls, ids: np.ndarray, i1: np.ndarray, i2: np.ndarray, i3: np.ndarray, n: np.ndarray, log_unigram: np.ndarray, discount: float,
+        given: tuple[np.ndarray, ...] | None = None,
+    ) -> "Trie":
         """From distinct triples, as places in the sorted word ``ids``, with counts; ``log_unigram`` belongs to ``ids``.
         They come sorted by middle word, word before and word after.
 
         Interpolated absolute discounting: each count gives up ``discount``, and what a history
         gives up is spread over all words as the shorter history has them.
+
+        ``given`` are counts over the whole corpus of histories that are spread over several tries: per word
+        its total and how many words follow it (0: all its triples are here); per triple the count of its
+        last two words, its own count, and the total and following words of its first two (0: all here).
         """
         words = EliasFano.of(ids)
         # What follows each word.
         by = np.argsort(i2.astype(np.int64) * len(ids) + i3, kind="stable").astype(np.int32)
         first = firsts(i2[by], i3[by])
         parent, child, n2 = i2[by][first], i3[by][first], totals(n[by], first)
+        number = _numbers(first, len(by))
+        if given is not None:
+            word_total, word_kinds, two, three, of_pair, after_pair = given
+            n2 = np.where(word_kinds[parent] > 0, two[by][first], n2)
+            seen = n2 > 0
+            number = np.where(seen, np.cumsum(seen) - 1, -1)[number].astype(np.int32)
+            parent, child, n2 = parent[seen], child[seen], n2[seen]
+        at = np.empty(len(by), dtype=np.int32)
+        at[by] = number  # the pair of each triple
+        del by, number
         total, kinds = np.bincount(parent, n2, len(ids)), np.bincount(parent, minlength=len(ids))
+        if given is not None:
+            total, kinds = np.where(word_kinds > 0, word_total, total), np.where(word_kinds > 0, word_kinds, kinds)
         spare = np.divide(discount * kinds, total, out=np.ones(len(ids)), where=total > 0)
         p2 = (n2 - discount) / total[parent] + spare[parent] * 10.0 ** log_unigram[child]
         after = Level.of(parent, child, len(ids))
-        at = np.empty(len(by), dtype=np.int32)
-        at[by] = _numbers(first, len(by))  # the pair of each triple
-        del by
         # What precedes each word, and what follows both.
+        if given is not None:
+            n = np.where(of_pair > 0, three, n)
+            own = np.flatnonzero((n > 0) | (of_pair > 0))
+            i1, i2, n, at, of_pair, after_pair = i1[own], i2[own], n[own], at[own], of_pair[own], after_pair[own]
         pair_first = firsts(i2, i1)
         pair = _numbers(pair_first, len(i2))
         before = Level.of(i2[pair_first], i1[pair_first], len(ids))
-        pair_total, pair_kinds = np.bincount(pair, n, len(pair_first)), np.bincount(pair, minlength=len(pair_first))
+        pair_total, pair_kinds = np.bincount(pair, n, len(pair_first)), np.bincount(pair, n > 0, len(pair_first))
+        if given is not None:
+            of_pair, after_pair = of_pair[pair_first], after_pair[pair_first]
+            pair_total, pair_kinds = np.where(of_pair > 0, of_pair, pair_total), np.where(of_pair > 0, after_pair, pair_kinds)
+            own = np.flatnonzero(n > 0)
+            pair, i2, n, at = pair[own], i2[own], n[own], at[own]
         pair_spare = discount * pair_kinds / pair_total
         p3 = (n - discount) / pair_total[pair] + pair_spare[pair] * p2[at]
         begin = np.searchsorted(parent, np.arange(len(ids)))

@@ -6,12 +6,15 @@ to one. N-grams are not pruned: the tries grow with the corpus.
 
 1. Texts become batches of word codes, written once. A batch gives its distinct words; their counts
    over the training documents of all batches and a number for each word come back to the batches
-   that hold them. No vocabulary is ever in one place.
+   that hold them, and so do the counts of word pairs whose first word is frequent. A word of more than ``HOT``
+   occurrences is that frequent in some batch, which tells which words to count after. Of pairs more frequent
+   than ``HOT`` the counts of what follows come back in the same way. No vocabulary is ever in one place; the
+   frequent words and pairs, one in a million tokens or so, are known to all tasks.
 2. Each batch sends its triples (two words of history, next word), once for each document that holds
    them, packed in one block per shard. The shard is that of the middle word, so all that a history
    needs is together. A middle word more frequent than ``HOT`` is split by the word before it,
-   and where that is as frequent too, by document; each part is a history of its own with
-   about ``HOT`` occurrences to learn from. So no word or pair of words fills a shard.
+   and where the pair is as frequent too, by document; the parts take their counts from step 1, which are those of
+   the whole corpus. So no word or pair of words fills a shard, and none is learnt from a part of the texts.
 3. For each shard the trie of its training triples is built in one memory map (see ``elias_fano``),
    and all triples of its blocks are looked up. A task goes through a lot of shards, one trie at a time;
    what goes on is one sum per document and lot. Batches, shards and lots hold a set amount of
@@ -28,6 +31,7 @@ from __future__ import annotations
 
 import mmap
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +50,7 @@ SHARD_TOKENS = 1_200_000
 #: Tokens of the shards that one task goes through, one after the other; and how many such lots there are at least.
 LOT_TOKENS = 16_000_000
 LOTS = 24
-#: Training occurrences of a word beyond which its histories are split.
+#: Training occurrences of a word or pair beyond which its histories are split.
 HOT = 1_000_000
 DISCOUNT = 0.75
 BEGIN, END = 0, 1
@@ -143,48 +147,149 @@ def _batches(limit: int):
     return run
 
 
-def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row per batch and word: its code and training count; the end is the empty word."""
-    for b in batches:
-        for batch, packed, size, counts in zip(*(b.column(c).to_pylist() for c in ("batch", "words", "words_size", "counts")), strict=True):
-            raw = pa.decompress(packed, size, codec="zstd", asbytes=True)
-            words = [b"", *(raw.split(b" ") if size else [])]
-            n = _unzip(counts)[1:]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(words, pa.binary()).cast(pa.string()), pa.array(np.full(len(words), batch)), pa.array(np.arange(1, len(words) + 1, dtype=np.int32)), pa.array(n)],
-                names=["word", "batch", "code", "n"],
-            )
+def _listed(packed: bytes, size: int) -> list[bytes]:
+    """The words of a batch by code from 1 on; the end is the empty word."""
+    raw = pa.decompress(packed, size, codec="zstd", asbytes=True)
+    return [b"", *(raw.split(b" ") if size else [])]
 
 
-def _numbered(parts: int):
-    """Rows sorted by word: each word gets a number and its count over all batches; a packed row per batch goes back."""
+def _frequent(n_tokens: int, limit: int):
+    """Words that are as frequent in a batch as ``limit`` occurrences are in the corpus: all that occur more often are among them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for packed, size, counts in zip(*(b.column(c).to_pylist() for c in ("words", "words_size", "counts")), strict=True):
+                n = _unzip(counts)[1:]
+                words = _listed(packed, size)
+                most = np.flatnonzero(n > n.sum() * (limit / n_tokens) * (1 - 1e-9))
+                yield pa.RecordBatch.from_arrays([pa.array([words[k] for k in most], pa.binary()).cast(pa.string())], names=["word"])
+
+    return run
+
+
+def _before(codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The code before each."""
+    out = np.concatenate([[BEGIN], codes[:-1]])
+    out[starts] = BEGIN
+    return out
+
+
+def _after(codes: np.ndarray, n: np.ndarray, held: np.ndarray, place: np.ndarray, size: int, pairs: np.ndarray | None) -> tuple[np.ndarray, ...]:
+    """The distinct (word code, history) of a batch, sorted, with their times in training, and for each token its
+    number among them or -1. Histories are the places below ``size`` that codes have, or ``pairs`` of these (a * size + b)."""
+    starts = np.cumsum(n) - n
+    w2 = _before(codes, starts)
+    history = place[w2]
+    if pairs is not None:
+        w1 = _before(w2, starts)
+        both = np.where((history >= 0) & (place[w1] >= 0), place[w1] * size + history, -1)
+        at = np.minimum(np.searchsorted(pairs, both), len(pairs) - 1)
+        history, size = np.where(pairs[at] == both, at, -1), len(pairs)
+        del w1, both, at
+    del w2
+    own = np.flatnonzero(history >= 0)
+    keys, which = np.unique(codes[own] * size + history[own], return_inverse=True)
+    times = np.bincount(which, np.repeat(~held, n)[own], len(keys)).astype(np.int64)
+    token = np.full(len(codes), -1, dtype=np.int32)
+    token[own] = which
+    return keys // size, keys % size, times, token
+
+
+#: An entry of ``after`` is a history and a count below this.
+_COUNT = 1 << 40
+
+
+def _words(hot: list[str], pairs: np.ndarray | None = None):
+    """A row per batch and word: its code, training count and counts after ``hot`` words, or after ``pairs`` of these
+    (then only for words that have such counts)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = pa.array(hot, pa.string())
+        for b in batches:
+            columns = [c for c in ("batch", "words", "words_size", "counts", "held", "n", "codes") if c in b.schema.names]
+            for batch, packed, size, counts, *tokens in zip(*(b.column(c).to_pylist() for c in columns), strict=True):
+                words = pa.array(_listed(packed, size), pa.binary()).cast(pa.string())
+                n, codes, offsets, after = _unzip(counts)[1:], np.arange(1, len(words) + 1, dtype=np.int32), np.zeros(len(words) + 1, dtype=np.int32), np.zeros(0, dtype=np.int64)
+                if hot:
+                    place = _places(pc.index_in(words, known).fill_null(-1).to_numpy(zero_copy_only=False))
+                    held, lengths, text = np.array(tokens[0], dtype=bool), _unzip(tokens[1]), _unzip(tokens[2])
+                    code, history, times, _ = _after(text, lengths, held, place, len(hot), pairs)
+                    offsets, after = np.searchsorted(code, np.arange(1, len(words) + 2)).astype(np.int32), history * _COUNT + times
+                    if pairs is not None:
+                        some = np.flatnonzero(np.diff(offsets))
+                        words, n, codes, offsets = words.take(pa.array(some)), n[some], codes[some], np.append(offsets[some], len(after)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [words, pa.array(np.full(len(words), batch)), pa.array(codes), pa.array(n), pa.ListArray.from_arrays(pa.array(offsets), pa.array(after))],
+                    names=["word", "batch", "code", "n", "after"],
+                )
+
+    return run
+
+
+def _places(of_words: np.ndarray) -> np.ndarray:
+    """Places by code, of those from 1 on; where a history begins stands for the end, which is as frequent."""
+    return np.concatenate([of_words[:1], of_words]).astype(np.int64)
+
+
+def _numbered(parts: int, hot: list[str], size: int, limit: int):
+    """Rows sorted by word: each word gets a number and its count over all batches, also after each of ``size`` histories;
+    a packed row per batch goes back. ``hot`` words come with their ids, histories with how many words follow, and
+    those of more than ``limit`` occurrences together with a hot word as pairs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, n_words, last = TaskContext.get().partitionId(), 0, None
         if part >= parts:
             raise ValueError(f"{parts} shuffle partitions were announced, this is number {part}")
+        known = pa.array(hot, pa.string())
         rows: list[list[np.ndarray]] = []
         for b in batches:
             if not b.num_rows:
                 continue
             word = b.column("word")
             new = np.concatenate([[word[0].as_py() != last], pc.not_equal(word.slice(1), word.slice(0, b.num_rows - 1)).to_numpy(zero_copy_only=False)])
-            rows.append([n_words - 1 + np.cumsum(new), *(b.column(c).to_numpy() for c in ("batch", "code", "n"))])
+            after = b.column("after")
+            rows.append([
+                n_words - 1 + np.cumsum(new), *(b.column(c).to_numpy() for c in ("batch", "code", "n")), np.diff(after.offsets.to_numpy()),
+                after.flatten().to_numpy(), pc.index_in(word, known).fill_null(-1).to_numpy(zero_copy_only=False),
+            ])
             n_words, last = n_words + int(new.sum()), word[b.num_rows - 1].as_py()
         if not rows:
             return
-        place, batch, code, n = (np.concatenate(c) for c in zip(*rows, strict=True))
+        place, batch, code, n, times, after, known_as = (np.concatenate(c) for c in zip(*rows, strict=True))
+        del rows
         count = np.bincount(place, n, n_words).astype(np.int64)
+        which = np.flatnonzero(known_as >= 0)
+        which = which[firsts(place[which])]
+        words = [[int(k), 2 + int(p) * parts + part, int(count[p])] for k, p in zip(known_as[which], place[which], strict=True)]
+        # Counts after histories.
+        kinds, pairs, of_batch = np.zeros(size, dtype=np.int64), [], np.repeat(batch, times)
+        if size:
+            keys, entry = np.unique(np.repeat(place, times) * size + after // _COUNT, return_inverse=True)
+            total = np.bincount(entry, after % _COUNT, len(keys)).astype(np.int64)
+            kinds = np.bincount(keys[total > 0] % size, minlength=size)
+            hot_place = np.full(n_words, -1)
+            hot_place[place[which]] = known_as[which]
+            much = np.flatnonzero(total > limit)
+            pairs = [[int(keys[k] % size), int(hot_place[keys[k] // size]), int(total[k])] for k in much]
+            by = np.argsort(of_batch, kind="stable")
+            after, of_batch = total[entry[by]], of_batch[by]
+            del keys, entry
         by = np.argsort(batch, kind="stable")
         place, batch, code = place[by], batch[by], code[by]
         cuts = firsts(batch)
         ends = np.append(cuts[1:], len(batch))
-        packed = [_bundle([np.diff(place[a:e], prepend=0), code[a:e], *_halves(count[place[a:e]])]) for a, e in zip(cuts, ends, strict=True)]
+        own = np.searchsorted(of_batch, batch[cuts]), np.searchsorted(of_batch, batch[cuts], side="right")
+        packed = [_bundle([np.diff(place[a:e], prepend=0), code[a:e], *_halves(count[place[a:e]]), after[x:y]]) for a, e, x, y in zip(cuts, ends, *own, strict=True)]
         none = [0] * (len(cuts) - 1)
+        nil = [[]] * (len(cuts) - 1)
+        long, longs = pa.list_(pa.int64()), pa.list_(pa.list_(pa.int64()))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(batch[cuts]), pa.array(np.full(len(cuts), part)), pa.array(packed, pa.binary()), pa.array([int(count.sum()), *none]), pa.array([int((count > 0).sum()), *none])],
-            names=["batch", "part", "words", "n_train", "distinct"],
-        )
+            [
+                pa.array(batch[cuts]), pa.array(np.full(len(cuts), part)), pa.array(packed, pa.binary()), pa.array([int(count.sum()), *none]), pa.array([int((count > 0).sum()), *none]),
+                pa.array([words, *nil], longs), pa.array([kinds.tolist(), *nil], long), pa.array([pairs, *nil], longs),
+            ],
+            names=["batch", "part", "words", "n_train", "distinct", "hot", "kinds", "pairs"],
+        )
 
     return run
 
@@ -209,7 +314,7 @@ def _answered(answers: pa.Table, parts: int) -> tuple[np.ndarray, np.ndarray]:
     """Number and training count of each word code of a batch."""
     codes, ids, counts = [np.zeros(1, dtype=np.int64)], [np.zeros(1, dtype=np.int64)], [np.zeros(1, dtype=np.int64)]
     for part, packed in zip(answers.column("part").to_pylist(), answers.column("words").to_pylist(), strict=True):
-        gaps, code, low, high = _unbundle(packed)
+        gaps, code, low, high, _ = _unbundle(packed)
         codes.append(code)
         ids.append(2 + np.cumsum(gaps) * parts + part)
         counts.append(low | (high << 32))
@@ -219,6 +324,16 @@ def _answered(answers: pa.Table, parts: int) -> tuple[np.ndarray, np.ndarray]:
     return out
 
 
+def _counted(answers: pa.Table, code: np.ndarray, size: int) -> np.ndarray:
+    """Counts over all batches of a batch's (word code, history), sorted by ``code``, of ``size`` codes."""
+    out, start = np.zeros(len(code), dtype=np.int64), np.searchsorted(code, np.arange(size + 1))
+    for packed in answers.column("words").to_pylist():
+        _, some, _, _, counts = _unbundle(packed)
+        times = start[some + 1] - start[some]
+        out[np.repeat(start[some] - (np.cumsum(times) - times), times) + np.arange(times.sum())] = counts
+    return out
+
+
 # ------------------------------------------------------------------ 2. triples to shards
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -230,7 +345,7 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 def _shard_of(id1: np.ndarray, id2: np.ndarray, c1: np.ndarray, c2: np.ndarray, spread: np.ndarray, shards: int, limit: int = HOT) -> np.ndarray:
-    """Shard of each history: of the middle word ``id2``, and of its part where the word is hot."""
+    """Shard of each history: of the middle word ``id2``, and of its part where the word (``c2`` times) or the pair (``c1`` times) is hot."""
     part = np.zeros(len(id2), dtype=np.uint64)
     hot = np.flatnonzero(c2 > limit)
     if len(hot):
@@ -241,18 +356,31 @@ def _shard_of(id1: np.ndarray, id2: np.ndarray, c1: np.ndarray, c2: np.ndarray,
     return (_mixed(_mixed(id2) + part) % np.uint64(shards)).astype(np.int32)
 
 
-def _shards(ids: np.ndarray, counts: np.ndarray, w1: np.ndarray, w2: np.ndarray, spread: np.ndarray, doc: np.ndarray, shards: int, limit: int) -> np.ndarray:
-    """The same for tokens: one lookup a word where it isn't hot."""
+def _shards(ids: np.ndarray, counts: np.ndarray, w1: np.ndarray, w2: np.ndarray, both: np.ndarray | None, spread: np.ndarray, doc: np.ndarray, shards: int, limit: int) -> np.ndarray:
+    """The same for tokens: one lookup a word where it isn't hot. ``both`` are the occurrences of hot pairs, else 0."""
     none = np.zeros(len(ids), dtype=np.int64)
     out = _shard_of(none, ids, none, np.minimum(counts, limit), none, shards, limit)[w2]
     hot = np.flatnonzero((counts > limit)[w2])
     if len(hot):
         a, b = w1[hot], w2[hot]
-        out[hot] = _shard_of(ids[a], ids[b], counts[a], counts[b], spread[doc[hot]], shards, limit)
+        c1 = np.zeros(len(hot), dtype=np.int64) if both is None else both[hot]
+        out[hot] = _shard_of(ids[a], ids[b], c1, counts[b], spread[doc[hot]], shards, limit)
     return out
 
 
-def _route(n_train: int, distinct: int, parts: int, shards: int, lots: int, limit: int, names: list[str]):
+class _Hot(NamedTuple):
+    """Frequent words: their ids in order and the place of each; by place, how many words follow. Hot pairs of places
+    (a * words + b) in order: occurrences, and how many words follow."""
+
+    ids: np.ndarray
+    places: np.ndarray
+    kinds: np.ndarray
+    pairs: np.ndarray
+    pair_n: np.ndarray
+    pair_kinds: np.ndarray
+
+
+def _route(n_train: int, distinct: int, parts: int, shards: int, lots: int, limit: int, hot: _Hot, names: list[str]):
     def run(tokens: pa.Table, answers: pa.Table) -> pa.Table:
         rows: list[list] = []
         for t in tokens.to_batches():
@@ -269,7 +397,9 @@ def _route(n_train: int, distinct: int, parts: int, shards: int, lots: int, limi
         held = t.column("held").flatten().to_numpy(zero_copy_only=False)
         spread = t.column("spread").flatten().to_numpy()
         n, codes = _unzip(t.column("n")[0].as_py()), _unzip(t.column("codes")[0].as_py())
-        ids, counts = _answered(answers, parts)
+        level = answers.column("level").to_numpy()
+        words, pairs = answers.filter(pa.array(level == 1)), answers.filter(pa.array(level == 2))
+        ids, counts = _answered(words, parts)
         counts[BEGIN] = counts[END]
         doc = np.repeat(np.arange(len(n), dtype=np.int32), n)
         starts = np.cumsum(n) - n
@@ -277,6 +407,18 @@ def _route(n_train: int, distinct: int, parts: int, shards: int, lots: int, limi
         table = [t.column("ids")[0].as_py(), held.tolist(), n.tolist(), np.add.reduceat(counts[codes] > 0, starts, dtype=np.int64).tolist(), np.add.reduceat(base, starts).tolist()]
         yield [-1 - batch, 0, batch, None, *table]
         del base
+        # Counts of the corpus for the histories that are split.
+        kinds, two, three, both = np.zeros(len(ids), dtype=np.int64), None, None, None
+        if len(hot.ids):
+            at = np.minimum(np.searchsorted(hot.ids, ids[1:]), len(hot.ids) - 1)
+            place = _places(np.where(hot.ids[at] == ids[1:], hot.places[at], -1))
+            kinds = np.where((place >= 0) & (counts > limit), hot.kinds[place], 0)
+            code, _, _, two = _after(codes, n, held, place, len(hot.ids), None)
+            n_two = _counted(words, code, len(ids))
+        if len(hot.pairs):
+            code, pair, _, three = _after(codes, n, held, place, len(hot.ids), hot.pairs)
+            n_three = _counted(pairs, code, len(ids))
+            both = np.where(three >= 0, hot.pair_n[pair[three]], 0) if len(pair) else np.zeros(len(codes), dtype=np.int64)
         # From here on a word is its rank among the ids of the batch.
         by_id = np.argsort(ids, kind="stable")
         rank = np.empty(len(ids), dtype=np.int32)
@@ -287,7 +429,9 @@ def _route(n_train: int, distinct: int, parts: int, shards: int, lots: int, limi
         w2[starts] = begin
         w1 = np.concatenate([[begin], w2[:-1]]).astype(np.int32)
         w1[starts] = begin
-        shard = _shards(ids, counts, w1, w2, spread, doc, shards, limit)
+        kinds = kinds[by_id]
+        shard = _shards(ids, counts, w1, w2, both, spread, doc, shards, limit)
+        del both
         size = len(ids)
         key = w2.astype(np.int64) * size + w1
         if size**3 >= 1 << 63:
@@ -298,6 +442,7 @@ def _route(n_train: int, distinct: int, parts: int, shards: int, lots: int, limi
         del key
         by = by[np.argsort(shard[by].astype(np.uint16 if shards <= 1 << 16 else np.int32), kind="stable")]
         shard, w1, w2, w3, doc = shard[by], w1[by], w2[by], w3[by], doc[by]
+        two, three = (x if x is None else x[by] for x in (two, three))
         del by
         cuts = np.flatnonzero(np.diff(shard)) + 1
         mark = np.zeros(size, dtype=np.int64)
@@ -311,9 +456,17 @@ def _route(n_train: int, distinct: int, parts: int, shards: int, lots: int, limi
             own = np.flatnonzero(mark)
             mark[own] = np.arange(len(own))
             docs, d = np.unique(d, return_inverse=True)
+            nothing = np.zeros(len(first), dtype=np.int64)
+            given = [nothing] * 4
+            if two is not None:
+                at = two[a:e][each[first]]
+                given[0] = np.where((at >= 0) & (kinds[x2[first]] > 0), n_two[at], 0)
+            if three is not None and len(pair):
+                at = three[a:e][each[first]]
+                given[1:] = [np.where(at >= 0, x, 0) for x in (n_three[at], hot.pair_n[pair[at]], hot.pair_kinds[pair[at]])]
             x1, x2, x3 = mark[x1[first]], mark[x2[first]], mark[x3[first]]
             mark[own] = 0
-            arrays = [*_halves(np.diff(ids[own], prepend=0)), *_halves(counts[own]), np.diff(docs, prepend=0), held[docs], np.diff(x2, prepend=0), _gaps(x1, firsts(x2)), _gaps(x3, firsts(x2, x1)), np.diff(np.append(first, len(d))), _gaps(d, first), times]
+            arrays = [*_halves(np.diff(ids[own], prepend=0)), *_halves(counts[own]), np.diff(docs, prepend=0), held[docs], np.diff(x2, prepend=0), _gaps(x1, firsts(x2)), _gaps(x3, firsts(x2, x1)), np.diff(np.append(first, len(d))), _gaps(d, first), times, kinds[own], *given]
             yield [int(shard[a]) % lots, int(shard[a]), batch, _bundle(arrays), None, None, None, None, None]
 
     return run
@@ -323,8 +476,9 @@ def _route(n_train: int, distinct: int, parts: int, shards: int, lots: int, limi
 
 def _opened(block: bytes) -> tuple[np.ndarray, ...]:
     """Word ids and their training counts; triples as places among them; their training count; then per
-    triple and document: triple, document, times."""
-    gaps, gaps_high, counts, counts_high, docs, held, x2, x1, x3, n_docs, d, times = _unbundle(block)
+    triple and document: triple, document, times; then how many words follow each word and the counts
+    per triple that ``Trie.build`` is given."""
+    gaps, gaps_high, counts, counts_high, docs, held, x2, x1, x3, n_docs, d, times, *given = _unbundle(block)
     ids = np.cumsum(gaps | (gaps_high << 32))
     x2 = np.cumsum(x2)
     x1 = _ungapped(x1, firsts(x2))
@@ -332,21 +486,23 @@ def _opened(block: bytes) -> tuple[np.ndarray, ...]:
     triple = np.repeat(np.arange(len(x2)), n_docs)
     d = _ungapped(d, firsts(triple))
     n = np.bincount(triple, times * (1 - held[d]), len(x2)).astype(np.int64)
-    return ids, counts | (counts_high << 32), x1, x2, x3, n, triple, np.cumsum(docs)[d], times
+    return ids, counts | (counts_high << 32), x1, x2, x3, n, triple, np.cumsum(docs)[d], times, *given
 
 
 def _built(blocks: list[bytes], total: int) -> Trie:
     """The trie of the training triples of a shard's blocks."""
-    parts = []
+    parts, given = [], []
     for raw in blocks:
-        ids, counts, x1, x2, x3, n, *_ = _opened(raw)
-        seen = n > 0
-        parts.append((ids, counts, *(x[seen].astype(np.int32) for x in (x1, x2, x3, n))))
+        ids, counts, x1, x2, x3, n, _, _, _, kinds, two, three, of_pair, after_pair = _opened(raw)
+        seen = (n > 0) | (two > 0) | (of_pair > 0)
+        parts.append((ids, counts, kinds, *(x[seen].astype(np.int32) for x in (x1, x2, x3, n))))
+        given.append([x[seen] for x in (two, three, of_pair, after_pair)])
     ids, first = np.unique(np.concatenate([p[0] for p in parts]), return_index=True)
-    logs = np.log10((np.concatenate([p[1] for p in parts])[first] + 1) / total)
+    counts, kinds = (np.concatenate([p[k] for p in parts])[first] for k in (1, 2))
+    logs = np.log10((counts + 1) / total)
     place = [np.searchsorted(ids, p[0]).astype(np.int32) for p in parts]
-    i1, i2, i3 = (np.concatenate([at[p[k]] for at, p in zip(place, parts, strict=True)]) for k in (2, 3, 4))
-    n = np.concatenate([p[5] for p in parts])
+    i1, i2, i3 = (np.concatenate([at[p[k]] for at, p in zip(place, parts, strict=True)]) for k in (3, 4, 5))
+    n = np.concatenate([p[6] for p in parts])
     del parts, place
     size = len(ids)
     if size**3 < 1 << 63:
@@ -360,9 +516,13 @@ def _built(blocks: list[bytes], total: int) -> Trie:
     else:
         by = np.lexsort((i3, i1, i2))
     i1, i2, i3, n = i1[by], i2[by], i3[by], n[by]
-    del by
     one = firsts(i2, i1, i3)
-    return Trie.build(ids, i1[one], i2[one], i3[one], totals(n, one), logs, DISCOUNT)
+    whole = None
+    if kinds.any():
+        own = by[one]
+        whole = (counts, kinds, *(np.concatenate(g)[own] for g in zip(*given, strict=True)))
+    del by, given
+    return Trie.build(ids, i1[one], i2[one], i3[one], totals(n, one), logs, DISCOUNT, whole)
 
 
 def _mapped(trie: Trie) -> Trie:
@@ -392,7 +552,7 @@ def _score(n_train: int, distinct: int, schema: list[str]):
         for blocks in shards.values():
             trie = _mapped(_built([raw.as_py() for _, raw in blocks], total))
             for batch, raw in blocks:
-                ids, counts, x1, x2, x3, _, triple, doc, times = _opened(raw.as_py())
+                ids, counts, x1, x2, x3, _, triple, doc, times, *_ = _opened(raw.as_py())
                 logs = trie.log10(ids, x1, x2, x3, np.log10((counts + 1) / total))
                 own = np.bincount(doc, logs[triple] * times)
                 before = sums.get(batch, np.zeros(0))
@@ -427,18 +587,48 @@ def scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col:
     lots = max(LOTS, -(-n_tokens // LOT_TOKENS))
     shards = lots * max(1, -(-n_tokens // (SHARD_TOKENS * lots)))
 
-    words = tokens.select("batch", "words", "words_size", "counts").mapInArrow(_words, "word string, batch long, code int, n long")
     conf = docs.sparkSession.conf
     parts = max(int(conf.get(f"spark.sql.{k}", None) or 1) for k in ("shuffle.partitions", "adaptive.coalescePartitions.initialPartitionNum"))
-    numbered = words.repartition("word").sortWithinPartitions("word").mapInArrow(_numbered(parts), "batch long, part long, words binary, n_train long, distinct long")
-    answers = staged(numbered, "lm-words")
+    listed, whole_text = ["batch", "words", "words_size", "counts"], ["held", "n", "codes"]
+
+    def counted(name: str, columns: list[str], hot: list[str], size: int, pairs: np.ndarray | None) -> DataFrame:
+        words = tokens.select(*columns).mapInArrow(_words(hot, pairs), "word string, batch long, code int, n long, after array<long>")
+        out = "batch long, part long, words binary, n_train long, distinct long, hot array<array<long>>, kinds array<long>, pairs array<array<long>>"
+        return staged(words.repartition("word").sortWithinPartitions("word").mapInArrow(_numbered(parts, hot, size, HOT), out), name)
+
+    def followers(answers: DataFrame, size: int) -> np.ndarray:
+        out = np.zeros(size, dtype=np.int64)
+        for r in answers.select(F.posexplode("kinds")).groupBy("pos").agg(F.sum("col").alias("n")).collect():
+            out[r["pos"]] = r["n"]
+        return out
+
+    # At most a word in HOT tokens, and a pair in as many, come to the driver, beside words that only some batches hold often.
+    hot = []
+    if n_tokens > HOT:
+        hot = sorted(r[0] for r in tokens.select("words", "words_size", "counts").mapInArrow(_frequent(n_tokens, HOT), "word string").distinct().collect())
+    answers = counted("lm-words", [*listed, *(whole_text if hot else [])], hot, len(hot), None)
     seen = answers.agg(F.sum("n_train").alias("n"), F.sum("distinct").alias("v")).first()
     n_train, distinct = seen["n"] or 0, seen["v"] or 0
+    none = np.zeros(0, dtype=np.int64)
+    known = _Hot(none, none, none, none, none, none)
+    back = answers.select("batch", "part", "words", F.lit(1).alias("level"))
+    if hot:
+        places, ids, counts = np.array([r[0] for r in answers.select(F.explode("hot")).collect()]).T
+        by = np.argsort(ids)
+        known = known._replace(ids=ids[by], places=places[by], kinds=followers(answers, len(hot)))
+        pairs = {(a * len(hot) + b): n for (a, b, n) in (r[0] for r in answers.select(F.explode("pairs")).collect())}
+        if hot[0] == "" and counts[places == 0][0] > HOT:  # a history that begins each text
+            pairs[0] = int(counts[places == 0][0])
+        if pairs:
+            keys = np.array(sorted(pairs), dtype=np.int64)
+            triples = counted("lm-pairs", [*listed, *whole_text], hot, len(keys), keys)
+            known = known._replace(pairs=keys, pair_n=np.array([pairs[k] for k in keys.tolist()], dtype=np.int64), pair_kinds=followers(triples, len(keys)))
+            back = back.unionByName(triples.select("batch", "part", "words", F.lit(2).alias("level")))
 
     block = f"lot long, shard long, batch long, block binary, ids array<{kind}>, held array<boolean>, n array<long>, known array<long>, base array<double>"
     names = ["lot", "shard", "batch", "block", "ids", "held", "n", "known", "base"]
     wanted = tokens.select("batch", "ids", "held", "spread", "n", "codes")
-    routed = wanted.groupBy("batch").cogroup(answers.select("batch", "part", "words").groupBy("batch")).applyInArrow(_route(n_train, distinct, parts, shards, lots, HOT, names), block)
+    routed = wanted.groupBy("batch").cogroup(back.groupBy("batch")).applyInArrow(_route(n_train, distinct, parts, shards, lots, HOT, known, names), block)
     out = ["batch", "doc", "score", "doc_id", "held_out", "n_tokens", "n_known", "base_score"]
     summed = routed.groupBy("lot").applyInArrow(
         _score(n_train, distinct, out),

@@ -174,3 +174,18 @@ def test_trie_from_a_mapped_file(tmp_path):
     shuffled = rng.permutation(len(q))
     again = mapped.log10(asked, *(q[shuffled, k] for k in range(3)), args[-1])
     assert np.array_equal(again, trie.log10(*args)[shuffled])
+
+
+@pytest.mark.parametrize("limit", [3, 20, 200])
+def test_split_histories_learn_from_the_whole_corpus(spark, monkeypatch, limit):
+    """Words, pairs and beginnings of texts that are spread over shards score as if they were together."""
+    rng = np.random.default_rng(limit)
+    words = np.array(["the", "of", "a", "Of", "cat", "é", *(f"w{k}" for k in range(40))])
+    rows = [(k, " ".join(words[(rng.random(int(rng.integers(0, 60))) ** 3 * len(words)).astype(int)])) for k in range(400)]
+    docs = spark.createDataFrame([*rows, (400, None), (400, "of the of the"), (None, "of the")], "doc_id long, text string").repartition(3)
+    want = plain([(r["doc_id"], r["text"]) for r in docs.collect()])
+    monkeypatch.setattr(lm, "HOT", limit)
+    monkeypatch.setattr(lm, "BATCH_BYTES", 10_000)
+    monkeypatch.setattr(lm, "SHARD_TOKENS", 500)
+    monkeypatch.setattr(lm, "LOTS", 3)
+    same(whole(lm.scores(docs, out())), want)
