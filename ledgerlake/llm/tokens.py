@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import os
 from collections.abc import Iterator
+from itertools import accumulate, chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -74,8 +75,10 @@ class WordEncoder:
         self.cached = 0
 
     def _library(self, texts: list[str]) -> list[bytes]:
-        out = self.whole.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.asarray(e.ids, dtype=self.dtype).tobytes() for e in out]
+        ids = [e.ids for e in self.whole.encode_batch_fast(texts, add_special_tokens=False)]
+        ends = [0, *accumulate(len(i) * self.dtype.itemsize for i in ids)]
+        raw = np.fromiter(chain.from_iterable(ids), self.dtype, ends[-1] // self.dtype.itemsize).tobytes()
+        return [raw[a:e] for a, e in pairwise(ends)]
 
     def _learn(self, words: list[bytes], into: dict[bytes, bytes]) -> None:
         plain, other, parts = [], [], []
@@ -153,14 +156,11 @@ class WordEncoder:
             lowered = pc.if_else(pa.array(odd), "", lowered)
         words = pc.ascii_split_whitespace(lowered)
         coded = words.flatten().dictionary_encode()
-        store, sizes = self._joined(self._ids_of(coded.dictionary.cast(pa.binary()).to_pylist()))
-        codes = coded.indices.to_numpy()
-        n = sizes[codes]
-        ends = np.concatenate([[0], np.cumsum(n)])
-        narrow = np.int32 if max(len(store), int(ends[-1])) < 1 << 31 else np.int64
-        place = np.repeat(((np.cumsum(sizes) - sizes)[codes] - ends[:-1]).astype(narrow), n)
-        place += np.arange(ends[-1], dtype=narrow)
-        ids = store[place]
+        # Arrow copies each word's ids, as bytes, to its places.
+        taken = pa.array(self._ids_of(coded.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()), pa.large_binary()).take(coded.indices)
+        _, ends, data = taken.buffers()
+        ends = np.frombuffer(ends, np.int64, len(taken) + 1, 8 * taken.offset) // self.dtype.itemsize if len(taken) else np.zeros(1, dtype=np.int64)
+        ids = np.frombuffer(data, self.dtype, int(ends[-1])).copy() if ends[-1] else np.zeros(0, dtype=self.dtype)
         bounds = ends[words.offsets.to_numpy() - words.offsets[0].as_py()]
         counts = np.diff(bounds)
         if odd.any():
