@@ -60,7 +60,7 @@ class EliasFano:
 
     def __init__(self, n: int, low_bits: int, lows: np.ndarray, highs: np.ndarray, ones: np.ndarray) -> None:
         self.n, self.low_bits, self.lows, self.highs, self.ones = n, low_bits, lows, highs, ones
-        self.zeros = 64 * np.arange(len(ones)) - ones
+        self._runs: np.ndarray | None = None
 
     @classmethod
     def of(cls, values: np.ndarray) -> "EliasFano":
@@ -84,12 +84,21 @@ class EliasFano:
         (n, low_bits), lows, highs, ones = parts
         return cls(int(n), int(low_bits), lows, highs, ones.astype(np.int64))
 
-    def _select(self, k: np.ndarray, one: bool) -> np.ndarray:
-        """Position of the k-th (from 0) one or zero among the high bits."""
-        before = self.ones if one else self.zeros
-        at = np.searchsorted(before, k, side="right") - 1
-        word = self.highs[at] if one else ~self.highs[at]
-        return at * 64 + _select_in_word(word, k - before[at])
+    def _select(self, k: np.ndarray) -> np.ndarray:
+        """Position of the k-th (from 0) one among the high bits."""
+        at = np.searchsorted(self.ones, k, side="right") - 1
+        return at * 64 + _select_in_word(self.highs[at], k - self.ones[at])
+
+    def runs(self) -> np.ndarray:
+        """For each number of high bits, up to one beyond the last, the first entry that has as many or more: four bytes
+        each, about as many as entries. One pass over the high bits finds them for all searches in this list."""
+        if self._runs is None:
+            bits = np.unpackbits(np.ascontiguousarray(self.highs).view(np.uint8), bitorder="little")
+            zeros = np.flatnonzero(bits == 0)
+            # As many zeros as its high bits are before the last entry, and one behind it.
+            zeros = zeros[: np.searchsorted(zeros, self._select(np.array([self.n - 1]))[0]) + 1] if self.n else zeros[:1]
+            self._runs = np.concatenate([[0], zeros - np.arange(len(zeros))]).astype(np.int32 if self.n < 1 << 31 else np.int64)
+        return self._runs
 
     def _low(self, at: np.ndarray) -> np.ndarray:
         if not self.low_bits:
@@ -102,33 +111,33 @@ class EliasFano:
 
     def __getitem__(self, at: np.ndarray) -> np.ndarray:
         at = np.asarray(at, dtype=np.int64)
-        return ((self._select(at, one=True) - at) << self.low_bits) | self._low(at)
+        return ((self._select(at) - at) << self.low_bits) | self._low(at)
 
     def find(self, values: np.ndarray) -> np.ndarray:
         """Position of the first entry equal to each value, -1 where there is none."""
         values = np.asarray(values, dtype=np.int64)
         if not self.n or not len(values):
             return np.full(len(values), -1)
-        high, low = values >> self.low_bits, values & ((1 << self.low_bits) - 1)
-        most = int(self[np.array([self.n - 1])][0]) >> self.low_bits
-        known = (values >= 0) & (high <= most)
+        runs = self.runs()
+        high = values >> self.low_bits
         out = np.full(len(values), -1)
-        asked = np.flatnonzero(known)
-        high, low = high[asked], low[asked]
-        # Entries with these high bits are the ones behind the zero before; among them the low bits increase.
-        place = np.where(high > 0, self._select(np.maximum(high - 1, 0), one=False) + 1, 0)
+        asked = np.flatnonzero((values >= 0) & (high < len(runs) - 1))
+        high = high[asked]
+        a, end = runs[high].astype(np.int64), runs[high + 1].astype(np.int64)
+        low = values[asked] & ((1 << self.low_bits) - 1)
+        # Entries with these high bits are those from a to end; among them the low bits increase.
         for _ in range(_STEPS):  # such runs are short
-            one = (self.highs[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1) == 1
-            at = place - high
-            here = self._low(at)
-            hit = one & (here == low)
-            out[asked[hit]] = at[hit]
-            on = one & (here < low)
-            asked, high, low, place = asked[on], high[on], low[on], place[on] + 1
+            on = a < end
+            if not on.all():
+                asked, low, a, end = asked[on], low[on], a[on], end[on]
+            here = self._low(a)
+            hit = here == low
+            out[asked[hit]] = a[hit]
+            on = here < low
+            asked, low, a, end = asked[on], low[on], a[on] + 1, end[on]
             if not len(asked):
                 return out
-        a, b = place - high, self._select(high, one=False) - high
-        end = b
+        b = end
         for _ in range(int((b - a).max()).bit_length()):
             middle = (a + b) >> 1
             less = (a < b) & (self._low(np.minimum(middle, self.n - 1)) < low)
@@ -198,7 +207,7 @@ class Trie:
 
     @classmethod
     def open(cls, buffer) -> "Trie":
-        """The trie over a buffer's bytes, nothing copied but the running counts."""
+        """The trie over a buffer's bytes, nothing copied but the running counts; a search adds where runs begin."""
         (n,), at, parts = struct.unpack_from("<q", buffer, 0), 8, []
         for _ in range(n):
             kind, size = struct.unpack_from("<qq", buffer, at)

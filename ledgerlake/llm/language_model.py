@@ -386,6 +386,7 @@ def _route(n_train: int, distinct: int, parts: int, shards: int, lots: int, limi
         for t in tokens.to_batches():
             for k in range(t.num_rows):
                 rows += block(t.slice(k, 1), answers)
+                pa.default_memory_pool().release_unused()  # workers are kept for the stages to come
         return pa.Table.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*rows, strict=True), kinds(tokens), strict=True)], names=names)
 
     def kinds(tokens: pa.Table) -> list[pa.DataType]:
@@ -424,6 +425,7 @@ def _route(n_train: int, distinct: int, parts: int, shards: int, lots: int, limi
         rank = np.empty(len(ids), dtype=np.int32)
         rank[by_id] = np.arange(len(ids), dtype=np.int32)
         ids, counts, w3 = ids[by_id], counts[by_id], rank[codes]
+        del codes, by_id
         begin = rank[BEGIN]
         w2 = np.concatenate([[begin], w3[:-1]]).astype(np.int32)
         w2[starts] = begin
@@ -441,8 +443,14 @@ def _route(n_train: int, distinct: int, parts: int, shards: int, lots: int, limi
         by = np.argsort(key, kind="stable").astype(np.int32)
         del key
         by = by[np.argsort(shard[by].astype(np.uint16 if shards <= 1 << 16 else np.int32), kind="stable")]
-        shard, w1, w2, w3, doc = shard[by], w1[by], w2[by], w3[by], doc[by]
-        two, three = (x if x is None else x[by] for x in (two, three))
+        # One after the other, so that each array goes when its order is there.
+        shard = shard[by]
+        w1 = w1[by]
+        w2 = w2[by]
+        w3 = w3[by]
+        doc = doc[by]
+        two = two if two is None else two[by]
+        three = three if three is None else three[by]
         del by
         cuts = np.flatnonzero(np.diff(shard)) + 1
         mark = np.zeros(size, dtype=np.int64)

@@ -142,6 +142,17 @@ def test_elias_fano(n, top):
         assert size <= 2 + max(0, math.log2(max(top / n, 1))) + 3
 
 
+def test_runs_of_equal_high_bits():
+    """Searches know where each run begins and ends, also of long, missing and last ones."""
+    values = np.sort(np.concatenate([np.arange(300), [5] * 40, [2000, 2001, 9999]]))
+    coded = EliasFano.of(values)
+    highs = np.arange((9999 >> coded.low_bits) + 2)
+    assert coded.low_bits > 2
+    assert coded.runs().tolist() == np.searchsorted(values >> coded.low_bits, highs).tolist()
+    assert coded.find(np.array([5, 299, 300, 1999, 2001, 9998, 9999, 10**12, -1])).tolist() == [5, 339, -1, -1, 341, -1, 342, -1, -1]
+    assert EliasFano.of(np.zeros(0)).find(np.array([0, 1, -1])).tolist() == [-1, -1, -1]
+
+
 def test_levels():
     rng = np.random.default_rng(4)
     pairs = np.unique(np.stack([rng.integers(0, 50, 400), rng.integers(0, 30, 400)], axis=1), axis=0)
