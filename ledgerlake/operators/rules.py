@@ -36,10 +36,14 @@ class Rule:
 
 
 def normalize_strings(dataframe: DataFrame) -> DataFrame:
-    """Trim/upper the type, trim account identifiers."""
+    """Trim/upper the type, trim account identifiers.
+
+    Nearly all types are written as they should be; only the others go through Unicode case mapping.
+    """
+    written = F.trim("transaction_type")
     return dataframe.withColumns(
         {
-            "transaction_type": F.upper(F.trim("transaction_type")),
+            "transaction_type": F.when(written.isin(*VALID_TRANSACTION_TYPES), written).otherwise(F.upper(written)),
             "origin_account": F.trim("origin_account"),
             "destination_account": F.trim("destination_account"),
         }
