@@ -51,7 +51,8 @@ def fraud_feature(silver: DataFrame, method: str = "auto", origin_counts: DataFr
     row counts decide which accounts are hot without another pass over Silver.
     """
     needed = [c for c in STRICT_FEATURE_COLUMNS if not c.startswith("prior_")]
-    base = silver.select(*needed, record_hash(BRONZE_REQUIRED_COLUMNS).alias("_record_hash"))
+    # The hash's bytes sort as its hex digits do, and are half as many to shuffle and to sort.
+    base = silver.select(*needed, F.unhex(record_hash(BRONZE_REQUIRED_COLUMNS)).alias("_record_hash"))
     key_counts = None
     if origin_counts is not None:
         key_counts = origin_counts.select("origin_account", F.col("origin_transaction_count").alias("_key_rows"))

@@ -75,16 +75,21 @@ def transaction_indicators(dataframe: DataFrame, high_value_threshold: float = H
     )
 
 
-def silver_transactions(bronze: DataFrame, high_value_threshold: float = HIGH_VALUE_THRESHOLD) -> DataFrame:
-    """Strict Silver (24 columns): filter -> time -> balances -> indicators."""
+def silver_features(valid: DataFrame, high_value_threshold: float = HIGH_VALUE_THRESHOLD) -> DataFrame:
+    """Time, balances and indicators of rows that passed the filter (24 columns)."""
     return (
-        select_valid(bronze)
+        valid
         .transform(time_features)
         .transform(balance_features)
         .transform(transaction_indicators, high_value_threshold)
     )
 
 
+def silver_transactions(bronze: DataFrame, high_value_threshold: float = HIGH_VALUE_THRESHOLD) -> DataFrame:
+    """Strict Silver (24 columns): filter -> time -> balances -> indicators."""
+    return silver_features(select_valid(bronze), high_value_threshold)
+
+
 def without_timestamps(dataframe: DataFrame) -> DataFrame:
     """Drop wall-clock lineage columns (for deterministic comparisons)."""
     drop = [c for c in dataframe.columns if c in ("bronze_ingestion_timestamp", "_ingestion_timestamp", "_ingestion_date")]

@@ -43,6 +43,7 @@ from ledgerlake.sources.sinks import (
     append_records,
     export_csv_file,
     files_per_value,
+    spread,
     write_csv,
     write_many,
     write_parquet,
@@ -163,10 +164,18 @@ def bronze_stage(spark: SparkSession, source: DataFrame | str, sink: str, params
     return _ingest(open_source(spark, source, params), sink, f"{sink}/bronze", params, bronze, log)
 
 
+def dealt_silver(bronze: DataFrame, files: dict | None, threshold: float) -> DataFrame:
+    """Strict Silver, dealt by day where ``files`` are planned: the valid Bronze rows move, their features are made behind."""
+    valid = S.select_valid(bronze)
+    if files is not None:
+        valid = spread(valid.withColumn("transaction_day", day_from_step("step")), "transaction_day", files)
+    return S.silver_features(valid, threshold)
+
+
 def silver_stage(spark: SparkSession, bronze: DataFrame, sink: str, params: RunParams, log: RunLog | None = None) -> DataFrame:
     """Strict Silver from Bronze, written partitioned by day; totals and contents observed on the write."""
     log = RunLog() if log is None else log
-    silver = S.silver_transactions(bronze, params.high_value_threshold)
+    silver = dealt_silver(bronze, files_per_value(bronze, day_from_step("step")), params.high_value_threshold)
     fraud = silver["is_fraud"] == 1
     measures = {
         "silver_rows": F.count(F.lit(1)),
@@ -175,8 +184,7 @@ def silver_stage(spark: SparkSession, bronze: DataFrame, sink: str, params: RunP
         "unsummable_rows": F.count_if(F.col("amount").isNotNull() & exact_amount().isNull()),
         "silver_fraud_content": RC.content_where(fraud, M.FRAUD_MONITORING_COLUMNS),
     }
-    files = files_per_value(bronze, day_from_step("step"))
-    log.add("silver_transactions", write_parquet(silver, f"{sink}/silver", partition_columns=["transaction_day"], files=files, measures=measures))
+    log.add("silver_transactions", write_parquet(silver, f"{sink}/silver", partition_columns=["transaction_day"], measures=measures))
     return reread(silver, f"{sink}/silver")
 
 
@@ -188,23 +196,25 @@ def mart_measures(names) -> dict:
 def write_gold(spark: SparkSession, silver: DataFrame, sink: str, rsd: float = DEFAULT_RSD, log: RunLog | None = None) -> dict[str, DataFrame]:
     """Write all nine strict marts; returns them read back from the sink.
 
-    The five calendar marts come from one written rollup. The feature table goes last: its hot-account
-    decision reuses the written origin-account summary (rows per account) instead of another pass
-    over Silver.
+    The passes over Silver run as concurrent jobs, then the rest: the five calendar marts come from
+    one written rollup, and the feature table's hot-account decision reuses the written
+    origin-account summary (rows per account) instead of another pass over Silver.
     """
     log = RunLog() if log is None else log
-    rollup_path = f"{sink}/gold/_calendar_rollup"
-    rollup = M.calendar_rollup(silver, rsd)
-    write_parquet(rollup, rollup_path)
+    base = f"{sink}/gold"
     gold = M.build_gold_tables(silver, rsd, include_features=False)
-    gold.update(M.calendar_marts(reread(rollup, rollup_path)))
-    for name, written in write_many(gold, f"{sink}/gold", measures=mart_measures(gold)).items():
-        log.add(name, written)
-    tables = {name: reread(df, f"{sink}/gold/{name}") for name, df in gold.items()}
-    features = FE.fraud_feature(silver, origin_counts=tables["origin_account_summary"])
-    log.add("fraud_feature", write_parquet(features, f"{sink}/gold/fraud_feature", measures=mart_measures(["fraud_feature"])["fraud_feature"]))
-    tables["fraud_feature"] = reread(features, f"{sink}/gold/fraud_feature")
-    return tables
+    first = {"_calendar_rollup": M.calendar_rollup(silver, rsd)}
+    first |= {n: gold[n] for n in ("origin_account_summary", "destination_account_summary", "fraud_monitoring")}
+    done = write_many(first, base, measures=mart_measures([n for n in first if n in gold]))
+    gold.update(M.calendar_marts(reread(first["_calendar_rollup"], f"{base}/_calendar_rollup")))
+    origins = reread(gold["origin_account_summary"], f"{base}/origin_account_summary")
+    gold["fraud_feature"] = FE.fraud_feature(silver, origin_counts=origins)
+    # The feature table first: it takes longest, and the small marts fit in beside it.
+    rest = {n: gold[n] for n in sorted(set(gold) - set(first), key=lambda n: n != "fraud_feature")}
+    done |= write_many(rest, base, measures=mart_measures(rest))
+    for name in gold:
+        log.add(name, done[name])
+    return {name: reread(df, f"{base}/{name}") for name, df in gold.items()}
 
 
 # ------------------------------------------------------------------ exports
