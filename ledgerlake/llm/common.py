@@ -43,11 +43,17 @@ def scratch(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, name)
 
 
-def staged(df: DataFrame, name: str, row_group: int = 128 << 20) -> DataFrame:
-    """``df`` written to the shared folder and read back: computed once, no lineage behind it."""
+def staged(df: DataFrame, name: str, row_group: int = 128 << 20, heavy: bool = False) -> DataFrame:
+    """``df`` written to the shared folder and read back: computed once, no lineage behind it.
+
+    The writer first looks at its memory after 100 rows, at each row of ``heavy`` ones, which are megabytes.
+    """
     spark = df.sparkSession
     path = scratch(spark, name)
-    df.write.option("compression", "zstd").option("parquet.block.size", row_group).parquet(path)
+    out = df.write.option("compression", "zstd").option("parquet.block.size", row_group)
+    if heavy:
+        out = out.option("parquet.block.size.row.check.min", 1).option("parquet.page.size.row.check.min", 1)
+    out.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -45,6 +45,8 @@ from ledgerlake.llm.elias_fano import Trie, firsts, totals
 
 #: Text of a batch, in bytes.
 BATCH_BYTES = 16 << 20
+#: Bytes of batches that a writer or reader holds at once; a larger row is alone.
+ROW_GROUP = 16 << 20
 #: Tokens that a shard holds on average, at most: what one trie is built of.
 SHARD_TOKENS = 1_200_000
 #: Tokens of the shards that one task goes through, one after the other; and how many such lots there are at least.
@@ -231,15 +233,13 @@ def _places(of_words: np.ndarray) -> np.ndarray:
     return np.concatenate([of_words[:1], of_words]).astype(np.int64)
 
 
-def _numbered(parts: int, hot: list[str], size: int, limit: int):
-    """Rows sorted by word: each word gets a number and its count over all batches, also after each of ``size`` histories;
-    a packed row per batch goes back. ``hot`` words come with their ids, histories with how many words follow, and
-    those of more than ``limit`` occurrences together with a hot word as pairs."""
+def _numbered(hot: list[str], size: int, limit: int):
+    """Rows sorted by word: each word gets a number within its part and its count over all batches, also after each of
+    ``size`` histories; a packed row per batch goes back. ``hot`` words come with their numbers, histories with how many
+    words follow, and those of more than ``limit`` occurrences together with a hot word as pairs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, n_words, last = TaskContext.get().partitionId(), 0, None
-        if part >= parts:
-            raise ValueError(f"{parts} shuffle partitions were announced, this is number {part}")
         known = pa.array(hot, pa.string())
         rows: list[list[np.ndarray]] = []
         for b in batches:
@@ -260,7 +260,7 @@ def _numbered(parts: int, hot: list[str], size: int, limit: int):
         count = np.bincount(place, n, n_words).astype(np.int64)
         which = np.flatnonzero(known_as >= 0)
         which = which[firsts(place[which])]
-        words = [[int(k), 2 + int(p) * parts + part, int(count[p])] for k, p in zip(known_as[which], place[which], strict=True)]
+        words = [[int(k), int(p), int(count[p])] for k, p in zip(known_as[which], place[which], strict=True)]
         # Counts after histories.
         kinds, pairs, of_batch = np.zeros(size, dtype=np.int64), [], np.repeat(batch, times)
         if size:
@@ -310,13 +310,18 @@ def _halves(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return a & 0xFFFFFFFF, a >> 32
 
 
+def _id(place: np.ndarray, part: np.ndarray | int, parts: int) -> np.ndarray:
+    """The number of a word among those of all parts; from 2 on, below are history's beginnings."""
+    return 2 + place * parts + part
+
+
 def _answered(answers: pa.Table, parts: int) -> tuple[np.ndarray, np.ndarray]:
-    """Number and training count of each word code of a batch."""
+    """Id and training count of each word code of a batch."""
     codes, ids, counts = [np.zeros(1, dtype=np.int64)], [np.zeros(1, dtype=np.int64)], [np.zeros(1, dtype=np.int64)]
     for part, packed in zip(answers.column("part").to_pylist(), answers.column("words").to_pylist(), strict=True):
         gaps, code, low, high, _ = _unbundle(packed)
         codes.append(code)
-        ids.append(2 + np.cumsum(gaps) * parts + part)
+        ids.append(_id(np.cumsum(gaps), part, parts))
         counts.append(low | (high << 32))
     by = np.concatenate(codes)
     out = np.zeros(len(by), dtype=np.int64), np.zeros(len(by), dtype=np.int64)
@@ -590,19 +595,17 @@ def scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col:
     )
     kind = dict(rows.dtypes)["doc_id"]
     schema = f"batch long, ids array<{kind}>, held array<boolean>, spread array<long>, tokens long, n binary, codes binary, words binary, words_size long, counts binary"
-    tokens = staged(rows.mapInArrow(_batches(BATCH_BYTES), schema), "lm-tokens")
+    tokens = staged(rows.mapInArrow(_batches(BATCH_BYTES), schema), "lm-tokens", ROW_GROUP, heavy=True)
     n_tokens = tokens.agg(F.sum("tokens")).first()[0] or 0
     lots = max(LOTS, -(-n_tokens // LOT_TOKENS))
     shards = lots * max(1, -(-n_tokens // (SHARD_TOKENS * lots)))
 
-    conf = docs.sparkSession.conf
-    parts = max(int(conf.get(f"spark.sql.{k}", None) or 1) for k in ("shuffle.partitions", "adaptive.coalescePartitions.initialPartitionNum"))
     listed, whole_text = ["batch", "words", "words_size", "counts"], ["held", "n", "codes"]
 
     def counted(name: str, columns: list[str], hot: list[str], size: int, pairs: np.ndarray | None) -> DataFrame:
         words = tokens.select(*columns).mapInArrow(_words(hot, pairs), "word string, batch long, code int, n long, after array<long>")
         out = "batch long, part long, words binary, n_train long, distinct long, hot array<array<long>>, kinds array<long>, pairs array<array<long>>"
-        return staged(words.repartition("word").sortWithinPartitions("word").mapInArrow(_numbered(parts, hot, size, HOT), out), name)
+        return staged(words.repartition("word").sortWithinPartitions("word").mapInArrow(_numbered(hot, size, HOT), out), name)
 
     def followers(answers: DataFrame, size: int) -> np.ndarray:
         out = np.zeros(size, dtype=np.int64)
@@ -615,13 +618,15 @@ def scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col:
     if n_tokens > HOT:
         hot = sorted(r[0] for r in tokens.select("words", "words_size", "counts").mapInArrow(_frequent(n_tokens, HOT), "word string").distinct().collect())
     answers = counted("lm-words", [*listed, *(whole_text if hot else [])], hot, len(hot), None)
-    seen = answers.agg(F.sum("n_train").alias("n"), F.sum("distinct").alias("v")).first()
-    n_train, distinct = seen["n"] or 0, seen["v"] or 0
+    # Parts are counted when they are there: their number is the session's and adaptive execution's.
+    seen = answers.agg(F.sum("n_train").alias("n"), F.sum("distinct").alias("v"), F.max("part").alias("last")).first()
+    n_train, distinct, parts = seen["n"] or 0, seen["v"] or 0, 1 + (seen["last"] or 0)
     none = np.zeros(0, dtype=np.int64)
     known = _Hot(none, none, none, none, none, none)
     back = answers.select("batch", "part", "words", F.lit(1).alias("level"))
     if hot:
-        places, ids, counts = np.array([r[0] for r in answers.select(F.explode("hot")).collect()]).T
+        places, numbers, counts, part = np.array([[*r["col"], r["part"]] for r in answers.select("part", F.explode("hot")).collect()]).T
+        ids = _id(numbers, part, parts)
         by = np.argsort(ids)
         known = known._replace(ids=ids[by], places=places[by], kinds=followers(answers, len(hot)))
         pairs = {(a * len(hot) + b): n for (a, b, n) in (r[0] for r in answers.select(F.explode("pairs")).collect())}

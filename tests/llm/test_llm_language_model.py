@@ -2,8 +2,10 @@ import math
 import mmap
 import zlib
 from collections import Counter, defaultdict
+from urllib.parse import unquote, urlparse
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from llm_cases import documents, none, prose, whole
 from pyspark.sql import functions as F
@@ -82,6 +84,54 @@ def test_small_batches_and_many_shards(spark, monkeypatch):
     same(whole(lm.scores(docs, out())), want)
 
 
+def noted(monkeypatch):
+    """The staged tables of a run by name, filled as they are written."""
+    tables, staged = {}, lm.staged
+
+    def note(df, name, *args, **kinds):
+        tables[name] = staged(df, name, *args, **kinds)
+        return tables[name]
+
+    monkeypatch.setattr(lm, "staged", note)
+    return tables
+
+
+def test_session_without_a_shuffle_width(spark, monkeypatch):
+    """Words are numbered over as many parts as there are, whatever the session says of them."""
+    docs = table(spark, "/root/testdata/sf0.001", "documents").repartition(5)
+    want = plain([(r["doc_id"], r["text"]) for r in docs.collect()])
+    tables = noted(monkeypatch)
+    monkeypatch.setattr(lm, "HOT", 200)
+    monkeypatch.setattr(lm, "BATCH_BYTES", 100_000)
+    width = "spark.sql.shuffle.partitions"
+    small = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k"}
+    before = spark.conf.get(width)
+    spark.conf.unset(width)
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        same(whole(lm.scores(docs, out())), want)
+    finally:
+        spark.conf.set(width, before)
+        for k in small:
+            spark.conf.unset(k)
+    assert tables["lm-words"].select("part").distinct().count() > 1
+
+
+def test_batches_are_written_a_few_at_a_time(spark, monkeypatch):
+    """One task may write many batches; its writer holds a set amount of them."""
+    docs = table(spark, "/root/testdata/sf0.001", "documents").coalesce(1)
+    tables = noted(monkeypatch)
+    monkeypatch.setattr(lm, "BATCH_BYTES", 20_000)
+    monkeypatch.setattr(lm, "ROW_GROUP", 100_000)
+    lm.scores(docs, out())
+    (path,) = tables["lm-tokens"].inputFiles()
+    written = pq.ParquetFile(unquote(urlparse(path).path)).metadata
+    groups = [written.row_group(k) for k in range(written.num_row_groups)]
+    assert 2 < written.num_rows < 100  # fewer than the writer waits for by itself
+    assert len(groups) > 2 and max(g.total_byte_size for g in groups) < 3 * lm.ROW_GROUP
+
+
 def test_hot_words_are_split():
     rng = np.random.default_rng(0)
     n = 200_000
